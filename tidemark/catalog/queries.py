@@ -27,6 +27,7 @@ from tidemark.plans import requests as P
 from tidemark.session import scratch_path
 from tidemark.sources import tables as TB
 from tidemark.sources.event_log import MarketTables
+from tidemark.sources.staging import settle
 from tidemark.streaming import liquidations as L
 
 NOW = "2024-01-31 00:00:00"
@@ -148,7 +149,7 @@ def append_liquidations(t):
 @query
 def append_quality_issues(t):
     path = scratch_path(t.spark, "data_quality_issue")
-    issues = Q.quality_issues(t.collapsed, quality_plan(t))
+    issues = Q.quality_issues(_batch_bars(t), quality_plan(t))
     for _ in range(2):
         TB.append_quality_issues(issues, path, now(), F.lit("run"))
     return TB.read_table(t.spark, path).drop("run_id")
@@ -441,23 +442,26 @@ def due_streams(t):
 
 
 def quality_plan(t):
-    """Requests planned when the newest stored bar lay four intervals before the batch."""
+    """Requests planned when the newest stored bar lay four intervals before the batch (settled, as a run keeps it)."""
     step = G.interval_seconds_or_null(F.col("bar_interval"))
     before = G.shift_seconds(F.col("first_open_time"), -step * 4)
     marked = _bar_marks(t).withColumn("last_open_time", before)
-    return P.plan_skip(P.plan_bar_requests(marked, now()))
+    return t.settled("quality_plan", lambda: P.plan_skip(P.plan_bar_requests(marked, now())))
+
+
+def _batch_bars(t):
+    """The batch after last-row-wins, settled because storing and every quality rule read it."""
+    return t.settled("batch_bars", lambda: t.collapsed)
 
 
 def _batch_report(t):
     decoded = N.decode_ohlcv(t.landed_ohlcv)
-    fetched = decoded.where(F.col("open_time").isNotNull())
-    good = N.collapse_bars(decoded.where(~F.col("malformed")))
+    good = settle(N.collapse_bars(decoded.where(~F.col("malformed"))), "good_bars")
     bars = N.bars_of(good)
     stored = t.market_data_raw.where(F.col("open_time") < G.as_timestamp("2024-01-10 00:00:00"))
-    inserted = bars.join(stored, [*C.STREAM_KEY, "open_time"], "left_anti")
+    inserted = bars.join(stored.select(*C.STREAM_KEY, "open_time"), [*C.STREAM_KEY, "open_time"], "left_anti")
     plan = quality_plan(t)
-    issues = Q.quality_issues(good, plan)
-    return P.batch_run_report(plan, fetched, decoded.where(F.col("malformed")), inserted, issues)
+    return P.batch_run_report(plan, decoded, inserted, Q.quality_issues(good, plan))
 
 
 @query
@@ -470,7 +474,7 @@ def batch_run_report(t):
 
 @query
 def duplicate_bar(t):
-    return Q.duplicate_bar(t.collapsed)
+    return Q.duplicate_bar(_batch_bars(t))
 
 
 @query
@@ -496,12 +500,12 @@ def late_data(t):
 @query
 def run_status(t):
     plan = quality_plan(t)
-    return Q.run_status(Q.quality_issues(t.collapsed, plan), plan)
+    return Q.run_status(Q.quality_issues(_batch_bars(t), plan), plan)
 
 
 @query
 def quality_issues(t):
-    return Q.quality_issues(t.collapsed, quality_plan(t))
+    return Q.quality_issues(_batch_bars(t), quality_plan(t))
 
 
 # --- markets and seeding --------------------------------------------------------------------------------

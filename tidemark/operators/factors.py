@@ -1,7 +1,8 @@
 """Factors on time-aligned series: ratios, per-exchange matrices, snapshots, bounds.
 
 Dashboard series are newest-N lists (at most 1,440 points per asset, interval and exchange), so aligning them needs
-no spans; `oi_volume_ratio` also serves whole histories and takes a span.
+no spans, and they are settled (written once, read several times) before they are aligned, so each fact table is
+scanned once. `oi_volume_ratio` also serves whole histories and takes a span.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as C
 from tidemark.operators import nearest as N
+from tidemark.sources.staging import settle
 
 SELECTION = ["asset", "bar_interval"]
 
@@ -75,21 +77,18 @@ def exchange_matrix(candles: DataFrame, breakdowns: dict[str, DataFrame], groups
     `breakdowns` maps volume, open_interest, long_short, taker, liquidation and funding to points with (groups,
     exchange, time, values). A missing liquidation is zero, so every observed exchange keeps a row per candle.
     """
-    steps = bar_step(candles, groups)
     keys = [*groups, "exchange"]
-    shown = {name: N.unique_points(_visible(points, steps, groups), keys) for name, points in breakdowns.items()}
-    observed = None
-    for points in shown.values():
-        seen = points.select(*keys).distinct()
-        observed = seen if observed is None else observed.unionByName(seen)
-    observed = observed.groupBy(*groups).agg(F.collect_set("exchange").alias("exchanges"))
+    names = list(breakdowns)
+    candles = settle(candles.select(*groups, "time"), "candles")
+    steps = bar_step(candles, groups)
+    shown = settle(_visible(N.stack_points(breakdowns, keys), steps, groups), "breakdowns")
+    observed = shown.groupBy(*groups).agg(F.collect_set("exchange").alias("exchanges"))
     rows = (
-        candles.select(*groups, "time")
-        .join(steps.select(*groups, "step_seconds"), groups)
+        candles.join(steps.select(*groups, "step_seconds"), groups)
         .join(observed, groups)
         .select(*groups, "time", "step_seconds", F.explode("exchanges").alias("exchange"))
     )
-    aligned = N.align(rows, shown, keys, span_seconds=None)
+    aligned = N.align(rows, shown, names, keys, span_seconds=None)
     for name, rule in MATRIX_TOLERANCE.items():
         bound = F.lit(C.TOLERANCE_FUNDING_SECONDS) if rule is None else _tolerance(rule)
         aligned = aligned.withColumn(name, N.within(name, bound))
@@ -111,10 +110,11 @@ def exchange_matrix(candles: DataFrame, breakdowns: dict[str, DataFrame], groups
 
 def liquidation_or_zero(candles: DataFrame, liquidations: DataFrame, groups: list[str] = SELECTION) -> DataFrame:
     """Per candle, the liquidation bucket within 0.45 steps; without one, a zero row at the candle's time."""
+    candles = settle(candles.select(*groups, "time"), "candles")
     steps = bar_step(candles, groups)
-    rows = candles.select(*groups, "time").join(steps.select(*groups, "step_seconds"), groups)
-    points = N.unique_points(_visible(liquidations, steps, groups), groups)
-    aligned = N.align(rows, {"liquidation": points}, groups, span_seconds=None)
+    rows = candles.join(steps.select(*groups, "step_seconds"), groups)
+    points = _visible(N.stack_points({"liquidation": liquidations}, groups), steps, groups)
+    aligned = N.align(rows, points, ["liquidation"], groups, span_seconds=None)
     return _liquidation_columns(aligned.withColumn("liquidation", N.within("liquidation", _tolerance(C.TOLERANCE_LIQUIDATION))), groups)
 
 
@@ -136,14 +136,15 @@ def market_point(candles: DataFrame, series: dict[str, DataFrame], groups: list[
     `series` maps mark, index, open_interest, long_short, taker, funding and liquidation to (groups, time, values).
     Series are cut to the visible candles first; only open interest over volume sees the whole series, then is cut.
     """
+    candles = settle(candles.select(*groups, "time", "close", "volume"), "candles")
+    points = settle(N.stack_points(series, groups), "series")
     steps = bar_step(candles, groups)
-    shown = {name: N.unique_points(_visible(points, steps, groups), groups) for name, points in series.items()}
-    ratio = oi_volume_ratio(candles, series["open_interest"], groups, span_seconds=None)
-    shown["oi_volume"] = _visible(ratio, steps, groups)
-    rows = candles.select(*groups, "time", "close", "volume").join(steps.select(*groups, "step_seconds"), groups)
-    aligned = N.align(rows, shown, groups, span_seconds=None)
+    interest = points.where(F.col("open_interest").isNotNull()).select(*groups, "time", "open_interest.value")
+    ratio = N.stack_points({"oi_volume": oi_volume_ratio(candles, interest, groups, span_seconds=None)}, groups)
+    shown = _visible(points.unionByName(ratio, allowMissingColumns=True), steps, groups)
+    rows = candles.join(steps.select(*groups, "step_seconds"), groups)
+    aligned = N.align(rows, shown, [*series, "oi_volume"], groups, span_seconds=None)
     aligned = aligned.withColumn("liquidation", N.within("liquidation", _tolerance(C.TOLERANCE_LIQUIDATION)))
-    # the candle's volume and the aligned structs share one row, so values are taken in a single projection
     return aligned.select(
         *groups,
         "time",
@@ -167,6 +168,7 @@ def latest_snapshot(chart: DataFrame, derivatives: DataFrame, groups: list[str]
 
     A change from a previous close of zero is NULL (a browser would show infinity).
     """
+    chart, derivatives = settle(chart, "chart"), settle(derivatives, "derivatives")
     latest = Window.partitionBy(*groups).orderBy(F.col("time").desc())
     candles = (
         chart.where(F.col("series") == "candles")

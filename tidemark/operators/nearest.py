@@ -19,17 +19,6 @@ from pyspark.sql import functions as F
 DAY = 86400
 
 
-def unique_points(points: DataFrame, keys: list[str], tie: list[str] | None = None) -> DataFrame:
-    """One point per key and time. Among copies the smallest by `tie` (or by all values) is kept."""
-    values = [c for c in points.columns if c not in (*keys, "time")]
-    order = F.struct(*(tie or values))
-    return (
-        points.groupBy(*keys, "time")
-        .agg(F.min_by(F.struct(*values), order).alias("v"))
-        .select(*keys, "time", "v.*")
-    )
-
-
 def _point(points: DataFrame, keys: list[str]) -> Column:
     values = [c for c in points.columns if c not in (*keys, "time")]
     return F.struct("time", *values)
@@ -67,45 +56,39 @@ def _carried(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     )
 
 
+def stack_points(series: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Several series as one table: a row per key and time, a struct column (time, values) per series.
+
+    Repeated times of a series keep one point, the smallest by its values. One shuffle serves all series.
+    """
+    types = {n: points.select(_point(points, keys).alias("p")).schema["p"].dataType for n, points in series.items()}
+    parts = []
+    for name, points in series.items():
+        cells = [(_point(points, keys) if n == name else F.lit(None).cast(types[n])).alias(n) for n in series]
+        parts.append(points.select(*keys, "time", *cells))
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys, "time").agg(*[F.min(n).alias(n) for n in series])
+
+
 def align(
-    left: DataFrame,
-    series: dict[str, DataFrame],
-    keys: list[str],
-    span_seconds: int | None = DAY,
+    left: DataFrame, points: DataFrame, names: list[str], keys: list[str], span_seconds: int | None = DAY
 ) -> DataFrame:
     """Left rows with, per series, a struct column holding its nearest point (NULL when the key has none).
 
-    left needs `time` and the keys; each series needs the keys, `time` and its values, one point per key and time.
-    Pass span_seconds=None only where every key is known to be short, such as newest-N series.
+    left needs `time` and the keys, with times distinct per key or known to be few; `points` comes from
+    `stack_points`. Pass span_seconds=None only where every key is known to be short, such as newest-N series.
     """
-    names = list(series)
-    if span_seconds is None:
-        span = F.lit(0).cast("bigint")
-    else:
-        span = F.floor(F.col("time") / F.lit(span_seconds))
+    span = F.lit(0).cast("bigint") if span_seconds is None else F.floor(F.col("time") / F.lit(span_seconds))
     left_values = [c for c in left.columns if c not in (*keys, "time")]
-    types = {n: series[n].select(_point(series[n], keys).alias("p")).schema["p"].dataType for n in names}
-
-    def empty(name: str) -> Column:
-        return F.lit(None).cast(types[name]).alias(name)
-
+    types = {n: points.schema[n].dataType for n in names}
+    row = F.struct(F.lit(1).alias("_"), *left_values)
     left_rows = left.select(
-        *keys, "time", F.lit(1).alias("is_left"), F.struct(F.lit(1).alias("_"), *left_values).alias("row"), *[empty(n) for n in names]
+        *keys, "time", F.lit(1).alias("is_left"), row.alias("row"), *[F.lit(None).cast(types[n]).alias(n) for n in names]
     )
-    right_rows = [
-        series[n].select(
-            *keys,
-            "time",
-            F.lit(0).alias("is_left"),
-            F.lit(None).cast(left_rows.schema["row"].dataType).alias("row"),
-            *[_point(series[n], keys).alias(n) if m == n else empty(m) for m in names],
-        )
-        for n in names
-    ]
-    rows = reduce(DataFrame.unionByName, [left_rows, *right_rows]).withColumn("span", span)
+    no_row = F.lit(None).cast(left_rows.schema["row"].dataType).alias("row")
+    right_rows = points.select(*keys, "time", F.lit(0).alias("is_left"), no_row, *names)
+    rows = left_rows.unionByName(right_rows).withColumn("span", span)
     if span_seconds is not None:
-        slim = rows.drop("row")
-        rows = rows.unionByName(_carried(slim, keys, names), allowMissingColumns=True)
+        rows = rows.unionByName(_carried(rows.drop("row"), keys, names), allowMissingColumns=True)
 
     # right rows sort before left rows of the same time in both directions, so an exact match is seen from both
     forward = Window.partitionBy(*keys, "span").orderBy("time", "is_left")
@@ -149,10 +132,10 @@ def nearest_join(
     unique_left=True when left times are already distinct per key. Right times repeated within a key keep one
     point (smallest values).
     """
-    points = unique_points(right, keys)
+    points = stack_points({"nearest": right}, keys)
     if unique_left:
-        out = align(left, {"nearest": points}, keys, span_seconds)
+        out = align(left, points, ["nearest"], keys, span_seconds)
     else:
         times = left.select(*keys, "time").distinct()
-        out = left.join(align(times, {"nearest": points}, keys, span_seconds), [*keys, "time"], "left")
+        out = left.join(align(times, points, ["nearest"], keys, span_seconds), [*keys, "time"], "left")
     return out if tolerance is None else out.withColumn("nearest", within("nearest", tolerance))

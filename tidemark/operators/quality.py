@@ -47,24 +47,45 @@ def _issue(rows: DataFrame, kind: str, severity: str, expected: Column, actual:
     )
 
 
-def _first_times(flagged: DataFrame) -> DataFrame:
-    """The 20 earliest flagged times per stream (trimmed per task before the shuffle), as an ordered list."""
-    in_order = Window.partitionBy(*C.STREAM_KEY).orderBy("open_time")
-    return (
-        flagged.withColumn("position", F.row_number().over(in_order))
-        .where(F.col("position") <= EXAMPLES)
-        .groupBy(*C.STREAM_KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("open_time", "weight"))).alias("firsts"))
-    )
+FLAG_SEVERITY = {"duplicate_bar": "warning", "invalid_ohlc": "error", "negative_volume": "error"}
+
+
+def _flags(kinds: list[str]) -> Column:
+    """The rules a bar breaks, with its weight in each (k copies of an open time weigh k-1)."""
+    outside = F.col("high") < F.col("low")
+    for price in ("open", "close"):
+        outside = outside | (F.col(price) < F.col("low")) | (F.col(price) > F.col("high"))
+    negative = (F.col("volume") < 0) | F.coalesce(F.col("quote_volume") < 0, F.lit(False))
+    one = F.lit(1).cast("bigint")
+    found = {
+        "duplicate_bar": lambda: F.when(F.col("copies") > 1, F.struct(F.lit("duplicate_bar").alias("kind"), (F.col("copies") - 1).alias("weight"))),
+        "invalid_ohlc": lambda: F.when(outside, F.struct(F.lit("invalid_ohlc").alias("kind"), one.alias("weight"))),
+        "negative_volume": lambda: F.when(negative, F.struct(F.lit("negative_volume").alias("kind"), one.alias("weight"))),
+    }
+    return F.array_compact(F.array(*[found[k]() for k in kinds]))
 
 
-def _flagged_summary(flagged: DataFrame) -> DataFrame:
-    """Per stream: range, total weight and the first 20 times, each repeated by its weight."""
-    totals = flagged.groupBy(*C.STREAM_KEY).agg(
+def flagged_bars(bars: DataFrame, kinds: list[str]) -> DataFrame:
+    """One issue per stream and broken rule: range, total, and the first 20 times in order.
+
+    Totals combine on the map side; the example list is trimmed to 20 rows per task before the shuffle.
+    """
+    flagged = bars.select(*C.STREAM_KEY, "open_time", F.explode(_flags(kinds)).alias("f")).select(
+        *C.STREAM_KEY, "open_time", "f.kind", "f.weight"
+    )
+    keys = [*C.STREAM_KEY, "kind"]
+    totals = flagged.groupBy(*keys).agg(
         F.min("open_time").alias("issue_start_time"),
         F.max("open_time").alias("issue_end_time"),
         F.sum("weight").alias("affected"),
     )
+    in_order = Window.partitionBy(*keys).orderBy("open_time")
+    firsts = (
+        flagged.withColumn("position", F.row_number().over(in_order))
+        .where(F.col("position") <= EXAMPLES)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("open_time", "weight"))).alias("firsts"))
+    )
     repeated = F.flatten(
         F.transform(
             "firsts",
@@ -73,39 +94,37 @@ def _flagged_summary(flagged: DataFrame) -> DataFrame:
             ),
         )
     )
-    lists = _first_times(flagged).select(*C.STREAM_KEY, F.slice(repeated, 1, EXAMPLES).alias("times"))
-    return totals.join(lists, C.STREAM_KEY)
+    found = totals.join(firsts.select(*keys, F.slice(repeated, 1, EXAMPLES).alias("times")), keys)
+    repeats = F.col("kind") == "duplicate_bar"
+    severity = F.element_at(F.create_map(*[F.lit(x) for kv in FLAG_SEVERITY.items() for x in kv]), F.col("kind"))
+    as_duplicates = F.struct(F.col("affected").alias("duplicate_count"), F.col("times").alias("duplicate_open_times"))
+    as_affected = F.struct(F.col("affected").alias("affected_count"), F.col("times").alias("open_times"))
+    return found.select(
+        *C.SERIES_KEY,
+        "source_dataset",
+        F.col("kind").alias("issue_type"),
+        "issue_start_time",
+        "issue_end_time",
+        F.when(repeats, F.col("affected")).alias("expected_count"),
+        F.when(repeats, F.lit(0).cast("bigint")).otherwise(F.col("affected")).alias("actual_count"),
+        severity.alias("severity"),
+        F.when(repeats, F.to_json(as_duplicates)).otherwise(F.to_json(as_affected)).alias("detail"),
+    )
 
 
 def duplicate_bar(collapsed: DataFrame) -> DataFrame:
     """One warning per stream that repeated an open time; k copies count as k-1 repeats."""
-    repeats = collapsed.where(F.col("copies") > 1).select(
-        *C.STREAM_KEY, "open_time", (F.col("copies") - 1).alias("weight")
-    )
-    found = _flagged_summary(repeats)
-    detail = F.to_json(F.struct(F.col("affected").alias("duplicate_count"), F.col("times").alias("duplicate_open_times")))
-    return _issue(found, "duplicate_bar", "warning", F.col("affected"), F.lit(0), detail)
-
-
-def _affected(collapsed: DataFrame, condition: Column, kind: str) -> DataFrame:
-    flagged = collapsed.where(condition).select(*C.STREAM_KEY, "open_time", F.lit(1).cast("bigint").alias("weight"))
-    found = _flagged_summary(flagged)
-    detail = F.to_json(F.struct(F.col("affected").alias("affected_count"), F.col("times").alias("open_times")))
-    return _issue(found, kind, "error", F.lit(None), F.col("affected"), detail)
+    return flagged_bars(collapsed, ["duplicate_bar"])
 
 
 def invalid_ohlc(bars: DataFrame) -> DataFrame:
     """One error per stream with bars whose open or close lies outside low..high, or high below low."""
-    outside = F.lit(False)
-    for price in ("open", "close"):
-        outside = outside | (F.col(price) < F.col("low")) | (F.col(price) > F.col("high"))
-    return _affected(bars, outside | (F.col("high") < F.col("low")), "invalid_ohlc")
+    return flagged_bars(bars, ["invalid_ohlc"])
 
 
 def negative_volume(bars: DataFrame) -> DataFrame:
     """One error per stream with a negative volume or quote volume."""
-    negative = (F.col("volume") < 0) | F.coalesce(F.col("quote_volume") < 0, F.lit(False))
-    return _affected(bars, negative, "negative_volume")
+    return flagged_bars(bars, ["negative_volume"])
 
 
 def previous_open_times(bars: DataFrame) -> DataFrame:
@@ -138,15 +157,19 @@ def missing_bar(bars: DataFrame, plan: DataFrame) -> DataFrame:
     anchored = bars.select(*C.STREAM_KEY, "open_time").withColumn(
         "interval_seconds", G.interval_seconds(F.col("bar_interval"))
     )
-    ordered = previous_open_times(anchored).join(plan.select(*C.STREAM_KEY, "anchor_open_time"), C.STREAM_KEY)
+    ordered = previous_open_times(anchored)
     step = F.col("interval_seconds")
-    width = F.unix_micros("open_time") - F.unix_micros("previous")
+    width = F.unix_micros("open_time") - F.unix_micros("previous_open")
+    # only the first bar of a stream needs the plan, so the bars themselves are not joined with it
+    first = ordered.where(F.col("previous_open").isNull()).drop("previous_open")
+    first = first.join(plan.select(*C.STREAM_KEY, F.col("anchor_open_time").alias("previous_open")), C.STREAM_KEY)
     gaps = (
-        ordered.withColumn("previous", F.coalesce("previous_open", "anchor_open_time"))
+        ordered.where(F.col("previous_open").isNotNull())
+        .unionByName(first)
         .withColumn("width", width)
         .where(F.col("width") > step * 1_000_000)
         .withColumn("missing", F.floor(F.col("width") / (step * 1_000_000)) - 1)
-        .withColumn("issue_start_time", G.shift_seconds(F.col("previous"), step))
+        .withColumn("issue_start_time", G.shift_seconds(F.col("previous_open"), step))
         .withColumn("issue_end_time", G.shift_seconds(F.col("open_time"), -step))
     )
     detail = F.to_json(
@@ -181,15 +204,11 @@ def late_data(bars: DataFrame, plan: DataFrame, late_intervals: int = C.LATE_DAT
 
 
 def quality_issues(collapsed: DataFrame, plan: DataFrame, late_intervals: int = C.LATE_DATA_INTERVALS) -> DataFrame:
-    """All rules over one batch, in rule order, with common columns."""
-    bars = collapsed if "quote_volume" in collapsed.columns else collapsed.withColumn("quote_volume", F.lit(None).cast("decimal(28,8)"))
-    parts = [
-        duplicate_bar(bars),
-        invalid_ohlc(bars),
-        negative_volume(bars),
-        missing_bar(bars, plan),
-        late_data(bars, plan, late_intervals),
-    ]
+    """All rules over one batch, with common columns. The batch is read five times, so pass a settled one."""
+    bars = collapsed
+    if "quote_volume" not in bars.columns:
+        bars = bars.withColumn("quote_volume", F.lit(None).cast("decimal(28,8)"))
+    parts = [flagged_bars(bars, list(FLAG_SEVERITY)), missing_bar(bars, plan), late_data(bars, plan, late_intervals)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -227,13 +227,11 @@ def due_streams(marked_jobs: DataFrame, now: Column) -> DataFrame:
 # --- run report -------------------------------------------------------------------------
 
 
-def batch_run_report(
-    plan: DataFrame, fetched: DataFrame, rejected: DataFrame, inserted: DataFrame, issues: DataFrame
-) -> DataFrame:
+def batch_run_report(plan: DataFrame, decoded: DataFrame, inserted: DataFrame, issues: DataFrame) -> DataFrame:
     """One result row per planned job. A job with malformed rows fails on its own; the others go on.
 
-    fetched, rejected, inserted and issues are row-level tables with the stream key; each is pre-aggregated to
-    one row per stream before the join.
+    decoded (with its `malformed` flag), inserted and issues are row-level tables with the stream key; each is
+    pre-aggregated to one row per stream before the join.
     """
 
     def per_stream(rows: DataFrame, *aggregates: Column) -> DataFrame:
@@ -242,10 +240,10 @@ def batch_run_report(
     def counted(name: str) -> Column:
         return F.count(F.lit(1)).alias(name)
 
+    rejected = F.count_if("malformed").alias("n_rejected")
     severe = F.max(F.col("severity").isin("error", "critical")).alias("severe")
     joined = (
-        plan.join(per_stream(fetched, counted("n_fetched")), C.STREAM_KEY, "left")
-        .join(per_stream(rejected, counted("n_rejected")), C.STREAM_KEY, "left")
+        plan.join(per_stream(decoded, counted("n_fetched"), rejected), C.STREAM_KEY, "left")
         .join(per_stream(inserted, counted("n_inserted")), C.STREAM_KEY, "left")
         .join(per_stream(issues, counted("n_issues"), severe), C.STREAM_KEY, "left")
     )

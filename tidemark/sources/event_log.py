@@ -1,22 +1,28 @@
 """Market tables derived from the `events` table, for queries, tests and benchmarks.
 
-One scan of events fans out into the 1h and 5m cells and the three price datasets inside the plan; nothing is
-written or collected. Every derivation is a grouped aggregate with map-side combine.
+One scan of events fans out into the 1h and 5m cells and the three price datasets inside the plan. Every derivation
+is a grouped aggregate with map-side combine. The stored tables of the data model are written once per application to
+the shared folder (see staging.py) in the layout they have in production, so queries prune partitions and columns;
+everything else is derived in place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as C
+from tidemark import schemas as S
 from tidemark.functions import timegrid as G
 from tidemark.operators import normalize
 from tidemark.session import configure
+from tidemark.sources.staging import settle_once, source_version
 
 CELL_SECONDS = {"1h": 3600, "5m": 300}
+LAYOUT = {**S.LAYOUT, "raw_ohlcv": S.LAYOUT["market_data_raw"]}
 
 
 def _floor(ts: Column, seconds: int) -> Column:
@@ -30,6 +36,17 @@ class MarketTables:
         self.spark = configure(spark)
         self.sf_dir = sf_dir
 
+    @cached_property
+    def _version(self) -> tuple:
+        return source_version(self.spark, f"{self.sf_dir}/events.parquet")
+
+    def _stored(self, name: str, rows: Callable[[], DataFrame], partition_by=(), sort_by=()) -> DataFrame:
+        return settle_once(self.spark, self._version, name, rows, tuple(partition_by), tuple(sort_by))
+
+    def settled(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """An intermediate result kept for the whole application."""
+        return self._stored(name, build)
+
     @cached_property
     def events(self) -> DataFrame:
         rows = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
@@ -67,6 +84,9 @@ class MarketTables:
 
     @cached_property
     def asset_registry(self) -> DataFrame:
+        return self._stored("asset_registry", self._derive_asset_registry, (), ())
+
+    def _derive_asset_registry(self) -> DataFrame:
         base = F.when(F.col("exchange") == "kucoinfutures", F.lower("base")).otherwise(F.col("base"))
         inactive = (F.col("exchange") == "bybit") & (F.col("base") == "MYX") & (F.col("v") == 1)
         return self.market_events.select(
@@ -94,6 +114,9 @@ class MarketTables:
 
     @cached_property
     def raw_ohlcv(self) -> DataFrame:
+        return self._stored("raw_ohlcv", self._derive_raw_ohlcv, LAYOUT["raw_ohlcv"], [*C.MARKET_KEY, "open_time"])
+
+    def _derive_raw_ohlcv(self) -> DataFrame:
         """Fetched candles with repeats (fetch_seq 0 and 1), some with a bad high or a negative volume."""
         perpetual, kind = F.col("market_type") == "perpetual", F.col("event_type")
         datasets = F.array_compact(
@@ -143,6 +166,9 @@ class MarketTables:
 
     @cached_property
     def market_data_raw(self) -> DataFrame:
+        return self._stored("market_data_raw", self._derive_market_data_raw, LAYOUT["market_data_raw"], [*C.MARKET_KEY, "open_time"])
+
+    def _derive_market_data_raw(self) -> DataFrame:
         two_hours = F.lit(7200).cast("bigint")
         return (
             normalize.bars_of(self.collapsed)
@@ -152,6 +178,9 @@ class MarketTables:
 
     @cached_property
     def open_interest_history(self) -> DataFrame:
+        return self._stored("open_interest_history", self._derive_open_interest_history, LAYOUT["open_interest_history"], [*C.MARKET_KEY, "open_time"])
+
+    def _derive_open_interest_history(self) -> DataFrame:
         rows = self.cells.where((F.col("market_type") == "perpetual") & F.col("event_type").isin("signup", "purchase"))
         value = F.when(F.col("exchange") != "kucoinfutures", F.sum(F.col("px") * 100).cast("decimal(18,2)"))
         return (
@@ -162,6 +191,9 @@ class MarketTables:
 
     @cached_property
     def funding_rate_history(self) -> DataFrame:
+        return self._stored("funding_rate_history", self._derive_funding_rate_history, (), [*C.MARKET_KEY, "funding_time"])
+
+    def _derive_funding_rate_history(self) -> DataFrame:
         rows = self.market_events.where((F.col("market_type") == "perpetual") & (F.col("event_type") == "purchase"))
         grouped = rows.groupBy(*C.MARKET_KEY, _floor(F.col("ts"), 8 * 3600).alias("slot")).agg(
             F.max("k").alias("late_ms"), F.min("px").alias("low"), F.max("ts").alias("last_ts")
@@ -181,6 +213,9 @@ class MarketTables:
 
     @cached_property
     def long_short_ratio_history(self) -> DataFrame:
+        return self._stored("long_short_ratio_history", self._derive_long_short_ratio_history, LAYOUT["long_short_ratio_history"], [*C.MARKET_KEY, "open_time"])
+
+    def _derive_long_short_ratio_history(self) -> DataFrame:
         return (
             self._binance_cells("view")
             .groupBy(*C.SERIES_KEY, "open_time")
@@ -190,6 +225,9 @@ class MarketTables:
 
     @cached_property
     def taker_buy_sell_volume_history(self) -> DataFrame:
+        return self._stored("taker_buy_sell_volume_history", self._derive_taker_buy_sell_volume_history, LAYOUT["taker_buy_sell_volume_history"], [*C.MARKET_KEY, "open_time"])
+
+    def _derive_taker_buy_sell_volume_history(self) -> DataFrame:
         ratio = F.try_divide(F.col("buy_volume").cast("double"), F.col("sell_volume").cast("double"))
         return (
             self._binance_cells("click")
@@ -201,6 +239,9 @@ class MarketTables:
 
     @cached_property
     def liquidation_event(self) -> DataFrame:
+        return self._stored("liquidation_event", self._derive_liquidation_event, (), [*C.MARKET_KEY, "liquidation_time"])
+
+    def _derive_liquidation_event(self) -> DataFrame:
         k, px = F.col("k"), F.col("px")
         side = F.try_element_at(
             F.array(F.lit("BUY"), F.lit("SELL"), F.lit("long"), F.lit("Short")), (k % 5 + 1).cast("int")
@@ -218,6 +259,9 @@ class MarketTables:
 
     @cached_property
     def exchange_market(self) -> DataFrame:
+        return self._stored("exchange_market", self._derive_exchange_market)
+
+    def _derive_exchange_market(self) -> DataFrame:
         perpetual = F.col("market_type") == "perpetual"
         unknown = F.lit(None).cast("boolean")
         pair = F.replace(F.split_part("symbol", F.lit(":"), F.lit(1)), F.lit("/"), F.lit(""))
@@ -279,6 +323,9 @@ class MarketTables:
 
     @cached_property
     def ingestion_run_log(self) -> DataFrame:
+        return self._stored("ingestion_run_log", self._derive_ingestion_run_log)
+
+    def _derive_ingestion_run_log(self) -> DataFrame:
         states = F.array(F.lit("failed"), F.lit("success"), F.lit("partial_success"), F.lit("skipped"))
         return (
             self.raw_ohlcv.groupBy(
@@ -290,6 +337,9 @@ class MarketTables:
 
     @cached_property
     def jobs(self) -> DataFrame:
+        return self._stored("jobs", self._derive_jobs)
+
+    def _derive_jobs(self) -> DataFrame:
         """Jobs over every registered market with a mix of modes, ranges, gaps in support and one unknown dataset."""
         spot = F.col("market_type") == "spot"
         pairs = [(d, i) for d in C.OHLCV_DATASETS for i in ("1h", "5m")]
