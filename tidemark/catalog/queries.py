@@ -797,13 +797,13 @@ def _interest(t):
 
 @query
 def nearest_join(t):
-    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY)
+    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, unique_left=True)
     return out.select(*C.SERIES_KEY, "time", F.col("nearest.time").alias("point_time"), F.col("nearest.value").alias("value"))
 
 
 @query
 def nearest_join_within(t):
-    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, tolerance=F.lit(3600))
+    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, tolerance=F.lit(3600), unique_left=True)
     return out.select(*C.SERIES_KEY, "time", F.col("nearest.time").alias("point_time"), F.col("nearest.value").alias("value"))
 
 

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as C
 
-INTERVAL_PATTERN = "^[0-9]+[mhdw]$"
-
-
 def _amount_times_unit(interval: Column, units: dict[str, int], unit: Column) -> Column:
-    amount = F.regexp_extract(interval, "^([0-9]+)", 1).cast("bigint")
+    """Whole number before the last character times the seconds of that unit; NULL when either does not parse."""
+    amount = F.substr(interval, F.lit(1), F.length(interval) - 1).try_cast("bigint")
     factor = F.lit(None).cast("bigint")
     for suffix, seconds in reversed(units.items()):
         factor = F.when(unit == suffix, F.lit(seconds).cast("bigint")).otherwise(factor)
@@ -19,11 +17,9 @@ def _amount_times_unit(interval: Column, units: dict[str, int], unit: Column) ->
 
 
 def interval_seconds_or_null(interval: Column) -> Column:
-    """Seconds of an interval such as 5m or 1w (suffix is case-sensitive); NULL when it does not parse."""
-    return F.when(
-        interval.rlike(INTERVAL_PATTERN),
-        _amount_times_unit(interval, C.INTERVAL_UNIT_SECONDS, F.right(interval, F.lit(1))),
-    )
+    """Seconds of an interval such as 5m or 1w (suffix is case-sensitive); NULL when it is not a positive length."""
+    seconds = _amount_times_unit(interval, C.INTERVAL_UNIT_SECONDS, F.right(interval, F.lit(1)))
+    return F.when(seconds > 0, seconds)
 
 
 def interval_seconds(interval: Column) -> Column:
@@ -39,9 +35,7 @@ def interval_seconds(interval: Column) -> Column:
 def cadence_seconds(dataset: Column, interval: Column) -> Column:
     """How often a stream is polled; unlike interval_seconds the suffix is case-insensitive and weeks are unknown."""
     unit = F.lower(F.right(interval, F.lit(1)))
-    parsed = F.when(
-        F.lower(interval).rlike("^[0-9]+[mhd]$"), _amount_times_unit(interval, C.CADENCE_UNIT_SECONDS, unit)
-    )
+    parsed = _amount_times_unit(interval, C.CADENCE_UNIT_SECONDS, unit)
     by_interval = F.greatest(
         F.lit(C.CADENCE_FLOOR_SECONDS).cast("bigint"),
         F.coalesce(parsed, F.lit(C.CADENCE_FALLBACK_SECONDS).cast("bigint")),

@@ -190,31 +190,39 @@ def _exchange_volume(bars: DataFrame, registry: DataFrame, asset: str | None, in
     return _on_market(priced, markets)
 
 
+def _volume_points(totals: DataFrame, limit: int | None) -> DataFrame:
+    rows, most = _chart_rows(limit)
+    newest = _newest_rows(totals, SELECTION, rows, [F.col("open_time").desc()], most)
+    return newest.select(
+        *SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("value").cast("double").alias("volume")
+    )
+
+
+def _volume_parts(parts: DataFrame, limit: int | None) -> DataFrame:
+    rows, most = _chart_rows(limit)
+    return _breakdown_points(_newest_times(parts, SELECTION, rows, "open_time", most), "open_time")
+
+
+def _by_exchange(rows: DataFrame, value: str) -> DataFrame:
+    return rows.groupBy(*SELECTION, "open_time", "exchange").agg(F.sum(value).alias("value"))
+
+
+def _over_exchanges(rows: DataFrame, value: str) -> DataFrame:
+    return rows.groupBy(*SELECTION, "open_time").agg(F.sum(value).alias("value"))
+
+
 def aggregate_volume(
     bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Quote volume per bar over each asset's preferred market on every exchange; newest bars only."""
-    rows, most = _chart_rows(limit)
-    totals = (
-        _exchange_volume(bars, registry, asset, interval)
-        .groupBy(*SELECTION, "open_time")
-        .agg(F.sum("notional").alias("volume"))
-    )
-    newest = _newest_rows(totals, SELECTION, rows, [F.col("open_time").desc()], most)
-    return newest.select(*SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("volume").cast("double").alias("volume"))
+    return _volume_points(_over_exchanges(_exchange_volume(bars, registry, asset, interval), "notional"), limit)
 
 
 def volume_breakdown(
     bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """The same volume per exchange, for the newest distinct bar times."""
-    rows, most = _chart_rows(limit)
-    totals = (
-        _exchange_volume(bars, registry, asset, interval)
-        .groupBy(*SELECTION, "open_time", "exchange")
-        .agg(F.sum("notional").alias("value"))
-    )
-    return _breakdown_points(_newest_times(totals, SELECTION, rows, "open_time", most), "open_time")
+    return _volume_parts(_by_exchange(_exchange_volume(bars, registry, asset, interval), "notional"), limit)
 
 
 def _breakdown_points(rows: DataFrame, time: str) -> DataFrame:
@@ -266,7 +274,9 @@ def chart_all(
     assets = _active_markets(registry, asset).select("asset").distinct()
     reference = M.reference_market(registry, assets)
     rows = _chart_bars(_narrow(bars, bar_interval=interval), reference, SELECTION, limit)
-    totals = aggregate_volume(bars, registry, asset, interval, limit).withColumnRenamed("volume", "total")
+    # totals are rolled up from the breakdown, whose shuffle both of them read
+    parts = _by_exchange(_exchange_volume(bars, registry, asset, interval), "notional")
+    totals = _volume_points(_over_exchanges(parts, "value"), limit).withColumnRenamed("volume", "total")
     timed = rows.withColumn("time", G.epoch_seconds(F.col("open_time"))).join(totals, [*SELECTION, "time"], "left")
     own = F.col("close").cast("double") * F.col("volume").cast("double")
     prices = (
@@ -275,7 +285,7 @@ def chart_all(
         .withColumn("market_type", F.lit("aggregate"))
         .withColumn("exchange", F.lit("all"))
     )
-    breakdown = volume_breakdown(bars, registry, asset, interval, limit).withColumn("series", F.lit("volumeBreakdown"))
+    breakdown = _volume_parts(parts, limit).withColumn("series", F.lit("volumeBreakdown"))
     return prices.unionByName(breakdown, allowMissingColumns=True)
 
 
@@ -304,29 +314,29 @@ def _exchange_open_interest(history: DataFrame, registry: DataFrame, asset: str
     return _on_market(valued, _narrow(M.preferred_markets_perp(registry), asset=asset))
 
 
+def _interest_points(totals: DataFrame, limit: int) -> DataFrame:
+    newest = _newest_rows(totals, SELECTION, limit, [F.col("open_time").desc()], limit)
+    return newest.select(
+        *SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("value").cast("double").alias("value")
+    )
+
+
+def _interest_parts(parts: DataFrame, limit: int) -> DataFrame:
+    return _breakdown_points(_newest_times(parts, SELECTION, limit, "open_time", limit), "open_time")
+
+
 def aggregate_open_interest(
     history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
 ) -> DataFrame:
     """Open interest over each asset's preferred perpetuals. Exchanges without a value add contract amounts."""
-    totals = (
-        _exchange_open_interest(history, registry, asset, interval)
-        .groupBy(*SELECTION, "open_time")
-        .agg(F.sum("amount").alias("value"))
-    )
-    newest = _newest_rows(totals, SELECTION, limit, [F.col("open_time").desc()], limit)
-    return newest.select(*SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("value").cast("double").alias("value"))
+    return _interest_points(_over_exchanges(_exchange_open_interest(history, registry, asset, interval), "amount"), limit)
 
 
 def open_interest_breakdown(
     history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
 ) -> DataFrame:
     """The same open interest per exchange, for the newest distinct times."""
-    totals = (
-        _exchange_open_interest(history, registry, asset, interval)
-        .groupBy(*SELECTION, "open_time", "exchange")
-        .agg(F.sum("amount").alias("value"))
-    )
-    return _breakdown_points(_newest_times(totals, SELECTION, limit, "open_time", limit), "open_time")
+    return _interest_parts(_by_exchange(_exchange_open_interest(history, registry, asset, interval), "amount"), limit)
 
 
 # --- funding ----------------------------------------------------------------------------------
@@ -349,25 +359,33 @@ def _mean_rate() -> Column:
     return F.try_divide(F.col("rate_sum").cast("double"), F.col("prints").cast("double"))
 
 
+def _funding_points(parts: DataFrame, limit: int) -> DataFrame:
+    totals = parts.groupBy("asset", "funding_second").agg(
+        F.sum("rate_sum").alias("rate_sum"), F.sum("prints").alias("prints")
+    )
+    newest = _newest_rows(totals, ["asset"], limit, [F.col("funding_second").desc()], limit)
+    return newest.select("asset", G.epoch_seconds(F.col("funding_second")).alias("time"), _mean_rate().alias("value"))
+
+
+def _funding_parts(parts: DataFrame, limit: int) -> DataFrame:
+    newest = _newest_times(parts, ["asset"], limit, "funding_second", limit)
+    return newest.select(
+        "asset", G.epoch_seconds(F.col("funding_second")).alias("time"), "exchange", _mean_rate().alias("value")
+    )
+
+
 def aggregate_funding(
     history: DataFrame, registry: DataFrame, asset: str | None = None, limit: int = C.FUNDING_ROWS
 ) -> DataFrame:
     """Plain average of funding prints per second over each asset's preferred perpetuals."""
-    totals = (
-        _exchange_funding(history, registry, asset)
-        .groupBy("asset", "funding_second")
-        .agg(F.sum("rate_sum").alias("rate_sum"), F.sum("prints").alias("prints"))
-    )
-    newest = _newest_rows(totals, ["asset"], limit, [F.col("funding_second").desc()], limit)
-    return newest.select("asset", G.epoch_seconds(F.col("funding_second")).alias("time"), _mean_rate().alias("value"))
+    return _funding_points(_exchange_funding(history, registry, asset), limit)
 
 
 def funding_breakdown(
     history: DataFrame, registry: DataFrame, asset: str | None = None, limit: int = C.FUNDING_ROWS
 ) -> DataFrame:
     """The average print per second and exchange, for the newest distinct seconds."""
-    newest = _newest_times(_exchange_funding(history, registry, asset), ["asset"], limit, "funding_second", limit)
-    return newest.select("asset", G.epoch_seconds(F.col("funding_second")).alias("time"), "exchange", _mean_rate().alias("value"))
+    return _funding_parts(_exchange_funding(history, registry, asset), limit)
 
 
 # --- account ratios and taker volume ---------------------------------------------------------------
@@ -462,6 +480,22 @@ def _liquidation_points(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _liquidation_totals(rows: DataFrame, limit: int) -> DataFrame:
+    totals = _rolled_up(rows, [*SELECTION, "bucket_time"])
+    newest = _newest_rows(totals, SELECTION, limit, [F.col("bucket_time").desc()], limit)
+    return _liquidation_points(newest, SELECTION)
+
+
+def _liquidation_parts(parts: DataFrame, limit: int) -> DataFrame:
+    newest = _newest_times(parts, SELECTION, limit, "bucket_time", limit)
+    return _liquidation_points(newest, [*SELECTION, "exchange"])
+
+
+def _exchange_liquidations(events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str]) -> DataFrame:
+    joined = _on_market(liquidation_buckets(events, intervals), _active_markets(registry, asset))
+    return _rolled_up(joined, [*SELECTION, "bucket_time", "exchange"])
+
+
 def aggregate_liquidations(
     events: DataFrame,
     registry: DataFrame,
@@ -471,9 +505,7 @@ def aggregate_liquidations(
 ) -> DataFrame:
     """Liquidation notional per bucket over all active perpetuals of an asset (no market ranking)."""
     joined = _on_market(liquidation_buckets(events, intervals), _active_markets(registry, asset))
-    totals = _rolled_up(joined, [*SELECTION, "bucket_time"])
-    newest = _newest_rows(totals, SELECTION, limit, [F.col("bucket_time").desc()], limit)
-    return _liquidation_points(newest, SELECTION)
+    return _liquidation_totals(joined, limit)
 
 
 def liquidation_breakdown(
@@ -484,10 +516,7 @@ def liquidation_breakdown(
     limit: int = C.SERIES_ROWS,
 ) -> DataFrame:
     """The same sums per exchange, for the newest distinct buckets."""
-    joined = _on_market(liquidation_buckets(events, intervals), _active_markets(registry, asset))
-    totals = _rolled_up(joined, [*SELECTION, "bucket_time", "exchange"])
-    newest = _newest_times(totals, SELECTION, limit, "bucket_time", limit)
-    return _liquidation_points(newest, [*SELECTION, "exchange"])
+    return _liquidation_parts(_exchange_liquidations(events, registry, asset, intervals), limit)
 
 
 # --- single markets -----------------------------------------------------------------------------------
@@ -544,10 +573,6 @@ def _stacked(parts: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
-def _derived_intervals(intervals: list[str]) -> list[str]:
-    return [i for i in intervals if i != "1m"]
-
-
 def _shown_as(rows: DataFrame, intervals: list[str]) -> DataFrame:
     """Repeats a stored series for every chart interval that reads it (1m charts read the 5m series)."""
     asked = F.array(*[F.lit(i) for i in intervals])
@@ -566,19 +591,24 @@ def derivatives_all(
     intervals: list[str] = C.SELECTION_INTERVALS,
 ) -> DataFrame:
     """Every derived series of an asset across exchanges, one long table told apart by `series`."""
-    oi, ratio, flow = tables["open_interest"], tables["long_short_ratio"], tables["taker_buy_sell_volume"]
-    funding, events = tables["funding_rate"], tables["liquidation"]
+    # every total is rolled up from its breakdown, whose shuffle both of them read
+    interest = _by_exchange(_exchange_open_interest(tables["open_interest"], registry, asset, None), "amount")
+    funding = _exchange_funding(tables["funding_rate"], registry, asset)
+    forced = _exchange_liquidations(tables["liquidation"], registry, asset, intervals)
+    ratios = long_short(tables["long_short_ratio"], registry, asset).drop("symbol")
+    flows = taker(tables["taker_buy_sell_volume"], registry, asset).drop("symbol")
+    rows = C.SERIES_ROWS
     parts = {
-        "openInterest": _shown_as(aggregate_open_interest(oi, registry, asset), intervals),
-        "openInterestBreakdown": _shown_as(open_interest_breakdown(oi, registry, asset), intervals),
-        "longShortRatio": _shown_as(long_short(ratio, registry, asset).drop("symbol"), intervals),
-        "longShortRatioBreakdown": _shown_as(long_short_breakdown(ratio, registry, asset).drop("symbol"), intervals),
-        "takerBuySell": _shown_as(taker(flow, registry, asset).drop("symbol"), intervals),
-        "takerBuySellBreakdown": _shown_as(taker_breakdown(flow, registry, asset).drop("symbol"), intervals),
-        "fundingRate": _for_each_interval(aggregate_funding(funding, registry, asset), intervals),
-        "fundingRateBreakdown": _for_each_interval(funding_breakdown(funding, registry, asset), intervals),
-        "liquidations": aggregate_liquidations(events, registry, asset, intervals),
-        "liquidationBreakdown": liquidation_breakdown(events, registry, asset, intervals),
+        "openInterest": _shown_as(_interest_points(_over_exchanges(interest, "value"), rows), intervals),
+        "openInterestBreakdown": _shown_as(_interest_parts(interest, rows), intervals),
+        "longShortRatio": _shown_as(ratios, intervals),
+        "longShortRatioBreakdown": _shown_as(ratios.withColumn("exchange", F.lit("binance")), intervals),
+        "takerBuySell": _shown_as(flows, intervals),
+        "takerBuySellBreakdown": _shown_as(flows.withColumn("exchange", F.lit("binance")), intervals),
+        "fundingRate": _for_each_interval(_funding_points(funding, C.FUNDING_ROWS), intervals),
+        "fundingRateBreakdown": _for_each_interval(_funding_parts(funding, C.FUNDING_ROWS), intervals),
+        "liquidations": _liquidation_totals(forced, rows),
+        "liquidationBreakdown": _liquidation_parts(forced, rows),
     }
     return _stacked(parts)
 

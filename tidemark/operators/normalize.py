@@ -27,10 +27,16 @@ def _time(text: Column) -> Column:
     return F.timestamp_millis(_millis(text))
 
 
+def _once(rows: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Adds a parsed payload as a generated column. Filters on its fields are not moved below a generator, so the
+    JSON is parsed once per row instead of once per filter and field."""
+    return rows.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def _parsed(rows: DataFrame, fields: list[str], nested: str = "") -> DataFrame:
     """Payload fields as text under `p`; JSON numbers keep their exact digits."""
     schema = ", ".join(f"`{name}` string" for name in fields) + nested
-    return rows.withColumn("p", F.from_json("payload", schema))
+    return _once(rows, F.from_json("payload", schema), "p")
 
 
 # --- candles ---------------------------------------------------------------
@@ -38,9 +44,8 @@ def _parsed(rows: DataFrame, fields: list[str], nested: str = "") -> DataFrame:
 
 def decode_ohlcv(rows: DataFrame) -> DataFrame:
     """`[ms, open, high, low, close, volume]` payloads as typed columns; `malformed` marks rows that cannot be bars."""
-    cells = F.from_json("payload", "array<string>")
     volume_text = F.get("cells", F.lit(5))
-    typed = rows.withColumn("cells", cells).select(
+    typed = _once(rows, F.from_json("payload", "array<string>"), "cells").select(
         *C.STREAM_KEY,
         "fetch_seq",
         _time(F.get("cells", F.lit(0))).alias("open_time"),
@@ -230,25 +235,22 @@ def stream_jobs(jobs: DataFrame) -> DataFrame:
 def decode_force_orders(rows: DataFrame, jobs: DataFrame) -> DataFrame:
     """Live force-order messages (column `raw`) to liquidation events of known jobs.
 
-    The order is read as a map because its keys `s` and `S` differ only in case.
+    The order is read as a map because its keys `s` and `S` differ only in case. A `data` object wraps the message;
+    anything else under that name is ignored.
     """
-    data = F.coalesce(X.json_object(F.col("raw"), "$.data"), X.json_object(F.col("raw"), "$"))
-    order = (
-        rows.withColumn("data", data)
-        .withColumn("order_text", X.json_object(F.col("data"), "$.o"))
-        .where(F.col("order_text").isNotNull())
-        .withColumn("o", F.from_json("order_text", "map<string,string>"))
-    )
+    parsed = F.from_json("raw", "data struct<o: map<string,string>, E: string>, o map<string,string>, E string")
+    body = F.coalesce(F.col("m.data"), F.struct(F.col("m.o").alias("o"), F.col("m.E").alias("E")))
+    opened = _once(_once(rows, parsed, "m"), body, "body")
 
     def field(key: str) -> Column:
-        return F.try_element_at("o", F.lit(key))
+        return F.try_element_at("body.o", F.lit(key))
 
     def amount_of(*keys: str) -> Column:
         return X.first_non_zero(*[X.number(field(k), "decimal(38,10)") for k in keys])
 
     order_ms = _millis(field("T"))
-    event_ms = F.coalesce(F.when(order_ms != 0, order_ms), _millis(F.get_json_object("data", "$.E")))
-    decoded = order.select(
+    event_ms = F.coalesce(F.when(order_ms != 0, order_ms), _millis(F.col("body.E")))
+    decoded = opened.where(F.col("body.o").isNotNull()).select(
         *[c for c in rows.columns if c != "raw"],
         "raw",
         F.upper(field("s")).alias("native_symbol"),

@@ -20,17 +20,6 @@ from tidemark.functions import timegrid as G
 
 EXAMPLES = 20
 SPAN_BARS = 1024
-ISSUE_COLUMNS = [
-    *C.SERIES_KEY,
-    "source_dataset",
-    "issue_type",
-    "issue_start_time",
-    "issue_end_time",
-    "expected_count",
-    "actual_count",
-    "severity",
-    "detail",
-]
 
 
 def _issue(rows: DataFrame, kind: str, severity: str, expected: Column, actual: Column, detail: Column) -> DataFrame:
@@ -75,16 +64,26 @@ def flagged_bars(bars: DataFrame, kinds: list[str]) -> DataFrame:
     )
     keys = [*C.STREAM_KEY, "kind"]
     totals = flagged.groupBy(*keys).agg(
-        F.min("open_time").alias("issue_start_time"),
-        F.max("open_time").alias("issue_end_time"),
-        F.sum("weight").alias("affected"),
+        F.min("open_time").alias("first_time"),
+        F.max("open_time").alias("last_time"),
+        F.sum("weight").alias("total"),
     )
     in_order = Window.partitionBy(*keys).orderBy("open_time")
     firsts = (
         flagged.withColumn("position", F.row_number().over(in_order))
         .where(F.col("position") <= EXAMPLES)
+        .select(*keys, F.struct("open_time", "weight").alias("example"))
+    )
+    # both sides are small by now (one row, or at most 20, per stream and rule): stacked, not joined
+    found = (
+        totals.unionByName(firsts, allowMissingColumns=True)
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("open_time", "weight"))).alias("firsts"))
+        .agg(
+            F.max("first_time").alias("issue_start_time"),
+            F.max("last_time").alias("issue_end_time"),
+            F.max("total").alias("affected"),
+            F.array_sort(F.collect_list("example")).alias("firsts"),
+        )
     )
     repeated = F.flatten(
         F.transform(
@@ -94,7 +93,7 @@ def flagged_bars(bars: DataFrame, kinds: list[str]) -> DataFrame:
             ),
         )
     )
-    found = totals.join(firsts.select(*keys, F.slice(repeated, 1, EXAMPLES).alias("times")), keys)
+    found = found.withColumn("times", F.slice(repeated, 1, EXAMPLES))
     repeats = F.col("kind") == "duplicate_bar"
     severity = F.element_at(F.create_map(*[F.lit(x) for kv in FLAG_SEVERITY.items() for x in kv]), F.col("kind"))
     as_duplicates = F.struct(F.col("affected").alias("duplicate_count"), F.col("times").alias("duplicate_open_times"))
@@ -127,20 +126,21 @@ def negative_volume(bars: DataFrame) -> DataFrame:
     return flagged_bars(bars, ["negative_volume"])
 
 
-def previous_open_times(bars: DataFrame) -> DataFrame:
-    """Each bar with the open time before it in its stream.
+def previous_open_times(bars: DataFrame, plan: DataFrame) -> DataFrame:
+    """Each bar with the open time before it in its stream; the first bar of a stream gets its job's anchor.
 
     The order is taken inside spans of 1,024 intervals, so one stream spreads over many tasks. The first bar of a
     span gets the last bar of the span before it from a summary with one row per span: a stream has at most
-    (time range / span) of those, however many bars it holds.
+    (time range / span) of those, however many bars it holds. Only that summary meets the plan.
     """
     span = F.floor(F.unix_seconds("open_time") / (F.col("interval_seconds") * F.lit(SPAN_BARS)))
     keyed = bars.select(*C.STREAM_KEY, "open_time", "interval_seconds").withColumn("span", span)
     last_of_span = keyed.groupBy(*C.STREAM_KEY, "span").agg(F.max("open_time").alias("last_open"))
-    carried = last_of_span.select(
-        *C.STREAM_KEY,
-        "span",
-        F.lag("last_open").over(Window.partitionBy(*C.STREAM_KEY).orderBy("span")).alias("carried_open"),
+    before = F.lag("last_open").over(Window.partitionBy(*C.STREAM_KEY).orderBy("span"))
+    carried = (
+        last_of_span.withColumn("before", before)
+        .join(plan.select(*C.STREAM_KEY, "anchor_open_time"), C.STREAM_KEY, "left")
+        .select(*C.STREAM_KEY, "span", F.coalesce("before", "anchor_open_time").alias("carried_open"))
     )
     inside = F.lag("open_time").over(Window.partitionBy(*C.STREAM_KEY, "span").orderBy("open_time"))
     linked = keyed.withColumn("inside", inside).join(carried, [*C.STREAM_KEY, "span"])
@@ -154,18 +154,13 @@ def missing_bar(bars: DataFrame, plan: DataFrame) -> DataFrame:
 
     A step that is off the grid still reports a gap, with zero missing bars and an end before its start.
     """
-    anchored = bars.select(*C.STREAM_KEY, "open_time").withColumn(
+    timed = bars.select(*C.STREAM_KEY, "open_time").withColumn(
         "interval_seconds", G.interval_seconds(F.col("bar_interval"))
     )
-    ordered = previous_open_times(anchored)
     step = F.col("interval_seconds")
     width = F.unix_micros("open_time") - F.unix_micros("previous_open")
-    # only the first bar of a stream needs the plan, so the bars themselves are not joined with it
-    first = ordered.where(F.col("previous_open").isNull()).drop("previous_open")
-    first = first.join(plan.select(*C.STREAM_KEY, F.col("anchor_open_time").alias("previous_open")), C.STREAM_KEY)
     gaps = (
-        ordered.where(F.col("previous_open").isNotNull())
-        .unionByName(first)
+        previous_open_times(timed, plan)
         .withColumn("width", width)
         .where(F.col("width") > step * 1_000_000)
         .withColumn("missing", F.floor(F.col("width") / (step * 1_000_000)) - 1)

@@ -19,7 +19,8 @@ _guard = threading.Lock()
 
 
 def _write(rows: DataFrame, path: str, partition_by: tuple[str, ...], sort_by: tuple[str, ...]) -> None:
-    out = rows.sortWithinPartitions(*partition_by, *sort_by) if sort_by else rows
+    spread = rows.hint("rebalance", *partition_by) if partition_by else rows
+    out = spread.sortWithinPartitions(*partition_by, *sort_by) if sort_by else spread
     writer = out.write.partitionBy(*partition_by) if partition_by else out.write
     writer.parquet(path)
 

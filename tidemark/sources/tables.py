@@ -62,7 +62,8 @@ def first_per_key(rows: DataFrame, key: list[str], order: str) -> DataFrame:
 def insert_if_absent(batch: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq") -> int:
     """Appends the batch rows whose key is not stored yet and returns how many. The first writer of a key wins.
 
-    The stored side is read only for the batch's range of days. Running a batch again inserts nothing.
+    The stored side is read only for the batch's range of days. Running a batch again inserts nothing. The batch is
+    read twice (its range of days, its rows), so pass a stored or settled one.
     """
     spark = batch.sparkSession
     key, time = S.UNIQUE_KEY[table], S.TIME_COLUMN[table]
@@ -80,7 +81,7 @@ def insert_if_absent(batch: DataFrame, path: str, table: str, ingested_at: Colum
             return 0
         in_range = stored.where(F.col(DAY_COLUMN).between(F.lit(days["low"]), F.lit(days["high"])))
         fresh = fresh.join(in_range.select(*key), key, "left_anti").select(*fresh.columns)
-    return _append(fresh, path, layout)
+    return _append(fresh, path, layout, [*C.MARKET_KEY, time])
 
 
 def _typed_columns(rows: DataFrame, table: str, ingested_at: Column) -> list[Column]:
@@ -94,10 +95,15 @@ def _typed_columns(rows: DataFrame, table: str, ingested_at: Column) -> list[Col
     return cells
 
 
-def _append(rows: DataFrame, path: str, layout: list[str]) -> int:
-    """Appends rows, one writer task set per partition value, and returns the number written by the same job."""
+def _append(rows: DataFrame, path: str, layout: list[str], sort_by: list[str] = ()) -> int:
+    """Appends rows and returns the number written by the same job.
+
+    Rows are rebalanced by the partition columns, so a day is written by few tasks and a very large day by several.
+    """
     written = Observation()
-    counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    spread = rows.hint("rebalance", *layout)
+    ordered = spread.sortWithinPartitions(*layout, *sort_by)
+    counted = ordered.observe(written, F.count(F.lit(1)).alias("n"))
     counted.write.mode("append").partitionBy(*layout).parquet(path)
     return written.get["n"]
 
