@@ -681,11 +681,11 @@ EACH = "(VALUES ('5m'), ('1h')) i(bar_interval)"
 EXTRA["seen_volume"] = f"SELECT * FROM {IN_RANGE.format('volume_parts')} v"
 EXTRA["seen_interest"] = f"SELECT * FROM {IN_RANGE.format('interest_parts')} v"
 EXTRA["seen_ratio"] = f"""
-SELECT asset, bar_interval, time, 'binance' AS exchange, arg_min(value, symbol) AS value FROM {IN_RANGE.format('ratio_series')} v GROUP BY ALL"""
+SELECT asset, bar_interval, time, 'binance' AS exchange, min(value) AS value FROM {IN_RANGE.format('ratio_series')} v GROUP BY ALL"""
 EXTRA["seen_flow"] = f"""
-SELECT asset, bar_interval, time, 'binance' AS exchange, arg_min(buy_volume, symbol) AS buy_volume,
-  arg_min(sell_volume, symbol) AS sell_volume, arg_min(coalesce(buy_sell_ratio, -1), symbol) AS ratio
-FROM {IN_RANGE.format('flow_series')} v GROUP BY ALL"""
+SELECT asset, bar_interval, time, 'binance' AS exchange, first.buy_volume, first.sell_volume, coalesce(first.buy_sell_ratio, -1) AS ratio
+FROM (SELECT asset, bar_interval, time, list({{'buy_volume': buy_volume, 'sell_volume': sell_volume, 'buy_sell_ratio': buy_sell_ratio}}
+    ORDER BY buy_volume, sell_volume)[1] AS first FROM {IN_RANGE.format('flow_series')} v GROUP BY ALL) g"""
 EXTRA["seen_liquidations"] = f"SELECT * FROM {IN_RANGE.format('liquidation_parts')} v"
 EXTRA["seen_funding"] = f"SELECT * FROM {IN_RANGE.format('(SELECT * FROM funding_parts, ' + EACH + ')')} v"
 EXTRA["seen_exchanges"] = " UNION ".join(

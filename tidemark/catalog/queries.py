@@ -812,37 +812,27 @@ def oi_volume_ratio(t):
     return FA.oi_volume_ratio(_candles(t), _interest(t), C.SERIES_KEY).withColumn("value", F.round("value", 9))
 
 
-def _chart(t):
-    return D.chart_all(t.market_data_raw, t.asset_registry)
-
-
-def _chart_candles(chart):
-    return chart.where(F.col("series") == "candles").select("asset", "bar_interval", "time", "close", "volume")
-
-
-def _per_interval(rows):
-    return rows.select("*", F.explode(F.array(*[F.lit(i) for i in INTERVALS])).alias("bar_interval"))
+def _bundles(t):
+    """Chart and derivatives of every asset, settled once per query."""
+    return FA.settled_inputs(
+        D.chart_all(t.market_data_raw, t.asset_registry),
+        D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS),
+    )
 
 
 @query
 def exchange_matrix(t):
-    registry = t.asset_registry
-    breakdowns = {
-        "volume": D.volume_breakdown(t.market_data_raw, registry),
-        "open_interest": D.open_interest_breakdown(t.open_interest_history, registry),
-        "long_short": D.long_short_breakdown(t.long_short_ratio_history, registry),
-        "taker": D.taker_breakdown(t.taker_buy_sell_volume_history, registry),
-        "liquidation": D.liquidation_breakdown(t.liquidation_event, registry, intervals=INTERVALS),
-        "funding": _per_interval(D.funding_breakdown(t.funding_rate_history, registry)),
-    }
-    out = FA.exchange_matrix(_chart_candles(_chart(t)), breakdowns)
+    chart, derived = _bundles(t)
+    parts = FA.series_of(chart, derived, FA.BREAKDOWN_SERIES, [*FA.SELECTION, "exchange"])
+    out = FA.exchange_matrix(FA.candles_of(chart), parts)
     return out.withColumn("oi_volume_ratio", F.round("oi_volume_ratio", 9)).withColumn("funding", F.round("funding", 12))
 
 
 @query
 def liquidation_or_zero(t):
+    chart = settle(D.chart_all(t.market_data_raw, t.asset_registry), "chart")
     sums = D.aggregate_liquidations(t.liquidation_event, t.asset_registry, intervals=INTERVALS)
-    return FA.liquidation_or_zero(_chart_candles(_chart(t)), sums)
+    return FA.liquidation_or_zero(FA.candles_of(chart), sums)
 
 
 @query
@@ -858,25 +848,14 @@ def time_range_filter(t):
 
 @query
 def market_point(t):
-    registry, chart = t.asset_registry, _chart(t)
-    line = lambda name: chart.where(F.col("series") == name).select("asset", "bar_interval", "time", "value")
-    series = {
-        "mark": line("markPrice"),
-        "index": line("indexPrice"),
-        "open_interest": D.aggregate_open_interest(t.open_interest_history, registry),
-        "long_short": D.long_short(t.long_short_ratio_history, registry),
-        "taker": D.taker(t.taker_buy_sell_volume_history, registry),
-        "funding": _per_interval(D.aggregate_funding(t.funding_rate_history, registry)),
-        "liquidation": D.aggregate_liquidations(t.liquidation_event, registry, intervals=INTERVALS),
-    }
-    out = FA.market_point(_chart_candles(chart), series)
+    chart, derived = _bundles(t)
+    out = FA.market_point(FA.candles_of(chart), FA.series_of(chart, derived, FA.POINT_SERIES, FA.SELECTION))
     return out.withColumn("oi_volume_ratio", F.round("oi_volume_ratio", 9)).withColumn("funding", F.round("funding", 12))
 
 
 @query
 def latest_snapshot(t):
-    derived = D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS)
-    out = FA.latest_snapshot(_chart(t), derived)
+    out = FA.latest_snapshot(*_bundles(t))
     for name in ("move", "basis", "oi_volume_ratio", "funding"):
         out = out.withColumn(name, F.round(name, 12))
     return out

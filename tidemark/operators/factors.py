@@ -1,8 +1,9 @@
 """Factors on time-aligned series: ratios, per-exchange matrices, snapshots, bounds.
 
 Dashboard series are newest-N lists (at most 1,440 points per asset, interval and exchange), so aligning them needs
-no spans, and they are settled (written once, read several times) before they are aligned, so each fact table is
-scanned once. `oi_volume_ratio` also serves whole histories and takes a span.
+no spans. The operators read their series more than once: pass a chart and derivatives that were settled (written
+once, see sources/staging.py), as `settled_inputs` does, and each fact table is scanned once. `oi_volume_ratio` also
+serves whole histories and takes a span.
 """
 
 from __future__ import annotations
@@ -17,6 +18,47 @@ from tidemark.sources.staging import settle
 SELECTION = ["asset", "bar_interval"]
 
 
+def settled_inputs(chart: DataFrame, derivatives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two dashboard bundles, written once so that all factors of a refresh read the small results."""
+    return settle(chart, "chart"), settle(derivatives, "derivatives")
+
+
+BREAKDOWN_SERIES = {
+    "volume": ("volumeBreakdown", ["value"]),
+    "open_interest": ("openInterestBreakdown", ["value"]),
+    "long_short": ("longShortRatioBreakdown", ["value"]),
+    "taker": ("takerBuySellBreakdown", ["buy_volume", "sell_volume", "buy_sell_ratio"]),
+    "liquidation": ("liquidationBreakdown", ["long_value", "short_value", "total_value", "event_count"]),
+    "funding": ("fundingRateBreakdown", ["value"]),
+}
+POINT_SERIES = {
+    "mark": ("markPrice", ["value"]),
+    "index": ("indexPrice", ["value"]),
+    "open_interest": ("openInterest", ["value"]),
+    "long_short": ("longShortRatio", ["value"]),
+    "taker": ("takerBuySell", ["buy_volume", "sell_volume", "buy_sell_ratio"]),
+    "funding": ("fundingRate", ["value"]),
+    "liquidation": ("liquidations", ["long_value", "short_value", "total_value", "event_count"]),
+}
+
+
+def candles_of(chart: DataFrame, groups: list[str] = SELECTION) -> DataFrame:
+    """The candles of a chart bundle."""
+    return chart.where(F.col("series") == "candles").select(*groups, "time", "close", "volume")
+
+
+def series_of(
+    chart: DataFrame, derivatives: DataFrame, wanted: dict[str, tuple[str, list[str]]], keys: list[str]
+) -> dict[str, DataFrame]:
+    """Named series of the two bundles, cut to their keys, time and values."""
+    of_chart = {"markPrice", "indexPrice", "volumeBreakdown"}
+    out = {}
+    for name, (series, values) in wanted.items():
+        bundle = chart if series in of_chart else derivatives
+        out[name] = bundle.where(F.col("series") == series).select(*keys, "time", *values)
+    return out
+
+
 def _step(points: Column, first: Column, last: Column) -> Column:
     gaps = F.greatest(points - F.lit(1), F.lit(1)).cast("double")
     rounded = F.floor((last - first).cast("double") / gaps + F.lit(0.5))
@@ -79,9 +121,9 @@ def exchange_matrix(candles: DataFrame, breakdowns: dict[str, DataFrame], groups
     """
     keys = [*groups, "exchange"]
     names = list(breakdowns)
-    candles = settle(candles.select(*groups, "time"), "candles")
+    candles = candles.select(*groups, "time")
     steps = bar_step(candles, groups)
-    shown = settle(_visible(N.stack_points(breakdowns, keys), steps, groups), "breakdowns")
+    shown = _visible(N.stack_points(breakdowns, keys), steps, groups)
     observed = shown.groupBy(*groups).agg(F.collect_set("exchange").alias("exchanges"))
     rows = (
         candles.join(steps.select(*groups, "step_seconds"), groups)
@@ -110,7 +152,7 @@ def exchange_matrix(candles: DataFrame, breakdowns: dict[str, DataFrame], groups
 
 def liquidation_or_zero(candles: DataFrame, liquidations: DataFrame, groups: list[str] = SELECTION) -> DataFrame:
     """Per candle, the liquidation bucket within 0.45 steps; without one, a zero row at the candle's time."""
-    candles = settle(candles.select(*groups, "time"), "candles")
+    candles = candles.select(*groups, "time")
     steps = bar_step(candles, groups)
     rows = candles.join(steps.select(*groups, "step_seconds"), groups)
     points = _visible(N.stack_points({"liquidation": liquidations}, groups), steps, groups)
@@ -136,8 +178,8 @@ def market_point(candles: DataFrame, series: dict[str, DataFrame], groups: list[
     `series` maps mark, index, open_interest, long_short, taker, funding and liquidation to (groups, time, values).
     Series are cut to the visible candles first; only open interest over volume sees the whole series, then is cut.
     """
-    candles = settle(candles.select(*groups, "time", "close", "volume"), "candles")
-    points = settle(N.stack_points(series, groups), "series")
+    candles = candles.select(*groups, "time", "close", "volume")
+    points = N.stack_points(series, groups)
     steps = bar_step(candles, groups)
     interest = points.where(F.col("open_interest").isNotNull()).select(*groups, "time", "open_interest.value")
     ratio = N.stack_points({"oi_volume": oi_volume_ratio(candles, interest, groups, span_seconds=None)}, groups)
@@ -168,7 +210,6 @@ def latest_snapshot(chart: DataFrame, derivatives: DataFrame, groups: list[str]
 
     A change from a previous close of zero is NULL (a browser would show infinity).
     """
-    chart, derivatives = settle(chart, "chart"), settle(derivatives, "derivatives")
     latest = Window.partitionBy(*groups).orderBy(F.col("time").desc())
     candles = (
         chart.where(F.col("series") == "candles")
