@@ -190,19 +190,6 @@ def _exchange_volume(bars: DataFrame, registry: DataFrame, asset: str | None, in
     return _on_market(priced, markets)
 
 
-def _volume_points(totals: DataFrame, limit: int | None) -> DataFrame:
-    rows, most = _chart_rows(limit)
-    newest = _newest_rows(totals, SELECTION, rows, [F.col("open_time").desc()], most)
-    return newest.select(
-        *SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("value").cast("double").alias("volume")
-    )
-
-
-def _volume_parts(parts: DataFrame, limit: int | None) -> DataFrame:
-    rows, most = _chart_rows(limit)
-    return _breakdown_points(_newest_times(parts, SELECTION, rows, "open_time", most), "open_time")
-
-
 def _by_exchange(rows: DataFrame, value: str) -> DataFrame:
     return rows.groupBy(*SELECTION, "open_time", "exchange").agg(F.sum(value).alias("value"))
 
@@ -211,18 +198,34 @@ def _over_exchanges(rows: DataFrame, value: str) -> DataFrame:
     return rows.groupBy(*SELECTION, "open_time").agg(F.sum(value).alias("value"))
 
 
+def _newest_volume_parts(
+    bars: DataFrame, registry: DataFrame, asset: str | None, interval: str | None, limit: int | None
+) -> DataFrame:
+    rows, most = _chart_rows(limit)
+    # stated here so that a join on these keys adds no filter that would keep plans from sharing the shuffle
+    keyed = _exchange_volume(bars, registry, asset, interval).where(
+        F.col("asset").isNotNull() & F.col("bar_interval").isNotNull()
+    )
+    return _newest_times(_by_exchange(keyed, "notional"), SELECTION, rows, "open_time", most)
+
+
 def aggregate_volume(
     bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Quote volume per bar over each asset's preferred market on every exchange; newest bars only."""
-    return _volume_points(_over_exchanges(_exchange_volume(bars, registry, asset, interval), "notional"), limit)
+    rows, most = _chart_rows(limit)
+    totals = _over_exchanges(_exchange_volume(bars, registry, asset, interval), "notional")
+    newest = _newest_rows(totals, SELECTION, rows, [F.col("open_time").desc()], most)
+    return newest.select(
+        *SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("value").cast("double").alias("volume")
+    )
 
 
 def volume_breakdown(
     bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """The same volume per exchange, for the newest distinct bar times."""
-    return _volume_parts(_by_exchange(_exchange_volume(bars, registry, asset, interval), "notional"), limit)
+    return _breakdown_points(_newest_volume_parts(bars, registry, asset, interval, limit), "open_time")
 
 
 def _breakdown_points(rows: DataFrame, time: str) -> DataFrame:
@@ -242,6 +245,7 @@ def _chart_bars(bars: DataFrame, markets: DataFrame, groups: list[str], limit: i
     return _newest_rows(priced, [*groups, "source_dataset"], rows, [F.col("open_time").desc()], most)
 
 
+PRICES = ["open", "high", "low", "close", "volume"]
 SERIES_OF_DATASET = {"kline": "candles", "mark_price_kline": "markPrice", "index_price_kline": "indexPrice"}
 
 
@@ -274,18 +278,30 @@ def chart_all(
     assets = _active_markets(registry, asset).select("asset").distinct()
     reference = M.reference_market(registry, assets)
     rows = _chart_bars(_narrow(bars, bar_interval=interval), reference, SELECTION, limit)
-    # totals are rolled up from the breakdown, whose shuffle both of them read
-    parts = _by_exchange(_exchange_volume(bars, registry, asset, interval), "notional")
-    totals = _volume_points(_over_exchanges(parts, "value"), limit).withColumnRenamed("volume", "total")
-    timed = rows.withColumn("time", G.epoch_seconds(F.col("open_time"))).join(totals, [*SELECTION, "time"], "left")
-    own = F.col("close").cast("double") * F.col("volume").cast("double")
-    prices = (
-        _price_points(timed, SELECTION, F.coalesce("total", own))
+    priced = rows.select(
+        *SELECTION, "source_dataset", G.epoch_seconds(F.col("open_time")).alias("time"), *PRICES, F.lit(1).alias("has_bar")
+    )
+    # the newest times of the breakdown are the newest times of the totals, so both come from one ranked set
+    newest = _newest_volume_parts(bars, registry, asset, interval, limit)
+    totals = _over_exchanges(newest, "value").select(
+        *SELECTION,
+        F.lit("kline").alias("source_dataset"),
+        G.epoch_seconds(F.col("open_time")).alias("time"),
+        F.col("value").cast("double").alias("total"),
+    )
+    # one row per bar either way: stacked and grouped, which leaves the shared scan free of join filters
+    timed = (
+        priced.unionByName(totals, allowMissingColumns=True)
+        .groupBy(*SELECTION, "source_dataset", "time")
+        .agg(*[F.max(c).alias(c) for c in (*PRICES, "total", "has_bar")])
+        .where(F.col("has_bar") == 1)
+        .withColumn("exchange", F.lit("all"))
         .withColumn("symbol", F.concat("asset", F.lit("/ALL")))
         .withColumn("market_type", F.lit("aggregate"))
-        .withColumn("exchange", F.lit("all"))
     )
-    breakdown = _volume_parts(parts, limit).withColumn("series", F.lit("volumeBreakdown"))
+    own = F.col("close").cast("double") * F.col("volume").cast("double")
+    prices = _price_points(timed, SELECTION, F.coalesce("total", own))
+    breakdown = _breakdown_points(newest, "open_time").withColumn("series", F.lit("volumeBreakdown"))
     return prices.unionByName(breakdown, allowMissingColumns=True)
 
 
