@@ -456,7 +456,7 @@ def _batch_bars(t):
 
 def _batch_report(t):
     decoded = N.decode_ohlcv(t.landed_ohlcv)
-    good = settle(N.collapse_bars(decoded.where(~F.col("malformed"))), "good_bars")
+    good = t.settled("good_bars", lambda: N.collapse_bars(decoded.where(~F.col("malformed"))))
     bars = N.bars_of(good)
     stored = t.market_data_raw.where(F.col("open_time") < G.as_timestamp("2024-01-10 00:00:00"))
     inserted = bars.join(stored.select(*C.STREAM_KEY, "open_time"), [*C.STREAM_KEY, "open_time"], "left_anti")

@@ -33,9 +33,9 @@ def open_interest_number() -> Column:
     )
 
 
-def side_notional(sides: list[str]) -> Column:
-    """Notional of liquidations on one side; a NULL or unknown side counts as zero."""
-    return F.when(F.lower("side").isin(sides), liquidation_notional()).otherwise(F.lit(0).cast(NOTIONAL))
+def notional_of_sides(sides: list[str]) -> Column:
+    """`notional` of events on the given sides (lower case); a NULL or unknown side counts as zero."""
+    return F.when(F.col("side").isin(sides), F.col("notional")).otherwise(F.lit(0).cast(NOTIONAL))
 
 
 def rank_of(rules: list[tuple]) -> Column:

@@ -460,27 +460,35 @@ def taker_breakdown(
 LIQUIDATION_SUMS = ["long_value", "short_value", "total_value", "event_count"]
 
 
+def sized_liquidations(events: DataFrame) -> DataFrame:
+    """Liquidations of perpetuals as (market, time, side in lower case, notional), each computed once per event."""
+    return events.where(F.col("market_type") == "perpetual").select(
+        *C.MARKET_KEY,
+        F.col("liquidation_time").cast("timestamp").alias("liquidation_time"),
+        F.lower("side").alias("side"),
+        V.liquidation_notional().alias("notional"),
+    )
+
+
 def liquidation_sums() -> list[Column]:
     """Long, short and total notional and event count; unknown sides count in total and count only."""
     return [
-        F.sum(V.side_notional(C.LONG_SIDES)).alias("long_value"),
-        F.sum(V.side_notional(C.SHORT_SIDES)).alias("short_value"),
-        F.sum(V.liquidation_notional()).alias("total_value"),
+        F.sum(V.notional_of_sides(C.LONG_SIDES)).alias("long_value"),
+        F.sum(V.notional_of_sides(C.SHORT_SIDES)).alias("short_value"),
+        F.sum("notional").alias("total_value"),
         F.count(F.lit(1)).alias("event_count"),
     ]
 
 
 def liquidation_buckets(events: DataFrame, intervals: list[str]) -> DataFrame:
-    """Sums per market, interval and bucket: one pass over the events for all intervals."""
-    at = F.col("liquidation_time").cast("timestamp")
-    interval = F.explode(F.array(*[F.lit(i) for i in intervals]))
-    return (
-        events.where(F.col("market_type") == "perpetual")
-        .select("*", interval.alias("bar_interval"))
-        .withColumn("bucket_time", G.liquidation_bucket(at, F.col("bar_interval")))
-        .groupBy(*C.SERIES_KEY, "bucket_time")
-        .agg(*liquidation_sums())
+    """Sums per market, interval and bucket. Events are summed per minute first; wider buckets add up minutes."""
+    minute = G.grid_floor(F.col("liquidation_time"), F.lit(60).cast("bigint"))
+    minutes = (
+        sized_liquidations(events).groupBy(*C.MARKET_KEY, minute.alias("minute")).agg(*liquidation_sums())
     )
+    shown = minutes.select("*", F.explode(F.array(*[F.lit(i) for i in intervals])).alias("bar_interval"))
+    bucket = G.liquidation_bucket(F.col("minute"), F.col("bar_interval"))
+    return _rolled_up(shown.withColumn("bucket_time", bucket), [*C.SERIES_KEY, "bucket_time"])
 
 
 def _rolled_up(buckets: DataFrame, keys: list[str]) -> DataFrame:

@@ -35,6 +35,12 @@ def settle(rows: DataFrame, name: str, partition_by: tuple[str, ...] = (), sort_
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system of its path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def source_version(spark: SparkSession, path: str) -> tuple:
     """Path, time and size of a source file or folder; changes when the data is replaced."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -51,12 +57,15 @@ def settle_once(
     partition_by: tuple[str, ...] = (),
     sort_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One staged table per application, source version and name; `build()` runs for the first request only."""
+    """One staged table per application, source version and name.
+
+    `build()` runs for the first request, and again only if the shared folder has been cleared since.
+    """
     key = (spark.sparkContext.applicationId, *version, name)
     with _guard:
         lock = _locks.setdefault(key, threading.Lock())
     with lock:
-        if key not in _stored:
+        if key not in _stored or not path_exists(spark, _stored[key][0]):
             rows, path = build(), scratch_path(spark, name)
             _write(rows, path, partition_by, sort_by)
             _stored[key] = (path, rows.schema)

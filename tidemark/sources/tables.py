@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark import constants as C
 from tidemark import schemas as S
+from tidemark.sources.staging import path_exists
 
 DAY_COLUMN = "day"
 
@@ -34,10 +35,7 @@ def read_table(spark: SparkSession, source: str, schema: T.StructType | str | No
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    return read_table(spark, path, schema)
+    return read_table(spark, path, schema) if path_exists(spark, path) else None
 
 
 def conform(rows: DataFrame, table: str) -> DataFrame:

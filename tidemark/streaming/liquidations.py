@@ -113,8 +113,7 @@ def streaming_buckets(events: DataFrame, interval: str = "1h", late_limit: str =
     exact sums over everything stored come from the batch query."""
     width = {"1m": "1 minute", "5m": "5 minutes"}.get(interval, "1 hour")
     return (
-        events.where(F.col("market_type") == "perpetual")
-        .withColumn("liquidation_time", F.col("liquidation_time").cast("timestamp"))
+        D.sized_liquidations(events)
         .withWatermark("liquidation_time", late_limit)
         .groupBy(*C.MARKET_KEY, F.window("liquidation_time", width).alias("w"))
         .agg(*D.liquidation_sums())
