@@ -443,10 +443,13 @@ def due_streams(t):
 
 def quality_plan(t):
     """Requests planned when the newest stored bar lay four intervals before the batch (settled, as a run keeps it)."""
-    step = G.interval_seconds_or_null(F.col("bar_interval"))
-    before = G.shift_seconds(F.col("first_open_time"), -step * 4)
-    marked = _bar_marks(t).withColumn("last_open_time", before)
-    return t.settled("quality_plan", lambda: P.plan_skip(P.plan_bar_requests(marked, now())))
+
+    def planned():
+        step = G.interval_seconds_or_null(F.col("bar_interval"))
+        before = G.shift_seconds(F.col("first_open_time"), -step * 4)
+        return P.plan_skip(P.plan_bar_requests(_bar_marks(t).withColumn("last_open_time", before), now()))
+
+    return t.settled("quality_plan", planned)
 
 
 def _batch_bars(t):

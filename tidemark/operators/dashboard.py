@@ -625,16 +625,23 @@ def derivatives_all(
     parts = {
         "openInterest": _shown_as(_interest_points(_over_exchanges(interest, "value"), rows), intervals),
         "openInterestBreakdown": _shown_as(_interest_parts(interest, rows), intervals),
-        "longShortRatio": _shown_as(ratios, intervals),
-        "longShortRatioBreakdown": _shown_as(ratios.withColumn("exchange", F.lit("binance")), intervals),
-        "takerBuySell": _shown_as(flows, intervals),
-        "takerBuySellBreakdown": _shown_as(flows.withColumn("exchange", F.lit("binance")), intervals),
         "fundingRate": _for_each_interval(_funding_points(funding, C.FUNDING_ROWS), intervals),
         "fundingRateBreakdown": _for_each_interval(_funding_parts(funding, C.FUNDING_ROWS), intervals),
         "liquidations": _liquidation_totals(forced, rows),
         "liquidationBreakdown": _liquidation_parts(forced, rows),
     }
-    return _stacked(parts)
+    # series from one exchange are their own breakdown: the same rows under both names
+    twice = [
+        _twice(_shown_as(ratios, intervals), "longShortRatio"),
+        _twice(_shown_as(flows, intervals), "takerBuySell"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_stacked(parts), *twice])
+
+
+def _twice(rows: DataFrame, name: str) -> DataFrame:
+    total = F.struct(F.lit(name).alias("series"), F.lit(None).cast("string").alias("exchange"))
+    part = F.struct(F.lit(f"{name}Breakdown").alias("series"), F.lit("binance").alias("exchange"))
+    return rows.select("*", F.inline(F.array(total, part)))
 
 
 def derivatives_single(tables: dict[str, DataFrame], registry: DataFrame, selections: DataFrame) -> DataFrame:

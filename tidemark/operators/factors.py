@@ -19,8 +19,15 @@ SELECTION = ["asset", "bar_interval"]
 
 
 def settled_inputs(chart: DataFrame, derivatives: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two dashboard bundles, written once so that all factors of a refresh read the small results."""
-    return settle(chart, "chart"), settle(derivatives, "derivatives")
+    """The two dashboard bundles, written once and in one job, so that all factors of a refresh read small results."""
+    both = chart.withColumn("bundle", F.lit("chart")).unionByName(
+        derivatives.withColumn("bundle", F.lit("derivatives")), allowMissingColumns=True
+    )
+    stored = settle(both, "bundles")
+    return (
+        stored.where(F.col("bundle") == "chart").select(*chart.columns),
+        stored.where(F.col("bundle") == "derivatives").select(*derivatives.columns),
+    )
 
 
 BREAKDOWN_SERIES = {
