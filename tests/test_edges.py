@@ -6,7 +6,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import constants as C
 from tidemark.functions import text as X
 from tidemark.functions import timegrid as G
 from tidemark.operators import dashboard as D

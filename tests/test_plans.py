@@ -11,7 +11,7 @@ QUERIES = contract.queries()
 GLOBAL_TOTALS = {"stream_totals"}
 # queries whose building starts streams or table writes are covered by their own tests
 EAGER = {n for n in QUERIES if n.startswith(("append_", "upsert_"))} | {
-    "run_log", "liquidation_stream", "flush_summary", "stream_bounds", "stream_totals", "streaming_liquidation_buckets",
+    "run_log", "ingest_run", "liquidation_stream", "flush_summary", "stream_bounds", "stream_totals", "streaming_liquidation_buckets",
 }
 
 

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import constants as C
 from tidemark.functions import timegrid as G
 from tidemark.operators import dashboard as D
 from tidemark.session import scratch_path

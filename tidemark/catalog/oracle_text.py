@@ -332,7 +332,7 @@ FROM events, (VALUES ('5m', 300000), ('1h', 3600000), ('1w', 604800000)) i(bar_i
 SQL["interval_seconds"] = f"SELECT bar_interval, count(*) AS jobs, {interval_case('bar_interval')} AS seconds FROM job_config GROUP BY bar_interval"
 
 
-def bar_plan(now: str, last_open: str) -> str:
+def bar_plan(now: str, last_open: str, marks: str = "bar_marks") -> str:
     step = interval_case("bar_interval")
     # the closed bar: floor of now on the grid, minus one bar
     closed = f"make_timestamp(((epoch_ms({now}) // (step * 1000)) * step - step) * 1000000)"
@@ -348,7 +348,7 @@ SELECT *,
 FROM (SELECT *, {last_open} AS newest_open,
     CASE WHEN fetch_mode = 'backfill' AND start_time IS NULL
          THEN 'Job ''' || job_name || ''' is in backfill mode but start_time is empty.' END AS error_message
-  FROM (SELECT *, {step} AS step FROM bar_marks) a) b) c"""
+  FROM (SELECT *, {step} AS step FROM {marks}) a) b) c"""
 
 
 EXTRA["bar_plan"] = bar_plan(NOW, "last_open_time")
@@ -417,30 +417,30 @@ FROM {rows} WHERE {condition} GROUP BY {STREAM}"""
 INVALID = "high < low OR open < low OR open > high OR close < low OR close > high"
 
 
-def gap_issue(rows: str) -> str:
+def gap_issue(rows: str, plan: str = "quality_plan") -> str:
     return f"""
 SELECT {ISSUE.format(kind='missing_bar', start='epoch_ms(gap_from)', end='epoch_ms(gap_to)', expected='missing', actual='CAST(0 AS BIGINT)', severity='warning',
     detail=f"CAST(to_json({{'gap_from': {iso('gap_from')}, 'gap_to': {iso('gap_to')}, 'missing_count': missing}}) AS VARCHAR)")}
 FROM (SELECT *, {plus('before', 'step')} AS gap_from, {plus('open_time', '-step')} AS gap_to,
     (epoch_ms(open_time) - epoch_ms(before)) // (step * 1000) - 1 AS missing
   FROM (SELECT b.*, q.step, coalesce(lag(b.open_time) OVER (PARTITION BY {', '.join('b.' + c for c in STREAM.split(', '))} ORDER BY b.open_time), q.anchor_open_time) AS before
-    FROM {rows} b JOIN quality_plan q USING ({STREAM})) g
+    FROM {rows} b JOIN {plan} q USING ({STREAM})) g
   WHERE epoch_ms(open_time) - epoch_ms(before) > step * 1000) h"""
 
 
-def late_issue(rows: str) -> str:
+def late_issue(rows: str, plan: str = "quality_plan") -> str:
     return f"""
 SELECT {ISSUE.format(kind='late_data', start='epoch_ms(latest)', end='epoch_ms(target_last_open_time)', expected='CAST(1 AS BIGINT)', actual='CAST(0 AS BIGINT)', severity='warning',
     detail=f"CAST(to_json({{'latest_observed_open_time': {iso('latest')}, 'expected_latest_open_time': {iso('target_last_open_time')}, 'lag_seconds': lag_ms // 1000}}) AS VARCHAR)")}
 FROM (SELECT *, epoch_ms(target_last_open_time) - epoch_ms(latest) AS lag_ms FROM (
   SELECT q.*, coalesce(n.newest, q.anchor_open_time) AS latest
-  FROM quality_plan q LEFT JOIN (SELECT {STREAM}, max(open_time) AS newest FROM {rows} GROUP BY {STREAM}) n USING ({STREAM})
+  FROM {plan} q LEFT JOIN (SELECT {STREAM}, max(open_time) AS newest FROM {rows} GROUP BY {STREAM}) n USING ({STREAM})
   WHERE q.fetch_mode = 'incremental') l) m WHERE lag_ms > step * 2000"""
 
 
-def all_issues(raw: str, bars: str) -> str:
+def all_issues(raw: str, bars: str, plan: str = "quality_plan") -> str:
     return " UNION ALL ".join(
-        [duplicate_issue(raw), affected_issue(bars, "invalid_ohlc", INVALID), affected_issue(bars, "negative_volume", "volume < 0"), gap_issue(bars), late_issue(bars)]
+        [duplicate_issue(raw), affected_issue(bars, "invalid_ohlc", INVALID), affected_issue(bars, "negative_volume", "volume < 0"), gap_issue(bars, plan), late_issue(bars, plan)]
     )
 
 
@@ -478,6 +478,32 @@ SQL["batch_run_report"] = "SELECT * FROM run_report"
 SQL["run_log"] = f"""
 SELECT * EXCLUDE (source_dataset, issue_count), source_dataset AS dataset, {ms(NOW, 'started_at')}, {ms(NOW, 'ended_at')} FROM run_report"""
 
+# a first run into an empty lake
+EXTRA["empty_marks"] = """
+SELECT *, CAST(NULL AS TIMESTAMP) AS first_open_time, CAST(NULL AS TIMESTAMP) AS last_open_time FROM job_config
+WHERE is_active AND source_dataset IN ('kline', 'mark_price_kline', 'index_price_kline')"""
+EXTRA["first_plan"] = bar_plan(NOW, "last_open_time", "empty_marks")
+EXTRA["first_rows"] = f"""
+SELECT r.* FROM raw_good r JOIN first_plan p USING ({STREAM})
+WHERE p.error_message IS NULL AND NOT p.is_empty AND r.open_time <= p.target_last_open_time"""
+EXTRA["first_broken"] = f"SELECT DISTINCT {STREAM} FROM first_rows WHERE malformed"
+EXTRA["first_good"] = f"SELECT r.* FROM first_rows r ANTI JOIN first_broken USING ({STREAM})"
+EXTRA["first_bars"] = f"""
+SELECT * FROM first_good QUALIFY row_number() OVER (PARTITION BY {STREAM}, open_time ORDER BY fetch_seq DESC) = 1"""
+EXTRA["first_checked"] = f"SELECT p.* FROM first_plan p ANTI JOIN first_broken USING ({STREAM}) WHERE p.error_message IS NULL AND NOT p.is_empty"
+EXTRA["first_issues"] = all_issues("first_good", "first_bars", "first_checked")
+SQL["ingest_run"] = f"""
+SELECT p.job_name, {', '.join('p.' + c for c in STREAM.split(', '))}, {ms('p.request_start', 'request_start')}, {ms(PLAN_END, 'request_end')},
+  CASE WHEN {PLAN_STATUS} <> 'running' THEN {PLAN_STATUS} WHEN coalesce(n_rejected, 0) > 0 THEN 'failed'
+       WHEN coalesce(severe, FALSE) THEN 'partial_success' ELSE 'success' END AS status,
+  CASE WHEN coalesce(n_rejected, 0) = 0 THEN coalesce(n_fetched, 0) ELSE 0 END AS rows_fetched, coalesce(n_inserted, 0) AS rows_inserted,
+  CAST(0 AS BIGINT) AS rows_updated, coalesce(n_issues, 0) AS issue_count,
+  coalesce(error_message, CASE WHEN n_rejected > 0 THEN 'malformed rows in the payload' END) AS error_message
+FROM first_plan p
+LEFT JOIN (SELECT {STREAM}, count(*) AS n_fetched, count(*) FILTER (WHERE malformed) AS n_rejected FROM first_rows GROUP BY {STREAM}) f USING ({STREAM})
+LEFT JOIN (SELECT {STREAM}, count(*) AS n_inserted FROM first_bars GROUP BY {STREAM}) i USING ({STREAM})
+LEFT JOIN (SELECT {STREAM}, count(*) AS n_issues, bool_or(severity = 'error') AS severe FROM first_issues GROUP BY {STREAM}) x USING ({STREAM})"""
+
 # --- markets and seeding -------------------------------------------------------------------------------------
 
 SQL["market_type_match"] = f"""

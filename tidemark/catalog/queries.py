@@ -23,6 +23,7 @@ from tidemark.operators import nearest as NJ
 from tidemark.operators import normalize as N
 from tidemark.operators import quality as Q
 from tidemark.operators import seeding as SE
+from tidemark.plans import ingest as I
 from tidemark.plans import requests as P
 from tidemark.session import scratch_path
 from tidemark.sources import tables as TB
@@ -472,6 +473,13 @@ def batch_run_report(t):
     return _batch_report(t)
 
 
+@query
+def ingest_run(t):
+    """A first run of all active candle jobs into an empty lake: plan, clip, last row wins, check, store, report."""
+    lake = I.Lake(t.spark, scratch_path(t.spark, "lake"))
+    return I.run_candles(lake, t.jobs.where(F.col("is_active")), t.landed_ohlcv, now(), F.lit("run"))
+
+
 # --- quality ---------------------------------------------------------------------------------------
 
 

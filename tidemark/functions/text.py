@@ -59,9 +59,3 @@ def number(text: Column, sql_type: str) -> Column:
 def first_non_zero(*values: Column) -> Column:
     """First value that is neither NULL nor zero."""
     return F.coalesce(*[F.when(value != 0, value) for value in values])
-
-
-def json_object(raw: Column, path: str) -> Column:
-    """JSON text at a path if it is an object, else NULL."""
-    found = F.get_json_object(raw, path)
-    return F.when(F.ltrim(found).startswith("{"), found)

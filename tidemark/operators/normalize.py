@@ -98,12 +98,15 @@ def normalize_ohlcv(rows: DataFrame) -> DataFrame:
 
 
 def clip_pages(rows: DataFrame, plan: DataFrame, time_column: str) -> DataFrame:
-    """Rows inside the requested range of their stream; the plan says which ends apply to which dataset."""
+    """Rows inside the requested range of their stream; the plan says which ends apply to which dataset.
+
+    Rows without a time are kept: whether that is an error is for the dataset's own rules to say.
+    """
     bounds = plan.select(*C.STREAM_KEY, "since_ms", "until_ms", "clip_lower", "clip_upper")
     at = F.unix_millis(time_column)
     below = ~F.col("clip_upper") | (at <= F.col("until_ms"))
     above = ~F.col("clip_lower") | F.col("since_ms").isNull() | (at >= F.col("since_ms"))
-    return rows.join(bounds, C.STREAM_KEY).where(below & above).select(*rows.columns)
+    return rows.join(bounds, C.STREAM_KEY).where(at.isNull() | (below & above)).select(*rows.columns)
 
 
 # --- derived series ------------------------------------------------------------

@@ -14,10 +14,6 @@ from tidemark.functions import timegrid as G
 MARKS = ["first_open_time", "last_open_time", "last_close_time", "row_count", "last_ingested_at"]
 
 
-def _null_ts() -> Column:
-    return F.lit(None).cast("timestamp")
-
-
 # --- high-water marks ------------------------------------------------------------
 
 

@@ -225,7 +225,12 @@ class MarketTables:
 
     @cached_property
     def taker_buy_sell_volume_history(self) -> DataFrame:
-        return self._stored("taker_buy_sell_volume_history", self._derive_taker_buy_sell_volume_history, LAYOUT["taker_buy_sell_volume_history"], [*C.MARKET_KEY, "open_time"])
+        return self._stored(
+            "taker_buy_sell_volume_history",
+            self._derive_taker_buy_sell_volume_history,
+            LAYOUT["taker_buy_sell_volume_history"],
+            [*C.MARKET_KEY, "open_time"],
+        )
 
     def _derive_taker_buy_sell_volume_history(self) -> DataFrame:
         ratio = F.try_divide(F.col("buy_volume").cast("double"), F.col("sell_volume").cast("double"))

@@ -57,29 +57,38 @@ def first_per_key(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.min_by(F.struct(*values), order).alias("v")).select(*key, "v.*")
 
 
-def insert_if_absent(batch: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq") -> int:
-    """Appends the batch rows whose key is not stored yet and returns how many. The first writer of a key wins.
+def absent_rows(batch: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq") -> DataFrame:
+    """The batch rows to store: the first row of each key, minus keys stored already.
 
-    The stored side is read only for the batch's range of days. Running a batch again inserts nothing. The batch is
-    read twice (its range of days, its rows), so pass a stored or settled one.
+    The stored side is read only for the batch's range of days. The batch is read twice (its range of days, its
+    rows), so pass a stored or settled one.
     """
-    spark = batch.sparkSession
     key, time = S.UNIQUE_KEY[table], S.TIME_COLUMN[table]
-    layout = [*S.LAYOUT[table], DAY_COLUMN]
     ordered = batch if order in batch.columns else batch.withColumn(order, F.lit(0))
     typed = ordered.select(*_typed_columns(ordered, table, ingested_at), F.col(order).alias("_order"))
     fresh = first_per_key(typed, key, "_order").select(*S.schema_of(table).fieldNames())
     fresh = fresh.withColumn(DAY_COLUMN, F.to_date(time))
 
     schema = T.StructType([*S.schema_of(table).fields, T.StructField(DAY_COLUMN, T.DateType())])
-    stored = _read_or_none(spark, path, schema)
-    if stored is not None:
-        days = batch.agg(F.min(F.to_date(time)).alias("low"), F.max(F.to_date(time)).alias("high")).first()
-        if days["low"] is None:
-            return 0
-        in_range = stored.where(F.col(DAY_COLUMN).between(F.lit(days["low"]), F.lit(days["high"])))
-        fresh = fresh.join(in_range.select(*key), key, "left_anti").select(*fresh.columns)
-    return _append(fresh, path, layout, [*C.MARKET_KEY, time])
+    stored = _read_or_none(batch.sparkSession, path, schema)
+    if stored is None:
+        return fresh
+    days = batch.agg(F.min(F.to_date(time)).alias("low"), F.max(F.to_date(time)).alias("high")).first()
+    in_range = stored.where(F.col(DAY_COLUMN).between(F.lit(days["low"]), F.lit(days["high"])))
+    return fresh.join(in_range.select(*key), key, "left_anti").select(*fresh.columns)
+
+
+def append_rows(fresh: DataFrame, path: str, table: str) -> int:
+    """Appends rows from `absent_rows` in the table's layout and returns how many."""
+    return _append(fresh, path, [*S.LAYOUT[table], DAY_COLUMN], [*C.MARKET_KEY, S.TIME_COLUMN[table]])
+
+
+def insert_if_absent(batch: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq") -> int:
+    """Appends the batch rows whose key is not stored yet and returns how many. The first writer of a key wins.
+
+    Running a batch again inserts nothing.
+    """
+    return append_rows(absent_rows(batch, path, table, ingested_at, order), path, table)
 
 
 def _typed_columns(rows: DataFrame, table: str, ingested_at: Column) -> list[Column]:

@@ -6,13 +6,11 @@ executor or driver replaces its rows instead of doubling them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import constants as C
-from tidemark import schemas as S
-from tidemark.functions import timegrid as G
 from tidemark.operators import dashboard as D
 from tidemark.operators import normalize as N
 
@@ -78,8 +76,6 @@ def start_liquidation_stream(
         # kept on disk as well as in memory: read once for the events, once for the summary
         batch.persist()
         try:
-            if batch.isEmpty():
-                return
             try:
                 _overwrite_batch(batch, events_path, batch_id)
             except Exception as error:
@@ -95,8 +91,7 @@ def start_liquidation_stream(
 
 def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """All flushed batches of a sink, with their batch_id."""
-    reader = spark.read.option("basePath", path)
-    return (reader if schema is None else reader.schema(schema)).parquet(f"{path}/batch_id=*")
+    return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
 
 
 def stream_totals(log: DataFrame) -> DataFrame:
