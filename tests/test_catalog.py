@@ -65,3 +65,25 @@ def test_breakdown_rolls_up_to_the_total(tables):
     joined = total.join(summed, ["asset", "bar_interval", "time"], "full")
     assert joined.where(F.abs(F.col("value") - F.col("summed")) > 1e-6).count() == 0
     assert joined.where(F.col("value").isNull() | F.col("summed").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("asset", ["BTC", "NONE"])
+def test_one_asset_equals_its_share_of_all(tables, asset):
+    from tidemark.operators import dashboard as D
+
+    t, r = tables, tables.asset_registry
+    calls = {
+        "volume": lambda a: D.volume_breakdown(t.market_data_raw, r, a),
+        "chart": lambda a: D.chart_all(t.market_data_raw, r, a),
+        "interest": lambda a: D.aggregate_open_interest(t.open_interest_history, r, a),
+        "funding": lambda a: D.funding_breakdown(t.funding_rate_history, r, a),
+        "ratio": lambda a: D.long_short(t.long_short_ratio_history, r, a),
+        "flow": lambda a: D.taker(t.taker_buy_sell_volume_history, r, a),
+        "forced": lambda a: D.liquidation_breakdown(t.liquidation_event, r, a),
+        "derived": lambda a: D.derivatives_all(t.derivative_tables, r, a),
+    }
+    for name, call in calls.items():
+        alone = sorted(map(str, call(asset).collect()))
+        share = sorted(map(str, call(None).where(f"asset = '{asset}'").collect()))
+        assert alone == share, name
+        assert bool(alone) == (asset == "BTC"), name

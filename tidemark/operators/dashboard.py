@@ -21,6 +21,7 @@ from tidemark.functions import values as V
 from tidemark.operators import markets as M
 
 SELECTION = ["asset", "bar_interval"]
+PUSHED_SYMBOLS = 100
 
 
 # --- shared pieces ---------------------------------------------------------------
@@ -61,8 +62,19 @@ def _chart_rows(limit: int | None) -> tuple[Column | int, int]:
     return G.chart_limit(F.col("bar_interval")), max(*C.CHART_ROWS.values(), C.CHART_ROWS_OTHER)
 
 
-def _on_market(rows: DataFrame, markets: DataFrame) -> DataFrame:
-    return rows.join(markets.select(*C.MARKET_KEY, "asset"), C.MARKET_KEY)
+def _on_market(rows: DataFrame, markets: DataFrame, asset: str | None = None) -> DataFrame:
+    """Rows of the given markets with their asset. For one asset the few symbols also become a scan filter."""
+    keyed = markets.select(*C.MARKET_KEY, "asset")
+    return (rows if asset is None else _of_symbols(rows, keyed)).join(keyed, C.MARKET_KEY)
+
+
+def _of_symbols(rows: DataFrame, markets: DataFrame) -> DataFrame:
+    """Rows of the markets' symbols, as a literal filter: files are sorted by market, so other row groups are skipped.
+
+    The registry is asked for at most a few names; with more than that the join alone does the work.
+    """
+    names = [r["symbol"] for r in markets.select("symbol").distinct().limit(PUSHED_SYMBOLS + 1).collect()]
+    return rows if len(names) > PUSHED_SYMBOLS else rows.where(F.col("symbol").isin(names))
 
 
 def _active_markets(registry: DataFrame, asset: str | None) -> DataFrame:
@@ -187,7 +199,7 @@ def _exchange_volume(bars: DataFrame, registry: DataFrame, asset: str | None, in
     candles = _narrow(bars.where(F.col("source_dataset") == "kline"), bar_interval=interval)
     priced = candles.select(*C.SERIES_KEY, "open_time", V.bar_notional().alias("notional"))
     markets = _narrow(M.preferred_markets_any(registry), asset=asset)
-    return _on_market(priced, markets)
+    return _on_market(priced, markets, asset)
 
 
 def _by_exchange(rows: DataFrame, value: str) -> DataFrame:
@@ -234,11 +246,14 @@ def _breakdown_points(rows: DataFrame, time: str) -> DataFrame:
     )
 
 
-def _chart_bars(bars: DataFrame, markets: DataFrame, groups: list[str], limit: int | None) -> DataFrame:
+def _chart_bars(
+    bars: DataFrame, markets: DataFrame, groups: list[str], limit: int | None, asset: str | None
+) -> DataFrame:
     """Newest bars of the three price datasets for chosen markets; mark and index only for perpetuals."""
     rows, most = _chart_rows(limit)
     priced = (
-        bars.where(F.col("source_dataset").isin(C.OHLCV_DATASETS))
+        (bars if asset is None else _of_symbols(bars, markets))
+        .where(F.col("source_dataset").isin(C.OHLCV_DATASETS))
         .join(markets, C.MARKET_KEY)
         .where((F.col("source_dataset") == "kline") | (F.col("market_type") == "perpetual"))
     )
@@ -277,7 +292,7 @@ def chart_all(
     """
     assets = _active_markets(registry, asset).select("asset").distinct()
     reference = M.reference_market(registry, assets)
-    rows = _chart_bars(_narrow(bars, bar_interval=interval), reference, SELECTION, limit)
+    rows = _chart_bars(_narrow(bars, bar_interval=interval), reference, SELECTION, limit, asset)
     priced = rows.select(
         *SELECTION, "source_dataset", G.epoch_seconds(F.col("open_time")).alias("time"), *PRICES, F.lit(1).alias("has_bar")
     )
@@ -327,7 +342,7 @@ def chart_single(bars: DataFrame, registry: DataFrame, selections: DataFrame, li
 def _exchange_open_interest(history: DataFrame, registry: DataFrame, asset: str | None, interval: str | None) -> DataFrame:
     rows = _narrow(history.where(F.col("market_type") == "perpetual"), bar_interval=interval)
     valued = rows.select(*C.SERIES_KEY, "open_time", V.open_interest_number().alias("amount"))
-    return _on_market(valued, _narrow(M.preferred_markets_perp(registry), asset=asset))
+    return _on_market(valued, _narrow(M.preferred_markets_perp(registry), asset=asset), asset)
 
 
 def _interest_points(totals: DataFrame, limit: int) -> DataFrame:
@@ -360,12 +375,14 @@ def open_interest_breakdown(
 
 def _exchange_funding(history: DataFrame, registry: DataFrame, asset: str | None) -> DataFrame:
     """Sum and count of prints per asset, exchange and second; the average follows from both at any level."""
+    markets = _narrow(M.preferred_markets_perp(registry), asset=asset)
+    prints = history.where(F.col("market_type") == "perpetual")
     per_market = (
-        history.where(F.col("market_type") == "perpetual")
+        (prints if asset is None else _of_symbols(prints, markets))
         .groupBy(*C.MARKET_KEY, F.date_trunc("second", "funding_time").alias("funding_second"))
         .agg(F.sum(F.col("funding_rate").cast("decimal(25,15)")).alias("rate_sum"), F.count("funding_rate").alias("prints"))
     )
-    joined = _on_market(per_market, _narrow(M.preferred_markets_perp(registry), asset=asset))
+    joined = _on_market(per_market, markets)
     return joined.groupBy("asset", "funding_second", "exchange").agg(
         F.sum("rate_sum").alias("rate_sum"), F.sum("prints").alias("prints")
     )
@@ -411,7 +428,7 @@ def _binance_rows(history: DataFrame, registry: DataFrame, asset: str | None, in
     """Newest rows of all active perpetuals of an asset. Markets are not ranked: two quotes give two rows per time."""
     perpetual = (F.col("exchange") == "binance") & (F.col("market_type") == "perpetual")
     rows = _narrow(history.where(perpetual), bar_interval=interval)
-    joined = _on_market(rows, _active_markets(registry, asset))
+    joined = _on_market(rows, _active_markets(registry, asset), asset)
     return _newest_rows(joined, SELECTION, limit, [F.col("open_time").desc(), F.col("symbol")], limit)
 
 
@@ -515,8 +532,14 @@ def _liquidation_parts(parts: DataFrame, limit: int) -> DataFrame:
     return _liquidation_points(newest, [*SELECTION, "exchange"])
 
 
+def _market_liquidations(events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str]) -> DataFrame:
+    markets = _active_markets(registry, asset)
+    wanted = events if asset is None else _of_symbols(events, markets)
+    return _on_market(liquidation_buckets(wanted, intervals), markets)
+
+
 def _exchange_liquidations(events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str]) -> DataFrame:
-    joined = _on_market(liquidation_buckets(events, intervals), _active_markets(registry, asset))
+    joined = _market_liquidations(events, registry, asset, intervals)
     return _rolled_up(joined, [*SELECTION, "bucket_time", "exchange"])
 
 
@@ -528,8 +551,7 @@ def aggregate_liquidations(
     limit: int = C.SERIES_ROWS,
 ) -> DataFrame:
     """Liquidation notional per bucket over all active perpetuals of an asset (no market ranking)."""
-    joined = _on_market(liquidation_buckets(events, intervals), _active_markets(registry, asset))
-    return _liquidation_totals(joined, limit)
+    return _liquidation_totals(_market_liquidations(events, registry, asset, intervals), limit)
 
 
 def liquidation_breakdown(
