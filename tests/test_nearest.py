@@ -61,6 +61,14 @@ def test_random_series(spark, seed, span, distance):
     assert sorted(actual, key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("flags", [{"unique_left": True}, {"unique_right": True}, {"unique_left": True, "unique_right": True}])
+def test_promises_do_not_change_the_result(spark, flags):
+    rng = random.Random(9)
+    left = sorted({(rng.choice("ab"), rng.randint(0, 5000)) for _ in range(200)})
+    right = [(k, t, float(t)) for k, t in sorted({(rng.choice("ab"), rng.randint(0, 5000)) for _ in range(60)})]
+    assert run(spark, left, right, span_seconds=300, **flags) == run(spark, left, right, span_seconds=300)
+
+
 def test_repeated_right_times_keep_one(spark):
     left, right = frames(spark, [("a", 5)], [("a", 5, 2.0), ("a", 5, 1.0)])
     rows = N.nearest_join(left, right, ["k"]).collect()

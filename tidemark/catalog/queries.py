@@ -808,19 +808,19 @@ def _interest(t):
 
 @query
 def nearest_join(t):
-    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, unique_left=True)
+    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, unique_left=True, unique_right=True)
     return out.select(*C.SERIES_KEY, "time", F.col("nearest.time").alias("point_time"), F.col("nearest.value").alias("value"))
 
 
 @query
 def nearest_join_within(t):
-    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, tolerance=F.lit(3600), unique_left=True)
+    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, tolerance=F.lit(3600), unique_left=True, unique_right=True)
     return out.select(*C.SERIES_KEY, "time", F.col("nearest.time").alias("point_time"), F.col("nearest.value").alias("value"))
 
 
 @query
 def oi_volume_ratio(t):
-    return FA.oi_volume_ratio(_candles(t), _interest(t), C.SERIES_KEY).withColumn("value", F.round("value", 9))
+    return FA.oi_volume_ratio(_candles(t), _interest(t), C.SERIES_KEY, unique_right=True).withColumn("value", F.round("value", 9))
 
 
 def _bundles(t):
@@ -942,10 +942,12 @@ def liquidation_ratio(t):
 # --- streaming ------------------------------------------------------------------------------------------------------
 
 
-def _drained_liquidations(t, **options):
-    """Lands the messages as files, drains them through the stream, and returns the sink and log paths."""
+def _drained_liquidations(t, flushes=1):
+    """Lands the messages as files, drains them in about so many flushes, and returns the sink and log paths."""
     landed, sink, log, checkpoint = (scratch_path(t.spark, n) for n in ("landed", "liquidations", "log", "checkpoint"))
     t.force_order_raw.write.parquet(landed)
+    files = len(t.spark.read.parquet(landed).inputFiles())
+    options = {"maxFilesPerTrigger": str(max(1, -(-files // flushes)))}
     messages = L.read_messages(t.spark, landed, "event_id bigint, raw string", **options)
     L.start_liquidation_stream(messages, _liquidation_jobs(t), sink, log, checkpoint, drain=True).awaitTermination()
     return sink, log
@@ -967,14 +969,13 @@ def flush_summary(t):
 
 @query
 def stream_bounds(t):
-    # several small flushes: one landed file each
-    sink, _ = _drained_liquidations(t, maxFilesPerTrigger="1")
+    sink, _ = _drained_liquidations(t, flushes=4)
     return L.read_batches(t.spark, sink).groupBy(*C.MARKET_KEY).agg(F.count(F.lit(1)).alias("events"))
 
 
 @query
 def stream_totals(t):
-    _, log = _drained_liquidations(t, maxFilesPerTrigger="2")
+    _, log = _drained_liquidations(t, flushes=2)
     return L.stream_totals(L.read_batches(t.spark, log))
 
 

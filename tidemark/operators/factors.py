@@ -92,14 +92,21 @@ def _visible(points: DataFrame, ranges: DataFrame, groups: list[str]) -> DataFra
 
 
 def oi_volume_ratio(
-    candles: DataFrame, open_interest: DataFrame, keys: list[str], span_seconds: int | None = N.DAY
+    candles: DataFrame,
+    open_interest: DataFrame,
+    keys: list[str],
+    span_seconds: int | None = N.DAY,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Nearest open interest over candle volume; candles without volume or open interest give no row.
 
     candles need (keys, time, volume), one per key and time; open_interest needs (keys, time, value).
     """
     traded = candles.where(F.col("volume") > 0).select(*keys, "time", "volume")
-    aligned = N.nearest_join(traded, open_interest.select(*keys, "time", "value"), keys, span_seconds=span_seconds, unique_left=True)
+    points = open_interest.select(*keys, "time", "value")
+    aligned = N.nearest_join(
+        traded, points, keys, span_seconds=span_seconds, unique_left=True, unique_right=unique_right
+    )
     return aligned.where(F.col("nearest").isNotNull()).select(
         *keys, "time", (F.col("nearest.value") / F.col("volume")).alias("value")
     )
@@ -164,7 +171,8 @@ def liquidation_or_zero(candles: DataFrame, liquidations: DataFrame, groups: lis
     rows = candles.join(steps.select(*groups, "step_seconds"), groups)
     points = _visible(N.stack_points({"liquidation": liquidations}, groups), steps, groups)
     aligned = N.align(rows, points, ["liquidation"], groups, span_seconds=None)
-    return _liquidation_columns(aligned.withColumn("liquidation", N.within("liquidation", _tolerance(C.TOLERANCE_LIQUIDATION))), groups)
+    held = aligned.withColumn("liquidation", N.within("liquidation", _tolerance(C.TOLERANCE_LIQUIDATION)))
+    return held.select(*groups, "time", *_liquidation_values())
 
 
 def _liquidation_values() -> list[Column]:
@@ -175,10 +183,6 @@ def _liquidation_values() -> list[Column]:
     ]
 
 
-def _liquidation_columns(aligned: DataFrame, groups: list[str]) -> DataFrame:
-    return aligned.select(*groups, "time", *_liquidation_values())
-
-
 def market_point(candles: DataFrame, series: dict[str, DataFrame], groups: list[str] = SELECTION) -> DataFrame:
     """Per candle, the nearest mark, index, open interest, ratio, taker flow and funding, and its liquidations.
 

@@ -10,6 +10,9 @@ from tidemark.functions import text as X
 from tidemark.functions.values import rank_of
 
 
+MARKET_COLUMNS = ["symbol", "market_type"]
+
+
 def market_type_match(market_type: Column) -> Column:
     """Whether a catalogue row is of a market type; a dated contract also counts as perpetual."""
     flag = lambda name: F.coalesce(F.col(name), F.lit(False))
@@ -34,7 +37,7 @@ def _best(rows: DataFrame, groups: list[str], rank: Column, ties: list[str], kee
 def preferred_markets_any(registry: DataFrame) -> DataFrame:
     """One market per exchange and asset for volume: spot on coinbase, perpetuals first elsewhere."""
     return _best(
-        _active(registry), ["exchange", "asset"], rank_of(C.VOLUME_MARKET_RANK), ["symbol", "market_type"], ["symbol", "market_type"]
+        _active(registry), ["exchange", "asset"], rank_of(C.VOLUME_MARKET_RANK), MARKET_COLUMNS, MARKET_COLUMNS
     )
 
 
@@ -47,7 +50,7 @@ def preferred_markets_perp(registry: DataFrame) -> DataFrame:
 def resolve_market(registry: DataFrame, requests: DataFrame) -> DataFrame:
     """The market behind each requested (exchange, asset); unlisted pairs get the default USDT perpetual."""
     best = _best(
-        _active(registry), ["exchange", "asset"], rank_of(C.SINGLE_MARKET_RANK), ["symbol", "market_type"], ["symbol", "market_type"]
+        _active(registry), ["exchange", "asset"], rank_of(C.SINGLE_MARKET_RANK), MARKET_COLUMNS, MARKET_COLUMNS
     )
     return (
         requests.join(best, ["exchange", "asset"], "left")
@@ -129,7 +132,11 @@ def resolve_symbol(catalogue: DataFrame, requests: DataFrame) -> DataFrame:
     inactive = F.when(inexact == 0, F.lit(0)).otherwise((~_is_active()).cast("int"))
     chosen = candidates.groupBy(*C.MARKET_KEY).agg(
         F.min_by(
-            F.struct("fetch_symbol", F.coalesce("base_asset", F.lit("")).alias("base_asset"), F.coalesce("quote_asset", F.lit("")).alias("quote_asset")),
+            F.struct(
+                "fetch_symbol",
+                F.coalesce("base_asset", F.lit("")).alias("base_asset"),
+                F.coalesce("quote_asset", F.lit("")).alias("quote_asset"),
+            ),
             F.struct(inexact.alias("inexact"), inactive.alias("inactive"), "seq"),
         ).alias("m")
     )

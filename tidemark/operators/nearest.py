@@ -56,17 +56,19 @@ def _carried(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     )
 
 
-def stack_points(series: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+def stack_points(series: dict[str, DataFrame], keys: list[str], unique: bool = False) -> DataFrame:
     """Several series as one table: a row per key and time, a struct column (time, values) per series.
 
-    Repeated times of a series keep one point, the smallest by its values. One shuffle serves all series.
+    Repeated times of a series keep one point, the smallest by its values. One shuffle serves all series; with
+    unique=True (times known to be distinct per key and series) rows are only stacked and nothing is shuffled.
     """
     types = {n: points.select(_point(points, keys).alias("p")).schema["p"].dataType for n, points in series.items()}
     parts = []
     for name, points in series.items():
         cells = [(_point(points, keys) if n == name else F.lit(None).cast(types[n])).alias(n) for n in series]
         parts.append(points.select(*keys, "time", *cells))
-    return reduce(DataFrame.unionByName, parts).groupBy(*keys, "time").agg(*[F.min(n).alias(n) for n in series])
+    stacked = reduce(DataFrame.unionByName, parts)
+    return stacked if unique else stacked.groupBy(*keys, "time").agg(*[F.min(n).alias(n) for n in series])
 
 
 def align(
@@ -124,15 +126,16 @@ def nearest_join(
     tolerance: Column | None = None,
     span_seconds: int | None = DAY,
     unique_left: bool = False,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Left rows with the nearest right point as `nearest`, optionally only within a tolerance.
 
     Points are searched once per distinct left time and joined back, so a window never holds more than the seconds
     of a span, however many left rows share a time (the join back is split by adaptive skew handling). Pass
     unique_left=True when left times are already distinct per key. Right times repeated within a key keep one
-    point (smallest values).
+    point (smallest values); unique_right=True says there are none, which saves a shuffle.
     """
-    points = stack_points({"nearest": right}, keys)
+    points = stack_points({"nearest": right}, keys, unique=unique_right)
     if unique_left:
         out = align(left, points, ["nearest"], keys, span_seconds)
     else:

@@ -47,11 +47,14 @@ def _flags(kinds: list[str]) -> Column:
     negative = (F.col("volume") < 0) | F.coalesce(F.col("quote_volume") < 0, F.lit(False))
     one = F.lit(1).cast("bigint")
     found = {
-        "duplicate_bar": lambda: F.when(F.col("copies") > 1, F.struct(F.lit("duplicate_bar").alias("kind"), (F.col("copies") - 1).alias("weight"))),
-        "invalid_ohlc": lambda: F.when(outside, F.struct(F.lit("invalid_ohlc").alias("kind"), one.alias("weight"))),
-        "negative_volume": lambda: F.when(negative, F.struct(F.lit("negative_volume").alias("kind"), one.alias("weight"))),
+        "duplicate_bar": (F.col("copies") > 1, F.col("copies") - 1),
+        "invalid_ohlc": (outside, one),
+        "negative_volume": (negative, one),
     }
-    return F.array_compact(F.array(*[found[k]() for k in kinds]))
+    flags = [
+        F.when(found[kind][0], F.struct(F.lit(kind).alias("kind"), found[kind][1].alias("weight"))) for kind in kinds
+    ]
+    return F.array_compact(F.array(*flags))
 
 
 def flagged_bars(bars: DataFrame, kinds: list[str]) -> DataFrame:

@@ -204,7 +204,10 @@ def capability_gate(jobs: DataFrame, capabilities: DataFrame | None = None) -> D
     )
     return (
         wanted.withColumn("gate_message", F.coalesce(unknown, failed, skipped))
-        .withColumn("gate", F.when(F.coalesce(unknown, failed).isNotNull(), "failed").when(skipped.isNotNull(), "skipped").otherwise("run"))
+        .withColumn(
+            "gate",
+            F.when(F.coalesce(unknown, failed).isNotNull(), "failed").when(skipped.isNotNull(), "skipped").otherwise("run"),
+        )
         .drop("method", "offered")
     )
 

@@ -178,7 +178,12 @@ class MarketTables:
 
     @cached_property
     def open_interest_history(self) -> DataFrame:
-        return self._stored("open_interest_history", self._derive_open_interest_history, LAYOUT["open_interest_history"], [*C.MARKET_KEY, "open_time"])
+        return self._stored(
+            "open_interest_history",
+            self._derive_open_interest_history,
+            LAYOUT["open_interest_history"],
+            [*C.MARKET_KEY, "open_time"],
+        )
 
     def _derive_open_interest_history(self) -> DataFrame:
         rows = self.cells.where((F.col("market_type") == "perpetual") & F.col("event_type").isin("signup", "purchase"))
@@ -213,7 +218,12 @@ class MarketTables:
 
     @cached_property
     def long_short_ratio_history(self) -> DataFrame:
-        return self._stored("long_short_ratio_history", self._derive_long_short_ratio_history, LAYOUT["long_short_ratio_history"], [*C.MARKET_KEY, "open_time"])
+        return self._stored(
+            "long_short_ratio_history",
+            self._derive_long_short_ratio_history,
+            LAYOUT["long_short_ratio_history"],
+            [*C.MARKET_KEY, "open_time"],
+        )
 
     def _derive_long_short_ratio_history(self) -> DataFrame:
         return (
