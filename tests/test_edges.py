@@ -405,6 +405,14 @@ def test_snapshot_with_zero_previous_close(spark):
     assert row["move"] is None and row["basis"] == pytest.approx(0.1) and row["oi_volume_ratio"] is None and row["open_interest"] == 3
 
 
+def test_snapshot_takes_the_larger_of_two_quotes(spark):
+    chart = spark.createDataFrame([("BTC", "1h", "candles", 0, 1.0, 1.0, None)], "asset string, bar_interval string, series string, time bigint, close double, volume double, value double")
+    rows = [("BTC", "1h", "longShortRatio", t, v, None, None) for t, v in [(0, 9.0), (1, 2.0), (1, 3.0), (1, 1.0)]]
+    derived = spark.createDataFrame(rows, "asset string, bar_interval string, series string, time bigint, value double, buy_sell_ratio double, total_value double")
+    for order in ("value", "-value"):
+        assert FA.latest_snapshot(chart, derived.repartition(3, F.expr(order))).first()["long_short_ratio"] == 3.0
+
+
 def test_liquidations_default_to_zero_rows(spark):
     candles = spark.createDataFrame([("BTC", "1h", t) for t in (0, 3600, 7200)], "asset string, bar_interval string, time bigint")
     sums = spark.createDataFrame([("BTC", "1h", 1620, 1.0, 2.0, 3.0, 4)], "asset string, bar_interval string, time bigint, long_value double, short_value double, total_value double, event_count bigint")

@@ -799,8 +799,8 @@ FROM (SELECT asset, bar_interval, max(time) AS time, arg_max(close, time) AS clo
 LEFT JOIN {last_point("(SELECT * FROM chart_lines WHERE series = 'markPrice')", 'value', 'mark')} USING (asset, bar_interval)
 LEFT JOIN {last_point("(SELECT * FROM chart_lines WHERE series = 'indexPrice')", 'value', 'index', 'idx')} USING (asset, bar_interval)
 LEFT JOIN {last_point('interest_series', 'value', 'open_interest')} USING (asset, bar_interval)
-LEFT JOIN (SELECT asset, bar_interval, arg_max(value, time) AS long_short_ratio FROM ratio_series GROUP BY ALL) l USING (asset, bar_interval)
-LEFT JOIN (SELECT asset, bar_interval, arg_max(buy_sell_ratio, time) AS taker_buy_sell_ratio FROM flow_series GROUP BY ALL) w USING (asset, bar_interval)
+LEFT JOIN (SELECT asset, bar_interval, (list(value ORDER BY time DESC, value DESC))[1] AS long_short_ratio FROM ratio_series GROUP BY ALL) l USING (asset, bar_interval)
+LEFT JOIN (SELECT asset, bar_interval, (list(buy_sell_ratio ORDER BY time DESC, buy_sell_ratio DESC))[1] AS taker_buy_sell_ratio FROM flow_series GROUP BY ALL) w USING (asset, bar_interval)
 LEFT JOIN (SELECT asset, arg_max(value, time) AS funding FROM funding_series GROUP BY ALL) f USING (asset)
 LEFT JOIN {last_point('liquidation_series', 'total_value', 'liquidation')} USING (asset, bar_interval)"""
 SQL["selection_status"] = f"""

@@ -219,7 +219,8 @@ def market_point(candles: DataFrame, series: dict[str, DataFrame], groups: list[
 def latest_snapshot(chart: DataFrame, derivatives: DataFrame, groups: list[str] = SELECTION) -> DataFrame:
     """Last candle against the one before, basis of mark over index, and the last point of each derived series.
 
-    A change from a previous close of zero is NULL (a browser would show infinity).
+    A change from a previous close of zero is NULL (a browser would show infinity). Where two quotes of an asset share
+    the last time, the larger value is shown.
     """
     latest = Window.partitionBy(*groups).orderBy(F.col("time").desc())
     candles = (
@@ -237,7 +238,7 @@ def latest_snapshot(chart: DataFrame, derivatives: DataFrame, groups: list[str]
 
     def last_of(name: str, value: str) -> Column:
         hit = F.col("series") == name
-        return F.max_by(F.when(hit, F.col(value)), F.when(hit, F.col("time")))
+        return F.max_by(F.when(hit, F.col(value)), F.when(hit, F.struct("time", value)))
 
     lines = chart.groupBy(*groups).agg(
         last_of("markPrice", "value").alias("mark"), last_of("indexPrice", "value").alias("index")
