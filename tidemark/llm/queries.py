@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, token_counts, token_files
+from tidemark.llm import byte_bpe, quality, sharding, token_counts, token_files
 from tidemark.llm.documents import load
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.by_bytes(load(spark, sf_dir))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(load(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -20,12 +24,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(load(spark, sf_dir))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.store_and_read(load(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_byte_bpe, op8_token_counts, op10_token_files)}
+    return {f.__name__: f for f in (op2_sharding, op3_byte_bpe, op8_token_counts, op9_quality_rules, op10_token_files)}
 
 
 def all_sql() -> dict[str, str]:
