@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, quality, sharding, token_counts, token_files
+from tidemark.llm import byte_bpe, mixing, oracles, quality, sharding, suffix_dedup, token_counts, token_files
 from tidemark.llm.documents import load
 
 
@@ -20,6 +20,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(load(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(load(spark, sf_dir))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weights(load(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -33,8 +41,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_byte_bpe, op8_token_counts, op9_quality_rules, op10_token_files)}
+    every = (
+        op2_sharding,
+        op3_byte_bpe,
+        op5_suffix_dedup,
+        op7_source_mixing,
+        op8_token_counts,
+        op9_quality_rules,
+        op10_token_files,
+    )
+    return {f.__name__: f for f in every}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op7_source_mixing": oracles.mixing_sql()}
