@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, mixing, oracles, quality, sharding, suffix_dedup, token_counts, token_files
+from tidemark.llm import byte_bpe, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
 from tidemark.llm.documents import load
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(load(spark, sf_dir))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.by_bytes(load(spark, sf_dir))
 
@@ -42,6 +46,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
+        op1_ngram_join,
         op2_sharding,
         op3_byte_bpe,
         op5_suffix_dedup,
