@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
+from tidemark.llm import ann_forest, byte_bpe, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
 from tidemark.llm.documents import load
 
 
@@ -24,6 +24,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(load(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op4_random_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.search(load(spark, sf_dir, "embeddings"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(load(spark, sf_dir))
 
@@ -49,6 +53,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_ngram_join,
         op2_sharding,
         op3_byte_bpe,
+        op4_random_projection_forest,
         op5_suffix_dedup,
         op7_source_mixing,
         op8_token_counts,
