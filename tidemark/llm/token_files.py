@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import io
 import math
+import re
 import struct
 import uuid
 import zlib
@@ -39,7 +40,8 @@ SHARD_ROWS = 16_384
 MOST_SHARDS = 65_536
 #: Bytes of a shard's ids that a reader holds at a time.
 READ_BYTES = 8 << 20
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
+LETTERS_FIRST = re.compile(r"([A-Za-z]+)([^A-Za-z0-9'\u0080-\U0010ffff].*)?\Z", re.S)
 MAGIC = b"TIDX0001"
 NULL_KEY = -(2**63)  # stands for a null key in sorting; such records are found by their count in the header
 
@@ -134,18 +136,66 @@ class ShardIndex:
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space: each distinct word between spaces or line breaks is given to
-    the library once. No match of such a tokenizer holds white space, so a text's ids are those of its words in turn."""
+    """Ids of texts by a tokenizer that lower-cases and drops white space: each distinct word between spaces or line breaks
+    is given to the library once. No match of such a tokenizer holds white space, so a text's ids are those of its words
+    in turn; nor does one go on from a letter to a mark other than an apostrophe, so ASCII letters and what follows them
+    are looked up apart, the letters in lower case."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = "<u2" if max(vocabulary.values()) < 65_536 else "<u4"
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a match
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}  # the end of a text
         self.starts, self.sizes, self.ids = np.zeros(1, np.int64), np.ones(1, np.int64), np.ones(1, self.width)
 
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _encode(self, words: list[str]) -> None:
+        letters = [x for x in words if x.isalpha()]
+        lines = [" ".join(letters[i : i + 500]) for i in range(0, len(letters), 500)]
+        coded = [x.ids for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.fromiter((i for x in coded for i in x), self.width, sum(map(len, coded)))
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) == len(letters):  # a word of letters is one match
+            self._add(letters, np.diff(stops, prepend=0), ids)
+            words = [x for x in words if not x.isalpha()]
+        coded = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        self._add(words, sizes, np.fromiter((i for x in coded for i in x), self.width, int(sizes.sum())))
+
+    def _learn(self, new: list[str]) -> None:
+        halves = []
+        for word in new:
+            found = LETTERS_FIRST.match(word)
+            halves.append((found[1].lower(), found[2] or "") if found else (word, ""))
+        known = self.known
+        self._encode(list({x for pair in halves for x in pair if x not in known}))
+        joined = []
+        for word, (first, rest) in zip(new, halves, strict=True):
+            if word not in known:
+                if rest:
+                    joined.append((word, known[first], known[rest]))
+                else:
+                    known[word] = known[first]
+        codes = np.array([x[1:] for x in joined], np.int64).reshape(-1)
+        sizes = self.sizes[codes]
+        self._add([x[0] for x in joined], sizes.reshape(-1, 2).sum(axis=1), self._gather(codes)[0])
+
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the codes in turn, and how many come before each code and after the last."""
+        sizes = self.sizes[codes]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        return self.ids[np.repeat(self.starts[codes] - after[:-1], sizes) + np.arange(after[-1])], after
+
     def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with `end_id` after it, and where each text's ids end."""
         if len(self.known) > KEPT_WORDS:
@@ -156,18 +206,10 @@ class WordEncoder:
             words += filter(None, text.replace("\n", " ").split(" "))
             words.append("")
             ends.append(len(words))
-        new = list(set(words).difference(self.known))
+        new = set(words).difference(self.known)
         if new:
-            coded = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in coded for i in x), self.width, int(sizes.sum()))])
-        codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[codes]
-        after = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.starts[codes] - after[:-1], sizes) + np.arange(after[-1])]
+            self._learn(list(new))
+        ids, after = self._gather(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
         return ids, after[np.array(ends, np.int64)]
 
 
