@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann_forest, byte_bpe, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
+from tidemark.llm import ann_forest, byte_bpe, lm_scoring, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
 from tidemark.llm.documents import load
 
 
@@ -32,6 +32,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(load(spark, sf_dir))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(load(spark, sf_dir))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.weights(load(spark, sf_dir))
 
@@ -55,6 +59,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_byte_bpe,
         op4_random_projection_forest,
         op5_suffix_dedup,
+        op6_context_mixing,
         op7_source_mixing,
         op8_token_counts,
         op9_quality_rules,
