@@ -11,8 +11,10 @@ A string of `length` bytes that starts at two places is found in four steps.
    tree. An interval whose members are all preceded by the same bytes tells nothing that its parent, or their class,
    doesn't; in the others, the longest common text to the left of each member with any other member, not its neighbour in
    the array alone, is joined with the interval's common prefix to the maximal repeat around it.
-   Grams with more classes than `HOT_CLASSES` are dealt with by hashes of all their windows instead, which can be counted
-   without having a gram's anchors in one task.
+   Grams with more classes than `HOT_CLASSES` are first split by longer strings around them: a window has its anchor in
+   its first or second half, and either half of the windows has a longer string in common. What is still too many is
+   split again, and anchors whose shorter surroundings are now equal are one class, so windows inside a very common
+   passage are found without a tree, and no task has to hold all its anchors.
 4. Cover. What the repeats of at least `length` bytes cover is removed from each text.
 
 Bytes are UTF-8. Matches lie within a text; both places may be in the same text and may overlap. Null texts are empty
@@ -23,7 +25,7 @@ row of the result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from tidemark.sources.staging import settle
 
 LENGTH = 400
 GRAM = 64
-HOT_CLASSES = 4_096
+HOT_CLASSES = 2_048
 #: Bytes that are hashed at a time; longer texts in overlapping parts.
 PART_BYTES = 1 << 19
 #: Fixed odd multipliers of the rolling hashes.
@@ -286,33 +288,51 @@ def _trees(around: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.mapInArrow(run, "k binary, low long, high long")
 
 
-def _hot_windows(around: DataFrame, length: int) -> DataFrame:
-    """The same for grams of very many classes: windows whose hash comes twice."""
+def _hash64(*parts: object) -> int:
+    digest = hashlib.blake2b(digest_size=8)
+    for part in parts:
+        digest.update(part if isinstance(part, bytes) else str(part).encode())
+        digest.update(b"|")
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
+def _halves(around: DataFrame, length: int) -> DataFrame:
+    """Each anchor for either half of the windows it may be in: those that start `near` to `far` bytes before it. A half
+    has a longer string in common, whose hash is the new key, and shorter surroundings, whose hash is the class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                few = batch.slice(part, 256)
-                out: list[list[np.ndarray]] = [[], [], [], []]
-                for i, (n, at, before, after) in enumerate(zip(*(few.column(x).to_pylist() for x in ("n", "pos", "before", "after")))):
-                    raw = np.frombuffer(before[::-1] + after, np.uint8)
-                    starts = np.arange(0, min(len(before), len(raw) - length) + 1)
-                    for base in (0, 1):
-                        out[base].append(Rolling(raw, base)(starts, starts + length).view(np.int64))
-                    out[2].append(starts + at - len(before))
-                    out[3].append(np.full(len(starts), i))
-                w1, w2, start, row = (np.concatenate(x) for x in out)
-                row = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(w1), pa.array(w2), few.column("n").take(row), few.column("k").take(row), pa.array(start)],
-                    ["w1", "w2", "n", "k", "low"],
-                )
-
-    windows = around.mapInArrow(run, "w1 long, w2 long, n long, k binary, low long")
-    # a window may hold several anchors; it is one place all the same
-    places = windows.groupBy("w1", "w2", "k", "low").agg(F.max("n").alias("n"))
-    often = places.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("w1", "w2")
-    return places.join(often, ["w1", "w2"]).select("k", "low", (F.col("low") + length).alias("high"))
+            out: list[list[tuple[int | None, int | None]]] = [[], []]
+            for a, near, far, before, after in zip(*(batch.column(x).to_pylist() for x in ("a", "near", "far", "before", "after"))):
+                middle = (near + far) // 2
+                for half, low, high in zip(out, (near, middle + 1), (middle, far)):
+                    common = before[:low][::-1] + after[: length - high]
+                    reach = before[:high][::-1], after[: length - low]
+                    if low <= high and len(common) == low + length - high and sum(map(len, reach)) >= length:
+                        half.append((_hash64(a, low, common), _hash64(low, *reach)))
+                    else:  # no such window is within the text
+                        half.append((None, None))
+            keys = [pa.array([x[i] for x in half], pa.int64()) for half in out for i in (0, 1)]
+            names = ["n", "k", "pos", "before", "after", "near", "far"]
+            yield pa.RecordBatch.from_arrays([*keys, *map(batch.column, names)], ["a1", "c1", "a2", "c2", *names])
+
+    kinds = "n long, k binary, pos long, before binary, after binary, near long, far long"
+    both = around.select("a", *[x.split()[0] for x in kinds.split(", ")]).mapInArrow(
+        run, f"a1 long, c1 long, a2 long, c2 long, {kinds}"
+    )
+    both = settle(both, "dedup-halves")
+    middle = F.floor((F.col("near") + F.col("far")) / 2)
+    kept = ["n", "k", "pos", "before", "after"]
+    first = both.where("a1 is not null").select(F.col("a1").alias("a"), F.col("c1").alias("c"), *kept, "near", middle.alias("far"))
+    second = both.where("a2 is not null").select(
+        F.col("a2").alias("a"), F.col("c2").alias("c"), *kept, (middle + 1).alias("near"), "far"
+    )
+    return first.union(second)
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """The number of classes of each key that has several, one of which at least is a single anchor."""
+    return rows.groupBy("a").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
 
 
 def cover(texts: DataFrame, length: int, gram: int, hot_classes: int) -> DataFrame:
@@ -322,11 +342,18 @@ def cover(texts: DataFrame, length: int, gram: int, hot_classes: int) -> DataFra
     again = settle(found.join(grams, "a"), "dedup-repeated")
     classes = again.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("k", "pos")).alias("one"))
     classes = settle(classes.select("a", "c", "n", "one.k", "one.pos"), "dedup-classes")
-    mixed = classes.groupBy("a").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
-    around = settle(_surroundings(texts, classes.join(mixed, "a"), length, gram), "dedup-surroundings")
-    in_trees = _trees(around.where(F.col("classes") <= hot_classes), length, gram)
-    hot = around.where(F.col("classes") > hot_classes)
-    parts = in_trees if hot.isEmpty() else in_trees.union(_hot_windows(hot, length))
+    around = _surroundings(texts, classes.join(_groups(classes), "a"), length, gram)
+    around = around.withColumn("near", F.lit(0).cast("long")).withColumn("far", F.lit(length - gram).cast("long"))
+    around = settle(around, "dedup-surroundings")
+    parts = _trees(around.where(F.col("classes") <= hot_classes), length, gram)
+    while not (hot := around.where(F.col("classes") > hot_classes)).isEmpty():
+        halved = _halves(hot, length)
+        merged_classes = halved.groupBy("a", "c").agg(F.sum("n").alias("all"), F.min(F.struct("k", "pos")).alias("one"))
+        halved = halved.join(merged_classes, ["a", "c"])
+        equal = halved.where("n = 1 and all > 1").select("k", (F.col("pos") - F.col("far")).alias("low"), (F.col("pos") - F.col("near") + length).alias("high"))
+        left = halved.where(F.struct("k", "pos") == F.col("one")).drop("n", "one").withColumnRenamed("all", "n")
+        around = settle(left.join(_groups(left), "a"), "dedup-surroundings")
+        parts = parts.union(equal).union(_trees(around.where(F.col("classes") <= hot_classes), length, gram))
     whole = again.join(classes.where("n > 1").select("a", "c"), ["a", "c"]).select("k", "pos").distinct()
     whole = whole.select("k", (F.col("pos") - (length - gram)).alias("low"), (F.col("pos") + length).alias("high"))
     spans = whole.union(parts).groupBy("k").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
@@ -344,50 +371,59 @@ def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
     return out
 
 
+Finish = Callable[[pa.RecordBatch, list[list[tuple[int, int]]]], pa.RecordBatch]
+
+
 def deduplicate(
-    docs: DataFrame, carry: list[str], length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES, text_col: str = "text"
+    docs: DataFrame,
+    carry: list[str],
+    finish: Finish,
+    schema: str,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    hot_classes: int = HOT_CLASSES,
+    text_col: str = "text",
 ) -> DataFrame:
-    """`row` (the carried columns), `text` (binary) and `runs`: an array of start and stop of the bytes to be removed."""
+    """What `finish` makes of `row` (a struct of the carried columns), `text` (binary) and the runs, as start and stop, of
+    the bytes of each text that are to be removed."""
     ship(docs.sparkSession)
     texts = _keyed(docs, carry, text_col)
     spans = cover(texts, length, gram, hot_classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=1 << 20):
             sizes = pa.compute.binary_length(piece.column("text")).to_pylist()
-            runs = [
-                [{"start": a, "stop": b} for a, b in merged(s, n)] if s else [] for s, n in zip(piece.column("spans").to_pylist(), sizes)
-            ]
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([piece.column("row"), piece.column("text"), pa.array(runs, kind)], ["row", "text", "runs"])
+            yield finish(piece, [merged(s, n) if s else [] for s, n in zip(piece.column("spans").to_pylist(), sizes)])
+
+    return texts.join(spans, "k", "left").select("row", "text", "spans").mapInArrow(run, schema)
 
-    joined = texts.join(spans, "k", "left").select("row", "text", "spans")
-    kind = texts.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(run, f"row {kind}, text binary, runs array<struct<start:bigint,stop:bigint>>")
 
+def kept_parts(text: bytes, runs: list[tuple[int, int]]) -> bytes:
+    """The text without the runs."""
+    out, at = [], 0
+    for start, stop in runs:
+        out.append(text[at:start])
+        at = stop
+    return b"".join([*out, text[at:]])
 
-def digests(docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH) -> DataFrame:
+
+def digests(
+    docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and SHA-256 of what is kept of every text."""
-    rows = deduplicate(docs, [id_col], length)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            size, gone, spans, kept = [], [], [], []
-            for text, runs in zip(piece.column("text").to_pylist(), piece.column("runs").to_pylist()):
-                held, at = hashlib.sha256(), 0
-                for r in runs:
-                    held.update(text[at : r["start"]])
-                    at = r["stop"]
-                held.update(text[at:])
-                size.append(len(text))
-                gone.append(sum(r["stop"] - r["start"] for r in runs))
-                spans.append(len(runs))
-                kept.append(held.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), *(pa.array(x, pa.int64()) for x in (size, gone, spans)), pa.array(kept, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+    def finish(piece: pa.RecordBatch, runs: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+        texts = piece.column("text").to_pylist()
+        numbers = [(len(x), sum(b - a for a, b in r), len(r)) for x, r in zip(texts, runs)]
+        kept = [hashlib.sha256(kept_parts(x, r)).hexdigest() for x, r in zip(texts, runs)]
+        return pa.RecordBatch.from_arrays(
+            [
+                piece.column("row").field(0).cast(pa.int64()),
+                *(pa.array([x[i] for x in numbers], pa.int64()) for i in range(3)),
+                pa.array(kept, pa.string()),
+            ],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        )
 
-    return rows.select(F.col(f"row.{id_col}").cast("long").alias("doc_id"), "text", "runs").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    )
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return deduplicate(docs, [id_col], finish, schema, length, gram, hot_classes)
