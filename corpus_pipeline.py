@@ -4,14 +4,81 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tidemark.llm import byte_bpe, mixing, ngram_join, quality, suffix_dedup
 from tidemark.llm.documents import load
 from tidemark.sources.staging import settle
 
+#: Bytes of a repeated passage that is cut: fewer than 50 words of ordinary prose take.
+PASSAGE_BYTES = 240
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def _others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c != "text"]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    judged = quality.judge(docs, _others(docs), with_text=True).where("kept")
+    return judged.select(*["text" if c == "text" else f"row.{c}" for c in docs.columns])
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each near-duplicate component; of rows that repeat an id and its text, one."""
+    found = ngram_join.near_duplicates(docs)
+    first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    again = Window.partitionBy("doc_id", "text").orderBy(*[c for c in _others(docs) if c != "doc_id"])
+    return kept.withColumn("_again", F.row_number().over(again)).where("_again = 1").drop("_again")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the repeated passages of PASSAGE_BYTES or more; a character that a passage covers in part stays, and
+    documents of which no word is left go."""
+
+    def whole(text: bytes, start: int, stop: int) -> tuple[int, int]:
+        while start < stop and text[start] & 0xC0 == 0x80:
+            start += 1
+        while start < stop < len(text) and text[stop] & 0xC0 == 0x80:
+            stop -= 1
+        return start, stop
+
+    def finish(piece: pa.RecordBatch, runs: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+        texts = piece.column("text").to_pylist()
+        kept = [suffix_dedup.kept_parts(x, [whole(x, *r) for r in cut]).decode() for x, cut in zip(texts, runs)]
+        return pa.RecordBatch.from_arrays([piece.column("row"), pa.array(kept, pa.string())], ["row", "text"])
+
+    row = docs.select(F.struct(*_others(docs)).alias("row")).schema["row"].dataType.simpleString()
+    cut = suffix_dedup.deduplicate(docs, _others(docs), finish, f"row {row}, text string", PASSAGE_BYTES)
+    columns = {c: F.col("text") if c == "text" else F.col(f"row.{c}") for c in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.where(r"text rlike '[^\\x20\\x09-\\x0D]'").select(*[x.alias(c) for c, x in columns.items()])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn to the target shares of sources, languages and topics."""
+    return mixing.mix(docs, docs.columns).where("kept").select("row.*")
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each text, and digests of the ids and of the text that they decode to."""
+    return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", keep_good),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", tokenize),
+]
 #: SQL can't state these stages (a trained model, suffix arrays, byte-level BPE); the tests hold them against plain Python.
 ORACLE_SQL = None
 
@@ -20,5 +87,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents after all stages."""
     docs = load(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}".replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+        docs = settle(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
