@@ -6,11 +6,11 @@ largest inner product. Every row is dropped down every tree; a leaf's rows are o
 
 A query walks all trees through one priority queue, in which a node's priority is the sum of the squared distances to
 the splitting planes that were crossed to reach it, and takes leaves until they hold `share` times as many rows as there
-are (rows come once for each tree). It is sent to the blocks of its leaves only; each block ranks its rows by the exact
+are (rows come once for each tree), and `LEAST` rows of each tree at least. It is sent to the blocks of its leaves only; each block ranks its rows by the exact
 inner product, in double precision, and passes on its k best for the query, of which the k best overall remain.
 
 With `share` 1.5 and 16 trees nearly eight in ten rows are compared; on vectors without any structure (independent, 64
-dimensions) the recall at 20 is 0.94 of 500 and 0.99 of 10,000; vectors with clusters need far less.
+dimensions) the recall at 20 is 0.99 of 10,000; vectors with clusters need far less.
 
 Vectors that are null, zero, hold a null, infinite or NaN component, or are not of the most frequent dimension, take no
 part, nor do rows without an id. Rows that repeat an id and its vector count once. Equal scores are ranked by id.
@@ -34,6 +34,8 @@ DEPTH = 6
 #: Rows that the planes are fitted on: those of least hash.
 SAMPLE = 4_096
 SHARE = 1.5
+#: Rows that a query is compared with at least, so a table of no more is searched whole.
+LEAST = 200
 #: Rows of a block, about.
 BLOCK_ROWS = 4_096
 SEED = 20
@@ -153,7 +155,7 @@ def search(
     counts[counted["leaf"].to_numpy()] = counted["count"].to_numpy()
     blocks = np.maximum(1, -(-counts // block_rows))
     first = np.cumsum(blocks) - blocks
-    most = share * counts.sum() / trees
+    most = max(share * counts.sum() / trees, LEAST * trees)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
