@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as contract
 from tidemark.catalog import oracles
+from tidemark.catalog import queries as registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.registered()
+SQL = oracles.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_has_rows(spark):

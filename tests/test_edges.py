@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import constants as C
 from tidemark.functions import text as X
 from tidemark.functions import timegrid as G
 from tidemark.operators import dashboard as D
@@ -49,7 +50,7 @@ def test_interval_seconds(spark):
     assert one(spark, G.interval_seconds(F.lit("2w"))) == 1209600
     for text in ("1M", "event", "m", "1.5h"):
         assert one(spark, G.interval_seconds_or_null(F.lit(text))) is None
-        with pytest.raises(Exception, match="Unsupported interval"):
+        with pytest.raises(Exception, match="Unknown interval"):
             one(spark, G.interval_seconds(F.lit(text)))
 
 
@@ -182,7 +183,7 @@ def test_backfill_plan(spark):
         row = P.plan_bar_requests(marked(spark, "backfill", at(0), end, at(600), at(700)), now).first()
         assert row["target_last_open_time"] == expected and row["anchor_open_time"] is None and row["request_start"] == at(0)
     failed = P.plan_skip(P.plan_bar_requests(marked(spark, "backfill", None, None, at(600), at(700)), now)).first()
-    assert failed["status"] == "failed" and "start_time is empty" in failed["error_message"]
+    assert failed["status"] == "failed" and "No start time" in failed["error_message"]
 
 
 def test_retention(spark):
@@ -324,7 +325,7 @@ def test_symbol_resolution(spark):
     assert got[("BTC/USDT", "spot")]["fetch_symbol"] == "BTC/USDT"
     assert got[("btc_usdt", "spot")]["fetch_symbol"] == "XBTC/USDT"
     assert got[("BTCUSDT", "perpetual")]["fetch_symbol"] == "BTC/USDT:USDT"
-    assert "Could not resolve" in got[("NO", "spot")]["error_message"]
+    assert "No market for symbol" in got[("NO", "spot")]["error_message"]
 
 
 def test_selection_defaults(spark):
@@ -418,3 +419,42 @@ def test_liquidations_default_to_zero_rows(spark):
     sums = spark.createDataFrame([("BTC", "1h", 1620, 1.0, 2.0, 3.0, 4)], "asset string, bar_interval string, time bigint, long_value double, short_value double, total_value double, event_count bigint")
     got = [(r["time"], r["liquidation_time"], r["total_value"]) for r in FA.liquidation_or_zero(candles, sums).orderBy("time").collect()]
     assert got == [(0, 1620, 3.0), (3600, 3600, 0.0), (7200, 7200, 0.0)]
+
+
+# --- very small and very large prices ---------------------------------------------------------
+
+
+def test_small_and_large_prices_keep_their_digits(spark):
+    """Through candles, requested and live liquidations, stored rows and bucket sums."""
+    from decimal import Decimal, localcontext
+
+    from tidemark.functions import values as V
+
+    small, large = "0.000000012345678", "12345678901.5"
+    rows = [(*STREAM, i, f"[{1704067200000 + i * 3600000}, {p}, {p}, {p}, {p}, 2]") for i, p in enumerate((small, large))]
+    landed = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in C.STREAM_KEY) + ", fetch_seq long, payload string")
+    bars = {r["close"] for r in N.normalize_ohlcv(landed).collect()}
+    assert bars == {Decimal(small), Decimal(large)}
+
+    orders = [(f'{{"o": {{"s": "BTCUSDT", "S": "SELL", "ap": "{p}", "z": "2", "T": 1704067200000}}}}',) for p in (small, large, "9" * 15)]
+    jobs = spark.createDataFrame([("1", "job", *STREAM)], ", ".join(f"{c} string" for c in ("job_id", "job_name", *C.STREAM_KEY)))
+    jobs = jobs.withColumn("symbol", F.lit("BTC/USDT:USDT"))
+    events = N.decode_force_orders(spark.createDataFrame(orders, "raw string"), jobs)
+    got = {r["price"]: r["cost"] for r in events.collect()}
+    assert got[Decimal(small)] == Decimal("0.00000002469136") and got[Decimal(large)] == Decimal("24691357803")
+    assert got[None] is None  # a price beyond the type is unknown, and the stream goes on
+    sums = D.liquidation_buckets(events.select(*C.MARKET_KEY, "liquidation_time", "side", "price", "amount", "cost"), ["1h"])
+    assert sums.first()["total_value"] == Decimal("24691357803.00000002469136")
+
+    numbers = [("0.000000012345678", "3.00000001"), ("12345678901.5", "123456789.12345678"), ("99999.99999999", "0.00000001"), ("-1.5", "2.5"), (None, "1")]
+    frame = spark.createDataFrame(numbers, "p string, a string").withColumn("x", V.price_times(F.col("p").cast(V.PRICE), F.col("a").cast(V.QUANTITY)))
+    for r in frame.collect():
+        with localcontext(prec=60):
+            want = None if r["p"] is None else Decimal(r["p"]) * Decimal(r["a"])
+            assert r["x"] is None if want is None else abs(r["x"] - want) <= Decimal("1e-14")
+
+
+def test_selection_strips_all_white_space(spark):
+    rows = [("ETH\n", "bybit\t", "5m\n"), (" eth ", " BYBIT", "﻿5m"), ("E TH", "by\nbit", "5 m")]
+    got = [tuple(r) for r in M.normalize_selection(spark.createDataFrame(rows, "asset string, exchange string, interval string")).collect()]
+    assert got == [("ETH", "bybit", "5m"), ("ETH", "bybit", "5m"), ("BTC", "binance", "1h")]

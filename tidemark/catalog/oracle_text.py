@@ -56,7 +56,7 @@ EXTRA["candles"] = f"""
 SELECT {SERIES}, {sec('open_time')} AS time, CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume
 FROM market_data_raw WHERE source_dataset = 'kline'"""
 EXTRA["interest_points"] = f"""
-SELECT {SERIES}, {sec('open_time')} AS time, CAST(open_interest_amount AS DOUBLE) AS value FROM open_interest_history"""
+SELECT {SERIES}, {sec('open_time')} AS time, CAST(coalesce(open_interest_value, open_interest_amount, 0) AS DOUBLE) AS value FROM open_interest_history"""
 
 EXTRA["exchange_volume"] = """
 SELECT p.asset, m.bar_interval, m.open_time, m.exchange, sum(m.close * CAST(m.volume AS DECIMAL(18,0))) AS value
@@ -217,7 +217,7 @@ SELECT {job_name('exchange', 'symbol', 'market_type', 'bar_interval', "'kline'",
 FROM seedable, (VALUES ('5m', 0), ('1h', 1)) i(bar_interval, position)"""
 SQL["upsert_jobs"] = f"""
 SELECT {STREAM}, job_name, fetch_mode, CAST(NULL AS BIGINT) AS start_time, CAST(NULL AS BIGINT) AS end_time,
-  exchange <> 'binance' AS is_active, 'Generated by seed-jobs from exchange market metadata.' AS notes, {ms(NOW, 'updated_at')}
+  exchange <> 'binance' AS is_active, 'Seeded from the market registry.' AS notes, {ms(NOW, 'updated_at')}
 FROM seeded"""
 SQL["upsert_watchlist"] = f"""
 SELECT upper(base) AS base_asset, max(seq) AS display_order, TRUE AS is_active, {ms(NOW, 'updated_at')}
@@ -253,7 +253,7 @@ FROM (SELECT * EXCLUDE (plain_start), CASE WHEN error_message IS NULL THEN
          THEN greatest(plain_start, request_end - INTERVAL 29 DAY) ELSE plain_start END END AS request_start
   FROM (SELECT *, {start} AS plain_start, {kept} AS request_end,
     CASE WHEN fetch_mode = 'backfill' AND start_time IS NULL
-         THEN 'Job ''' || job_name || ''' requires start_time for backfill mode.' END AS error_message FROM {marks}) a) b"""
+         THEN 'No start time to fill back to: ' || job_name END AS error_message FROM {marks}) a) b"""
 
 
 EXTRA["history_plan"] = series_plan("history_marks")
@@ -347,7 +347,7 @@ SELECT *,
   CASE WHEN fetch_mode = 'incremental' THEN newest_open END AS anchor_open_time
 FROM (SELECT *, {last_open} AS newest_open,
     CASE WHEN fetch_mode = 'backfill' AND start_time IS NULL
-         THEN 'Job ''' || job_name || ''' is in backfill mode but start_time is empty.' END AS error_message
+         THEN 'No start time to fill back to: ' || job_name END AS error_message
   FROM (SELECT *, {step} AS step FROM {marks}) a) b) c"""
 
 
@@ -370,20 +370,20 @@ SELECT *, CASE WHEN exchange = 'kucoinfutures' AND source_dataset = 'open_intere
 FROM (SELECT *, CASE WHEN exchange = 'binance' AND source_dataset IN ('open_interest', 'long_short_ratio', 'taker_buy_sell_volume')
   AND start_time IS NOT NULL THEN greatest(start_time, {NOW} - INTERVAL 29 DAY) ELSE start_time END AS request_start FROM job_config) a) b"""
 SQL["capability_gate"] = """
-SELECT job_name, CASE WHEN message IS NULL THEN 'run' WHEN message LIKE 'Unsupported%' OR message LIKE 'KuCoin%' THEN 'failed' ELSE 'skipped' END AS gate,
+SELECT job_name, CASE WHEN message IS NULL THEN 'run' WHEN message LIKE 'Unsupported%' OR message LIKE 'kucoinfutures%' THEN 'failed' ELSE 'skipped' END AS gate,
   message AS gate_message
 FROM (SELECT job_name, CASE
   WHEN source_dataset = 'trades' THEN 'Unsupported source_dataset=''trades''.'
   WHEN exchange = 'kucoinfutures' AND source_dataset = 'open_interest' AND bar_interval = '2h'
-    THEN 'KuCoin open interest does not support interval=''2h''.'
+    THEN 'kucoinfutures has no open interest at interval 2h.'
   WHEN source_dataset IN ('long_short_ratio', 'taker_buy_sell_volume') AND exchange <> 'binance'
-    THEN source_dataset || ' is currently implemented for Binance USD-M futures only.'
+    THEN source_dataset || ' is read from binance only.'
   WHEN source_dataset IN ('long_short_ratio', 'taker_buy_sell_volume') AND bar_interval = '3m'
-    THEN 'Binance ' || source_dataset || ' does not support interval=''3m''.'
+    THEN 'binance has no ' || source_dataset || ' at interval 3m.'
   WHEN source_dataset = 'liquidation' AND exchange = 'binance'
-    THEN 'Binance market liquidations are WebSocket snapshots; use run-binance-liquidations.'
-  WHEN source_dataset = 'liquidation' THEN 'Public fetchLiquidations is not supported by this ccxt exchange adapter.'
-  WHEN source_dataset = 'funding_rate' AND exchange = 'kucoinfutures' THEN 'fetchFundingRateHistory is not supported'
+    THEN 'binance liquidations come from the live stream only.'
+  WHEN source_dataset = 'liquidation' THEN 'The exchange publishes no liquidations.'
+  WHEN source_dataset = 'funding_rate' AND exchange = 'kucoinfutures' THEN 'The exchange lacks fetchFundingRateHistory.'
   END AS message FROM job_config) g"""
 MARKED = "job_name, source_dataset, bar_interval, last_ingested_at"
 SQL["due_streams"] = f"""
@@ -555,7 +555,7 @@ UNION SELECT exchange, lower(base_asset) || '-' || lower(quote_asset), market_ty
 UNION SELECT exchange, base_asset || '/ZZZ', market_type FROM asset_registry"""
 SQL["resolve_symbol"] = f"""
 SELECT exchange, symbol, market_type, fetch_symbol, base_asset, quote_asset,
-  CASE WHEN fetch_symbol IS NULL THEN 'Could not resolve symbol ''' || symbol || ''' on exchange ''' || exchange || ''' for market_type=''' || market_type || '''.' END AS error_message
+  CASE WHEN fetch_symbol IS NULL THEN 'No market for symbol ' || symbol || ' of type ' || market_type || ' at ' || exchange END AS error_message
 FROM (SELECT q.exchange, q.symbol, q.market_type, m.symbol AS fetch_symbol, m.base AS base_asset, m.quote AS quote_asset
   FROM symbol_requests q LEFT JOIN exchange_market m ON m.exchange = q.exchange
     AND CASE q.market_type WHEN 'spot' THEN m.spot WHEN 'perpetual' THEN m.swap OR m.contract ELSE m.future END

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark import constants as C
 from tidemark.functions import text as X
 from tidemark.functions import timegrid as G
+from tidemark.functions import values as V
 from tidemark.operators import dashboard as D
 from tidemark.operators import factors as FA
 from tidemark.operators import markets as M
@@ -803,7 +804,7 @@ def _candles(t):
 
 def _interest(t):
     rows = t.open_interest_history
-    return rows.select(*C.SERIES_KEY, F.unix_seconds("open_time").alias("time"), F.col("open_interest_amount").cast("double").alias("value"))
+    return rows.select(*C.SERIES_KEY, F.unix_seconds("open_time").alias("time"), V.open_interest_number().cast("double").alias("value"))
 
 
 @query
@@ -984,5 +985,5 @@ def streaming_liquidation_buckets(t):
     landed, sink, checkpoint = (scratch_path(t.spark, n) for n in ("events", "buckets", "checkpoint"))
     t.liquidation_event.write.parquet(landed)
     events = t.spark.readStream.schema(t.liquidation_event.schema).parquet(landed)
-    L.start_bucket_stream(L.streaming_buckets(events, "5m"), sink, checkpoint, drain=True).awaitTermination()
+    L.start_bucket_stream(events, sink, checkpoint, "5m", drain=True).awaitTermination()
     return L.latest_buckets(t.spark, sink)

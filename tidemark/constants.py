@@ -35,13 +35,13 @@ KUCOIN_DAILY_RETENTION_DAYS = 70
 LATE_DATA_INTERVALS = 2
 
 # --- fixed values: messages -----------------------------------------------------
-MESSAGE_RATIO_EXCHANGE = "{dataset} is currently implemented for Binance USD-M futures only."
-MESSAGE_RATIO_INTERVAL = "Binance {dataset} does not support interval='{interval}'."
-MESSAGE_KUCOIN_INTERVAL = "KuCoin open interest does not support interval='{interval}'."
-MESSAGE_BINANCE_LIQUIDATION = "Binance market liquidations are WebSocket snapshots; use run-binance-liquidations."
-MESSAGE_NO_LIQUIDATIONS = "Public fetchLiquidations is not supported by this ccxt exchange adapter."
-MESSAGE_NO_METHOD = "{method} is not supported"
-SEED_JOB_NOTE = "Generated by seed-jobs from exchange market metadata."
+MESSAGE_RATIO_EXCHANGE = "{dataset} is read from binance only."
+MESSAGE_RATIO_INTERVAL = "binance has no {dataset} at interval {interval}."
+MESSAGE_KUCOIN_INTERVAL = "kucoinfutures has no open interest at interval {interval}."
+MESSAGE_BINANCE_LIQUIDATION = "binance liquidations come from the live stream only."
+MESSAGE_NO_LIQUIDATIONS = "The exchange publishes no liquidations."
+MESSAGE_NO_METHOD = "The exchange lacks {method}."
+SEED_JOB_NOTE = "Seeded from the market registry."
 
 # --- fixed values: seeding ------------------------------------------------------
 DEFAULT_EXCHANGES = ["binance", "bybit", "coinbase", "kucoin", "kucoinfutures"]
@@ -61,7 +61,7 @@ DERIVED_SERIES_INTERVALS = ["5m", "1h"]
 # --- fixed values: selection defaults -------------------------------------------
 SELECTION_EXCHANGES = ["all", "binance", "bybit", "kucoinfutures", "coinbase"]
 SELECTION_INTERVALS = ["1m", "5m", "1h"]
-ASSET_PATTERN = "^[A-Z0-9]{2,15}$"
+ASSET_PATTERN = r"\A[A-Z0-9]{2,15}\z"
 
 # --- fixed values: series lengths -------------------------------------------------
 CHART_ROWS = {"1m": 1440, "5m": 1200}

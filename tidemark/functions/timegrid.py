@@ -27,7 +27,7 @@ def interval_seconds(interval: Column) -> Column:
     return F.when(interval.isNull(), F.lit(None).cast("bigint")).otherwise(
         F.coalesce(
             interval_seconds_or_null(interval),
-            F.raise_error(F.concat(F.lit("Unsupported interval: "), interval)).cast("bigint"),
+            F.raise_error(F.concat(F.lit("Unknown interval "), interval)).cast("bigint"),
         )
     )
 

@@ -7,14 +7,27 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as C
 
-PRICE = "decimal(20,10)"
+PRICE = "decimal(30,18)"
 QUANTITY = "decimal(28,8)"
-NOTIONAL = "decimal(38,7)"
+NOTIONAL = "decimal(38,14)"
+
+
+def price_times(price: Column, amount: Column) -> Column:
+    """Price times amount to all 14 digits of a notional; NULL where it has over 24 digits before the point.
+
+    The exact product of the two types would need 59 digits, so it is put together from products of their parts.
+    """
+    price, amount = price.cast(PRICE), amount.cast(QUANTITY)
+    units, lots = F.floor(price).try_cast("decimal(12,0)"), F.floor(amount).try_cast("decimal(17,0)")
+    fraction, rest = (price - F.floor(price)).cast("decimal(18,18)"), (amount - F.floor(amount)).cast("decimal(8,8)")
+    whole = (units * amount.try_cast("decimal(25,8)")).try_cast("decimal(37,14)")
+    part = (fraction * lots).cast("decimal(37,20)") + (fraction * rest).cast("decimal(27,20)")
+    return (whole + part.try_cast("decimal(32,14)")).try_cast(NOTIONAL)
 
 
 def bar_notional() -> Column:
-    """Quote volume of a bar; without one, close x volume. (20,10) x (28,8) keeps seven digits exactly."""
-    product = F.col("close").cast(PRICE) * F.col("volume").cast(QUANTITY)
+    """Quote volume of a bar; without one, close x volume."""
+    product = price_times(F.col("close"), F.col("volume"))
     return F.coalesce(
         F.col("quote_volume").cast(NOTIONAL), product, F.col("volume").cast(NOTIONAL), F.lit(0).cast(NOTIONAL)
     )
@@ -22,7 +35,7 @@ def bar_notional() -> Column:
 
 def liquidation_notional() -> Column:
     """Cost of a liquidation; without one, price x amount."""
-    product = F.col("price").cast(PRICE) * F.col("amount").cast(QUANTITY)
+    product = price_times(F.col("price"), F.col("amount"))
     return F.coalesce(F.col("cost").cast(NOTIONAL), product, F.lit(0).cast(NOTIONAL))
 
 

@@ -21,7 +21,6 @@ from tidemark.functions import values as V
 from tidemark.operators import markets as M
 
 SELECTION = ["asset", "bar_interval"]
-PUSHED_SYMBOLS = 100
 
 
 # --- shared pieces ---------------------------------------------------------------
@@ -62,19 +61,14 @@ def _chart_rows(limit: int | None) -> tuple[Column | int, int]:
     return G.chart_limit(F.col("bar_interval")), max(*C.CHART_ROWS.values(), C.CHART_ROWS_OTHER)
 
 
-def _on_market(rows: DataFrame, markets: DataFrame, asset: str | None = None) -> DataFrame:
-    """Rows of the given markets with their asset. For one asset the few symbols also become a scan filter."""
-    keyed = markets.select(*C.MARKET_KEY, "asset")
-    return (rows if asset is None else _of_symbols(rows, keyed)).join(keyed, C.MARKET_KEY)
+def _on_market(rows: DataFrame, markets: DataFrame) -> DataFrame:
+    """Rows of the given markets with their asset."""
+    return rows.join(markets.select(*C.MARKET_KEY, "asset"), C.MARKET_KEY)
 
 
 def _of_symbols(rows: DataFrame, markets: DataFrame) -> DataFrame:
-    """Rows of the markets' symbols, as a literal filter: files are sorted by market, so other row groups are skipped.
-
-    The registry is asked for at most a few names; with more than that the join alone does the work.
-    """
-    names = [r["symbol"] for r in markets.select("symbol").distinct().limit(PUSHED_SYMBOLS + 1).collect()]
-    return rows if len(names) > PUSHED_SYMBOLS else rows.where(F.col("symbol").isin(names))
+    """Rows of the markets' symbols, before they are summed."""
+    return rows.join(markets.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def _active_markets(registry: DataFrame, asset: str | None) -> DataFrame:
@@ -199,7 +193,7 @@ def _exchange_volume(bars: DataFrame, registry: DataFrame, asset: str | None, in
     candles = _narrow(bars.where(F.col("source_dataset") == "kline"), bar_interval=interval)
     priced = candles.select(*C.SERIES_KEY, "open_time", V.bar_notional().alias("notional"))
     markets = _narrow(M.preferred_markets_any(registry), asset=asset)
-    return _on_market(priced, markets, asset)
+    return _on_market(priced, markets)
 
 
 def _by_exchange(rows: DataFrame, value: str) -> DataFrame:
@@ -342,7 +336,7 @@ def chart_single(bars: DataFrame, registry: DataFrame, selections: DataFrame, li
 def _exchange_open_interest(history: DataFrame, registry: DataFrame, asset: str | None, interval: str | None) -> DataFrame:
     rows = _narrow(history.where(F.col("market_type") == "perpetual"), bar_interval=interval)
     valued = rows.select(*C.SERIES_KEY, "open_time", V.open_interest_number().alias("amount"))
-    return _on_market(valued, _narrow(M.preferred_markets_perp(registry), asset=asset), asset)
+    return _on_market(valued, _narrow(M.preferred_markets_perp(registry), asset=asset))
 
 
 def _interest_points(totals: DataFrame, limit: int) -> DataFrame:
@@ -428,7 +422,7 @@ def _binance_rows(history: DataFrame, registry: DataFrame, asset: str | None, in
     """Newest rows of all active perpetuals of an asset. Markets are not ranked: two quotes give two rows per time."""
     perpetual = (F.col("exchange") == "binance") & (F.col("market_type") == "perpetual")
     rows = _narrow(history.where(perpetual), bar_interval=interval)
-    joined = _on_market(rows, _active_markets(registry, asset), asset)
+    joined = _on_market(rows, _active_markets(registry, asset))
     return _newest_rows(joined, SELECTION, limit, [F.col("open_time").desc(), F.col("symbol")], limit)
 
 

@@ -9,6 +9,9 @@ from tidemark import constants as C
 from tidemark.functions import text as X
 from tidemark.functions.values import rank_of
 
+#: White space of any script, and byte-order marks, at either end.
+WHITE_ENDS = r"(?U)\A[\s\uFEFF]+|[\s\uFEFF]+\z"
+
 
 MARKET_COLUMNS = ["symbol", "market_type"]
 
@@ -143,8 +146,8 @@ def resolve_symbol(catalogue: DataFrame, requests: DataFrame) -> DataFrame:
     error = F.when(
         F.col("m").isNull(),
         F.concat(
-            F.lit("Could not resolve symbol '"), F.col("symbol"), F.lit("' on exchange '"), F.col("exchange"),
-            F.lit("' for market_type='"), F.col("market_type"), F.lit("'."),
+            F.lit("No market for symbol "), F.col("symbol"), F.lit(" of type "), F.col("market_type"),
+            F.lit(" at "), F.col("exchange"),
         ),
     )
     return (
@@ -156,9 +159,14 @@ def resolve_symbol(catalogue: DataFrame, requests: DataFrame) -> DataFrame:
 
 def normalize_selection(requests: DataFrame) -> DataFrame:
     """Cleans requested (asset, exchange, interval) values; anything unknown falls back to BTC, binance, 1h."""
-    asset = F.upper(F.trim(F.coalesce("asset", F.lit("BTC"))))
-    exchange = F.lower(F.trim(F.coalesce("exchange", F.lit("binance"))))
-    interval = F.trim(F.coalesce("interval", F.lit("1h")))
+
+
+    def stripped(column: str, default: str) -> Column:
+        return F.regexp_replace(F.coalesce(column, F.lit(default)), WHITE_ENDS, "")
+
+    asset = F.upper(stripped("asset", "BTC"))
+    exchange = F.lower(stripped("exchange", "binance"))
+    interval = stripped("interval", "1h")
     kept = [c for c in requests.columns if c not in ("asset", "exchange", "interval")]
     return requests.select(
         *kept,

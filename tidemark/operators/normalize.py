@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import constants as C
 from tidemark.functions import text as X
 from tidemark.functions import timegrid as G
-from tidemark.functions.values import PRICE, QUANTITY
+from tidemark.functions.values import NOTIONAL, PRICE, QUANTITY, price_times
 
 RATE = "decimal(20,10)"
 MONEY = "decimal(38,10)"
@@ -214,7 +214,7 @@ def normalize_liquidations(rows: DataFrame) -> DataFrame:
             F.col("p.side").alias("side"),
             X.number(F.col("p.price"), PRICE).alias("price"),
             F.coalesce(F.when(amount != 0, amount), X.number(F.col("p.contracts"), QUANTITY)).alias("amount"),
-            X.number(F.col("p.cost"), MONEY).alias("cost"),
+            X.number(F.col("p.cost"), NOTIONAL).alias("cost"),
             F.col("payload").alias("raw"),
         )
         .where(F.col("liquidation_time").isNotNull())
@@ -249,7 +249,7 @@ def decode_force_orders(rows: DataFrame, jobs: DataFrame) -> DataFrame:
         return F.try_element_at("body.o", F.lit(key))
 
     def amount_of(*keys: str) -> Column:
-        return X.first_non_zero(*[X.number(field(k), "decimal(38,10)") for k in keys])
+        return X.first_non_zero(*[X.number(field(k), "decimal(38,18)") for k in keys])
 
     order_ms = _millis(field("T"))
     event_ms = F.coalesce(F.when(order_ms != 0, order_ms), _millis(F.col("body.E")))
@@ -259,11 +259,11 @@ def decode_force_orders(rows: DataFrame, jobs: DataFrame) -> DataFrame:
         F.upper(field("s")).alias("native_symbol"),
         F.timestamp_millis(event_ms).alias("liquidation_time"),
         field("S").alias("side"),
-        amount_of("ap", "p").cast(PRICE).alias("price"),
-        amount_of("z", "l", "q").cast(QUANTITY).alias("amount"),
+        amount_of("ap", "p").try_cast(PRICE).alias("price"),
+        amount_of("z", "l", "q").try_cast(QUANTITY).alias("amount"),
     ).where(F.col("liquidation_time").isNotNull())
     known = decoded.join(stream_jobs(jobs), "native_symbol")
-    return known.withColumn("cost", (F.col("price") * F.col("amount")).cast("decimal(38,7)"))
+    return known.withColumn("cost", price_times(F.col("price"), F.col("amount")))
 
 
 # --- routing ---------------------------------------------------------------------

@@ -56,7 +56,8 @@ def run_candles(lake: Lake, jobs: DataFrame, landed: DataFrame, now: Column, run
     marks = P.bar_high_water(jobs, lake.table("market_data_raw"))
     plan = settle(P.plan_skip(P.plan_bar_requests(marks, now)), "bar_plan")
     running = plan.where(F.col("status") == "running")
-    decoded = settle(N.clip_pages(N.decode_ohlcv(landed), running, "open_time"), "decoded_bars")
+    wanted = landed.join(running.select(*C.STREAM_KEY), C.STREAM_KEY, "left_semi")
+    decoded = settle(N.clip_pages(N.decode_ohlcv(wanted), running, "open_time"), "decoded_bars")
     good = decoded.join(_of_failed(decoded), C.STREAM_KEY, "left_anti")
     batch = settle(N.collapse_bars(good), "batch_bars")
     checked = running.join(_of_failed(decoded), C.STREAM_KEY, "left_anti")

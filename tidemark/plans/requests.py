@@ -80,9 +80,9 @@ def plan_bar_requests(marked_jobs: DataFrame, now: Column) -> DataFrame:
     start = F.when(backfill, F.col("start_time")).otherwise(
         F.coalesce(G.shift_seconds(F.col("last_open_time"), step), F.col("start_time"))
     )
-    error = F.when(step.isNull(), F.concat(F.lit("Unsupported interval: "), F.col("bar_interval"))).when(
+    error = F.when(step.isNull(), F.concat(F.lit("Unknown interval "), F.col("bar_interval"))).when(
         backfill & F.col("start_time").isNull(),
-        F.concat(F.lit("Job '"), F.col("job_name"), F.lit("' is in backfill mode but start_time is empty.")),
+        F.concat(F.lit("No start time to fill back to: "), F.col("job_name")),
     )
     return (
         marked_jobs.withColumn("interval_seconds", step)
@@ -114,7 +114,7 @@ def plan_series_requests(marked_jobs: DataFrame, now: Column) -> DataFrame:
     start = F.when(backfill, F.col("start_time")).otherwise(F.coalesce("last_open_time", "start_time"))
     error = F.when(
         backfill & F.col("start_time").isNull(),
-        F.concat(F.lit("Job '"), F.col("job_name"), F.lit("' requires start_time for backfill mode.")),
+        F.concat(F.lit("No start time to fill back to: "), F.col("job_name")),
     )
     planned = (
         marked_jobs.withColumn("error_message", error)

@@ -16,7 +16,7 @@ DDL = {
     "watchlist_asset": "base_asset string, display_order bigint, is_active boolean, updated_at timestamp",
     "market_data_raw": (
         f"{_K3}, bar_interval string, source_dataset string, open_time timestamp, close_time timestamp, "
-        "open decimal(20,10), high decimal(20,10), low decimal(20,10), close decimal(20,10), volume decimal(28,8), "
+        "open decimal(30,18), high decimal(30,18), low decimal(30,18), close decimal(30,18), volume decimal(28,8), "
         f"quote_volume decimal(28,8), trade_count bigint, {_RUN}"
     ),
     "open_interest_history": (
@@ -37,8 +37,8 @@ DDL = {
         f"buy_sell_ratio decimal(20,10), source_dataset string, {_RUN}"
     ),
     "liquidation_event": (
-        f"{_K3}, liquidation_time timestamp, side string, price decimal(20,10), amount decimal(28,8), "
-        f"cost decimal(38,7), source_dataset string, raw string, {_RUN}"
+        f"{_K3}, liquidation_time timestamp, side string, price decimal(30,18), amount decimal(28,8), "
+        f"cost decimal(38,14), source_dataset string, raw string, {_RUN}"
     ),
     "ingestion_run_log": (
         f"run_id string, job_id string, job_name string, {_K3}, bar_interval string, dataset string, "

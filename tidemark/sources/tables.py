@@ -1,7 +1,7 @@
 """Stored tables on Parquet: reads, insert-if-absent, upsert, plain append, run log.
 
 Fact tables are partitioned by their layout columns and by day. Plain Parquet has no MERGE, so
-  * insert-if-absent = first row per key in the batch, minus keys already stored in the batch's day range, appended;
+  * insert-if-absent = first row per key in the batch, minus keys already stored in the partitions it touches, appended;
   * upsert = last row per key over (stored, batch), written as a new numbered snapshot. A snapshot counts only once
     its number is in the commit list, so a reader never sees a half-written one and a crash loses nothing.
 One writer per table at a time.
@@ -60,7 +60,7 @@ def first_per_key(rows: DataFrame, key: list[str], order: str) -> DataFrame:
 def absent_rows(batch: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq") -> DataFrame:
     """The batch rows to store: the first row of each key, minus keys stored already.
 
-    The stored side is read only for the batch's range of days. The batch is read twice (its range of days, its
+    The stored side is read only for the partitions that the batch touches. The batch is read twice (its partitions, its
     rows), so pass a stored or settled one.
     """
     key, time = S.UNIQUE_KEY[table], S.TIME_COLUMN[table]
@@ -73,9 +73,19 @@ def absent_rows(batch: DataFrame, path: str, table: str, ingested_at: Column, or
     stored = _read_or_none(batch.sparkSession, path, schema)
     if stored is None:
         return fresh
-    days = batch.agg(F.min(F.to_date(time)).alias("low"), F.max(F.to_date(time)).alias("high")).first()
-    in_range = stored.where(F.col(DAY_COLUMN).between(F.lit(days["low"]), F.lit(days["high"])))
-    return fresh.join(in_range.select(*key), key, "left_anti").select(*fresh.columns)
+    return fresh.join(_touched(stored, batch, S.LAYOUT[table], time).select(*key), key, "left_anti").select(*fresh.columns)
+
+
+def _touched(stored: DataFrame, batch: DataFrame, layout: list[str], time: str) -> DataFrame:
+    """The stored rows of the partitions that the batch has rows for; a batch with one old row reads one old day more."""
+    days = batch.groupBy(*[F.col(c) for c in layout]).agg(F.collect_set(F.to_date(time)).alias("days")).collect()
+    wanted = F.lit(False)
+    for part in days:
+        here = F.col(DAY_COLUMN).isin(part["days"])
+        for column in layout:
+            here = here & F.col(column).eqNullSafe(F.lit(part[column]))
+        wanted = wanted | here
+    return stored.where(wanted)
 
 
 def append_rows(fresh: DataFrame, path: str, table: str) -> int:
@@ -247,14 +257,14 @@ def active_jobs(jobs: DataFrame, job_name: str | None = None) -> DataFrame:
 
 
 def job_lookup(jobs: DataFrame, job_name: str) -> DataFrame:
-    """One active job by name. If there is none, the error names the active jobs (the first 100 of them)."""
+    """One active job by name. If there is none, the error names the active jobs."""
     found = active_jobs(jobs, job_name).limit(1)
     if not found.isEmpty():
         return found
-    names = [r["job_name"] for r in active_jobs(jobs).select("job_name").limit(100).collect()]
+    names = [r["job_name"] for r in active_jobs(jobs).select("job_name").collect()]
     if not names:
-        raise LookupError(f"No active job found for job_name='{job_name}'. There are no active jobs.")
-    raise LookupError(f"No active job found for job_name='{job_name}'. Available active jobs: {', '.join(names)}")
+        raise LookupError(f"There is no job '{job_name}', nor any other active job.")
+    raise LookupError(f"There is no active job '{job_name}'. Active jobs: {', '.join(names)}")
 
 
 def watchlist_jobs(

@@ -103,31 +103,23 @@ def stream_totals(log: DataFrame) -> DataFrame:
     )
 
 
-def streaming_buckets(events: DataFrame, interval: str = "1h", late_limit: str = LATE_LIMIT) -> DataFrame:
-    """Running liquidation sums per market and bucket. Events later than `late_limit` are dropped by the watermark;
-    exact sums over everything stored come from the batch query."""
-    width = {"1m": "1 minute", "5m": "5 minutes"}.get(interval, "1 hour")
-    return (
-        D.sized_liquidations(events)
-        .withWatermark("liquidation_time", late_limit)
-        .groupBy(*C.MARKET_KEY, F.window("liquidation_time", width).alias("w"))
-        .agg(*D.liquidation_sums())
-        .select(*C.MARKET_KEY, F.lit(interval).alias("bar_interval"), F.col("w.start").alias("bucket_time"), *D.LIQUIDATION_SUMS)
-    )
-
+def start_bucket_stream(
+    events: DataFrame, path: str, checkpoint: str, interval: str = "1h", drain: bool = False
+) -> StreamingQuery:
+    """Writes the sums of each flush per market and bucket; `latest_buckets` adds them up.
 
-def start_bucket_stream(buckets: DataFrame, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
-    """Writes the buckets that changed in each flush; `latest_buckets` reads the newest state of each."""
+    Sums are additive, so nothing is kept between flushes, no event is too late, and a flush that is run again replaces
+    its own sums.
+    """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        _overwrite_batch(batch, path, batch_id)
+        _overwrite_batch(D.liquidation_buckets(batch, [interval]), path, batch_id)
 
-    writer = buckets.writeStream.outputMode("update").foreachBatch(flush).option("checkpointLocation", checkpoint)
+    writer = events.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=FLUSH_INTERVAL)).start()
 
 
 def latest_buckets(spark: SparkSession, path: str) -> DataFrame:
-    """The newest written state of each bucket."""
+    """The sums of each bucket over all flushes."""
     keys = [*C.SERIES_KEY, "bucket_time"]
-    rows = read_batches(spark, path)
-    return rows.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in D.LIQUIDATION_SUMS])
+    return read_batches(spark, path).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in D.LIQUIDATION_SUMS])
