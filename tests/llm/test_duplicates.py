@@ -54,6 +54,7 @@ def near_copies(seed, n=120):
 
 @pytest.mark.parametrize("settings", [(32, 256, 2048, 4), (3, 4, 20, 1), (3, 10, 60, 3)])
 def test_near_duplicates(documents, monkeypatch, settings):
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 2048 if settings[0] == 32 else 8)
     for name, value in zip(("FREQUENT", "MOST_MEMBERS", "PAIRED_SIZE", "REPORTED"), settings):
         monkeypatch.setattr(ngram_join, name, value)
     texts = near_copies(sum(settings))
@@ -78,9 +79,9 @@ def test_sketches_never_rule_out_a_link():
         n = random.choice([1, 3, 30, 400, 2000])
         a = {random.getrandbits(64) for _ in range(n)}
         b = {x if random.random() > 0.15 else random.getrandbits(64) for x in a if random.random() > 0.1}
-        drawn = [ngram_join.sketch(np.sort(np.array(sorted(s), np.uint64))) for s in (a, b)]
         if b and 100 * len(a & b) >= 75 * len(a | b):
-            assert ngram_join.may_link(*drawn)
+            drawn = ngram_join.Sketches([ngram_join.sketch(np.array(sorted(s), np.uint64)) for s in (a, b)])
+            assert drawn.most(0, np.array([1]))[0] >= len(a & b) and drawn.may_link(0, np.array([1]))[0]
 
 
 def plain_repeats(texts, length):

@@ -4,17 +4,18 @@ Two texts link when their sets of 5-word shingles have a Jaccard similarity of a
 global order; two similar sets share a shingle in the prefixes of n - ceil(3n/4) + 1 shingles each, and k shingles when
 the prefixes are k - 1 longer.
 
-1. Prefixes in the order of the shingles' hashes are indexed by single shingles. Groups of up to `FREQUENT` sets give
-   candidates. A shingle with more is frequent: it gives none, but its sets are marked. Shingles found hot by counting
-   within tasks are known beforehand (a bounded list that saves work and decides nothing) and aren't shuffled at all.
-2. Of the marked sets, all shingles are counted. In a new order the frequent ones come last, the most frequent at the
-   end. Prefixes are extended by one, so similar sets share two shingles there: one that is rare, which is indexed alone,
-   or two frequent ones, so pairs of frequent shingles are indexed. Sets over `PAIRED_SIZE`, whose pairs would be too
-   many, are indexed by single frequent shingles, as are those that are small enough to be paired but near that size.
-3. Groups are cut where neighbouring sizes rule similarity out. Links are looked for from one member of each group to
-   the others, then, for members not yet connected, from changing other members, then for all pairs of a group that are
-   still unconnected; each candidate pair is verified on the whole sets. So a large group of copies is connected in a
-   few rounds, in proportion to its size, and no pair that could connect two components is left untested.
+1. Shingles are counted within tasks, and those that come often in a task are added up: a bounded list of frequent ones.
+   (Any list would do; a better one saves work.) In the global order the rare shingles come first, by hash, then the
+   frequent ones, the most frequent at the end.
+2. Prefixes are extended by one, so similar sets share two shingles there: one that is rare, which is indexed alone, or
+   two frequent ones, so frequent shingles are indexed in pairs. Sets over `PAIRED_SIZE`, whose pairs would be too many,
+   are indexed by single frequent shingles, as are those that are small enough to be paired but near that size.
+3. Groups of sets with a common key are cut where neighbouring sizes rule similarity out. The sets of the few groups that
+   are still large are indexed once more among themselves, with exact counts of their shingles.
+4. Links are looked for from one member of each group to the others, then between members of different components: first
+   those that are likeliest by small sketches of the sets, then all that sketches don't rule out (what they rule out
+   can't be similar). Candidate pairs are verified on the whole sets. So a large group of copies is connected in two
+   turns, and no pair that could connect two components is left untested.
 
 Equal sets are one node, so copies are never paired. Texts without words (null ones too) have no shingles and no links;
 a component's id is its smallest document id, nulls left aside. Repeated rows are all returned.
@@ -35,15 +36,22 @@ from tidemark.llm.suffix_dedup import _mixed
 from tidemark.sources.staging import settle
 
 WORDS = 5
-#: Members beyond which a shingle is frequent.
+#: Sets beyond which a shingle is frequent.
 FREQUENT = 32
+#: Sets beyond which a group of the first index is dealt with by a second one.
+MOST_MEMBERS = 256
 #: The most frequent shingles that are told to all tasks; the others are indexed alone.
 KNOWN = 65_536
 #: Sets of more shingles aren't indexed by pairs.
 PAIRED_SIZE = 2_048
 #: Times a shingle comes in a task's sets before the task reports it.
-REPORTED = 16
+REPORTED = 4
 PIECE = 1 << 20
+FILTER_BITS = 1 << 24
+#: Nodes of a block; a task holds two.
+BLOCK_NODES = 2_048
+#: Candidates of a node in the second turn.
+BEST = 4
 
 
 def _least(n: np.ndarray) -> np.ndarray:
@@ -67,16 +75,15 @@ def _sets(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return values, starts, sizes, one, two >> np.uint64(40)  # 88 bits tell sets apart
 
 
-def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n and the hashes u, v of each document's set; and the hot shingles' hashes."""
+def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """doc_id, n and the hashes u, v of each document's set; and the frequent shingles, sorted, with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
         for piece in pieces(batches, limit=PIECE):
-            values, starts, sizes, u, v = _sets(piece)
-            width = np.where(sizes > 0, _least(sizes), 0)
-            at = np.repeat(starts - (np.cumsum(width) - width), width) + np.arange(width.sum())
-            seen.append(values[at])
+            values, _, sizes, u, v = _sets(piece)
+            _, first = np.unique(np.stack([u, v]), axis=1, return_index=True)  # copies don't make a shingle frequent
+            seen.append(values[np.isin(np.repeat(np.arange(len(sizes)), sizes), first)])
             if sum(map(len, seen)) > 4_000_000:  # what comes seldom in so many is not hot
                 seen = [_often(seen, 2)]
             yield pa.RecordBatch.from_arrays(
@@ -92,9 +99,16 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             )
 
     rows = settle(docs.mapInArrow(run, "doc_id long, n long, u long, v long, times int"), "join-sets")
-    hot = rows.where("times > 0").groupBy("u").agg(F.sum("times").alias("times")).where(F.col("times") > 2 * FREQUENT)
-    known = hot.orderBy(F.desc("times"), "u").limit(KNOWN).select("u").toArrow()["u"].to_numpy().view(np.uint64)
-    return rows.where("times = 0").drop("times"), np.sort(known)
+    often = rows.where("times > 0").groupBy("u").agg(F.sum("times").alias("times"))
+    return rows.where("times = 0").drop("times"), *_most_frequent(often, "u", "times")
+
+
+def _most_frequent(counts: DataFrame, value: str, times: str) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles, KNOWN of them at most, sorted, and their counts."""
+    table = counts.where(F.col(times) > FREQUENT).orderBy(F.desc(times), value).limit(KNOWN).toArrow()
+    known = table[value].to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    return known[order], table[times].to_numpy()[order]
 
 
 def _often(parts: list[np.ndarray], least: int) -> np.ndarray:
@@ -109,26 +123,51 @@ def _within(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-def index_prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """key, u, v, n: the shingles of each set's prefix that aren't hot; key -1, once, where one of them is."""
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(hot)
+def prefix_keys(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The index keys of sets of sorted shingles, and the set that each belongs to: the rare shingles of the extended
+    prefix alone, its frequent ones in pairs."""
+    width = np.where(sizes > 0, np.minimum(_least(sizes) + 1, sizes), 0)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    often = _within(values, frequent)
+    before = np.cumsum(~often) - ~often  # rare shingles before each shingle
+    rank = before - before[np.minimum(starts, len(values) - 1)][of] if len(values) else before
+    taken = ~often & (rank < width[of])
+    keys, sets = [values[taken] >> np.uint64(1)], [of[taken]]
+    rare = np.bincount(of[~often], minlength=len(sizes))
+    for i in np.flatnonzero(rare < width):
+        common = values[starts[i] : starts[i] + sizes[i]]
+        common = common[often[starts[i] : starts[i] + sizes[i]]]
+        common = common[np.lexsort((common, times[np.searchsorted(frequent, common)]))][: width[i] - rare[i]]
+        with np.errstate(over="ignore"):
+            if sizes[i] <= PAIRED_SIZE and len(common) > 1:
+                low = np.sort(common)
+                a, b = np.triu_indices(len(low), 1)
+                keys.append(_mixed(low[a] + _mixed(low[b] + np.uint64(1))) >> np.uint64(1))
+                sets.append(np.full(len(a), i))
+            if 4 * sizes[i] > 3 * PAIRED_SIZE or sizes[i] < 4:  # a set of under four shingles has a prefix of one
+                keys.append(_mixed(common + np.uint64(2)) >> np.uint64(1))
+                sets.append(np.full(len(common), i))
+    return np.concatenate(keys).view(np.int64), np.concatenate(sets)
+
+
+def index_prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray) -> DataFrame:
+    """key, u, v, n of every distinct set."""
+    known = docs.sparkSession.sparkContext.broadcast((frequent, times))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=PIECE):
             values, starts, sizes, u, v = _sets(piece)
             _, first = np.unique(np.stack([u, v]), axis=1, return_index=True)  # equal sets are indexed once
-            first = first[sizes[first] > 0]
-            width = _least(sizes[first])
-            at = np.repeat(starts[first] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-            of = np.repeat(first, width)
-            key, is_hot = values[at], _within(values[at], known.value)
-            marked = np.unique(of[is_hot])
-            of = np.concatenate([of[~is_hot], marked])
-            key = np.concatenate([(key[~is_hot] >> np.uint64(1)).view(np.int64), np.full(len(marked), -1)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), _signed(u[of]), _signed(v[of]), pa.array(sizes[of].astype(np.int32))], ["key", "u", "v", "n"]
-            )
+            alone = np.zeros(len(sizes), bool)
+            alone[first] = True
+            values = values[np.repeat(alone, sizes)]
+            u, v, sizes = u[alone], v[alone], sizes[alone]
+            key, of = prefix_keys(values, np.cumsum(sizes) - sizes, sizes, *known.value)
+            for at in range(0, len(key), 200_000):
+                some, row = key[at : at + 200_000], of[at : at + 200_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), _signed(u[row]), _signed(v[row]), pa.array(sizes[row].astype(np.int32))], ["key", "u", "v", "n"]
+                )
 
     return docs.mapInArrow(run, "key long, u long, v long, n int")
 
@@ -208,96 +247,149 @@ def _members(g: np.ndarray | None, u: np.ndarray, v: np.ndarray, n: np.ndarray)
     return pa.RecordBatch.from_arrays([group, pa.array(u), pa.array(v), pa.array(n.astype(np.int32))], ["g", "u", "v", "n"])
 
 
-def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, n, marked and the sorted shingles of the wanted sets (node, u, v, doc_id of one document, marked)."""
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of a column `h` of hashes: FILTER_BITS bits, whatever the number of rows."""
+    places = ids.select(F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 32))).alias("p"))
+    places = places.select(F.expr(f"pmod(p, {FILTER_BITS})").alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+    table = words.toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[table["word"].to_numpy()] = table["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows whose hash `h` may be in the filter, in bounded pieces."""
+    for batch in batches:
+        h = batch.column("h").to_numpy()
+        passes = np.ones(len(h), bool)
+        for p in (h, (h.view(np.uint64) >> np.uint64(32)).view(np.int64)):
+            p = p % FILTER_BITS
+            passes &= (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+        yield from pieces(iter([batch.filter(pa.array(passes))]), limit=PIECE)
+
+
+def sketch(values: np.ndarray) -> bytes:
+    """The size of a set of sorted hashes, and how many of them fall into each of about n/2 equal ranges."""
+    bits = max(4, int(len(values) // 2).bit_length())
+    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.uint32(len(values)).tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+class Sketches:
+    """Bounds of what sets have in common: no more than the smaller count of each range."""
+
+    def __init__(self, drawn: list[bytes]):
+        self.n = np.array([np.frombuffer(x, np.uint32, 1)[0] for x in drawn], np.int64)
+        counts = [np.frombuffer(x, np.uint8, offset=4).astype(np.int32) for x in drawn]
+        counts = [np.where(c == 255, 1 << 24, c) for c in counts]  # 255 stands for any number from there on
+        self.width = np.array([len(c) for c in counts], np.int64)
+        self.row, self.folded = np.zeros(len(counts), np.int64), {}
+        for width in np.unique(self.width):  # all sets of as many ranges or more, folded to so many
+            at = np.flatnonzero(self.width >= width)
+            table = np.empty((len(at), width), np.int32)
+            for i, j in enumerate(at):
+                table[i] = counts[j].reshape(width, -1).sum(axis=1)
+            place = np.full(len(counts), -1)
+            place[at] = np.arange(len(at))
+            self.folded[int(width)] = place, table
+
+    def most(self, x: int, others: np.ndarray) -> np.ndarray:
+        """The most shingles that set x can have in common with each of the others."""
+        out = np.empty(len(others), np.int64)
+        least = np.minimum(self.width[x], self.width[others])
+        for width in np.unique(least):
+            some = least == width
+            place, table = self.folded[int(width)]
+            out[some] = np.minimum(table[place[x]], table[place[others[some]]]).sum(axis=1)
+        return np.minimum(out, np.minimum(self.n[x], self.n[others]))
+
+    def may_link(self, x: int, others: np.ndarray) -> np.ndarray:
+        both = self.most(x, others)
+        return 100 * both >= 75 * (self.n[x] + self.n[others] - both)
+
+
+def fetch_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """u, v, text and sketch of the nodes' documents, straight from a scan: a filter of bounded size tells which documents
+    may be wanted. Some others pass it, more of them the more nodes there are; they are in no candidate pair."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_bits(nodes.select(F.xxhash64("doc_id").alias("h"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, limit=PIECE):
+        for piece in _passing(batches, wanted.value):
             values, starts, sizes, u, v = _sets(piece)
-            # a document id may come with other texts too
-            own = (u.view(np.int64) == piece.column("u").to_numpy()) & (v.view(np.int64) == piece.column("v").to_numpy())
-            row = np.flatnonzero(own)
-            width = sizes[row]
-            at = np.repeat(starts[row] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]).astype(np.int32)), _signed(values[at]))
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("node").take(take), pa.array(width), piece.column("marked").take(take), lists],
-                ["node", "n", "marked", "shingles"],
-            )
+            drawn = pa.array([sketch(values[a : a + n]) for a, n in zip(starts, sizes)], pa.binary())
+            yield pa.RecordBatch.from_arrays([_signed(u), _signed(v), piece.column("text"), drawn], ["u", "v", "text", "sketch"])
 
-    some = docs.withColumnRenamed("doc_id", "_id").join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")))
-    sets = some.select("text", "node", "u", "v", "marked").mapInArrow(run, "node long, n long, marked boolean, shingles array<long>")
-    return sets.dropDuplicates(["node"])
+    return docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, "u long, v long, text string, sketch binary")
 
 
-def index_combinations(sets: DataFrame) -> DataFrame:
-    """key, u (the node), v (0), n of the marked sets: rare shingles alone, frequent ones in pairs."""
-    marked = sets.where("marked")
-    counts = marked.select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") > FREQUENT)
-    table = counts.orderBy(F.desc("count"), "s").limit(KNOWN).toArrow()
-    value = table["s"].to_numpy().view(np.uint64)
-    order = np.argsort(value)
-    known = sets.sparkSession.sparkContext.broadcast((value[order], table["count"].to_numpy()[order]))
+def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """key, u, v, n of the marked sets (u, v), with their own frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, times = known.value
-        for batch in batches:
-            keys: list[np.ndarray] = []
-            for row in batch.column("shingles"):
-                s = row.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                n = len(s)
-                often = _within(s, frequent)
-                rare, common = s[~often], s[often]
-                common = common[np.lexsort((common, times[np.searchsorted(frequent, common)]))]
-                width = int(_least(np.int64(n))) + 1
-                own = rare[:width] >> np.uint64(1)
-                common = common[: max(0, width - len(rare))]
-                parts = [own]
-                with np.errstate(over="ignore"):
-                    if n <= PAIRED_SIZE and len(common) > 1:
-                        low = np.sort(common)
-                        i, j = np.triu_indices(len(low), 1)
-                        parts.append(_mixed(low[i] + _mixed(low[j] + np.uint64(1))) >> np.uint64(1))
-                    if 4 * n > 3 * PAIRED_SIZE:
-                        parts.append(_mixed(common + np.uint64(2)) >> np.uint64(1))
-                keys.append(np.concatenate(parts).view(np.int64))
-            size = np.array([len(x) for x in keys], np.int64)
-            if size.sum():
-                node, n = (np.repeat(batch.column(c).to_numpy(), size) for c in ("node", "n"))
-                for at in range(0, len(node), 200_000):
-                    part = slice(at, at + 200_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys)[part]), pa.array(node[part]), pa.array(np.zeros_like(node[part])), pa.array(n[part].astype(np.int32))],
-                        ["key", "u", "v", "n"],
-                    )
-
-    return marked.mapInArrow(run, "key long, u long, v long, n int")
-
-
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) that link. Each x's set is read once, then those of its candidates one after another."""
-    own = pairs.select("x").distinct().join(sets, F.col("x") == F.col("node")).select("x", F.lit(-1).cast("long").alias("y"), "shingles")
-    other = pairs.join(sets, F.col("y") == F.col("node")).select("x", "y", "shingles")
+        for piece in pieces(batches, limit=PIECE):
+            yield pa.RecordBatch.from_arrays([_signed(_sets(piece)[0])], ["s"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, np.zeros(0, np.int64)
+    own = texts.join(marked, ["u", "v"]).select("text")
+    frequent, times = _most_frequent(own.mapInArrow(run, "s long").groupBy("s").count(), "s", "count")
+    return index_prefixes(own, frequent, times)
+
+
+def _asked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """x, y, u, v: each x with its own set (y is -1), and with each set that it is to be compared with."""
+    own = pairs.select("x").distinct().select("x", F.lit(-1).cast("long").alias("y"), F.col("x").alias("node"))
+    both = own.union(pairs.select("x", "y", F.col("y").alias("node")))
+    return settle(both.join(nodes.select("node", "u", "v"), "node").drop("node"), "join-asked")
+
+
+def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, compared: bool) -> DataFrame:
+    """The pairs (x, y) that link. Sketches rule most others out, unless they were compared before; then each x's set is
+    made once, and those of its candidates one after another."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, b""
         for batch in batches:
+            kept = []
+            for x, y, own in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "sketch"))):
+                if y == -1:
+                    now, held = x, own
+                elif Sketches([held, own]).may_link(0, np.array([1]))[0]:
+                    assert x == now
+                    kept.append((x, y))
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], ["x", "y"])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, np.zeros(0, np.uint64)
+        for piece in pieces(batches, limit=PIECE):
             out_x, out_y = [], []
-            for x, y, row in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), batch.column("shingles")):
-                s = row.values.to_numpy(zero_copy_only=False)
+            values, starts, sizes, _, _ = _sets(piece)
+            for x, y, start, size in zip(piece.column("x").to_pylist(), piece.column("y").to_pylist(), starts, sizes):
+                own = values[start : start + size]
                 if y == -1:
-                    now, held = x, s.view(np.uint64)
+                    now, held = x, own.copy()
                     continue
                 assert x == now
-                both = int(_within(s.view(np.uint64), held).sum())
-                if 100 * both >= 75 * (len(s) + len(held) - both):
+                both = int(_within(own, held).sum())
+                if 100 * both >= 75 * (size + len(held) - both):
                     out_x.append(x)
                     out_y.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.int64()), pa.array(out_y, pa.int64())], ["x", "y"])
 
-    dealt = own.union(other).repartition("x").sortWithinPartitions("x", "y")
-    return dealt.mapInArrow(run, "x long, y long")
+    def by_x(rows: DataFrame, run) -> DataFrame:
+        return rows.repartition("x").sortWithinPartitions("x", "y").mapInArrow(run, "x long, y long").distinct()
+
+    if not compared:
+        drawn = texts.select("u", "v", "sketch").join(_asked(pairs, nodes), ["u", "v"]).select("x", "y", "sketch")
+        pairs = settle(by_x(drawn, compare), "join-possible")
+    asked = _asked(pairs, nodes)
+    wanted = texts.sparkSession.sparkContext.broadcast(_bits(asked.select(F.xxhash64("u", "v").alias("h"))))
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _passing(batches, wanted.value):
+            yield piece.select(["u", "v", "text"])
+
+    some = texts.select(F.xxhash64("u", "v").alias("h"), "u", "v", "text").mapInArrow(passing, "u long, v long, text string")
+    return by_x(some.join(asked, ["u", "v"]).select("x", "y", "text"), decide)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -329,51 +421,93 @@ def _same(a: DataFrame, b: DataFrame) -> bool:
     return total(a) == total(b)
 
 
-def _candidates(members: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (x, y) of group members of different components. Turn 0: from the smallest member to each other; turns 1 and
-    2: from each member outside the group's largest component to one member of it, another one each time; turn 3: all."""
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (x, y) of each group's smallest member with each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g, (node, comp, n) in _grouped(batches, "g", ["node", "comp", "n"]):
-            first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-            xs, ys = [], []
-            for low, high in zip(first, np.append(first[1:], len(g)), strict=True):
-                ids, kinds, size = node[low:high], comp[low:high], n[low:high].astype(np.int64)
-                if turn == 0:
-                    xs.append(np.full(high - low - 1, ids[0]))
-                    ys.append(ids[1:])
-                    continue
-                value, at, count = np.unique(kinds, return_inverse=True, return_counts=True)
-                if len(value) < 2:
-                    continue
-                if turn < 3:
-                    main = at == count.argmax()
-                    rest, inside = ids[~main], np.flatnonzero(main)
-                    near = np.searchsorted(size[inside], size[~main])  # one of about its size
-                    spread = (_mixed(rest.view(np.uint64) + np.uint64(turn)) % np.uint64(8)).astype(np.int64) - 4
-                    to = ids[inside[np.clip(near + spread, 0, len(inside) - 1)]]
-                    xs.append(to)
-                    ys.append(rest)
-                    continue
-                for i in range(high - low - 1):  # sizes ascend: those too large come last
-                    stop = int(np.searchsorted(size, size[i] * 4 // 3, side="right"))
-                    later = np.arange(i + 1, stop)
-                    later = later[kinds[later] != kinds[i]]
-                    xs.append(np.full(len(later), ids[i]))
-                    ys.append(ids[later])
-                    if sum(map(len, xs[-64:])) > 200_000:
-                        yield _pairs(xs, ys)
-                        xs, ys = [], []
-            if xs:
-                yield _pairs(xs, ys)
-
-    rows = members.withColumn("comp", F.col("node")) if comps is None else members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    rows = rows.select("g", "node", "comp", "n")
-    if comps is not None:  # groups that are within one component are done
-        open_groups = rows.groupBy("g").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("g")
-        rows = rows.join(open_groups, "g")
-    by = ["g", "node"] if turn == 0 else ["g", "n", "node"]
-    return rows.repartition("g").sortWithinPartitions(*by).mapInArrow(run, "x long, y long").distinct()
+        for g, (node,) in _grouped(batches, "g", ["node"]):
+            start = np.concatenate([[True], g[1:] != g[:-1]])
+            first = np.flatnonzero(start)
+            yield _pairs([np.repeat(node[first], np.diff(np.append(first, len(g))))[~start]], [node[~start]])
+
+    rows = members.select("g", "node").repartition("g").sortWithinPartitions("g", "node")
+    return rows.mapInArrow(run, "x long, y long").distinct()
+
+
+def _blocks(members: DataFrame, nodes: DataFrame, texts: DataFrame, best: int | None) -> DataFrame:
+    """Pairs (x, y) of groups' members that are of different components and may be similar by their sketches; with `best`,
+    the so many likeliest for each x.
+
+    Groups with the same largest component are worked off together, so a pair of many groups is looked at once. Members
+    of such a bundle are dealt into blocks of bounded size, and a task has two blocks at most.
+    """
+    counts = members.groupBy("g", "comp").agg(F.count("*").alias("c"))
+    bundle = counts.groupBy("g").agg(F.max_by("comp", F.struct("c", "comp")).alias("bundle"))
+    rows = members.join(bundle, "g")
+    each = rows.select("bundle", "node", "n", "comp").distinct()
+    parts = each.groupBy("bundle").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("parts"))
+    block = F.expr("cast(pmod(xxhash64(node), parts) as int)")
+    spread = F.expr(
+        "explode(transform(sequence(0, cast(parts as int) - 1), t -> xxhash64(bundle, least(block, t), greatest(block, t))))"
+    )
+    drawn = each.join(nodes.select("node", "u", "v"), "node").join(texts.select("u", "v", "sketch"), ["u", "v"])
+    drawn = drawn.dropDuplicates(["bundle", "node"]).join(parts, "bundle").withColumn("block", block)
+    drawn = drawn.select(spread.alias("key"), F.lit(None).cast("long").alias("g"), "node", "block", "comp", "sketch")
+    grouped = rows.select("bundle", "g", "node").join(parts, "bundle").withColumn("block", block)
+    none = F.lit(None)
+    grouped = grouped.select(
+        spread.alias("key"), "g", "node", "block", none.cast("long").alias("comp"), none.cast("binary").alias("sketch")
+    )
+
+    def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        own = table.filter(pa.compute.is_null(table["g"]))
+        node, block, comp = (own[c].to_numpy() for c in ("node", "block", "comp"))
+        order = np.argsort(node)
+        node, block, comp = node[order], block[order], comp[order]
+        drawn = own["sketch"].to_pylist()
+        sketches = Sketches([drawn[i] for i in order])
+        some = table.filter(pa.compute.is_valid(table["g"]))
+        g, at = some["g"].to_numpy(), np.searchsorted(node, some["node"].to_numpy())
+        together = np.zeros((len(node), len(node)), bool)
+        edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else []
+        for low, high in zip(edge, np.append(edge[1:], len(g))):
+            if high - low > 1:
+                together[np.ix_(at[low:high], at[low:high])] = True
+        across = len(np.unique(block)) > 1
+        xs, ys = [], []
+        for x in range(len(node) - 1):
+            near = x + 1 + np.flatnonzero(together[x, x + 1 :])
+            near = near[comp[near] != comp[x]]
+            if across:  # pairs within a block are another task's
+                near = near[block[near] != block[x]]
+            if not len(near):
+                continue
+            both = sketches.most(x, near)
+            all_of = sketches.n[x] + sketches.n[near] - both
+            may = 100 * both >= 75 * all_of
+            near = near[may][np.argsort(-(both / all_of)[may], kind="stable")[:best]]
+            xs.append(np.full(len(near), node[x]))
+            ys.append(node[near])
+        return _pairs(xs or [np.zeros(0, np.int64)], ys or [np.zeros(0, np.int64)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
+            for low, high in zip(edge, np.append(edge[1:], len(key))):
+                if held and key[low] != now:
+                    yield solve(held)
+                    held = []
+                now = key[low]
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield solve(held)
+
+    dealt = drawn.union(grouped).repartition("key").sortWithinPartitions("key", F.asc_nulls_first("g"))
+    return dealt.mapInArrow(run, "x long, y long").distinct()
 
 
 def _pairs(xs: list[np.ndarray], ys: list[np.ndarray]) -> pa.RecordBatch:
@@ -382,41 +516,45 @@ def _pairs(xs: list[np.ndarray], ys: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["x", "y"])
 
 
-def connect(members: DataFrame, sets: DataFrame) -> DataFrame:
+def connect(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """node, comp of all nodes with links."""
     links, comps, tried = None, None, None
-    for turn in range(4):
-        pairs = _candidates(members, comps, turn)
+    left = members
+    for turn in ("stars", "best", "all"):
+        pairs = _stars(left) if turn == "stars" else _blocks(left, nodes, texts, BEST if turn == "best" else None)
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = settle(pairs, f"join-candidates-{turn}")
-        if turn and pairs.isEmpty():
-            if turn == 3:
-                break
-            continue
+        pairs = settle(pairs, f"join-{turn}")
         tried = pairs if tried is None else tried.union(pairs)
-        found = settle(verify(pairs, sets), "join-links")
+        found = settle(verify(pairs, nodes, texts, turn != "stars"), "join-links")
         links = found if links is None else links.union(found)
-        if turn and found.isEmpty():
-            continue
-        comps = settle(components(links), "join-components")
+        if turn == "stars" or not found.isEmpty():
+            comps = settle(components(links), "join-components")
+        if turn != "all":
+            # pairs are done after the first turn, and so are groups within one component at any time
+            now = left.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            some = now.groupBy("g").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("c"))
+            left = settle(now.join(some.where("a <> b and c > 2").select("g"), "g").select("g", "node", "n", "comp"), "join-open")
     return comps
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     docs = keyed_texts(docs, id_col, text_col)
-    rows, hot = describe(docs)
-    found = settle(group_members(index_prefixes(docs, hot), FREQUENT), "join-groups")
+    rows, frequent, times = describe(docs)
+    found = settle(group_members(index_prefixes(docs, frequent, times), MOST_MEMBERS), "join-groups")
     marks = found.where("g is null").select("u", "v").distinct().withColumn("marked", F.lit(True))
     nodes = found.select("u", "v").distinct().join(marks, ["u", "v"], "left")
     one = rows.where("n > 0").groupBy("u", "v").agg(F.min("doc_id").alias("doc_id"))
     nodes = nodes.join(one, ["u", "v"]).select("u", "v", "doc_id", F.coalesce("marked", F.lit(False)).alias("marked"))
     nodes = settle(settle(nodes, "join-nodes").withColumn("node", F.monotonically_increasing_id()), "join-nodes")
-    sets = settle(fetch_sets(docs, nodes), "join-shingles")
-    single = found.where("g is not null").join(nodes, ["u", "v"]).select("g", "node", "n")
-    combined = group_members(index_combinations(sets), None).select("g", F.col("u").alias("node"), "n")
-    comps = connect(settle(single.union(combined), "join-members"), sets)
+    texts = settle(fetch_texts(docs, nodes), "join-texts")
+    members = found.where("g is not null").select("g", "u", "v", "n")
+    marked = nodes.where("marked").select("u", "v")
+    if not marked.isEmpty():
+        members = members.union(group_members(index_again(texts, marked), None))
+    members = members.join(nodes, ["u", "v"]).select("g", "node", "n")
+    comps = connect(settle(members, "join-members"), nodes, texts)
     named = rows.join(nodes.select("u", "v", "node"), ["u", "v"], "left").join(comps, "node", "left")
     named = named.select("doc_id", "n", F.coalesce("comp", "node").alias("c"), "u", "v")
     # a set that shares no group is a component of its own, told by its hashes
