@@ -31,6 +31,11 @@ def test_query_equals_sql(name, spark, sf_dir, con):
     assert compare.differences(rows.columns, [tuple(r) for r in rows.collect()], con, SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n.endswith("_cut")])
+def test_short_series_are_cut(name, spark, sf_dir):
+    assert QUERIES[name](spark, sf_dir).count() < QUERIES[name.removesuffix("_cut")](spark, sf_dir).count()
+
+
 def _equal(rows, con, sql):
     return compare.differences(rows.columns, [tuple(r) for r in rows.collect()], con, oracles.with_fixtures(sql))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tidemark.catalog.oracles import EXTRA, K3, NOW, SERIES, SQL, STREAM, dbl, interval_case, iso, ms, plus, sec
 
 # --- shared pieces -------------------------------------------------------------------------
@@ -850,3 +852,17 @@ SQL["stream_totals"] = """
 SELECT count(DISTINCT symbol) AS symbols, count(*) AS events_seen, count(*) AS rows_inserted FROM live_events"""
 SQL["streaming_liquidation_buckets"] = f"""
 SELECT {SERIES}, {ms('bucket_time')}, {LIQUIDATION_SUMS} FROM sized_liquidations WHERE bar_interval = '5m' GROUP BY {SERIES}, bucket_time"""
+
+# --- short series --------------------------------------------------------------------------------------------------------------
+# the same results with the newest CUT rows or times of each group, so that every group of some length is cut
+
+CUT = 4
+CUT_QUERIES = """
+aggregate_volume volume_breakdown aggregate_open_interest open_interest_breakdown aggregate_funding funding_breakdown
+long_short taker aggregate_liquidations liquidation_breakdown open_interest_single long_short_single taker_single
+funding_single liquidation_single
+""".split()
+for name in CUT_QUERIES:
+    fixture = SQL[name].split()[-1]
+    SQL[f"{name}_cut"] = re.sub(r"<= (CASE .*? END|\d+)", f"<= {CUT}", EXTRA[fixture])
+SQL["latest_bars_cut"] = re.sub(r"<= \d+", f"<= {CUT}", SQL["latest_bars"])

@@ -987,3 +987,45 @@ def streaming_liquidation_buckets(t):
     events = t.spark.readStream.schema(t.liquidation_event.schema).parquet(landed)
     L.start_bucket_stream(events, sink, checkpoint, "5m", drain=True).awaitTermination()
     return L.latest_buckets(t.spark, sink)
+
+
+# --- short series -----------------------------------------------------------------------------------------
+# at the usual lengths few groups of the small tables are cut; here nearly all are
+
+CUT = 4
+
+
+def _cut(name, source, with_registry, *rounded):
+    def build(t):
+        inputs = [getattr(t, source), *([t.asset_registry] if with_registry else [])]
+        out = getattr(D, name)(*inputs, limit=CUT)
+        for column in rounded:
+            out = out.withColumn(column, F.round(column, 12))
+        return out
+
+    build.__name__ = f"{name}_cut"
+    query(build)
+
+
+_cut("latest_bars", "market_data_raw", False)
+for _name, _source in (
+    ("aggregate_volume", "market_data_raw"),
+    ("volume_breakdown", "market_data_raw"),
+    ("aggregate_open_interest", "open_interest_history"),
+    ("open_interest_breakdown", "open_interest_history"),
+    ("long_short", "long_short_ratio_history"),
+    ("taker", "taker_buy_sell_volume_history"),
+    ("aggregate_liquidations", "liquidation_event"),
+    ("liquidation_breakdown", "liquidation_event"),
+):
+    _cut(_name, _source, True)
+_cut("aggregate_funding", "funding_rate_history", True, "value")
+_cut("funding_breakdown", "funding_rate_history", True, "value")
+for _name, _source in (
+    ("open_interest_single", "open_interest_history"),
+    ("long_short_single", "long_short_ratio_history"),
+    ("taker_single", "taker_buy_sell_volume_history"),
+    ("funding_single", "funding_rate_history"),
+    ("liquidation_single", "liquidation_event"),
+):
+    _cut(_name, _source, False)

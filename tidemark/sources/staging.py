@@ -71,3 +71,15 @@ def settle_once(
             _stored[key] = (path, rows.schema)
     path, schema = _stored[key]
     return spark.read.schema(schema).parquet(path)
+
+
+def settled_once() -> set[tuple]:
+    """What `settle_once` holds so far."""
+    return set(_stored)
+
+
+def forget_except(kept: set[tuple]) -> None:
+    """Lets the tables settled since go, so that what needs them builds them again."""
+    with _guard:
+        for key in set(_stored) - kept:
+            del _stored[key]
