@@ -831,6 +831,27 @@ FROM (SELECT {SERIES}, series, min(value) AS low, max(value) AS high, max(abs(va
 SQL["series_bounds"] = f"""
 SELECT {SERIES}, series, round(low - (high - low) * CAST(0.08 AS DOUBLE), 6) AS min, round(high + (high - low) * CAST(0.08 AS DOUBLE), 6) AS max, FALSE AS symmetric FROM bound_ends
 UNION ALL SELECT {SERIES}, series, round(-edge * CAST(1.15 AS DOUBLE), 6), round(edge * CAST(1.15 AS DOUBLE), 6), TRUE FROM bound_ends"""
+def axis_ranges(where: str) -> str:
+    spread = "CASE WHEN low = high THEN {0} {1} abs(CASE low WHEN 0 THEN 1 ELSE low END) * 0.01 ELSE {0} END"
+    low, high = spread.format("low", "-"), spread.format("high", "+")
+    return f"""
+SELECT * FROM (WITH shown AS (
+  SELECT asset, bar_interval, 'price' AS panel, unnest([high, low]) AS value FROM chart_candles WHERE {where}
+  UNION ALL SELECT asset, bar_interval, 'price', value FROM chart_lines WHERE {where}
+  UNION ALL SELECT asset, bar_interval, 'volume', unnest([0, volume]) FROM chart_candles WHERE {where}),
+mirrored AS (
+  SELECT asset, bar_interval, 'taker' AS panel, unnest([buy_volume, sell_volume]) AS value FROM flow_series WHERE {where}
+  UNION ALL SELECT asset, bar_interval, 'liquidation', unnest([long_value, short_value]) FROM liquidation_series
+  WHERE {where} AND bar_interval IN ('5m', '1h')),
+ends AS (SELECT asset, bar_interval, panel, {low} AS low, {high} AS high FROM (
+  SELECT asset, bar_interval, panel, min(value) AS low, max(value) AS high FROM shown GROUP BY ALL) e)
+SELECT asset, bar_interval, panel, round(low - (high - low) * CAST(0.08 AS DOUBLE), 6) AS min,
+  round(high + (high - low) * CAST(0.08 AS DOUBLE), 6) AS max FROM ends
+UNION ALL SELECT asset, bar_interval, panel, round(-greatest(max(value), 1), 6), round(greatest(max(value), 1), 6) FROM mirrored GROUP BY ALL) q"""
+
+
+SQL["axis_ranges"] = axis_ranges("TRUE")
+SQL["axis_ranges_visible"] = axis_ranges("time BETWEEN 1704672000 AND 1705881600")
 SQL["local_time"] = """
 SELECT event_id, epoch_us(liquidation_time + INTERVAL 8 HOUR) // 1000 AS local_time, strftime(liquidation_time + INTERVAL 8 HOUR, '%b %d, %I:%M %p') AS local_text
 FROM liquidation_event"""

@@ -905,6 +905,26 @@ def signed_flow(t):
     return FA.signed_flow(flow, D.aggregate_liquidations(t.liquidation_event, t.asset_registry))
 
 
+VISIBLE = 1704672000, 1705881600
+
+
+def _axis_ranges(t, **window):
+    chart = D.chart_all(t.market_data_raw, t.asset_registry)
+    derived = D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS)
+    out = FA.axis_ranges(chart, derived, **window)
+    return out.withColumn("min", F.round("min", 6)).withColumn("max", F.round("max", 6))
+
+
+@query
+def axis_ranges(t):
+    return _axis_ranges(t)
+
+
+@query
+def axis_ranges_visible(t):
+    return _axis_ranges(t, first_time=VISIBLE[0], last_time=VISIBLE[1])
+
+
 @query
 def series_bounds(t):
     keys = [*C.SERIES_KEY, "series"]

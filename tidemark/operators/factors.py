@@ -279,6 +279,45 @@ def signed_flow(taker: DataFrame, liquidations: DataFrame, groups: list[str] = S
     return flow.unionByName(forced)
 
 
+def axis_ranges(
+    chart: DataFrame,
+    derivatives: DataFrame,
+    groups: list[str] = SELECTION,
+    first_time: int | None = None,
+    last_time: int | None = None,
+) -> DataFrame:
+    """Axis range of each panel of a chart, over the visible times (all, if no end is given).
+
+    Prices span highs, lows, mark and index; volumes start at zero; taker flow and liquidations are mirrored around zero
+    and reach to one at least.
+    """
+
+    def stacked(bundle: DataFrame, panels: dict[str, dict[str, list[str]]]) -> DataFrame:
+        shown = bundle
+        if first_time is not None:
+            shown = shown.where(F.col("time") >= first_time)
+        if last_time is not None:
+            shown = shown.where(F.col("time") <= last_time)
+        cells = [
+            F.struct(F.lit(panel).alias("panel"), F.when(F.col("series") == series, F.col(value)).alias("value"))
+            for panel, parts in panels.items()
+            for series, values in parts.items()
+            for value in values
+        ]
+        each = shown.select(*groups, F.explode(F.array(*cells)).alias("cell")).select(*groups, "cell.*")
+        return each.where(F.col("value").isNotNull())
+
+    prices = {"price": {"candles": ["high", "low"], "markPrice": ["value"], "indexPrice": ["value"]}, "volume": {"candles": ["volume"]}}
+    plain = stacked(chart, prices)
+    zero = plain.where(F.col("panel") == "volume").select(*groups, "panel", F.lit(0.0).alias("value")).distinct()
+    mirrored = stacked(
+        derivatives, {"taker": {"takerBuySell": ["buy_volume", "sell_volume"]}, "liquidation": {"liquidations": ["long_value", "short_value"]}}
+    )
+    edge = F.greatest(F.max("value"), F.lit(1.0))
+    around = mirrored.groupBy(*groups, "panel").agg((-edge).alias("min"), edge.alias("max"))
+    return series_bounds(plain.unionByName(zero), [*groups, "panel"]).unionByName(around)
+
+
 def series_bounds(points: DataFrame, groups: list[str], symmetric: bool = False) -> DataFrame:
     """Axis range of each series: 8 % room around min and max, +-1 % when flat, or +-1.15 of the largest magnitude.
 
