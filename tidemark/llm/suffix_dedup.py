@@ -37,7 +37,7 @@ from tidemark.sources.staging import settle
 
 LENGTH = 400
 GRAM = 64
-HOT_CLASSES = 2_048
+HOT_CLASSES = 8_192
 #: Bytes that are hashed at a time; longer texts in overlapping parts.
 PART_BYTES = 1 << 19
 #: Fixed odd multipliers of the rolling hashes.
@@ -65,7 +65,7 @@ class Rolling:
                 x[0] = 1
             _powers[base] = tuple(np.cumprod(x, dtype=np.uint64) for x in made)
         self.inverse = _powers[base][1]
-        values = _mixed(raw.astype(np.uint64) + np.uint64(BASES[1 - base]))
+        values = _mixed(np.arange(256, dtype=np.uint64) + np.uint64(BASES[1 - base]))[raw]
         self.sums = np.zeros(size, np.uint64)
         np.cumsum(values * _powers[base][0][: len(raw)], out=self.sums[1:])
 
