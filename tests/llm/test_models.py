@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 
-from tidemark.llm import ann_forest, lm_scoring
+from tidemark.llm import ann_forest, lm_scoring, shingles
 from tidemark.llm.documents import load
 
 
@@ -81,48 +81,82 @@ def test_base_scores(spark, sf_dir, monkeypatch):
     assert mixed > 0.7 * order0
 
 
-def test_probabilities_of_all_next_bytes_add_up_to_one():
-    code = lm_scoring.Code(np.arange(257))
-    random = np.random.default_rng(5)
-    tables = [random.integers(0, 256, 1 << b).astype(np.uint8) for b in lm_scoring.TABLE_BITS]
-    mixer = lm_scoring.Mixer(code, tables)
-    start = b"some words before"
-    begun = mixer([start + bytes([b]) for b in range(256)])
-    # each score ends with an end; what is before it, and the end alone, add up over all next symbols
-    ends = mixer([start])[0]
-    shorter = {len(start): ends}
-    assert np.all(begun < 0) and shorter[len(start)] < 0
-    alone = mixer([b""])[0]
-    single = mixer([bytes([b]) for b in range(256)])
-    assert 10**alone + sum(10**x for x in single) < 1.0
-
-
-def test_score_is_that_of_a_plain_mixer():
-    random = np.random.default_rng(6)
-    code = lm_scoring.Code(random.integers(0, 1000, 257))
-    tables = [random.integers(0, 256, 1 << b).astype(np.uint8) for b in lm_scoring.TABLE_BITS]
-    mixer = lm_scoring.Mixer(code, tables)
-    texts = [b"", b"a", bytes(random.integers(97, 110, 700).astype(np.uint8)), b"two words, \xc3\xa9 " * 80]
+def plain_mixer(mixer, texts):
+    """The scores, bit by bit."""
+    code = mixer.code
     symbol, ends, contexts = lm_scoring.symbols(texts)
-    want, begin = [], 0
+    out, begin = [], 0
     for end in ends:
         total = 0.0
         for at in range(begin, end):
             if (at - begin) % lm_scoring.SEGMENT == 0:
-                weights = np.array(mixer.weights).T.copy()
-                refined = mixer.refined.copy()
+                weights, refined = np.ones(3), mixer.refined.copy()
             s = symbol[at]
             for e in range(code.start[s], code.start[s] + code.size[s]):
-                value = [t[c[at] ^ code.node[e]] for t, c in zip(tables, contexts)]
-                x = np.array([mixer.stretch[v] for v in value])
-                gate = (value[1] >> 6) + 4 * (value[2] >> 6)
-                dot = np.clip((weights[gate] * x).sum(), -7.9, 7.9)
-                cell, y = int(dot * 2 + 16), float(code.bit[e])
+                x = np.array([g[t[c[at] ^ code.node[e]]] for g, t, c in zip(mixer.gated, mixer.tables, contexts)])
+                dot = np.clip((weights * x).sum(), -7.9, 7.9)
+                cell, y = int(np.floor(2 * dot)) + 16, float(code.bit[e])
                 p = 1 / (1 + np.exp(-dot))
                 both = (p + refined[cell]) / 2
                 total += np.log10(both if y else 1 - both)
                 refined[cell] += lm_scoring.REFINE * (y - refined[cell])
-                weights[gate] += lm_scoring.RATE * (y - p) * x
-        want.append(total)
+                weights += lm_scoring.RATE * (y - p) * x
+        out.append(total)
         begin = end
-    assert np.allclose(mixer(texts), want, rtol=1e-3)
+    return out
+
+
+def random_mixer(seed):
+    random = np.random.default_rng(seed)
+    code = lm_scoring.Code(random.integers(0, 50, (256, 257)) * (random.random((256, 1)) > 0.3))
+    return lm_scoring.Mixer(code, [random.integers(0, 256, 1 << b).astype(np.uint8) for b in lm_scoring.TABLE_BITS])
+
+
+def test_score_is_that_of_a_plain_mixer():
+    random = np.random.default_rng(6)
+    mixer = random_mixer(6)
+    texts = [b"", b"a", bytes(random.integers(97, 110, 700).astype(np.uint8)), b"two words, \xc3\xa9 " * 80]
+    assert np.allclose(mixer(texts), plain_mixer(mixer, texts), rtol=1e-3)
+
+
+def test_texts_up_to_one_byte_are_a_probability():
+    scores = random_mixer(5)([b"", *(bytes([b]) for b in range(256))])
+    assert 0 < (10**scores).sum() < 1
+
+
+def test_codes_are_complete():
+    code = random_mixer(7).code
+    for before in range(256):  # Kraft's sum is 1
+        assert np.isclose((0.5 ** code.size[before * 257 : before * 257 + 257].astype(float)).sum(), 1.0)
+
+
+def test_lookup():
+    random = np.random.default_rng(8)
+    hashes = np.unique(random.integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2))
+    wanted = np.concatenate([hashes[::3], hashes[:50] + np.uint64(1)])
+    found = lm_scoring.Lookup(hashes)(wanted)
+    assert (hashes[found[found >= 0]] == wanted[found >= 0]).all() and (found >= 0).sum() == len(hashes[::3])
+    assert (lm_scoring.Lookup(hashes[:0])(wanted) == -1).all()
+
+
+def test_long_texts_are_scored_in_parts(monkeypatch):
+    mixer = random_mixer(9)
+    random = np.random.default_rng(9)
+    text = bytes(random.choice(np.frombuffer(b"abcde fgh\n", np.uint8), 5000))
+    whole = mixer([text])
+    for size in (1024, 2500):
+        monkeypatch.setattr(lm_scoring, "PIECE", size)
+        assert np.allclose(mixer([text]), whole, rtol=1e-6)
+    exact = text[: 2 * lm_scoring.SEGMENT]
+    monkeypatch.setattr(lm_scoring, "PIECE", 1 << 20)
+    whole = mixer([exact])
+    monkeypatch.setattr(lm_scoring, "PIECE", lm_scoring.SEGMENT)
+    assert np.allclose(mixer([exact]), whole, rtol=1e-6)
+
+
+def test_words_of_long_texts(monkeypatch):
+    text = b" some WORDS\n" * 50 + b"x" * 300 + b" end"
+    whole = shingles.word_hashes([text])
+    monkeypatch.setattr(shingles, "PART_BYTES", 64)
+    cut = shingles.word_hashes([text])
+    assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()

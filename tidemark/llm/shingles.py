@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from tidemark.llm.suffix_dedup import Rolling, _mixed
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+CUT = re.compile(rb"[\x20\x09-\x0D]")
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+#: Bytes hashed at a time; longer texts are cut at white space.
+PART_BYTES = 4 << 20
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each lower-cased word ([^\\x20\\x09-\\x0D]+) of the texts in turn, and the words before each text's end."""
+    if len(texts) == 1 and len(texts[0]) > PART_BYTES:
+        found, start = [], 0
+        while start < len(texts[0]):
+            stop = CUT.search(texts[0], min(len(texts[0]), start + PART_BYTES))
+            part = texts[0][start : stop.start() if stop else len(texts[0])]
+            found.append(_hashes([part])[0])
+            start += max(1, len(part))
+        hashes = np.concatenate(found)
+        return hashes, np.array([len(hashes)])
+    return _hashes(texts)
+
+
+def _hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw = LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
