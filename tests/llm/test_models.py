@@ -160,3 +160,51 @@ def test_words_of_long_texts(monkeypatch):
     monkeypatch.setattr(shingles, "PART_BYTES", 64)
     cut = shingles.word_hashes([text])
     assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+
+
+def test_what_is_held_follows_the_contexts(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 1 << 14)
+    random = np.random.default_rng(10)
+    letters = lambda n: bytes(random.integers(97, 123, n).astype(np.uint8)).decode()  # noqa: E731  # five letters hardly come twice
+    texts = [letters(3000) for _ in range(400)] + ["", None, letters(20_000) + " é" * 3000]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(3)
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    raw = [(x or "").encode() for x in texts]
+    trained = [x for i, x in enumerate(raw) if not held(i)]
+    symbol, _, contexts = lm_scoring.symbols(trained, bits=(64, 64, 64))
+    code = lm_scoring.Code(np.bincount(symbol, minlength=256 * 257).reshape(256, 257))
+    seen = [collections.defaultdict(lambda: [0, 0]) for _ in contexts]  # by whole hashes: no context shares counts
+    size, node, bit = lm_scoring._bits(code, symbol)
+    for k, context in enumerate(contexts):
+        for c, n, b in zip(np.repeat(context, size).tolist(), node.tolist(), bit.tolist()):
+            seen[k][c, n][b] += 1
+    some = [i for i in range(len(texts)) if held(i)][:3] + [0, 1, 400, 401, 402]
+    scores = {}
+    for piece in (1 << 20, 8192):  # the long text whole, and in parts
+        monkeypatch.setattr(lm_scoring, "PIECE", piece)
+        rows = lm_scoring.score(docs).collect()
+        assert len(rows) == len(texts)
+        scores[piece] = {r.doc_id: r.score for r in rows}
+    assert all(math.isclose(scores[8192][i], x, rel_tol=1e-6) for i, x in scores[1 << 20].items())
+    for i in some:
+        symbol, ends, contexts = lm_scoring.symbols([raw[i]], bits=(64, 64, 64))
+        size, node, bit = lm_scoring._bits(code, symbol)
+        exact = []
+        for k, context in enumerate(contexts):
+            zero, one = np.array([seen[k].get((c, n), (0, 0)) for c, n in zip(np.repeat(context, size).tolist(), node.tolist())]).T
+            odds = np.clip(np.rint((np.log((one + 0.4) / (zero + 0.4)) + 8) * 4), 0, 63).astype(int)
+            exact.append(odds | np.searchsorted([2, 8, 64], zero + one, side="right") << 6)
+        mixer, total, e = lm_scoring.Mixer(code), 0.0, 0
+        for at, n in enumerate(size):
+            if at % lm_scoring.SEGMENT == 0:
+                weights, refined = np.ones(3), mixer.refined.copy()
+            for e in range(e, e + n):
+                x = np.array([g[v[e]] for g, v in zip(mixer.gated, exact)])
+                dot = np.clip((weights * x).sum(), -7.9, 7.9)
+                cell, y, p = int(np.floor(2 * dot)) + 16, float(bit[e]), 1 / (1 + np.exp(-dot))
+                both = (p + refined[cell]) / 2
+                total += np.log10(both if y else 1 - both)
+                refined[cell] += lm_scoring.REFINE * (y - refined[cell])
+                weights += lm_scoring.RATE * (y - p) * x
+            e += 1
+        assert math.isclose(scores[1 << 20][i], total, rel_tol=1e-3)
