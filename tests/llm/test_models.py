@@ -196,15 +196,41 @@ def test_what_is_held_follows_the_contexts(spark, monkeypatch):
             exact.append(odds | np.searchsorted([2, 8, 64], zero + one, side="right") << 6)
         mixer, total, e = lm_scoring.Mixer(code), 0.0, 0
         for at, n in enumerate(size):
-            if at % lm_scoring.SEGMENT == 0:
-                weights, refined = np.ones(3), mixer.refined.copy()
+            if at == 0:
+                weights, refined = np.ones((16, 3)), mixer.refined.copy()
             for e in range(e, e + n):
                 x = np.array([g[v[e]] for g, v in zip(mixer.gated, exact)])
-                dot = np.clip((weights * x).sum(), -7.9, 7.9)
+                gate = (exact[1][e] >> 6) + 4 * (exact[2][e] >> 6)
+                dot = np.clip((weights[gate] * x).sum(), -7.9, 7.9)
                 cell, y, p = int(np.floor(2 * dot)) + 16, float(bit[e]), 1 / (1 + np.exp(-dot))
                 both = (p + refined[cell]) / 2
                 total += np.log10(both if y else 1 - both)
                 refined[cell] += lm_scoring.REFINE * (y - refined[cell])
-                weights += lm_scoring.RATE * (y - p) * x
+                weights[gate] += lm_scoring.RATE * (y - p) * x
             e += 1
         assert math.isclose(scores[1 << 20][i], total, rel_tol=1e-3)
+
+
+def test_trained_weight_sets_are_kept_along_a_text(monkeypatch):
+    random = np.random.default_rng(12)
+    plain = random_mixer(12)
+    mixer = lm_scoring.Mixer(plain.code, plain.tables, sets=lm_scoring.GATED_SETS)
+    texts = [b"", bytes(random.choice(np.frombuffer(b"abcde fgh\n", np.uint8), 3000)), b"two words " * 90]
+    want = []
+    for text in texts:
+        symbol, _, contexts = lm_scoring.symbols([text])
+        size, node, bit = lm_scoring._bits(mixer.code, symbol)
+        values = [t[np.repeat(c, size) ^ node].astype(int) for t, c in zip(mixer.tables, contexts)]
+        weights, refined, total = np.ones((16, 3)), mixer.refined.copy(), 0.0
+        for e, y in enumerate(bit.astype(float)):
+            gate = (values[1][e] >> 6) + 4 * (values[2][e] >> 6)
+            x = np.array([g[v[e]] for g, v in zip(mixer.gated, values)])
+            dot = np.clip((weights[gate] * x).sum(), -7.9, 7.9)
+            cell, p = int(np.floor(2 * dot)) + 16, 1 / (1 + np.exp(-dot))
+            total += np.log10((p + refined[cell]) / 2 if y else 1 - (p + refined[cell]) / 2)
+            refined[cell] += lm_scoring.REFINE * (y - refined[cell])
+            weights[gate] += lm_scoring.RATE * (y - p) * x
+        want.append(total)
+    for size in (1 << 20, 700):
+        monkeypatch.setattr(lm_scoring, "PIECE", size)
+        assert np.allclose(mixer(texts), want, rtol=1e-3)
