@@ -13,8 +13,10 @@ from tidemark.llm import byte_bpe, mixing, ngram_join, quality, suffix_dedup
 from tidemark.llm.documents import load
 from tidemark.sources.staging import settle
 
-#: Bytes of a repeated passage that is cut: fewer than 50 words of ordinary prose take.
+#: Bytes of a repeated passage that is cut: fewer than 50 words of ordinary prose take. A passage of so many words is cut
+#: however few bytes it has.
 PASSAGE_BYTES = 240
+PASSAGE_WORDS = 51
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -39,7 +41,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the repeated passages of PASSAGE_BYTES or more; a character that a passage covers in part stays, and
+    """Documents without the repeated passages of PASSAGE_BYTES or PASSAGE_WORDS or more; a character that a passage covers in part stays, and
     documents of which no word is left go."""
 
     def whole(text: bytes, start: int, stop: int) -> tuple[int, int]:
@@ -55,7 +57,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([piece.column("row"), pa.array(kept, pa.string())], ["row", "text"])
 
     row = docs.select(F.struct(*_others(docs)).alias("row")).schema["row"].dataType.simpleString()
-    cut = suffix_dedup.deduplicate(docs, _others(docs), finish, f"row {row}, text string", PASSAGE_BYTES)
+    cut = suffix_dedup.deduplicate(docs, _others(docs), finish, f"row {row}, text string", PASSAGE_BYTES, words=PASSAGE_WORDS)
     columns = {c: F.col("text") if c == "text" else F.col(f"row.{c}") for c in docs.columns}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)

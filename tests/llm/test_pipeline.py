@@ -8,7 +8,7 @@ import tiktoken
 
 import corpus_pipeline
 from test_duplicates import plain_components
-from tidemark.llm import byte_bpe, mixing, queries, quality
+from tidemark.llm import byte_bpe, mixing, queries, quality, suffix_dedup
 from tidemark.llm.documents import load
 from tidemark.sources.staging import settle
 
@@ -68,6 +68,19 @@ def test_repeat_stage(stages):
             assert i not in got
 
 
+def test_short_words_of_a_passage(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    passage = " ".join(letters[i * i % 26] + letters[i % 26] * (i % 2) for i in range(51))  # 51 words, 126 bytes
+    fifty = " ".join(letters[(i * 7 + i // 26) % 26] for i in range(50))
+    alone = " ".join(letters[(i * i * i + 3) % 26] for i in range(60))
+    texts = ["one " + passage + " two", "é\n" + passage + "\tthree", passage + "four", "five " + fifty, "six " + fifty, alone, passage]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for size in (1 << 19, 7):  # texts whole and in parts
+        monkeypatch.setattr(suffix_dedup, "PART_BYTES", size)
+        got = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+        assert got == {0: "one  two", 1: "é\n\tthree", 2: texts[2], 3: texts[3], 4: texts[4], 5: alone}
+
+
 def test_mixing_stage(stages):
     docs, after = stages[3]
     want = {r.doc_id for r in mixing.weights(docs).where("kept").collect()}

@@ -17,6 +17,9 @@ A string of `length` bytes that starts at two places is found in four steps.
    passage are found without a tree, and no task has to hold all its anchors.
 4. Cover. What the repeats of at least `length` bytes cover is removed from each text.
 
+Where a number of words is given too, strings of so many whole words that are repeated are removed however short they are:
+those under `length` bytes, which are few, meet by two hashes of the string.
+
 Bytes are UTF-8. Matches lie within a text; both places may be in the same text and may overlap. Null texts are empty
 ones; texts shorter than `length` are kept whole. Repeated rows are repeats of each other. Every row of the input has a
 row of the result.
@@ -42,6 +45,8 @@ HOT_CLASSES = 8_192
 PART_BYTES = 1 << 19
 #: Fixed odd multipliers of the rolling hashes.
 BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F)
+WHITE = np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -360,6 +365,33 @@ def cover(texts: DataFrame, length: int, gram: int, hot_classes: int) -> DataFra
     return settle(spans, "dedup-spans")
 
 
+def short_strings(texts: DataFrame, length: int, words: int) -> DataFrame:
+    """k and `spans` of the repeated strings of so many words, from a word's first byte to a word's last, under `length` bytes."""
+
+    def of_text(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+        for start in range(0, len(text), PART_BYTES):
+            begin = max(0, start - 1)
+            raw = np.frombuffer(text, np.uint8)[begin : start + PART_BYTES + length]
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], WHITE[raw], [True]]).astype(np.int8)))
+            first, last = edge[::2][: -words + 1 or None], edge[1::2][words - 1 :]  # of the strings; a text's edges are spaces
+            some = (last - first < length) & (first + begin >= start) & (first + begin < start + PART_BYTES)
+            some &= (first > 0) | (begin == 0)
+            first, last = first[some], last[some]
+            yield Rolling(raw)(first, last), Rolling(raw, 1)(first, last), first + begin, last + begin
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, limit=PART_BYTES):
+            for key, text in zip(piece.column("k"), piece.column("text")):
+                for h, g, low, high in of_text(text.as_py()):
+                    columns = [pa.array(x) for x in (h.view(np.int64), g.view(np.int64), low, high)]
+                    if len(low):
+                        yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(low), pa.binary()), *columns], ["k", "h", "g", "low", "high"])
+
+    found = settle(texts.select("k", "text").mapInArrow(run, "k binary, h long, g long, low long, high long"), "dedup-words")
+    again = found.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1")
+    return found.join(again, ["h", "g"], "left_semi").groupBy("k").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+
+
 def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
     """The spans, clipped to the text, as maximal runs in order."""
     out: list[tuple[int, int]] = []
@@ -383,12 +415,15 @@ def deduplicate(
     gram: int = GRAM,
     hot_classes: int = HOT_CLASSES,
     text_col: str = "text",
+    words: int | None = None,
 ) -> DataFrame:
     """What `finish` makes of `row` (a struct of the carried columns), `text` (binary) and the runs, as start and stop, of
-    the bytes of each text that are to be removed."""
+    the bytes of each text that are to be removed: repeats of `length` bytes or, if given, of so many words."""
     ship(docs.sparkSession)
     texts = _keyed(docs, carry, text_col)
     spans = cover(texts, length, gram, hot_classes)
+    if words is not None:
+        spans = spans.union(short_strings(texts, length, words)).groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=1 << 20):
