@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann_forest, byte_bpe, lm_scoring, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
+from tidemark.llm import ann_forest, byte_bpe, lm_scoring, merkle, mixing, ngram_join, oracles, quality, sharding, suffix_dedup, token_counts, token_files
 from tidemark.llm.documents import load
 
 
@@ -52,6 +52,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.store_and_read(load(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(load(spark, sf_dir))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_ngram_join,
@@ -64,9 +68,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_quality_rules,
         op10_token_files,
+        op13_merkle_manifest,
     )
     return {f.__name__: f for f in every}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_source_mixing": oracles.mixing_sql()}
+    return {"op7_source_mixing": oracles.mixing_sql(), "op13_merkle_manifest": oracles.manifest_sql()}
