@@ -48,6 +48,7 @@ SPREAD_BYTES = 1 << 20
 KEY = "k1 long, k2 long"
 TILES = f"{KEY}, octave int, first long, words array<int>"
 FRAGMENTS = f"{KEY}, period long, start long, stop long"
+SCANNED = f"{FRAGMENTS}, doc_id long, text string, plain string"
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 DIGESTS = "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
 
@@ -227,43 +228,59 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def find(keyed: DataFrame, plant: bool = False) -> DataFrame:
-    """`k1`, `k2` and the runs of each document that has any, by start and period."""
+def _numbered_rows(piece: pa.RecordBatch, plant: bool) -> Iterator[tuple[int, int, list[bytes], np.ndarray]]:
+    for row in piece.to_pylist():
+        words = words_of(row["text"] or "", plant, row["doc_id"])
+        yield row["k1"], row["k2"], words, numbered(words)
 
-    def numbers(piece: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-        for row in piece.to_pylist():
-            yield row["k1"], row["k2"], numbered(words_of(row["text"] or "", plant, row["doc_id"]))
+
+def scan(keyed: DataFrame, plant: bool) -> tuple[DataFrame, DataFrame]:
+    """Fragments of all documents, and the documents themselves: `plain` is the digest of the words of one without any
+    fragment, and null for others, which have their `text`. Texts are read once, and few of them are stored."""
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            tiles = Tiles()
-            for k1, k2, words in numbers(piece):
-                for octave, first, end in tiles_of(len(words)):
-                    tiles.add(k1, k2, octave, first, words[first:end])
-            yield from tiles.fragments()
+            tiles, listed, repeating = Tiles(), [], set()
+            for k1, k2, words, numbers in _numbered_rows(piece, plant):
+                listed.append((k1, k2, words))
+                for octave, first, end in tiles_of(len(numbers)):
+                    tiles.add(k1, k2, octave, first, numbers[first:end])
+            for found in tiles.fragments():
+                repeating |= set(zip(found.column("k1").to_pylist(), found.column("k2").to_pylist()))
+                nothing = [pa.nulls(len(found), x) for x in (pa.int64(), pa.string(), pa.string())]
+                yield pa.RecordBatch.from_arrays([*found.columns, *nothing], names)
+            again = [(k1, k2) in repeating for k1, k2, _ in listed]
+            plain = [None if x else sha256(b" ".join(words)).hexdigest() for x, (_, _, words) in zip(again, listed)]
+            text = [x if held else None for x, held in zip(piece.column("text").to_pylist(), again)]
+            keys = [pa.array(x, pa.int64()) for x in list(zip(*listed))[:2]]
+            no_stretch = [pa.nulls(len(listed), pa.int64())] * 3
+            rest = [piece.column("doc_id"), pa.array(text, pa.string()), pa.array(plain, pa.string())]
+            yield pa.RecordBatch.from_arrays([*keys, *no_stretch, *rest], names)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
         for piece in pieces(batches):
-            for k1, k2, words in numbers(piece):
-                for octave, first, end in tiles_of(len(words)):
-                    values = [[k1], [k2], [octave], [first], [words[first:end]]]
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(v, k) for v, k in zip(values, kinds)], ["k1", "k2", "octave", "first", "words"]
-                    )
+            for k1, k2, _, numbers in _numbered_rows(piece, plant):
+                for octave, first, end in tiles_of(len(numbers)):
+                    row = zip([k1, k2, octave, first, numbers[first:end]], kinds)
+                    yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in row], ["k1", "k2", "octave", "first", "words"])
 
     def there(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
+            for i in range(batch.num_rows):  # a tile at a time
                 k1, k2, octave, first = (batch.column(c)[i].as_py() for c in ("k1", "k2", "octave", "first"))
                 tile = Tiles()
                 tile.add(k1, k2, octave, first, batch.column("words")[i].values.to_numpy())
                 yield from tile.fragments()
 
-    large = F.octet_length("text") > SPREAD_BYTES
-    near = keyed.where(~large).mapInArrow(here, FRAGMENTS)  # null texts have no words
-    far = keyed.where(large).mapInArrow(spread, TILES).repartition("k1", "k2", "octave", "first").mapInArrow(there, FRAGMENTS)
-    return stitch(near.unionByName(far))
+    names = [x.split()[0] for x in SCANNED.split(", ")]
+    large = F.coalesce(F.octet_length("text") > SPREAD_BYTES, F.lit(False))
+    read = settle(keyed.where(~large).mapInArrow(here, SCANNED), "periodic-scan")
+    tiles = keyed.where(large).mapInArrow(spread, TILES).repartition("k1", "k2", "octave", "first")
+    fragments = read.where("period is not null").select("k1", "k2", "period", "start", "stop")
+    documents = read.where("period is null").select("doc_id", "k1", "k2", "text", "plain")
+    late = keyed.where(large).select("doc_id", "k1", "k2", "text", F.lit(None).cast("string").alias("plain"))
+    return fragments.unionByName(tiles.mapInArrow(there, FRAGMENTS)), documents.unionByName(late)
 
 
 def stitch(fragments: DataFrame) -> DataFrame:
@@ -284,16 +301,16 @@ def stitch(fragments: DataFrame) -> DataFrame:
 
 def runs(docs: DataFrame) -> DataFrame:
     """doc_id, start, length and period of every run of every document as it is."""
-    keyed = _keyed(docs)
-    return keyed.drop("text").join(settle(find(keyed), "periodic-runs"), ["k1", "k2"]).select("doc_id", F.inline("runs"))
+    fragments, documents = scan(_keyed(docs), plant=False)
+    return documents.drop("text", "plain").join(stitch(fragments), ["k1", "k2"]).select("doc_id", F.inline("runs"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """For each document, some of them altered as `planted` says: the number of runs, the run of greatest exponent, and
     digests of all runs and of the text without the words that repeat a run's root."""
-    keyed = _keyed(docs)
-    found = settle(find(keyed, plant=True), "periodic-runs")
-    joined = keyed.join(found, ["k1", "k2"], "left").select("doc_id", "text", "runs")
+    fragments, documents = scan(_keyed(docs), plant=True)
+    # merged by key whatever the size, so that growing runs don't change the plan
+    joined = documents.where("plain is null").hint("merge").join(stitch(fragments), ["k1", "k2"], "left")
     names = [x.split()[0] for x in DIGESTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,14 +321,17 @@ def digests(docs: DataFrame) -> DataFrame:
                 listed = [(x["start"], x["length"], x["period"]) for x in row["runs"] or []]
                 best = max(listed, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
                 milli = None if best[0] is None else 1000 * best[1] // best[2]
-                if listed:
-                    kept = np.ones(len(words), bool)
-                    for start, length, period in listed:
-                        kept[start + period : start + length] = False
-                    words = [words[i] for i in np.flatnonzero(kept).tolist()]
+                kept = np.ones(len(words), bool)
+                for start, length, period in listed:
+                    kept[start + period : start + length] = False
+                left = b" ".join([words[i] for i in np.flatnonzero(kept).tolist()])
                 lines = "".join(f"{s},{n},{q}\n" for s, n, q in listed)
-                rows.append((row["doc_id"], len(listed), *best, milli, sha256(lines.encode()).hexdigest(), sha256(b" ".join(words)).hexdigest()))
+                rows.append((row["doc_id"], len(listed), *best, milli, sha256(lines.encode()).hexdigest(), sha256(left).hexdigest()))
             kinds = [pa.int64()] * 6 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
-    return joined.mapInArrow(run, DIGESTS)
+    none = [F.lit(None).cast("long").alias(x) for x in names[2:6]]
+    plain = documents.where("plain is not null").select(
+        "doc_id", F.lit(0).cast("long").alias("n_runs"), *none, F.sha2(F.lit(b""), 256).alias(names[6]), F.col("plain").alias(names[7])
+    )
+    return plain.unionByName(joined.select("doc_id", "text", "runs").mapInArrow(run, DIGESTS))
