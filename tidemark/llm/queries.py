@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann_forest, byte_bpe, lm_scoring, merkle, mixing, ngram_join, oracles, periodic_runs, quality, sharding, suffix_dedup, token_counts, token_files
+from tidemark.llm import ann_forest, byte_bpe, lm_scoring, merkle, mixing, ngram_join, oracles, periodic_runs, quality, sharding, suffix_dedup, token_counts, token_files, toxicity
 from tidemark.llm.documents import load
 
 
@@ -52,6 +52,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.store_and_read(load(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(load(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(load(spark, sf_dir))
 
@@ -72,6 +76,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_quality_rules,
         op10_token_files,
+        op11_toxic_spans,
         op12_periodic_runs,
         op13_merkle_manifest,
     )
