@@ -93,7 +93,7 @@ def watchlist_jobs(t):
 
 @query
 def latest_bars(t):
-    return D.latest_bars(t.market_data_raw)
+    return D.latest_bars(t.market_data_raw, days=t.days)
 
 
 def _stored(t, table, append, batch, *columns):
@@ -255,7 +255,7 @@ def _landed_open_interest(t):
 @query
 def clip_pages(t):
     landed = N.normalize_open_interest(_landed_open_interest(t))
-    plan = P.plan_series_requests(P.history_high_water(t.jobs.where(F.col("is_active")), t.histories), now())
+    plan = P.plan_series_requests(P.history_high_water(t.jobs.where(F.col("is_active")), t.days), now())
     kept = N.clip_pages(landed, plan.where(F.col("error_message").isNull()), "open_time")
     return kept.groupBy(*C.STREAM_KEY).agg(
         F.count(F.lit(1)).alias("kept"), F.min("open_time").alias("first_time"), F.max("open_time").alias("last_time")
@@ -362,12 +362,12 @@ MARK_COLUMNS = ["job_name", *C.STREAM_KEY, *P.MARKS]
 
 
 def _bar_marks(t):
-    return P.bar_high_water(t.jobs, t.market_data_raw)
+    return P.bar_high_water(t.jobs, t.days)
 
 
 def _series_marks(t):
-    history = P.history_high_water(t.jobs, t.histories)
-    return history.unionByName(P.event_high_water(t.jobs, t.event_tables))
+    history = P.history_high_water(t.jobs, t.days)
+    return history.unionByName(P.event_high_water(t.jobs, t.days))
 
 
 @query
@@ -377,12 +377,12 @@ def bar_high_water(t):
 
 @query
 def history_high_water(t):
-    return P.history_high_water(t.jobs, t.histories).select(*MARK_COLUMNS)
+    return P.history_high_water(t.jobs, t.days).select(*MARK_COLUMNS)
 
 
 @query
 def event_high_water(t):
-    return P.event_high_water(t.jobs, t.event_tables).select(*MARK_COLUMNS)
+    return P.event_high_water(t.jobs, t.days).select(*MARK_COLUMNS)
 
 
 @query
@@ -641,7 +641,7 @@ def normalize_selection(t):
 
 
 def _status(t):
-    return D.data_status(t.jobs, t.status_tables)
+    return D.data_status(t.jobs, t.days)
 
 
 @query
@@ -656,17 +656,17 @@ def data_status(t):
 
 @query
 def aggregate_volume(t):
-    return D.aggregate_volume(t.market_data_raw, t.asset_registry)
+    return D.aggregate_volume(t.market_data_raw, t.asset_registry, days=t.days)
 
 
 @query
 def volume_breakdown(t):
-    return D.volume_breakdown(t.market_data_raw, t.asset_registry)
+    return D.volume_breakdown(t.market_data_raw, t.asset_registry, days=t.days)
 
 
 @query
 def chart_all(t):
-    return D.chart_all(t.market_data_raw, t.asset_registry)
+    return D.chart_all(t.market_data_raw, t.asset_registry, days=t.days)
 
 
 def _selections(t):
@@ -675,7 +675,7 @@ def _selections(t):
 
 @query
 def chart_single(t):
-    return D.chart_single(t.market_data_raw, t.asset_registry, _selections(t))
+    return D.chart_single(t.market_data_raw, t.asset_registry, _selections(t), days=t.days)
 
 
 @query
@@ -686,42 +686,42 @@ def chart_limit(t):
 
 @query
 def aggregate_open_interest(t):
-    return D.aggregate_open_interest(t.open_interest_history, t.asset_registry)
+    return D.aggregate_open_interest(t.open_interest_history, t.asset_registry, days=t.days)
 
 
 @query
 def open_interest_breakdown(t):
-    return D.open_interest_breakdown(t.open_interest_history, t.asset_registry)
+    return D.open_interest_breakdown(t.open_interest_history, t.asset_registry, days=t.days)
 
 
 @query
 def aggregate_funding(t):
-    return D.aggregate_funding(t.funding_rate_history, t.asset_registry).withColumn("value", F.round("value", 12))
+    return D.aggregate_funding(t.funding_rate_history, t.asset_registry, days=t.days).withColumn("value", F.round("value", 12))
 
 
 @query
 def funding_breakdown(t):
-    return D.funding_breakdown(t.funding_rate_history, t.asset_registry).withColumn("value", F.round("value", 12))
+    return D.funding_breakdown(t.funding_rate_history, t.asset_registry, days=t.days).withColumn("value", F.round("value", 12))
 
 
 @query
 def long_short(t):
-    return D.long_short(t.long_short_ratio_history, t.asset_registry)
+    return D.long_short(t.long_short_ratio_history, t.asset_registry, days=t.days)
 
 
 @query
 def long_short_breakdown(t):
-    return D.long_short_breakdown(t.long_short_ratio_history, t.asset_registry)
+    return D.long_short_breakdown(t.long_short_ratio_history, t.asset_registry, days=t.days)
 
 
 @query
 def taker(t):
-    return D.taker(t.taker_buy_sell_volume_history, t.asset_registry)
+    return D.taker(t.taker_buy_sell_volume_history, t.asset_registry, days=t.days)
 
 
 @query
 def taker_breakdown(t):
-    return D.taker_breakdown(t.taker_buy_sell_volume_history, t.asset_registry)
+    return D.taker_breakdown(t.taker_buy_sell_volume_history, t.asset_registry, days=t.days)
 
 
 @query
@@ -735,37 +735,37 @@ def liquidation_bucket(t):
 
 @query
 def aggregate_liquidations(t):
-    return D.aggregate_liquidations(t.liquidation_event, t.asset_registry)
+    return D.aggregate_liquidations(t.liquidation_event, t.asset_registry, days=t.days)
 
 
 @query
 def liquidation_breakdown(t):
-    return D.liquidation_breakdown(t.liquidation_event, t.asset_registry)
+    return D.liquidation_breakdown(t.liquidation_event, t.asset_registry, days=t.days)
 
 
 @query
 def open_interest_single(t):
-    return D.open_interest_single(t.open_interest_history)
+    return D.open_interest_single(t.open_interest_history, days=t.days)
 
 
 @query
 def long_short_single(t):
-    return D.long_short_single(t.long_short_ratio_history)
+    return D.long_short_single(t.long_short_ratio_history, days=t.days)
 
 
 @query
 def taker_single(t):
-    return D.taker_single(t.taker_buy_sell_volume_history)
+    return D.taker_single(t.taker_buy_sell_volume_history, days=t.days)
 
 
 @query
 def funding_single(t):
-    return D.funding_single(t.funding_rate_history)
+    return D.funding_single(t.funding_rate_history, days=t.days)
 
 
 @query
 def liquidation_single(t):
-    return D.liquidation_single(t.liquidation_event)
+    return D.liquidation_single(t.liquidation_event, days=t.days)
 
 
 BUNDLE = ["series", "bar_interval", "asset", "exchange", "time", "value", "buy_volume", "sell_volume", "buy_sell_ratio", *D.LIQUIDATION_SUMS]
@@ -773,14 +773,14 @@ BUNDLE = ["series", "bar_interval", "asset", "exchange", "time", "value", "buy_v
 
 @query
 def derivatives_all(t):
-    rows = D.derivatives_all(t.derivative_tables, t.asset_registry)
+    rows = D.derivatives_all(t.derivative_tables, t.asset_registry, days=t.days)
     return rows.select(*BUNDLE).withColumn("value", F.round("value", 12))
 
 
 @query
 def derivatives_single(t):
     picks = _asked_markets(t).select("asset", "exchange", F.explode(F.array(*[F.lit(i) for i in C.SELECTION_INTERVALS])).alias("bar_interval"))
-    return D.derivatives_single(t.derivative_tables, t.asset_registry, picks).select(*BUNDLE)
+    return D.derivatives_single(t.derivative_tables, t.asset_registry, picks, days=t.days).select(*BUNDLE)
 
 
 @query
@@ -827,8 +827,8 @@ def oi_volume_ratio(t):
 def _bundles(t):
     """Chart and derivatives of every asset, settled once per query."""
     return FA.settled_inputs(
-        D.chart_all(t.market_data_raw, t.asset_registry),
-        D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS),
+        D.chart_all(t.market_data_raw, t.asset_registry, days=t.days),
+        D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS, days=t.days),
     )
 
 
@@ -842,8 +842,8 @@ def exchange_matrix(t):
 
 @query
 def liquidation_or_zero(t):
-    chart = settle(D.chart_all(t.market_data_raw, t.asset_registry), "chart")
-    sums = D.aggregate_liquidations(t.liquidation_event, t.asset_registry, intervals=INTERVALS)
+    chart = settle(D.chart_all(t.market_data_raw, t.asset_registry, days=t.days), "chart")
+    sums = D.aggregate_liquidations(t.liquidation_event, t.asset_registry, intervals=INTERVALS, days=t.days)
     return FA.liquidation_or_zero(FA.candles_of(chart), sums)
 
 
@@ -901,16 +901,16 @@ def exchange_order(t):
 
 @query
 def signed_flow(t):
-    flow = D.taker(t.taker_buy_sell_volume_history, t.asset_registry)
-    return FA.signed_flow(flow, D.aggregate_liquidations(t.liquidation_event, t.asset_registry))
+    flow = D.taker(t.taker_buy_sell_volume_history, t.asset_registry, days=t.days)
+    return FA.signed_flow(flow, D.aggregate_liquidations(t.liquidation_event, t.asset_registry, days=t.days))
 
 
 VISIBLE = 1704672000, 1705881600
 
 
 def _axis_ranges(t, **window):
-    chart = D.chart_all(t.market_data_raw, t.asset_registry)
-    derived = D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS)
+    chart = D.chart_all(t.market_data_raw, t.asset_registry, days=t.days)
+    derived = D.derivatives_all(t.derivative_tables, t.asset_registry, intervals=INTERVALS, days=t.days)
     out = FA.axis_ranges(chart, derived, **window)
     return out.withColumn("min", F.round("min", 6)).withColumn("max", F.round("max", 6))
 
@@ -950,13 +950,13 @@ def local_time(t):
 
 @query
 def rolling_zscore(t):
-    points = D.aggregate_open_interest(t.open_interest_history, t.asset_registry)
+    points = D.aggregate_open_interest(t.open_interest_history, t.asset_registry, days=t.days)
     return FA.rolling_zscore(points, ["asset", "bar_interval"]).withColumn("zscore", F.round("zscore", 6))
 
 
 @query
 def liquidation_ratio(t):
-    sums = D.aggregate_liquidations(t.liquidation_event, t.asset_registry)
+    sums = D.aggregate_liquidations(t.liquidation_event, t.asset_registry, days=t.days)
     return FA.liquidation_ratio(sums).select("asset", "bar_interval", "time", F.round("long_share", 9).alias("long_share"))
 
 
@@ -1018,7 +1018,7 @@ CUT = 4
 def _cut(name, source, with_registry, *rounded):
     def build(t):
         inputs = [getattr(t, source), *([t.asset_registry] if with_registry else [])]
-        out = getattr(D, name)(*inputs, limit=CUT)
+        out = getattr(D, name)(*inputs, limit=CUT, days=t.days)
         for column in rounded:
             out = out.withColumn(column, F.round(column, 12))
         return out

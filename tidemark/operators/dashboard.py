@@ -6,6 +6,9 @@ filters reach the scan. Output times are epoch seconds, values doubles (cast las
 Registry joins carry no broadcast hint: a small registry is broadcast by its measured size, and a large one joins
 by shuffle with adaptive skew splitting. Event tables are summed per market before the join, so a market with a
 third of all events reaches it as one row per bucket and task.
+
+Newest-N series take the table's summary as `days` (see sources/summary.py): with it only the days that the series need
+are read. Without it they read the whole history and give the same rows.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from tidemark import constants as C
 from tidemark.functions import timegrid as G
 from tidemark.functions import values as V
 from tidemark.operators import markets as M
+from tidemark.sources import summary as SU
 
 SELECTION = ["asset", "bar_interval"]
 
@@ -61,6 +65,15 @@ def _chart_rows(limit: int | None) -> tuple[Column | int, int]:
     return G.chart_limit(F.col("bar_interval")), max(*C.CHART_ROWS.values(), C.CHART_ROWS_OTHER)
 
 
+def _of_datasets(days: DataFrame, *datasets: str) -> DataFrame:
+    return days.where(F.col("source_dataset").isin(*datasets))
+
+
+def _walked(rows: DataFrame, held: DataFrame, groups: list[str], limit: Column | int) -> DataFrame:
+    """The rows of the days that the newest `limit` of each group can lie on."""
+    return SU.on_days(rows, SU.needed_days(held, groups, limit))
+
+
 def _on_market(rows: DataFrame, markets: DataFrame) -> DataFrame:
     """Rows of the given markets with their asset."""
     return rows.join(markets.select(*C.MARKET_KEY, "asset"), C.MARKET_KEY)
@@ -79,34 +92,20 @@ def _active_markets(registry: DataFrame, asset: str | None) -> DataFrame:
 # --- watchlist and status -----------------------------------------------------------
 
 
-def data_status(jobs: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def data_status(jobs: DataFrame, tables: DataFrame | dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """First, last, count and last ingest per stream. Streams come from the job list, so empty ones show zero.
 
-    `tables` maps dataset to (table, time column); a table without a dataset or interval column takes the dataset
-    name and the job's interval.
+    `tables` is the summary of the fact tables, or maps dataset to (table, time column), which are then read whole; a table
+    without a dataset column takes the dataset name.
     """
-    parts = []
-    for name, (table, time) in tables.items():
-        dataset = F.col("source_dataset") if "source_dataset" in table.columns else F.lit(name)
-        interval = F.col("bar_interval") if "bar_interval" in table.columns else F.lit(None).cast("string")
-        parts.append(
-            table.select(
-                *C.MARKET_KEY,
-                interval.alias("interval_key"),
-                dataset.alias("source_dataset"),
-                F.col(time).cast("timestamp").alias("at"),
-                F.col("ingested_at").cast("timestamp").alias("ingested_at"),
-            )
-        )
-    marks = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy(*C.MARKET_KEY, "source_dataset", F.coalesce("interval_key", F.lit("")).alias("interval_key"))
-        .agg(
-            F.min("at").alias("first_time"),
-            F.max("at").alias("last_time"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.max("ingested_at").alias("last_ingested_at"),
-        )
+    days = tables
+    if isinstance(tables, dict):
+        parts = [
+            SU.summarise(table, time, None if "source_dataset" in table.columns else name) for name, (table, time) in tables.items()
+        ]
+        days = reduce(DataFrame.unionByName, parts)
+    marks = days.groupBy(*C.MARKET_KEY, "source_dataset", F.col("bar_interval").alias("interval_key")).agg(
+        *[SU.MERGED[c](c).alias(c) for c in ("first_time", "last_time", "row_count", "last_ingested_at")]
     )
     event_dataset = F.col("source_dataset").isin("funding_rate", "liquidation")
     streams = jobs.select(*C.STREAM_KEY).distinct()
@@ -175,11 +174,14 @@ def latest_bars(
     market_type: str | None = None,
     interval: str | None = None,
     dataset: str | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Newest bars of each stream as epoch seconds and doubles, NULL volume as zero."""
-    rows = _narrow(
-        bars, exchange=exchange, symbol=symbol, market_type=market_type, bar_interval=interval, source_dataset=dataset
-    )
+    wanted = dict(exchange=exchange, symbol=symbol, market_type=market_type, bar_interval=interval, source_dataset=dataset)
+    rows = _narrow(bars, **wanted)
+    if days is not None:
+        own = _narrow(_of_datasets(days, *C.OHLCV_DATASETS), **wanted)
+        rows = _walked(rows, SU.rows_by_day(own, C.STREAM_KEY), C.STREAM_KEY, limit)
     newest = _newest_rows(rows, C.STREAM_KEY, limit, [F.col("open_time").desc()], limit)
     return newest.select(
         *C.STREAM_KEY,
@@ -189,10 +191,20 @@ def latest_bars(
     )
 
 
-def _exchange_volume(bars: DataFrame, registry: DataFrame, asset: str | None, interval: str | None) -> DataFrame:
+def _exchange_volume(
+    bars: DataFrame,
+    registry: DataFrame,
+    asset: str | None,
+    interval: str | None,
+    days: DataFrame | None = None,
+    limit: Column | int = C.CHART_ROWS_OTHER,
+) -> DataFrame:
     candles = _narrow(bars.where(F.col("source_dataset") == "kline"), bar_interval=interval)
-    priced = candles.select(*C.SERIES_KEY, "open_time", V.bar_notional().alias("notional"))
     markets = _narrow(M.preferred_markets_any(registry), asset=asset)
+    if days is not None:
+        own = _on_market(_narrow(_of_datasets(days, "kline"), bar_interval=interval), markets)
+        candles = _walked(candles, SU.times_by_day(own, SELECTION), SELECTION, limit)
+    priced = candles.select(*C.SERIES_KEY, "open_time", V.bar_notional().alias("notional"))
     return _on_market(priced, markets)
 
 
@@ -205,22 +217,27 @@ def _over_exchanges(rows: DataFrame, value: str) -> DataFrame:
 
 
 def _newest_volume_parts(
-    bars: DataFrame, registry: DataFrame, asset: str | None, interval: str | None, limit: int | None
+    bars: DataFrame, registry: DataFrame, asset: str | None, interval: str | None, limit: int | None, days: DataFrame | None
 ) -> DataFrame:
     rows, most = _chart_rows(limit)
     # stated here so that a join on these keys adds no filter that would keep plans from sharing the shuffle
-    keyed = _exchange_volume(bars, registry, asset, interval).where(
+    keyed = _exchange_volume(bars, registry, asset, interval, days, rows).where(
         F.col("asset").isNotNull() & F.col("bar_interval").isNotNull()
     )
     return _newest_times(_by_exchange(keyed, "notional"), SELECTION, rows, "open_time", most)
 
 
 def aggregate_volume(
-    bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
+    bars: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Quote volume per bar over each asset's preferred market on every exchange; newest bars only."""
     rows, most = _chart_rows(limit)
-    totals = _over_exchanges(_exchange_volume(bars, registry, asset, interval), "notional")
+    totals = _over_exchanges(_exchange_volume(bars, registry, asset, interval, days, rows), "notional")
     newest = _newest_rows(totals, SELECTION, rows, [F.col("open_time").desc()], most)
     return newest.select(
         *SELECTION, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("value").cast("double").alias("volume")
@@ -228,10 +245,15 @@ def aggregate_volume(
 
 
 def volume_breakdown(
-    bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
+    bars: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The same volume per exchange, for the newest distinct bar times."""
-    return _breakdown_points(_newest_volume_parts(bars, registry, asset, interval, limit), "open_time")
+    return _breakdown_points(_newest_volume_parts(bars, registry, asset, interval, limit, days), "open_time")
 
 
 def _breakdown_points(rows: DataFrame, time: str) -> DataFrame:
@@ -241,17 +263,23 @@ def _breakdown_points(rows: DataFrame, time: str) -> DataFrame:
 
 
 def _chart_bars(
-    bars: DataFrame, markets: DataFrame, groups: list[str], limit: int | None, asset: str | None
+    bars: DataFrame,
+    markets: DataFrame,
+    keys: list[str],
+    groups: list[str],
+    limit: int | None,
+    asset: str | None,
+    days: DataFrame | None,
 ) -> DataFrame:
     """Newest bars of the three price datasets for chosen markets; mark and index only for perpetuals."""
     rows, most = _chart_rows(limit)
-    priced = (
-        (bars if asset is None else _of_symbols(bars, markets))
-        .where(F.col("source_dataset").isin(C.OHLCV_DATASETS))
-        .join(markets, C.MARKET_KEY)
-        .where((F.col("source_dataset") == "kline") | (F.col("market_type") == "perpetual"))
-    )
-    return _newest_rows(priced, [*groups, "source_dataset"], rows, [F.col("open_time").desc()], most)
+    shown = (F.col("source_dataset") == "kline") | (F.col("market_type") == "perpetual")
+    priced = (bars if asset is None else _of_symbols(bars, markets)).where(F.col("source_dataset").isin(C.OHLCV_DATASETS))
+    groups = [*groups, "source_dataset"]
+    if days is not None:
+        own = _of_datasets(days, *C.OHLCV_DATASETS).join(markets, keys).where(shown)
+        priced = _walked(priced, SU.rows_by_day(own, groups), groups, rows)
+    return _newest_rows(priced.join(markets, keys).where(shown), groups, rows, [F.col("open_time").desc()], most)
 
 
 PRICES = ["open", "high", "low", "close", "volume"]
@@ -278,7 +306,12 @@ def _price_points(rows: DataFrame, groups: list[str], candle_volume: Column) ->
 
 
 def chart_all(
-    bars: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int | None = None
+    bars: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Cross-exchange chart of each asset: prices of its reference market, volume as the quote total of all exchanges.
 
@@ -286,12 +319,13 @@ def chart_all(
     """
     assets = _active_markets(registry, asset).select("asset").distinct()
     reference = M.reference_market(registry, assets)
-    rows = _chart_bars(_narrow(bars, bar_interval=interval), reference, SELECTION, limit, asset)
+    shown = None if days is None else _narrow(days, bar_interval=interval)
+    rows = _chart_bars(_narrow(bars, bar_interval=interval), reference, C.MARKET_KEY, SELECTION, limit, asset, shown)
     priced = rows.select(
         *SELECTION, "source_dataset", G.epoch_seconds(F.col("open_time")).alias("time"), *PRICES, F.lit(1).alias("has_bar")
     )
     # the newest times of the breakdown are the newest times of the totals, so both come from one ranked set
-    newest = _newest_volume_parts(bars, registry, asset, interval, limit)
+    newest = _newest_volume_parts(bars, registry, asset, interval, limit, days)
     totals = _over_exchanges(newest, "value").select(
         *SELECTION,
         F.lit("kline").alias("source_dataset"),
@@ -314,17 +348,12 @@ def chart_all(
     return prices.unionByName(breakdown, allowMissingColumns=True)
 
 
-def chart_single(bars: DataFrame, registry: DataFrame, selections: DataFrame, limit: int | None = None) -> DataFrame:
+def chart_single(
+    bars: DataFrame, registry: DataFrame, selections: DataFrame, limit: int | None = None, days: DataFrame | None = None
+) -> DataFrame:
     """Charts of single markets, one per selection (asset, exchange, bar_interval)."""
     chosen = M.resolve_market(registry, selections.distinct())
-    groups = ["asset", "exchange", "bar_interval"]
-    rows, most = _chart_rows(limit)
-    priced = (
-        bars.where(F.col("source_dataset").isin(C.OHLCV_DATASETS))
-        .join(chosen, C.SERIES_KEY)
-        .where((F.col("source_dataset") == "kline") | (F.col("market_type") == "perpetual"))
-    )
-    newest = _newest_rows(priced, [*groups, "source_dataset"], rows, [F.col("open_time").desc()], most)
+    newest = _chart_bars(bars, chosen, C.SERIES_KEY, ["asset", "exchange", "bar_interval"], limit, None, days)
     timed = newest.withColumn("time", G.epoch_seconds(F.col("open_time")))
     volume = F.coalesce(F.col("volume").cast("double"), F.lit(0.0))
     return _price_points(timed, ["asset", "bar_interval"], volume)
@@ -333,10 +362,16 @@ def chart_single(bars: DataFrame, registry: DataFrame, selections: DataFrame, li
 # --- open interest ------------------------------------------------------------------------
 
 
-def _exchange_open_interest(history: DataFrame, registry: DataFrame, asset: str | None, interval: str | None) -> DataFrame:
+def _exchange_open_interest(
+    history: DataFrame, registry: DataFrame, asset: str | None, interval: str | None, days: DataFrame | None, limit: int
+) -> DataFrame:
     rows = _narrow(history.where(F.col("market_type") == "perpetual"), bar_interval=interval)
+    markets = _narrow(M.preferred_markets_perp(registry), asset=asset)
+    if days is not None:
+        own = _on_market(_narrow(_of_datasets(days, "open_interest"), bar_interval=interval), markets)
+        rows = _walked(rows, SU.times_by_day(own, SELECTION), SELECTION, limit)
     valued = rows.select(*C.SERIES_KEY, "open_time", V.open_interest_number().alias("amount"))
-    return _on_market(valued, _narrow(M.preferred_markets_perp(registry), asset=asset))
+    return _on_market(valued, markets)
 
 
 def _interest_points(totals: DataFrame, limit: int) -> DataFrame:
@@ -351,26 +386,43 @@ def _interest_parts(parts: DataFrame, limit: int) -> DataFrame:
 
 
 def aggregate_open_interest(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Open interest over each asset's preferred perpetuals. Exchanges without a value add contract amounts."""
-    return _interest_points(_over_exchanges(_exchange_open_interest(history, registry, asset, interval), "amount"), limit)
+    rows = _exchange_open_interest(history, registry, asset, interval, days, limit)
+    return _interest_points(_over_exchanges(rows, "amount"), limit)
 
 
 def open_interest_breakdown(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The same open interest per exchange, for the newest distinct times."""
-    return _interest_parts(_by_exchange(_exchange_open_interest(history, registry, asset, interval), "amount"), limit)
+    rows = _exchange_open_interest(history, registry, asset, interval, days, limit)
+    return _interest_parts(_by_exchange(rows, "amount"), limit)
 
 
 # --- funding ----------------------------------------------------------------------------------
 
 
-def _exchange_funding(history: DataFrame, registry: DataFrame, asset: str | None) -> DataFrame:
+def _exchange_funding(
+    history: DataFrame, registry: DataFrame, asset: str | None, days: DataFrame | None, limit: int
+) -> DataFrame:
     """Sum and count of prints per asset, exchange and second; the average follows from both at any level."""
     markets = _narrow(M.preferred_markets_perp(registry), asset=asset)
     prints = history.where(F.col("market_type") == "perpetual")
+    if days is not None:  # prints of distinct minutes are of distinct seconds
+        own = _on_market(_of_datasets(days, "funding_rate"), markets)
+        prints = _walked(prints, SU.minutes_by_day(own, ["asset"]), ["asset"], limit)
     per_market = (
         (prints if asset is None else _of_symbols(prints, markets))
         .groupBy(*C.MARKET_KEY, F.date_trunc("second", "funding_time").alias("funding_second"))
@@ -402,44 +454,73 @@ def _funding_parts(parts: DataFrame, limit: int) -> DataFrame:
 
 
 def aggregate_funding(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, limit: int = C.FUNDING_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    limit: int = C.FUNDING_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Plain average of funding prints per second over each asset's preferred perpetuals."""
-    return _funding_points(_exchange_funding(history, registry, asset), limit)
+    return _funding_points(_exchange_funding(history, registry, asset, days, limit), limit)
 
 
 def funding_breakdown(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, limit: int = C.FUNDING_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    limit: int = C.FUNDING_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The average print per second and exchange, for the newest distinct seconds."""
-    return _funding_parts(_exchange_funding(history, registry, asset), limit)
+    return _funding_parts(_exchange_funding(history, registry, asset, days, limit), limit)
 
 
 # --- account ratios and taker volume ---------------------------------------------------------------
 
 
-def _binance_rows(history: DataFrame, registry: DataFrame, asset: str | None, interval: str | None, limit: int) -> DataFrame:
+def _binance_rows(
+    history: DataFrame,
+    dataset: str,
+    registry: DataFrame,
+    asset: str | None,
+    interval: str | None,
+    limit: int,
+    days: DataFrame | None,
+) -> DataFrame:
     """Newest rows of all active perpetuals of an asset. Markets are not ranked: two quotes give two rows per time."""
     perpetual = (F.col("exchange") == "binance") & (F.col("market_type") == "perpetual")
-    rows = _narrow(history.where(perpetual), bar_interval=interval)
-    joined = _on_market(rows, _active_markets(registry, asset))
+    rows, markets = _narrow(history.where(perpetual), bar_interval=interval), _active_markets(registry, asset)
+    if days is not None:
+        own = _on_market(_narrow(_of_datasets(days, dataset).where(perpetual), bar_interval=interval), markets)
+        rows = _walked(rows, SU.rows_by_day(own, SELECTION), SELECTION, limit)
+    joined = _on_market(rows, markets)
     return _newest_rows(joined, SELECTION, limit, [F.col("open_time").desc(), F.col("symbol")], limit)
 
 
 def long_short(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Account ratio of an asset's perpetuals on binance."""
-    return _binance_rows(history, registry, asset, interval, limit).select(
+    return _binance_rows(history, "long_short_ratio", registry, asset, interval, limit, days).select(
         *SELECTION, "symbol", G.epoch_seconds(F.col("open_time")).alias("time"), F.col("long_short_ratio").cast("double").alias("value")
     )
 
 
 def long_short_breakdown(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The same ratios labelled with their only exchange."""
-    return long_short(history, registry, asset, interval, limit).withColumn("exchange", F.lit("binance"))
+    return long_short(history, registry, asset, interval, limit, days).withColumn("exchange", F.lit("binance"))
 
 
 def _taker_values() -> list[Column]:
@@ -451,19 +532,29 @@ def _taker_values() -> list[Column]:
 
 
 def taker(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Taker buy and sell volume of an asset's perpetuals on binance, NULL volumes as zero."""
-    return _binance_rows(history, registry, asset, interval, limit).select(
+    return _binance_rows(history, "taker_buy_sell_volume", registry, asset, interval, limit, days).select(
         *SELECTION, "symbol", G.epoch_seconds(F.col("open_time")).alias("time"), *_taker_values()
     )
 
 
 def taker_breakdown(
-    history: DataFrame, registry: DataFrame, asset: str | None = None, interval: str | None = None, limit: int = C.SERIES_ROWS
+    history: DataFrame,
+    registry: DataFrame,
+    asset: str | None = None,
+    interval: str | None = None,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The same volumes labelled with their only exchange."""
-    return taker(history, registry, asset, interval, limit).withColumn("exchange", F.lit("binance"))
+    return taker(history, registry, asset, interval, limit, days).withColumn("exchange", F.lit("binance"))
 
 
 # --- liquidations ------------------------------------------------------------------------------------
@@ -526,14 +617,26 @@ def _liquidation_parts(parts: DataFrame, limit: int) -> DataFrame:
     return _liquidation_points(newest, [*SELECTION, "exchange"])
 
 
-def _market_liquidations(events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str]) -> DataFrame:
+def _liquidation_days(days: DataFrame) -> DataFrame:
+    """Summary rows of perpetuals' liquidations, whose interval is that of the chart and not of the stream."""
+    return _of_datasets(days, "liquidation").where(F.col("market_type") == "perpetual").drop("bar_interval")
+
+
+def _market_liquidations(
+    events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str], days: DataFrame | None, limit: int
+) -> DataFrame:
     markets = _active_markets(registry, asset)
     wanted = events if asset is None else _of_symbols(events, markets)
+    if days is not None:
+        own = _for_each_interval(_on_market(_liquidation_days(days), markets), intervals)
+        wanted = _walked(wanted, SU.buckets_by_day(own, SELECTION), SELECTION, limit)
     return _on_market(liquidation_buckets(wanted, intervals), markets)
 
 
-def _exchange_liquidations(events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str]) -> DataFrame:
-    joined = _market_liquidations(events, registry, asset, intervals)
+def _exchange_liquidations(
+    events: DataFrame, registry: DataFrame, asset: str | None, intervals: list[str], days: DataFrame | None, limit: int
+) -> DataFrame:
+    joined = _market_liquidations(events, registry, asset, intervals, days, limit)
     return _rolled_up(joined, [*SELECTION, "bucket_time", "exchange"])
 
 
@@ -543,9 +646,10 @@ def aggregate_liquidations(
     asset: str | None = None,
     intervals: list[str] = C.SELECTION_INTERVALS,
     limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Liquidation notional per bucket over all active perpetuals of an asset (no market ranking)."""
-    return _liquidation_totals(_market_liquidations(events, registry, asset, intervals), limit)
+    return _liquidation_totals(_market_liquidations(events, registry, asset, intervals, days, limit), limit)
 
 
 def liquidation_breakdown(
@@ -554,51 +658,63 @@ def liquidation_breakdown(
     asset: str | None = None,
     intervals: list[str] = C.SELECTION_INTERVALS,
     limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The same sums per exchange, for the newest distinct buckets."""
-    return _liquidation_parts(_exchange_liquidations(events, registry, asset, intervals), limit)
+    return _liquidation_parts(_exchange_liquidations(events, registry, asset, intervals, days, limit), limit)
 
 
 # --- single markets -----------------------------------------------------------------------------------
 
 
-def _single(history: DataFrame, time: str, groups: list[str], limit: int) -> DataFrame:
-    perpetual = history.where(F.col("market_type") == "perpetual")
-    return _newest_rows(perpetual, groups, limit, [F.col(time).desc()], limit)
+def _single(
+    history: DataFrame, dataset: str, time: str, groups: list[str], limit: int, days: DataFrame | None, exchange: str | None = None
+) -> DataFrame:
+    shown = _narrow(history, market_type="perpetual", exchange=exchange)
+    if days is not None:
+        own = _narrow(_of_datasets(days, dataset), market_type="perpetual", exchange=exchange)
+        shown = _walked(shown, SU.rows_by_day(own, groups), groups, limit)
+    return _newest_rows(shown, groups, limit, [F.col(time).desc()], limit)
 
 
-def open_interest_single(history: DataFrame, limit: int = C.SERIES_ROWS) -> DataFrame:
+def open_interest_single(history: DataFrame, limit: int = C.SERIES_ROWS, days: DataFrame | None = None) -> DataFrame:
     """Newest open interest of each perpetual stream."""
-    return _single(history, "open_time", C.SERIES_KEY, limit).select(
+    return _single(history, "open_interest", "open_time", C.SERIES_KEY, limit, days).select(
         *C.SERIES_KEY, G.epoch_seconds(F.col("open_time")).alias("time"), V.open_interest_number().cast("double").alias("value")
     )
 
 
-def long_short_single(history: DataFrame, limit: int = C.SERIES_ROWS) -> DataFrame:
+def long_short_single(history: DataFrame, limit: int = C.SERIES_ROWS, days: DataFrame | None = None) -> DataFrame:
     """Newest account ratios of each perpetual stream on binance; other exchanges have none."""
-    rows = _single(history.where(F.col("exchange") == "binance"), "open_time", C.SERIES_KEY, limit)
+    rows = _single(history, "long_short_ratio", "open_time", C.SERIES_KEY, limit, days, "binance")
     return rows.select(
         *C.SERIES_KEY, G.epoch_seconds(F.col("open_time")).alias("time"), F.col("long_short_ratio").cast("double").alias("value")
     )
 
 
-def taker_single(history: DataFrame, limit: int = C.SERIES_ROWS) -> DataFrame:
+def taker_single(history: DataFrame, limit: int = C.SERIES_ROWS, days: DataFrame | None = None) -> DataFrame:
     """Newest taker volumes of each perpetual stream on binance; other exchanges have none."""
-    rows = _single(history.where(F.col("exchange") == "binance"), "open_time", C.SERIES_KEY, limit)
+    rows = _single(history, "taker_buy_sell_volume", "open_time", C.SERIES_KEY, limit, days, "binance")
     return rows.select(*C.SERIES_KEY, G.epoch_seconds(F.col("open_time")).alias("time"), *_taker_values())
 
 
-def funding_single(history: DataFrame, limit: int = C.FUNDING_ROWS) -> DataFrame:
+def funding_single(history: DataFrame, limit: int = C.FUNDING_ROWS, days: DataFrame | None = None) -> DataFrame:
     """Newest funding prints of each perpetual, one point per print."""
-    return _single(history, "funding_time", C.MARKET_KEY, limit).select(
+    return _single(history, "funding_rate", "funding_time", C.MARKET_KEY, limit, days).select(
         *C.MARKET_KEY, G.epoch_seconds(F.col("funding_time")).alias("time"), F.col("funding_rate").cast("double").alias("value")
     )
 
 
 def liquidation_single(
-    events: DataFrame, intervals: list[str] = C.SELECTION_INTERVALS, limit: int = C.SERIES_ROWS
+    events: DataFrame,
+    intervals: list[str] = C.SELECTION_INTERVALS,
+    limit: int = C.SERIES_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Liquidation buckets of each perpetual, listed in the registry or not."""
+    if days is not None:
+        own = _for_each_interval(_liquidation_days(days), intervals)
+        events = _walked(events, SU.buckets_by_day(own, C.SERIES_KEY), C.SERIES_KEY, limit)
     newest = _newest_rows(
         liquidation_buckets(events, intervals), C.SERIES_KEY, limit, [F.col("bucket_time").desc()], limit
     )
@@ -629,15 +745,16 @@ def derivatives_all(
     registry: DataFrame,
     asset: str | None = None,
     intervals: list[str] = C.SELECTION_INTERVALS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Every derived series of an asset across exchanges, one long table told apart by `series`."""
-    # every total is rolled up from its breakdown, whose shuffle both of them read
-    interest = _by_exchange(_exchange_open_interest(tables["open_interest"], registry, asset, None), "amount")
-    funding = _exchange_funding(tables["funding_rate"], registry, asset)
-    forced = _exchange_liquidations(tables["liquidation"], registry, asset, intervals)
-    ratios = long_short(tables["long_short_ratio"], registry, asset).drop("symbol")
-    flows = taker(tables["taker_buy_sell_volume"], registry, asset).drop("symbol")
     rows = C.SERIES_ROWS
+    # every total is rolled up from its breakdown, whose shuffle both of them read
+    interest = _by_exchange(_exchange_open_interest(tables["open_interest"], registry, asset, None, days, rows), "amount")
+    funding = _exchange_funding(tables["funding_rate"], registry, asset, days, C.FUNDING_ROWS)
+    forced = _exchange_liquidations(tables["liquidation"], registry, asset, intervals, days, rows)
+    ratios = long_short(tables["long_short_ratio"], registry, asset, days=days).drop("symbol")
+    flows = taker(tables["taker_buy_sell_volume"], registry, asset, days=days).drop("symbol")
     parts = {
         "openInterest": _shown_as(_interest_points(_over_exchanges(interest, "value"), rows), intervals),
         "openInterestBreakdown": _shown_as(_interest_parts(interest, rows), intervals),
@@ -660,7 +777,9 @@ def _twice(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("*", F.inline(F.array(total, part)))
 
 
-def derivatives_single(tables: dict[str, DataFrame], registry: DataFrame, selections: DataFrame) -> DataFrame:
+def derivatives_single(
+    tables: dict[str, DataFrame], registry: DataFrame, selections: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """Derived series of single markets per selection (asset, exchange, bar_interval); spot markets have none."""
     chosen = M.resolve_market(registry, selections.distinct()).where(F.col("market_type") == "perpetual")
     intervals = C.SELECTION_INTERVALS
@@ -669,10 +788,10 @@ def derivatives_single(tables: dict[str, DataFrame], registry: DataFrame, select
         return part.join(chosen, keys).drop("symbol", "market_type")
 
     parts = {
-        "openInterest": of(_shown_as(open_interest_single(tables["open_interest"]), intervals), C.SERIES_KEY),
-        "longShortRatio": of(_shown_as(long_short_single(tables["long_short_ratio"]), intervals), C.SERIES_KEY),
-        "takerBuySell": of(_shown_as(taker_single(tables["taker_buy_sell_volume"]), intervals), C.SERIES_KEY),
-        "fundingRate": of(funding_single(tables["funding_rate"]), C.MARKET_KEY),
-        "liquidations": of(liquidation_single(tables["liquidation"], intervals), C.SERIES_KEY),
+        "openInterest": of(_shown_as(open_interest_single(tables["open_interest"], days=days), intervals), C.SERIES_KEY),
+        "longShortRatio": of(_shown_as(long_short_single(tables["long_short_ratio"], days=days), intervals), C.SERIES_KEY),
+        "takerBuySell": of(_shown_as(taker_single(tables["taker_buy_sell_volume"], days=days), intervals), C.SERIES_KEY),
+        "fundingRate": of(funding_single(tables["funding_rate"], days=days), C.MARKET_KEY),
+        "liquidations": of(liquidation_single(tables["liquidation"], intervals, days=days), C.SERIES_KEY),
     }
     return _stacked(parts)

@@ -5,11 +5,14 @@ Every function takes `now` as a column or literal, never the clock, so a plan ca
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import constants as C
 from tidemark.functions import timegrid as G
+from tidemark.sources import summary as SU
 
 MARKS = ["first_open_time", "last_open_time", "last_close_time", "row_count", "last_ingested_at"]
 
@@ -17,14 +20,9 @@ MARKS = ["first_open_time", "last_open_time", "last_close_time", "row_count", "l
 # --- high-water marks ------------------------------------------------------------
 
 
-def _marks(rows: DataFrame, keys: list[str], time: str, close: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.min(time).alias("first_open_time"),
-        F.max(time).alias("last_open_time"),
-        F.max(close).alias("last_close_time"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.max("ingested_at").alias("last_ingested_at"),
-    )
+def _marks(days: DataFrame, keys: list[str]) -> DataFrame:
+    merged = {c: SU.MERGED[c](c) for c in ("first_time", "last_time", "last_close", "row_count", "last_ingested_at")}
+    return days.groupBy(*keys).agg(*[cell.alias(mark) for mark, cell in zip(MARKS, merged.values())])
 
 
 def _on_jobs(jobs: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,36 +30,40 @@ def _on_jobs(jobs: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def bar_high_water(jobs: DataFrame, bars: DataFrame) -> DataFrame:
-    """First and last bar, count and last ingest per candle job; NULL when nothing is stored."""
-    candle_jobs = jobs.where(F.col("source_dataset").isin(C.OHLCV_DATASETS))
-    return _on_jobs(candle_jobs, _marks(bars, C.STREAM_KEY, "open_time", "close_time"), C.STREAM_KEY)
+    """First and last bar, count and last ingest per candle job; NULL when nothing is stored.
+
+    `bars` is the table's summary (see sources/summary.py), or the table itself, which is then read whole.
+    """
+    days = bars if SU.is_summary(bars) else SU.summarise(bars, "open_time", close="close_time")
+    of_candles = F.col("source_dataset").isin(C.OHLCV_DATASETS)
+    return _on_jobs(jobs.where(of_candles), _marks(days.where(of_candles), C.STREAM_KEY), C.STREAM_KEY)
 
 
-def history_high_water(jobs: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+HISTORIES = ["open_interest", "long_short_ratio", "taker_buy_sell_volume"]
+
+
+def history_high_water(jobs: DataFrame, tables: DataFrame | dict[str, DataFrame]) -> DataFrame:
     """The same marks for open interest, account ratios and taker volumes, in one aggregation.
 
-    `tables` maps the dataset name to its history table. The last close equals the last open.
+    `tables` is their summary, or maps the dataset name to its history table. The last close equals the last open.
     """
-    names = [n for n in ("open_interest", "long_short_ratio", "taker_buy_sell_volume") if n in tables]
-    rows = None
-    for name in names:
-        part = tables[name].select(*C.SERIES_KEY, F.lit(name).alias("source_dataset"), "open_time", "ingested_at")
-        rows = part if rows is None else rows.unionByName(part)
-    marks = _marks(rows, C.STREAM_KEY, "open_time", "open_time")
-    return _on_jobs(jobs.where(F.col("source_dataset").isin(names)), marks, C.STREAM_KEY)
-
-
-def event_high_water(jobs: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """The same marks for event tables, which have no interval. `tables` maps dataset to (table, time column)."""
-    keys = C.MARKET_KEY + ["source_dataset"]
-    rows = None
-    for name, (table, time) in tables.items():
-        part = table.select(
-            *C.MARKET_KEY, F.lit(name).alias("source_dataset"), F.col(time).alias("open_time"), "ingested_at"
-        )
-        rows = part if rows is None else rows.unionByName(part)
-    marks = _marks(rows, keys, "open_time", "open_time")
-    return _on_jobs(jobs.where(F.col("source_dataset").isin(list(tables))), marks, keys)
+    names, days = HISTORIES, tables
+    if isinstance(tables, dict):
+        names = [n for n in HISTORIES if n in tables]
+        days = reduce(DataFrame.unionByName, [SU.summarise(tables[n], "open_time", n) for n in names])
+    own = F.col("source_dataset").isin(names)
+    return _on_jobs(jobs.where(own), _marks(days.where(own), C.STREAM_KEY), C.STREAM_KEY)
+
+
+def event_high_water(jobs: DataFrame, tables: DataFrame | dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The same marks for event tables, which have no interval. `tables` is their summary, or maps dataset to (table, time
+    column)."""
+    keys, names, days = C.MARKET_KEY + ["source_dataset"], ["funding_rate", "liquidation"], tables
+    if isinstance(tables, dict):
+        names = list(tables)
+        days = reduce(DataFrame.unionByName, [SU.summarise(table, time, n) for n, (table, time) in tables.items()])
+    own = F.col("source_dataset").isin(names)
+    return _on_jobs(jobs.where(own), _marks(days.where(own), keys), keys)
 
 
 # --- request ranges ----------------------------------------------------------------

@@ -9,7 +9,7 @@ everything else is derived in place.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from tidemark import schemas as S
 from tidemark.functions import timegrid as G
 from tidemark.operators import normalize
 from tidemark.session import configure
+from tidemark.sources import summary as SU
 from tidemark.sources.staging import settle_once, source_version
 
 CELL_SECONDS = {"1h": 3600, "5m": 300}
@@ -43,6 +44,13 @@ class MarketTables:
     def _stored(self, name: str, rows: Callable[[], DataFrame], partition_by=(), sort_by=()) -> DataFrame:
         return settle_once(self.spark, self._version, name, rows, tuple(partition_by), tuple(sort_by))
 
+    def _fact(self, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        """A stored fact table in its layout and by day."""
+        time = S.TIME_COLUMN[name]
+        return self._stored(
+            name, lambda: rows().withColumn(SU.DAY, F.to_date(time)), [*LAYOUT.get(name, []), SU.DAY], [*C.MARKET_KEY, time]
+        )
+
     def settled(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """An intermediate result kept for the whole application."""
         return self._stored(name, build)
@@ -166,7 +174,7 @@ class MarketTables:
 
     @cached_property
     def market_data_raw(self) -> DataFrame:
-        return self._stored("market_data_raw", self._derive_market_data_raw, LAYOUT["market_data_raw"], [*C.MARKET_KEY, "open_time"])
+        return self._fact("market_data_raw", self._derive_market_data_raw)
 
     def _derive_market_data_raw(self) -> DataFrame:
         two_hours = F.lit(7200).cast("bigint")
@@ -178,12 +186,7 @@ class MarketTables:
 
     @cached_property
     def open_interest_history(self) -> DataFrame:
-        return self._stored(
-            "open_interest_history",
-            self._derive_open_interest_history,
-            LAYOUT["open_interest_history"],
-            [*C.MARKET_KEY, "open_time"],
-        )
+        return self._fact("open_interest_history", self._derive_open_interest_history)
 
     def _derive_open_interest_history(self) -> DataFrame:
         rows = self.cells.where((F.col("market_type") == "perpetual") & F.col("event_type").isin("signup", "purchase"))
@@ -196,7 +199,7 @@ class MarketTables:
 
     @cached_property
     def funding_rate_history(self) -> DataFrame:
-        return self._stored("funding_rate_history", self._derive_funding_rate_history, (), [*C.MARKET_KEY, "funding_time"])
+        return self._fact("funding_rate_history", self._derive_funding_rate_history)
 
     def _derive_funding_rate_history(self) -> DataFrame:
         rows = self.market_events.where((F.col("market_type") == "perpetual") & (F.col("event_type") == "purchase"))
@@ -218,12 +221,7 @@ class MarketTables:
 
     @cached_property
     def long_short_ratio_history(self) -> DataFrame:
-        return self._stored(
-            "long_short_ratio_history",
-            self._derive_long_short_ratio_history,
-            LAYOUT["long_short_ratio_history"],
-            [*C.MARKET_KEY, "open_time"],
-        )
+        return self._fact("long_short_ratio_history", self._derive_long_short_ratio_history)
 
     def _derive_long_short_ratio_history(self) -> DataFrame:
         return (
@@ -235,12 +233,7 @@ class MarketTables:
 
     @cached_property
     def taker_buy_sell_volume_history(self) -> DataFrame:
-        return self._stored(
-            "taker_buy_sell_volume_history",
-            self._derive_taker_buy_sell_volume_history,
-            LAYOUT["taker_buy_sell_volume_history"],
-            [*C.MARKET_KEY, "open_time"],
-        )
+        return self._fact("taker_buy_sell_volume_history", self._derive_taker_buy_sell_volume_history)
 
     def _derive_taker_buy_sell_volume_history(self) -> DataFrame:
         ratio = F.try_divide(F.col("buy_volume").cast("double"), F.col("sell_volume").cast("double"))
@@ -254,7 +247,7 @@ class MarketTables:
 
     @cached_property
     def liquidation_event(self) -> DataFrame:
-        return self._stored("liquidation_event", self._derive_liquidation_event, (), [*C.MARKET_KEY, "liquidation_time"])
+        return self._fact("liquidation_event", self._derive_liquidation_event)
 
     def _derive_liquidation_event(self) -> DataFrame:
         k, px = F.col("k"), F.col("px")
@@ -395,6 +388,17 @@ class MarketTables:
             "liquidation": (self.liquidation_event, "liquidation_time"),
         }
 
+    @cached_property
+    def days(self) -> DataFrame:
+        """The summary of all fact tables by stream and day, as appends keep it."""
+        return self._stored("days", self._derive_days)
+
+    def _derive_days(self) -> DataFrame:
+        parts = [SU.summarise(self.market_data_raw, "open_time", close="close_time")]
+        parts += [SU.summarise(table, "open_time", name) for name, table in self.histories.items()]
+        parts += [SU.summarise(table, time, name) for name, (table, time) in self.event_tables.items()]
+        return reduce(DataFrame.unionByName, parts)
+
     @cached_property
     def status_tables(self) -> dict[str, tuple[DataFrame, str]]:
         tables = {name: (table, "open_time") for name, table in self.histories.items()}
