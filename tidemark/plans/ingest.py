@@ -46,6 +46,10 @@ class Lake:
             return self.spark.createDataFrame([], schema)
         return TB.read_table(self.spark, self.path(table), schema)
 
+    def days(self, table: str) -> DataFrame:
+        """The summary by stream and day that the appends to a table have kept."""
+        return TB.read_days(self.spark, self.path(table))
+
 
 def _of_failed(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("malformed")).select(*C.STREAM_KEY).distinct()
@@ -53,7 +57,7 @@ def _of_failed(rows: DataFrame) -> DataFrame:
 
 def run_candles(lake: Lake, jobs: DataFrame, landed: DataFrame, now: Column, run_id: Column) -> DataFrame:
     """Stores the candles of every job and returns one result row per job. A job with malformed rows stores none."""
-    marks = P.bar_high_water(jobs, lake.table("market_data_raw"))
+    marks = P.bar_high_water(jobs, lake.days("market_data_raw"))
     plan = settle(P.plan_skip(P.plan_bar_requests(marks, now)), "bar_plan")
     running = plan.where(F.col("status") == "running")
     wanted = landed.join(running.select(*C.STREAM_KEY), C.STREAM_KEY, "left_semi")
@@ -63,8 +67,9 @@ def run_candles(lake: Lake, jobs: DataFrame, landed: DataFrame, now: Column, run
     checked = running.join(_of_failed(decoded), C.STREAM_KEY, "left_anti")
     issues = settle(Q.quality_issues(batch, checked), "issues")
     bars = N.bars_of(batch).drop("copies").withColumn("run_id", run_id)
+    seen = TB.last_commit(lake.spark, lake.path("market_data_raw"))
     fresh = settle(TB.absent_rows(bars, lake.path("market_data_raw"), "market_data_raw", now), "fresh_bars")
-    TB.append_rows(fresh, lake.path("market_data_raw"), "market_data_raw")
+    TB.append_rows(fresh, lake.path("market_data_raw"), "market_data_raw", seen)
     TB.append_quality_issues(issues, lake.path("data_quality_issue"), now, run_id)
     return P.batch_run_report(plan, decoded, fresh, issues)
 
@@ -96,10 +101,8 @@ def run_series(
     table = HISTORY_TABLE[dataset]
     time = S.TIME_COLUMN[table]
     own = jobs.where(F.col("source_dataset") == dataset)
-    if dataset in ("funding_rate", "liquidation"):
-        marks = P.event_high_water(own, {dataset: (lake.table(table), time)})
-    else:
-        marks = P.history_high_water(own, {dataset: lake.table(table)})
+    of_family = P.event_high_water if dataset in ("funding_rate", "liquidation") else P.history_high_water
+    marks = of_family(own, lake.days(table))
     gated = P.capability_gate(P.plan_series_requests(marks, now), capabilities)
     status = F.when(F.col("error_message").isNotNull(), "failed").when(F.col("gate") != "run", F.col("gate"))
     plan = settle(
@@ -116,8 +119,9 @@ def run_series(
         fresh = batch
         TB.append_liquidations(batch, lake.path(table), now)
     else:
+        seen = TB.last_commit(lake.spark, lake.path(table))
         fresh = settle(TB.absent_rows(batch, lake.path(table), table, now), "fresh_series")
-        TB.append_rows(fresh, lake.path(table), table)
+        TB.append_rows(fresh, lake.path(table), table, seen)
     # prints and liquidations count every fetched row, the clipped series only rows in range
     counted = wanted if dataset in ("funding_rate", "liquidation") else batch
     keys = C.MARKET_KEY + (["bar_interval"] if "bar_interval" in fresh.columns else [])

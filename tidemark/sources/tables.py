@@ -1,23 +1,38 @@
 """Stored tables on Parquet: reads, insert-if-absent, upsert, plain append, run log.
 
-Fact tables are partitioned by their layout columns and by day. Plain Parquet has no MERGE, so
+Fact tables are partitioned by the write (`attempt`), by their layout columns and by day. Plain Parquet has no MERGE, so
   * insert-if-absent = first row per key in the batch, minus keys already stored in the partitions it touches, appended;
-  * upsert = last row per key over (stored, batch), written as a new numbered snapshot. A snapshot counts only once
-    its number is in the commit list, so a reader never sees a half-written one and a crash loses nothing.
-One writer per table at a time.
+  * upsert = last row per key over (stored, batch), written as a new snapshot.
+Several writers may work on a table. A write counts once it has its number in the table's ledger (see ledger.py); a writer
+that finds its number taken looks at what was committed meanwhile: an insert drops the keys that came first, an upsert is
+merged again. A batch with a name is stored once, however often it is run. Fact tables keep a summary by stream and day with
+each commit (see summary.py).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import constants as C
 from tidemark import schemas as S
-from tidemark.sources.staging import path_exists
+from tidemark.sources import summary as SU
+from tidemark.sources.ledger import Ledger, Rollup, new_attempt
+from tidemark.sources.staging import path_exists, settle
 
 DAY_COLUMN = "day"
+ATTEMPT = "attempt"
+DAYS = {"days": Rollup(SU.SCHEMA, SU.STREAM_DAY, SU.MERGED)}
+DATASET = {
+    "open_interest_history": "open_interest",
+    "funding_rate_history": "funding_rate",
+    "long_short_ratio_history": "long_short_ratio",
+    "taker_buy_sell_volume_history": "taker_buy_sell_volume",
+    "liquidation_event": "liquidation",
+}
 
 
 # --- reading -----------------------------------------------------------------------
@@ -26,16 +41,37 @@ DAY_COLUMN = "day"
 def read_table(spark: SparkSession, source: str, schema: T.StructType | str | None = None, **options: str) -> DataFrame:
     """A stored table: a Parquet path, or a JDBC url (starting with `jdbc:`) with `dbtable` and the usual options.
 
-    JDBC reads run in one task unless partitionColumn, lowerBound, upperBound and numPartitions are given.
+    Of a table with a ledger the committed rows are read. JDBC reads run in one task unless partitionColumn, lowerBound,
+    upperBound and numPartitions are given.
     """
     if source.startswith("jdbc:"):
         return spark.read.format("jdbc").option("url", source).options(**options).load()
+    if Ledger.exists(spark, source):
+        return _committed(spark, source, schema).drop(ATTEMPT)
     reader = spark.read.options(**options)
     return (reader if schema is None else reader.schema(schema)).parquet(source)
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    return read_table(spark, path, schema) if path_exists(spark, path) else None
+def _committed(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, after: int = 0, upto: int | None = None
+) -> DataFrame:
+    """The rows of commits with their attempt; of all, or of those with numbers over `after` up to `upto`."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if schema is not None:  # stated even where no commit has rows, so that there are no folders to find them by
+        held = set(schema.fieldNames())
+        added = [T.StructField(n, k) for n, k in ((DAY_COLUMN, T.DateType()), (ATTEMPT, T.StringType())) if n not in held]
+        schema = T.StructType([*schema.fields, *added])
+    if not path_exists(spark, f"{path}/data"):
+        return spark.createDataFrame([], schema or f"{DAY_COLUMN} date, {ATTEMPT} string")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    counted = Ledger(spark, path).commits(upto).where(F.col("number") > after).select(ATTEMPT)
+    return reader.parquet(f"{path}/data").join(counted, ATTEMPT, "left_semi")
+
+
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """The summary of a fact table by stream and day, kept by its appends."""
+    return Ledger(spark, path, DAYS).read("days")
 
 
 def conform(rows: DataFrame, table: str) -> DataFrame:
@@ -68,14 +104,22 @@ def absent_rows(batch: DataFrame, path: str, table: str, ingested_at: Column, or
     typed = ordered.select(*_typed_columns(ordered, table, ingested_at), F.col(order).alias("_order"))
     fresh = first_per_key(typed, key, "_order").select(*S.schema_of(table).fieldNames())
     fresh = fresh.withColumn(DAY_COLUMN, F.to_date(time))
-
-    schema = T.StructType([*S.schema_of(table).fields, T.StructField(DAY_COLUMN, T.DateType())])
-    stored = _read_or_none(batch.sparkSession, path, schema)
-    if stored is None:
+    if not Ledger.exists(batch.sparkSession, path):
         return fresh
+    return _not_stored(fresh, batch, path, table)
+
+
+def _not_stored(fresh: DataFrame, batch: DataFrame, path: str, table: str, after: int = 0, upto: int | None = None) -> DataFrame:
+    """Rows without a row of the same key in the commits of a table over `after`, `upto` the last."""
+    key, time = S.UNIQUE_KEY[table], S.TIME_COLUMN[table]
+    stored = _committed(fresh.sparkSession, path, _with_day(table), after, upto)
     return fresh.join(_touched(stored, batch, S.LAYOUT[table], time).select(*key), key, "left_anti").select(*fresh.columns)
 
 
+def _with_day(table: str) -> T.StructType:
+    return T.StructType([*S.schema_of(table).fields, T.StructField(DAY_COLUMN, T.DateType())])
+
+
 def _touched(stored: DataFrame, batch: DataFrame, layout: list[str], time: str) -> DataFrame:
     """The stored rows of the partitions that the batch has rows for; a batch with one old row reads one old day more."""
     days = batch.groupBy(*[F.col(c) for c in layout]).agg(F.collect_set(F.to_date(time)).alias("days")).collect()
@@ -88,17 +132,44 @@ def _touched(stored: DataFrame, batch: DataFrame, layout: list[str], time: str)
     return stored.where(wanted)
 
 
-def append_rows(fresh: DataFrame, path: str, table: str) -> int:
-    """Appends rows from `absent_rows` in the table's layout and returns how many."""
-    return _append(fresh, path, [*S.LAYOUT[table], DAY_COLUMN], [*C.MARKET_KEY, S.TIME_COLUMN[table]])
+def _summary(table: str) -> Callable[[DataFrame], DataFrame]:
+    close = "close_time" if table == "market_data_raw" else None
+    return lambda rows: SU.summarise(rows, S.TIME_COLUMN[table], DATASET.get(table), close)
+
+
+def append_rows(fresh: DataFrame, path: str, table: str, seen: int, batch: str | None = None) -> int:
+    """Stores rows of `absent_rows` in the table's layout and returns how many.
+
+    `seen` is the table's last commit before these were made (see `last_commit`); keys that others have stored since are
+    dropped. The rows are read several times, so pass settled ones.
+    """
+    ledger = Ledger(fresh.sparkSession, path, DAYS)
+    while True:
+        attempt = new_attempt()
+        written = _write(fresh, path, attempt, [*S.LAYOUT[table], DAY_COLUMN], [*C.MARKET_KEY, S.TIME_COLUMN[table]])
+        ledger.write_part("days", _summary(table)(fresh), attempt)
+        if ledger.commit(attempt, batch, seen=seen):
+            return written
+        if batch is not None and ledger.has(batch):
+            return 0
+        before, seen = seen, ledger.log.newest()
+        fresh = settle(_not_stored(fresh, fresh, path, table, after=before, upto=seen), "fresh")
+
+
+def last_commit(spark: SparkSession, path: str) -> int:
+    return Ledger(spark, path).log.newest()
 
 
-def insert_if_absent(batch: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq") -> int:
-    """Appends the batch rows whose key is not stored yet and returns how many. The first writer of a key wins.
+def insert_if_absent(
+    rows: DataFrame, path: str, table: str, ingested_at: Column, order: str = "fetch_seq", batch: str | None = None
+) -> int:
+    """Appends the rows whose key is not stored yet and returns how many. The first writer of a key wins.
 
     Running a batch again inserts nothing.
     """
-    return append_rows(absent_rows(batch, path, table, ingested_at, order), path, table)
+    seen = last_commit(rows.sparkSession, path)
+    fresh = settle(absent_rows(rows, path, table, ingested_at, order), "fresh")
+    return append_rows(fresh, path, table, seen, batch)
 
 
 def _typed_columns(rows: DataFrame, table: str, ingested_at: Column) -> list[Column]:
@@ -112,19 +183,41 @@ def _typed_columns(rows: DataFrame, table: str, ingested_at: Column) -> list[Col
     return cells
 
 
-def _append(rows: DataFrame, path: str, layout: list[str], sort_by: list[str] = ()) -> int:
-    """Appends rows and returns the number written by the same job.
+def _write(rows: DataFrame, path: str, attempt: str, layout: list[str], sort_by: list[str] = ()) -> int:
+    """Writes an attempt's rows and returns their number, counted by the same job.
 
     Rows are rebalanced by the partition columns, so a day is written by few tasks and a very large day by several.
     """
     written = Observation()
     spread = rows.hint("rebalance", *layout)
-    ordered = spread.sortWithinPartitions(*layout, *sort_by)
+    ordered = spread.sortWithinPartitions(*layout, *sort_by) if [*layout, *sort_by] else spread
     counted = ordered.observe(written, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("append").partitionBy(*layout).parquet(path)
+    writer = counted.write.partitionBy(*layout) if layout else counted.write
+    writer.parquet(f"{path}/data/{ATTEMPT}={attempt}")  # a folder of its own, so that writers don't share a temporary one
     return written.get["n"]
 
 
+def append_batch(
+    rows: DataFrame,
+    path: str,
+    layout: list[str],
+    sort_by: list[str] = (),
+    batch: str | None = None,
+    rollups: dict[str, Rollup] | None = None,
+    parts: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> int:
+    """Appends rows and returns how many; none if a batch of that name is stored already. `parts` makes the rows of rollups,
+    for which the rows are read again."""
+    ledger = Ledger(rows.sparkSession, path, rollups)
+    if batch is not None and Ledger.exists(rows.sparkSession, path) and ledger.has(batch):
+        return 0
+    attempt = new_attempt()
+    written = _write(rows, path, attempt, layout, sort_by)
+    for name, part in (parts or {}).items():
+        ledger.write_part(name, part(rows), attempt)
+    return written if ledger.commit(attempt, batch) else 0
+
+
 def append_bars(batch: DataFrame, path: str, ingested_at: Column) -> int:
     """Stores candles, first writer per stream and open time."""
     return insert_if_absent(batch, path, "market_data_raw", ingested_at)
@@ -153,24 +246,31 @@ def append_taker(batch: DataFrame, path: str, ingested_at: Column) -> int:
 # --- plain appends ------------------------------------------------------------------------
 
 
-def append_liquidations(batch: DataFrame, path: str, ingested_at: Column) -> int:
-    """Appends liquidation events; duplicates are kept."""
-    rows = batch.select(*_typed_columns(batch, "liquidation_event", ingested_at))
-    return _append(rows.withColumn(DAY_COLUMN, F.to_date("liquidation_time")), path, [DAY_COLUMN])
+def append_liquidations(rows: DataFrame, path: str, ingested_at: Column, batch: str | None = None) -> int:
+    """Appends liquidation events; duplicates are kept, but a batch that is run again under its name is stored once.
+
+    The rows are read twice, for the table and for its summary.
+    """
+    table = "liquidation_event"
+    typed = rows.select(*_typed_columns(rows, table, ingested_at)).withColumn(DAY_COLUMN, F.to_date("liquidation_time"))
+    order = [*C.MARKET_KEY, "liquidation_time"]
+    return append_batch(typed, path, [DAY_COLUMN], order, batch, DAYS, {"days": _summary(table)})
 
 
 def append_quality_issues(issues: DataFrame, path: str, detected_at: Column, run_id: Column) -> int:
     """Appends quality issues with their detection time and run."""
     rows = conform(issues.withColumn("detected_at", detected_at).withColumn("run_id", run_id), "data_quality_issue")
-    return _append(rows, path, ["issue_type"])
+    return append_batch(rows, path, ["issue_type"])
 
 
-def append_run_log(results: DataFrame, path: str, started_at: Column, ended_at: Column) -> int:
+def append_run_log(
+    results: DataFrame, path: str, started_at: Column, ended_at: Column, batch: str | None = None
+) -> int:
     """Appends the final state of each job of a batch, one row per job."""
     rows = results.withColumn("dataset", F.col("source_dataset")) if "dataset" not in results.columns else results
     rows = rows if "run_id" in rows.columns else rows.withColumn("run_id", F.uuid())
     rows = conform(rows.withColumn("started_at", started_at).withColumn("ended_at", ended_at), "ingestion_run_log")
-    return _append(rows.withColumn(DAY_COLUMN, F.to_date("started_at")), path, [DAY_COLUMN])
+    return append_batch(rows.withColumn(DAY_COLUMN, F.to_date("started_at")), path, [DAY_COLUMN], batch=batch)
 
 
 def latest_run_per_job(run_log: DataFrame, keys: list[str]) -> DataFrame:
@@ -186,36 +286,36 @@ def latest_run_per_job(run_log: DataFrame, keys: list[str]) -> DataFrame:
 # --- upserts ----------------------------------------------------------------------------------
 
 
-def _commits(spark: SparkSession, path: str) -> int:
-    done = _read_or_none(spark, f"{path}/commits", T.StructType.fromDDL("snapshot bigint"))
-    number = None if done is None else done.agg(F.max("snapshot")).first()[0]
-    return 0 if number is None else number
-
-
-def read_snapshot(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The committed state of an upserted table (empty before the first write)."""
-    number = _commits(spark, path)
+def _snapshot(spark: SparkSession, path: str, table: str, number: int) -> DataFrame:
     if number == 0:
         return spark.createDataFrame([], S.schema_of(table))
-    return read_table(spark, f"{path}/snapshots/{number}", S.schema_of(table))
+    attempt = Ledger(spark, path).log.after(number - 1, number).first()["attempt"]
+    return spark.read.schema(S.schema_of(table)).parquet(f"{path}/snapshots/{attempt}")
 
 
-def _commit_snapshot(rows: DataFrame, path: str, table: str) -> None:
-    spark = rows.sparkSession
-    number = _commits(spark, path) + 1
-    conform(rows, table).write.mode("overwrite").parquet(f"{path}/snapshots/{number}")
-    spark.range(1).select(F.lit(number).cast("bigint").alias("snapshot")).write.mode("append").parquet(f"{path}/commits")
+def read_snapshot(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The committed state of an upserted table (empty before the first write)."""
+    return _snapshot(spark, path, table, Ledger(spark, path).log.newest())
 
 
 def upsert(batch: DataFrame, path: str, table: str, key: list[str], order: list[str], updated_at: Column) -> None:
-    """Last row per key over the stored state and the batch (by `order`); keys not in the batch stay as they are."""
-    stored = read_snapshot(batch.sparkSession, path, table).withColumn("_in_batch", F.lit(0))
+    """Last row per key over the stored state and the batch (by `order`); keys not in the batch stay as they are.
+
+    If another writer commits meanwhile, the batch is merged again with what it left.
+    """
+    spark = batch.sparkSession
+    ledger = Ledger(spark, path)
     fresh = batch.withColumn("updated_at", updated_at).withColumn("_in_batch", F.lit(1))
-    rows = stored.unionByName(fresh, allowMissingColumns=True)
     values = [f.name for f in S.schema_of(table).fields if f.name not in key]
-    position = F.struct("_in_batch", *order)
-    merged = rows.groupBy(*key).agg(F.max_by(F.struct(*values), position).alias("v")).select(*key, "v.*")
-    _commit_snapshot(merged, path, table)
+    while True:
+        number, attempt = ledger.log.newest(), new_attempt()
+        stored = _snapshot(spark, path, table, number).withColumn("_in_batch", F.lit(0))
+        rows = stored.unionByName(fresh, allowMissingColumns=True)
+        last = F.max_by(F.struct(*values), F.struct("_in_batch", *order)).alias("v")
+        merged = rows.groupBy(*key).agg(last).select(*key, "v.*")
+        conform(merged, table).write.parquet(f"{path}/snapshots/{attempt}")
+        if ledger.commit(attempt, seen=number):
+            return
 
 
 def upsert_registry(markets: DataFrame, path: str, updated_at: Column, order: list[str]) -> None:
