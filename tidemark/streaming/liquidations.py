@@ -1,21 +1,39 @@
-"""Live liquidation events: decode, store per micro-batch, summarise, and keep bucket sums.
+"""Live liquidation events: decode, store per flush, summarise, and keep bucket sums.
 
-Each micro-batch writes its own `batch_id` partition with overwrite, so a batch that is replayed after a lost
-executor or driver replaces its rows instead of doubling them.
+A flush appends its events to the stored liquidation table, the one that dashboards read, as a batch with a name: the stream
+and its number. A flush that is replayed after a lost executor or driver finds its name committed and stores nothing twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark import constants as C
 from tidemark.operators import dashboard as D
 from tidemark.operators import normalize as N
+from tidemark.sources import tables as TB
+from tidemark.sources.ledger import Ledger, Rollup, new_attempt
+from tidemark.streaming import landed
 
-FLUSH_INTERVAL = "10 seconds"
+FLUSH_EVENTS = 25
+FLUSH_SECONDS = 10
+FLUSH_INTERVAL = f"{FLUSH_SECONDS} seconds"
 LATE_LIMIT = "1 day"
+_BUCKET_KEYS = [*C.SERIES_KEY, "bucket_time", "day"]
+BUCKETS = {
+    "buckets": Rollup(
+        "exchange string, symbol string, market_type string, bar_interval string, bucket_time timestamp, day date, "
+        "long_value decimal(38,14), short_value decimal(38,14), total_value decimal(38,14), event_count bigint",
+        _BUCKET_KEYS,
+        {c: F.sum for c in D.LIQUIDATION_SUMS},
+    )
+}
 
 
 def read_messages(
@@ -31,9 +49,23 @@ def read_messages(
     return spark.readStream.format(source_format).schema(schema).options(**options).load(source)
 
 
-def _overwrite_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Replaces one batch's partition; other batches are other folders."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def read_landed(
+    spark: SparkSession,
+    folder: str,
+    state: str,
+    schema: str = "raw string",
+    flush_events: int = FLUSH_EVENTS,
+    flush_seconds: float = FLUSH_SECONDS,
+) -> DataFrame:
+    """Messages that land in a folder, admitted by number or by delay (see landed.py), with their `position`."""
+    landed.register(spark)
+    reader = spark.readStream.format(landed.NAME).schema(f"{schema}, position long").option("path", folder)
+    return reader.options(state=state, flush_events=str(flush_events), flush_seconds=str(flush_seconds)).load()
+
+
+def _name(checkpoint: str, batch_id: int) -> str:
+    """A flush's name: the same again when it is replayed, another for another stream."""
+    return f"{hashlib.sha1(checkpoint.encode()).hexdigest()[:16]}-{batch_id}"
 
 
 def flush_summary(events: DataFrame, batch_id: int, status: str = "success", error: str | None = None) -> DataFrame:
@@ -54,6 +86,23 @@ def flush_summary(events: DataFrame, batch_id: int, status: str = "success", err
     )
 
 
+class _Counted(StreamingQueryListener):
+    """How many events a query has stored, from the counts observed in its flushes."""
+
+    def __init__(self) -> None:
+        self.events = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get("decoded")
+        self.events += found["events"] if found is not None else 0
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def start_liquidation_stream(
     messages: DataFrame,
     jobs: DataFrame,
@@ -62,36 +111,103 @@ def start_liquidation_stream(
     checkpoint: str,
     drain: bool = False,
     unique: bool = False,
+    max_events: int | None = None,
+    ingested_at: Column | None = None,
+    trigger: str = FLUSH_INTERVAL,
 ) -> StreamingQuery:
     """Stores decoded events and one summary row per symbol for every flush.
 
-    Flushes every 10 seconds; `drain=True` takes what is there and stops. Replayed messages are kept, as a plain
-    append does; `unique=True` drops repeats of the same message that arrive within a day.
+    Flushes follow the trigger, or what the source admits if that is rarer; `drain=True` takes what is there and stops.
+    Replayed messages are kept, as a plain append does; `unique=True` drops repeats of the same message that arrive within a
+    day. With `max_events` the stream stores so many events and no more: messages must then have a `position`, by which the
+    flush that reaches the bound is cut.
     """
     events = N.decode_force_orders(messages, jobs)
     if unique:
         events = events.withWatermark("liquidation_time", LATE_LIMIT).dropDuplicatesWithinWatermark(["native_symbol", "raw"])
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        # kept on disk as well as in memory: read once for the events, once for the summary
+        spark, name = batch.sparkSession, _name(checkpoint, batch_id)
+        if max_events is not None:
+            stored = stream_totals(read_batches(spark, log_path)).first()["events_seen"] if Ledger.exists(spark, log_path) else 0
+            if stored >= max_events:
+                return
+            batch = batch.orderBy("position").limit(max_events - stored)
+        # kept on disk as well as in memory: read for the events, their summary and the log
         batch.persist()
         try:
+            summary = flush_summary(batch, batch_id)
             try:
-                _overwrite_batch(batch, events_path, batch_id)
+                TB.append_liquidations(batch, events_path, F.current_timestamp() if ingested_at is None else ingested_at, name)
             except Exception as error:
-                _overwrite_batch(flush_summary(batch, batch_id, "failed", str(error)), log_path, batch_id)
+                TB.append_batch(flush_summary(batch, batch_id, "failed", str(error)), log_path, [])
                 raise
-            _overwrite_batch(flush_summary(batch, batch_id), log_path, batch_id)
+            TB.append_batch(summary, log_path, [], batch=name)
         finally:
             batch.unpersist()
 
-    writer = events.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=FLUSH_INTERVAL)).start()
+    counted = events.observe("decoded", F.count(F.lit(1)).alias("events"))
+    writer = counted.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=trigger)).start()
+
+
+def run_liquidation_stream(
+    folder: str,
+    jobs: DataFrame,
+    events_path: str,
+    log_path: str,
+    checkpoint: str,
+    schema: str = "raw string",
+    flush_events: int = FLUSH_EVENTS,
+    flush_seconds: float = FLUSH_SECONDS,
+    max_events: int | None = None,
+    timeout_seconds: float | None = None,
+    until_idle: bool = False,
+) -> DataFrame:
+    """Runs a stream over messages that land in a folder until a bound is reached, and returns its totals.
 
+    Bounds: `max_events` stored events, `timeout_seconds`, or with `until_idle` the end of what has landed. What waits to be
+    flushed when time is up is flushed once more before the stream ends.
+    """
+    spark, state = jobs.sparkSession, f"{checkpoint}.landed.json"
+    if jobs.isEmpty():
+        raise LookupError("There is no active liquidation job to stream for.")
+
+    def start(seconds: float, drain: bool = False) -> StreamingQuery:
+        messages = read_landed(spark, folder, state, schema, flush_events, seconds)
+        return start_liquidation_stream(
+            messages, jobs, events_path, log_path, checkpoint, drain, max_events=max_events, trigger="100 milliseconds"
+        )
 
-def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """All flushed batches of a sink, with their batch_id."""
-    return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+    counts = _Counted()
+    spark.streams.addListener(counts)
+    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+    query = start(0 if until_idle else flush_seconds)
+    try:
+        if until_idle and max_events is None and deadline is None:
+            query.processAllAvailable()
+        while query.isActive:
+            if max_events is not None and counts.events >= max_events:
+                break
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            if until_idle and not query.status["isDataAvailable"] and not query.status["isTriggerActive"]:
+                query.processAllAvailable()
+                break
+            query.awaitTermination(0.2)
+    finally:
+        query.stop()
+        spark.streams.removeListener(counts)
+    if query.exception() is not None:
+        raise query.exception()
+    if deadline is not None and (max_events is None or counts.events < max_events):
+        start(0, drain=True).awaitTermination()
+    return stream_totals(read_batches(spark, log_path))
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of committed flushes."""
+    return TB.read_table(spark, path)
 
 
 def stream_totals(log: DataFrame) -> DataFrame:
@@ -106,20 +222,25 @@ def stream_totals(log: DataFrame) -> DataFrame:
 def start_bucket_stream(
     events: DataFrame, path: str, checkpoint: str, interval: str = "1h", drain: bool = False
 ) -> StreamingQuery:
-    """Writes the sums of each flush per market and bucket; `latest_buckets` adds them up.
+    """Keeps the sums of each market and bucket; `latest_buckets` reads them.
 
-    Sums are additive, so nothing is kept between flushes, no event is too late, and a flush that is run again replaces
-    its own sums.
+    Sums are additive: a flush commits its own, no event is too late, and a flush that is run again adds nothing. Every so
+    many flushes the sums of the days they touched are folded, so reading does not cost more the longer a stream runs.
     """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        _overwrite_batch(D.liquidation_buckets(batch, [interval]), path, batch_id)
+        ledger, name, attempt = Ledger(batch.sparkSession, path, BUCKETS), _name(checkpoint, batch_id), new_attempt()
+        sums = D.liquidation_buckets(batch, [interval]).withColumn("day", F.to_date("bucket_time"))
+        ledger.write_part("buckets", sums.select(*[F.col(c).cast(kind) for c, kind in _BUCKET_TYPES]), attempt)
+        ledger.commit(attempt, name)
 
     writer = events.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=FLUSH_INTERVAL)).start()
 
 
+_BUCKET_TYPES = [tuple(x.split(" ", 1)) for x in BUCKETS["buckets"].schema.split(", ")]
+
+
 def latest_buckets(spark: SparkSession, path: str) -> DataFrame:
     """The sums of each bucket over all flushes."""
-    keys = [*C.SERIES_KEY, "bucket_time"]
-    return read_batches(spark, path).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in D.LIQUIDATION_SUMS])
+    return Ledger(spark, path, BUCKETS).read("buckets").drop("day")
