@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.catalog import queries as registry
 
@@ -12,6 +13,7 @@ GLOBAL_TOTALS = {"stream_totals"}
 # queries whose building starts streams or table writes are covered by their own tests
 EAGER = {n for n in QUERIES if n.startswith(("append_", "upsert_"))} | {
     "run_log", "ingest_run", "liquidation_stream", "flush_summary", "stream_bounds", "stream_totals", "streaming_liquidation_buckets",
+    "liquidation_flushes", "live_dashboard", "run_active_jobs", "run_registry", "run_until_failure",
 }
 
 
@@ -75,3 +77,12 @@ def test_gap_windows_hold_one_span(tables):
     plan = plan_of(Q.previous_open_times(timed, empty))
     windows = [line for line in plan.splitlines() if "Window [lag(open_time" in line]
     assert windows and all("span#" in line for line in windows)
+
+
+def test_quality_reads_the_batch_once(tables):
+    from tidemark.operators import quality as Q
+
+    plan = plan_of(Q.checked_bars(tables.market_data_raw.withColumn("copies", F.lit(1)).withColumn("quote_volume", F.lit(None).cast("decimal(28,8)"))))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("span#" in line for line in windows)

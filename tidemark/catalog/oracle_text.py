@@ -223,13 +223,13 @@ SELECT {STREAM}, job_name, fetch_mode, CAST(NULL AS BIGINT) AS start_time, CAST(
 FROM seeded"""
 SQL["upsert_watchlist"] = f"""
 SELECT upper(base) AS base_asset, max(seq) AS display_order, TRUE AS is_active, {ms(NOW, 'updated_at')}
-FROM exchange_market WHERE exchange = 'binance' GROUP BY 1"""
+FROM exchange_market GROUP BY 1"""
 SQL["latest_run_per_job"] = f"""
 SELECT {SERIES}, dataset, {ms('started_at')}, status, rows_fetched FROM ingestion_run_log
 QUALIFY row_number() OVER (PARTITION BY {SERIES}, dataset ORDER BY started_at DESC, status DESC) = 1"""
 SQL["file_and_jdbc_io"] = f"""
-SELECT {STREAM}, {ms('open_time')}, {dbl('close')}, {dbl('volume')} FROM market_data_raw
-WHERE source_dataset = 'kline' AND bar_interval = '1h'"""
+SELECT {STREAM}, {ms('open_time')}, {ms('close_time')}, {dbl('open')}, {dbl('high')}, {dbl('low')}, {dbl('close')}, {dbl('volume')},
+  {ms('ingested_at')} FROM market_data_raw"""
 
 # --- normalisation ---------------------------------------------------------------------------------
 
@@ -310,7 +310,7 @@ EXTRA["live_events"] = f"""
 SELECT d.event_id, d.native_symbol, j.exchange, j.symbol, j.market_type, j.bar_interval, j.source_dataset, j.job_name,
   d.at AS liquidation_time, d.side, {dbl('d.price')}, {dbl('d.amount')}, CAST(d.price * d.amount AS DOUBLE) AS cost
 FROM decoded d JOIN job_config j ON d.native_symbol = replace(split_part(j.symbol, ':', 1), '/', '')
-WHERE j.exchange = 'binance' AND j.source_dataset = 'liquidation' AND j.symbol IN ('BTC/USDT:USDT', 'ETH/USDT:USDT')"""
+WHERE j.exchange = 'binance' AND j.source_dataset = 'liquidation'"""
 EVENT_COLS = f"event_id, native_symbol, {K3}, liquidation_time, side, price, amount, cost"
 SQL["decode_force_orders"] = f"SELECT {EVENT_COLS} FROM live_events"
 SQL["native_symbol"] = f"SELECT {K3}, replace(split_part(symbol, ':', 1), '/', '') AS native_symbol FROM asset_registry"
@@ -461,7 +461,9 @@ SQL["append_quality_issues"] = f"SELECT f.*, {ms(NOW, 'detected_at')} FROM found
 
 EXTRA["landed_good"] = "SELECT * FROM raw_good WHERE NOT malformed"
 EXTRA["landed_issues"] = all_issues("landed_good", "good_bars")
-EXTRA["run_report"] = f"""
+def run_report(stored_before: str) -> str:
+    """The report of a batch that came when the store ended before some time."""
+    return f"""
 SELECT p.job_name, {', '.join('p.' + c for c in STREAM.split(', '))}, status, {ms('p.request_start', 'request_start')}, {ms(PLAN_END, 'request_end')},
   CASE WHEN ran THEN coalesce(n_fetched, 0) ELSE 0 END AS rows_fetched,
   CASE WHEN ran THEN coalesce(n_inserted, 0) ELSE 0 END AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
@@ -473,10 +475,15 @@ FROM (SELECT *, status IN ('success', 'partial_success') AS ran FROM (
          WHEN coalesce(severe, FALSE) THEN 'partial_success' ELSE 'success' END AS status
   FROM quality_plan q
   LEFT JOIN (SELECT {STREAM}, count(*) AS n_fetched, count(*) FILTER (WHERE malformed) AS n_rejected FROM raw_good GROUP BY {STREAM}) f USING ({STREAM})
-  LEFT JOIN (SELECT {STREAM}, count(*) AS n_inserted FROM good_bars WHERE open_time >= TIMESTAMP '2024-01-10 00:00:00'
+  LEFT JOIN (SELECT {STREAM}, count(*) AS n_inserted FROM good_bars WHERE open_time >= TIMESTAMP '{stored_before}'
       GROUP BY {STREAM}) i USING ({STREAM})
   LEFT JOIN (SELECT {STREAM}, count(*) AS n_issues, bool_or(severity = 'error') AS severe FROM landed_issues GROUP BY {STREAM}) s USING ({STREAM})) r) p"""
-SQL["batch_run_report"] = "SELECT * FROM run_report"
+
+
+EXTRA["run_report"] = run_report("1970-01-01 00:00:00")
+SQL["batch_run_report"] = run_report("2100-01-01 00:00:00")
+SQL["batch_run_report_fresh"] = "SELECT * FROM run_report"
+SQL["batch_run_report_late"] = run_report("2024-01-10 00:00:00")
 SQL["run_log"] = f"""
 SELECT * EXCLUDE (source_dataset, issue_count), source_dataset AS dataset, {ms(NOW, 'started_at')}, {ms(NOW, 'ended_at')} FROM run_report"""
 
@@ -506,6 +513,57 @@ LEFT JOIN (SELECT {STREAM}, count(*) AS n_fetched, count(*) FILTER (WHERE malfor
 LEFT JOIN (SELECT {STREAM}, count(*) AS n_inserted FROM first_bars GROUP BY {STREAM}) i USING ({STREAM})
 LEFT JOIN (SELECT {STREAM}, count(*) AS n_issues, bool_or(severity = 'error') AS severe FROM first_issues GROUP BY {STREAM}) x USING ({STREAM})"""
 
+# a complete run into an empty lake; the catalogue lacks one asset of kucoinfutures
+LOST = "exchange = 'kucoinfutures' AND symbol LIKE 'MYX/%'"
+LOST_MESSAGE = "'No market for symbol ' || symbol || ' of type ' || market_type || ' at ' || exchange"
+RESULT = f"job_name, {STREAM}, request_start, request_end, status, rows_fetched, rows_inserted, rows_updated, issue_count, error_message"
+EXTRA["first_candles"] = SQL["ingest_run"]
+PLANNED = "status <> 'skipped' AND coalesce(error_message, 'malformed rows in the payload') = 'malformed rows in the payload'"
+EXTRA["complete_candles"] = f"""
+SELECT * EXCLUDE (lost) REPLACE (CASE WHEN lost THEN 'failed' ELSE status END AS status, CASE WHEN lost THEN 0 ELSE rows_fetched END AS rows_fetched,
+  CASE WHEN lost THEN 0 ELSE rows_inserted END AS rows_inserted, CASE WHEN lost THEN 0 ELSE issue_count END AS issue_count,
+  CASE WHEN lost THEN {LOST_MESSAGE} ELSE error_message END AS error_message)
+FROM (SELECT *, {LOST} AND {PLANNED} AS lost FROM first_candles) c"""
+EXTRA["unmarked_series"] = """
+SELECT *, CAST(NULL AS TIMESTAMP) AS last_open_time FROM job_config WHERE is_active
+  AND source_dataset IN ('open_interest', 'long_short_ratio', 'taker_buy_sell_volume', 'funding_rate', 'liquidation')"""
+EXTRA["first_series"] = series_plan("unmarked_series")
+EXTRA["gated_series"] = f"""
+SELECT * REPLACE (CASE WHEN error_message IS NOT NULL THEN error_message
+    WHEN exchange = 'kucoinfutures' AND source_dataset = 'open_interest' AND bar_interval = '2h' THEN 'kucoinfutures has no open interest at interval 2h.'
+    WHEN source_dataset IN ('long_short_ratio', 'taker_buy_sell_volume') AND exchange <> 'binance' THEN source_dataset || ' is read from binance only.'
+    WHEN source_dataset IN ('long_short_ratio', 'taker_buy_sell_volume') AND bar_interval = '3m' THEN 'binance has no ' || source_dataset || ' at interval 3m.'
+    WHEN source_dataset = 'liquidation' AND exchange = 'binance' THEN 'binance liquidations come from the live stream only.'
+    WHEN {LOST} THEN {LOST_MESSAGE} END AS error_message)
+FROM first_series"""
+EXTRA["series_counts"] = f"""
+SELECT p.job_name, count(*) AS n_fetched, count(DISTINCT c.open_time) AS n_inserted FROM gated_series p JOIN timed_cells c USING ({SERIES})
+WHERE p.source_dataset = 'open_interest' AND p.error_message IS NULL AND c.at_ms IS NOT NULL AND c.open_time <= p.request_end
+  AND (p.exchange <> 'kucoinfutures' OR c.open_time >= p.effective_start) GROUP BY 1
+UNION ALL SELECT p.job_name, count(DISTINCT c.open_time), count(DISTINCT c.open_time) FROM gated_series p JOIN timed_cells c USING ({SERIES})
+WHERE p.source_dataset IN ('long_short_ratio', 'taker_buy_sell_volume') AND p.error_message IS NULL AND c.at_ms IS NOT NULL
+  AND c.open_time <= p.request_end AND (p.effective_start IS NULL OR c.at_ms > epoch_ms(p.effective_start)) GROUP BY 1
+UNION ALL SELECT p.job_name, count(*), count(DISTINCT f.funding_time) FROM gated_series p JOIN funding_rate_history f USING ({K3})
+WHERE p.source_dataset = 'funding_rate' AND p.error_message IS NULL GROUP BY 1
+UNION ALL SELECT p.job_name, count(*), count(*) FROM gated_series p JOIN liquidation_event l USING ({K3})
+WHERE p.source_dataset = 'liquidation' AND p.error_message IS NULL GROUP BY 1"""
+SKIPS = "error_message LIKE '% is read from binance only.' OR error_message LIKE 'binance %'"
+EXTRA["complete_run"] = f"""
+SELECT {RESULT} FROM complete_candles
+UNION ALL SELECT job_name, {STREAM}, {ms('request_start')}, {ms('request_end')},
+  CASE WHEN error_message IS NULL THEN 'success' WHEN {SKIPS} THEN 'skipped' ELSE 'failed' END AS status, coalesce(n_fetched, 0), coalesce(n_inserted, 0),
+  CAST(0 AS BIGINT), CAST(0 AS BIGINT), error_message
+FROM gated_series LEFT JOIN series_counts USING (job_name)
+UNION ALL SELECT job_name, {STREAM}, NULL, NULL, 'failed', 0, 0, 0, 0, 'Unsupported source_dataset=''' || source_dataset || '''.'
+FROM job_config WHERE is_active AND source_dataset = 'trades'"""
+SQL["run_active_jobs"] = "SELECT * FROM complete_run"
+SQL["run_registry"] = f"""
+SELECT DISTINCT c.exchange, c.symbol, c.market_type, m.base AS base_asset, m.quote AS quote_asset, TRUE AS is_active, {ms(NOW, 'updated_at')}
+FROM complete_candles c JOIN exchange_market m USING (exchange, symbol) WHERE {PLANNED}"""
+SQL["run_until_failure"] = f"""
+SELECT {RESULT}, CASE WHEN source_dataset LIKE '%kline' AND rows_inserted > 0 THEN rows_inserted END AS bars_stored
+FROM complete_run WHERE job_name <= (SELECT min(job_name) FROM complete_run WHERE status = 'failed')"""
+
 # --- markets and seeding -------------------------------------------------------------------------------------
 
 SQL["market_type_match"] = f"""
@@ -864,15 +922,31 @@ SELECT asset, bar_interval, time, round(long_value / nullif(long_value + short_v
 
 # --- streaming --------------------------------------------------------------------------------------------------------------
 
-SQL["liquidation_stream"] = f"SELECT {EVENT_COLS} FROM live_events"
+STORED_EVENTS = f"{K3}, liquidation_time, side, price, amount, cost, source_dataset"
+SQL["liquidation_stream"] = f"SELECT {STORED_EVENTS} FROM live_events"
 SQL["flush_summary"] = f"""
 SELECT job_name, {STREAM}, min(liquidation_time) AS request_start, max(liquidation_time) AS request_end, 'success' AS status,
   count(*) AS rows_fetched, count(*) AS rows_inserted FROM live_events GROUP BY ALL"""
-SQL["stream_bounds"] = f"SELECT {K3}, count(*) AS events FROM live_events GROUP BY ALL"
+SQL["liquidation_flushes"] = f"""
+SELECT {K3}, strftime(make_timestamp(liquidation_time * 1000), '%Y-%m-%d') AS day, count(*) AS events,
+  (SELECT CAST(ceil(count(*) / 200.0) AS BIGINT) FROM force_order_raw) AS flushes FROM live_events GROUP BY ALL"""
+SQL["stream_bounds"] = """
+SELECT least(40, count(*)) AS events_seen, least(40, count(*)) AS rows_inserted, least(40, count(*)) AS stored FROM live_events"""
 SQL["stream_totals"] = """
 SELECT count(DISTINCT symbol) AS symbols, count(*) AS events_seen, count(*) AS rows_inserted FROM live_events"""
+EXTRA["both_events"] = f"""
+SELECT {K3}, i.bar_interval, time_bucket(to_seconds(i.width), liquidation_time) AS bucket_time, lower(side) AS side,
+  coalesce(cost, price * amount, 0) AS notional
+FROM (SELECT {K3}, make_timestamp(liquidation_time * 1000) AS liquidation_time, side, price, amount, cost FROM live_events
+  UNION ALL SELECT {K3}, liquidation_time, side, price, amount, cost FROM liquidation_event) e,
+  (VALUES ('1m', 60), ('5m', 300), ('1h', 3600)) i(bar_interval, width)
+WHERE market_type = 'perpetual'"""
+EXTRA["both_totals"] = f"""
+SELECT a.asset, l.bar_interval, {sec('bucket_time')} AS time, {LIQUIDATION_SUMS}
+FROM both_events l JOIN active_registry a USING (exchange, symbol, market_type) GROUP BY ALL"""
+SQL["live_dashboard"] = newest("both_totals", "asset, bar_interval", "time DESC", SERIES_ROWS)
 SQL["streaming_liquidation_buckets"] = f"""
-SELECT {SERIES}, {ms('bucket_time')}, {LIQUIDATION_SUMS} FROM sized_liquidations WHERE bar_interval = '5m' GROUP BY {SERIES}, bucket_time"""
+SELECT {SERIES}, {ms('bucket_time')}, {LIQUIDATION_SUMS} FROM sized_liquidations GROUP BY {SERIES}, bucket_time"""
 
 # --- short series --------------------------------------------------------------------------------------------------------------
 # the same results with the newest CUT rows or times of each group, so that every group of some length is cut

@@ -151,7 +151,7 @@ def append_liquidations(t):
 @query
 def append_quality_issues(t):
     path = scratch_path(t.spark, "data_quality_issue")
-    issues = Q.quality_issues(_batch_bars(t), quality_plan(t))
+    issues = settle(Q.quality_issues(_batch_bars(t), quality_plan(t)), "issues")
     for _ in range(2):
         TB.append_quality_issues(issues, path, now(), F.lit("run"))
     return TB.read_table(t.spark, path).drop("run_id")
@@ -184,7 +184,7 @@ def upsert_jobs(t):
 @query
 def upsert_watchlist(t):
     path = scratch_path(t.spark, "watchlist_asset")
-    listed = t.exchange_market.where(F.col("exchange") == "binance")
+    listed = t.exchange_market
     for _ in range(2):
         TB.upsert_watchlist(listed.select(F.lower("base").alias("base_asset"), F.col("seq").alias("position")), path, now())
     return TB.read_snapshot(t.spark, path, "watchlist_asset")
@@ -193,7 +193,7 @@ def upsert_watchlist(t):
 @query
 def run_log(t):
     path = scratch_path(t.spark, "ingestion_run_log")
-    TB.append_run_log(_batch_report(t), path, now(), now())
+    TB.append_run_log(_batch_report(t, t.market_data_raw.where(F.lit(False))), path, now(), now())
     return TB.read_table(t.spark, path).select(
         "job_name", *C.SERIES_KEY, "dataset", "request_start", "request_end", "status", "rows_fetched", "rows_inserted",
         "rows_updated", "error_message", "started_at", "ended_at",
@@ -209,8 +209,8 @@ def latest_run_per_job(t):
 def file_and_jdbc_io(t):
     path = scratch_path(t.spark, "round_trip")
     t.market_data_raw.write.partitionBy("source_dataset", "bar_interval").parquet(path)
-    stored = TB.read_table(t.spark, path).where((F.col("source_dataset") == "kline") & (F.col("bar_interval") == "1h"))
-    return stored.select(*C.STREAM_KEY, "open_time", "close", "volume")
+    prices = ["open", "high", "low", "close", "volume"]
+    return TB.read_table(t.spark, path).select(*C.STREAM_KEY, "open_time", "close_time", *prices, "ingested_at")
 
 
 # --- normalisation -----------------------------------------------------------------------
@@ -328,8 +328,7 @@ def normalize_liquidations(t):
 
 
 def _liquidation_jobs(t):
-    usdt = F.col("symbol").endswith("/USDT:USDT") & ~F.col("symbol").startswith("MYX")
-    return t.jobs.where((F.col("source_dataset") == "liquidation") & (F.col("exchange") == "binance") & usdt)
+    return t.jobs.where((F.col("source_dataset") == "liquidation") & (F.col("exchange") == "binance"))
 
 
 EVENT_COLUMNS = ["event_id", "native_symbol", *C.MARKET_KEY, "liquidation_time", "side", "price", "amount", "cost"]
@@ -459,11 +458,10 @@ def _batch_bars(t):
     return t.settled("batch_bars", lambda: t.collapsed)
 
 
-def _batch_report(t):
+def _batch_report(t, stored):
     decoded = N.decode_ohlcv(t.landed_ohlcv)
     good = t.settled("good_bars", lambda: N.collapse_bars(decoded.where(~F.col("malformed"))))
     bars = N.bars_of(good)
-    stored = t.market_data_raw.where(F.col("open_time") < G.as_timestamp("2024-01-10 00:00:00"))
     inserted = bars.join(stored.select(*C.STREAM_KEY, "open_time"), [*C.STREAM_KEY, "open_time"], "left_anti")
     plan = quality_plan(t)
     return P.batch_run_report(plan, decoded, inserted, Q.quality_issues(good, plan))
@@ -471,7 +469,20 @@ def _batch_report(t):
 
 @query
 def batch_run_report(t):
-    return _batch_report(t)
+    """A batch that comes again: all its bars are stored."""
+    return _batch_report(t, t.market_data_raw)
+
+
+@query
+def batch_run_report_fresh(t):
+    """The same batch as it came first: nothing is stored."""
+    return _batch_report(t, t.market_data_raw.where(F.lit(False)))
+
+
+@query
+def batch_run_report_late(t):
+    """The batch comes when the store ends on 10 January."""
+    return _batch_report(t, t.market_data_raw.where(F.col("open_time") < G.as_timestamp("2024-01-10 00:00:00")))
 
 
 @query
@@ -481,6 +492,48 @@ def ingest_run(t):
     return I.run_candles(lake, t.jobs.where(F.col("is_active")), t.landed_ohlcv, now(), F.lit("run"))
 
 
+def _landed_everything(t):
+    """Payloads of every family, as they land; kucoinfutures has a shape of its own for open interest."""
+    at_kucoin = F.col("exchange") == "kucoinfutures"
+    amounts = _events_with_time(t).where(at_kucoin)
+    amounts = _payload(amounts, "open_interest", F.col("event_id"), ts=F.col("at").cast("string"), openInterest=F.col("k").cast("string"))
+    interest = _landed_open_interest(t).where(~at_kucoin).unionByName(amounts)
+    ratio = _payload(_events_with_time(t), "long_short_ratio", F.col("event_id"), timestamp=F.col("at"), longShortRatio=F.col("k") + 1)
+    flow = _payload(_events_with_time(t), "taker_buy_sell_volume", F.col("event_id"), timestamp=F.col("at"), buySellRatio=F.col("px"), buyVol=F.col("k"))
+    prints = {"timestamp": F.unix_millis("funding_time"), "fundingRate": F.col("funding_rate")}
+    funding = _payload(t.funding_rate_history, "funding_rate", F.lit(0).cast("bigint"), **prints)
+    fields = {"timestamp": F.unix_millis("liquidation_time"), "side": F.col("side"), "price": F.col("price"), "amount": F.col("amount")}
+    forced = _payload(t.liquidation_event, "liquidation", F.col("event_id"), **fields).withColumn("bar_interval", F.lit("event"))
+    return reduce(DataFrame.unionByName, [t.landed_ohlcv, interest, ratio, flow, funding, forced])
+
+
+def _complete_run(t, **options):
+    """A run of all active jobs into an empty lake, symbols resolved against the catalogue. One market is not in it."""
+    lake = I.Lake(t.spark, scratch_path(t.spark, "lake"))
+    catalogue = t.exchange_market.where(~((F.col("exchange") == "kucoinfutures") & (F.col("base") == "myx")))
+    landed = t.settled("landed_everything", lambda: _landed_everything(t))
+    return lake, I.run_active_jobs(lake, t.jobs, landed, now(), F.lit("run"), catalogue=catalogue, **options)
+
+
+@query
+def run_active_jobs(t):
+    return _complete_run(t)[1]
+
+
+@query
+def run_registry(t):
+    """The registry after a run: the markets of the candle jobs that had one."""
+    return TB.read_snapshot(t.spark, _complete_run(t)[0].path("asset_registry"), "asset_registry")
+
+
+@query
+def run_until_failure(t):
+    """Jobs in name order up to the first that fails, with what they stored."""
+    lake, report = _complete_run(t, stop_at_failure=True)
+    stored = lake.table("market_data_raw").groupBy(*C.STREAM_KEY).agg(F.count(F.lit(1)).alias("bars_stored"))
+    return report.join(stored, C.STREAM_KEY, "left")
+
+
 # --- quality ---------------------------------------------------------------------------------------
 
 
@@ -815,7 +868,7 @@ def nearest_join(t):
 
 @query
 def nearest_join_within(t):
-    out = NJ.nearest_join(_candles(t), _interest(t), C.SERIES_KEY, tolerance=F.lit(3600), unique_left=True, unique_right=True)
+    out = NJ.nearest_within_buckets(_candles(t), _interest(t), C.SERIES_KEY, tolerance=3600)
     return out.select(*C.SERIES_KEY, "time", F.col("nearest.time").alias("point_time"), F.col("nearest.value").alias("value"))
 
 
@@ -963,49 +1016,78 @@ def liquidation_ratio(t):
 # --- streaming ------------------------------------------------------------------------------------------------------
 
 
-def _drained_liquidations(t, flushes=1):
-    """Lands the messages as files, drains them in about so many flushes, and returns the sink and log paths."""
-    landed, sink, log, checkpoint = (scratch_path(t.spark, n) for n in ("landed", "liquidations", "log", "checkpoint"))
-    t.force_order_raw.write.parquet(landed)
-    files = len(t.spark.read.parquet(landed).inputFiles())
-    options = {"maxFilesPerTrigger": str(max(1, -(-files // flushes)))}
-    messages = L.read_messages(t.spark, landed, "event_id bigint, raw string", **options)
-    L.start_liquidation_stream(messages, _liquidation_jobs(t), sink, log, checkpoint, drain=True).awaitTermination()
-    return sink, log
+FLUSHED = 200
+
+
+def _streamed_liquidations(t, **bounds):
+    """Lands the messages as files, streams them by flushes of FLUSHED messages, and returns the store, log and totals."""
+    landed, store, log, checkpoint = (scratch_path(t.spark, n) for n in ("landed", "liquidations", "log", "checkpoint"))
+    t.force_order_raw.select("raw").write.parquet(landed)
+    bounds = bounds or {"until_idle": True}
+    totals = L.run_liquidation_stream(landed, _liquidation_jobs(t), store, log, checkpoint, flush_events=FLUSHED, flush_seconds=0, **bounds)
+    return store, log, totals
+
+
+STORED_EVENTS = [*C.MARKET_KEY, "liquidation_time", "side", "price", "amount", "cost", "source_dataset"]
 
 
 @query
 def liquidation_stream(t):
-    sink, _ = _drained_liquidations(t)
-    return L.read_batches(t.spark, sink).select(*EVENT_COLUMNS)
+    store, _, _ = _streamed_liquidations(t)
+    return TB.read_table(t.spark, store).select(*STORED_EVENTS)
 
 
 @query
 def flush_summary(t):
-    _, log = _drained_liquidations(t)
-    return L.read_batches(t.spark, log).select(
-        "job_name", *C.STREAM_KEY, "request_start", "request_end", "status", "rows_fetched", "rows_inserted"
+    """What the log of the flushes says of each job, flushes taken together: their sizes depend on the order of landing."""
+    _, log, _ = _streamed_liquidations(t)
+    return L.read_batches(t.spark, log).groupBy("job_name", *C.STREAM_KEY, "status").agg(
+        F.min("request_start").alias("request_start"),
+        F.max("request_end").alias("request_end"),
+        F.sum("rows_fetched").alias("rows_fetched"),
+        F.sum("rows_inserted").alias("rows_inserted"),
     )
 
 
+@query
+def liquidation_flushes(t):
+    """How many flushes of FLUSHED messages there were, and what the store's summary then holds of each market."""
+    store, _, _ = _streamed_liquidations(t)
+    flushes = F.lit(TB.last_commit(t.spark, store)).cast("bigint")
+    days = TB.read_days(t.spark, store).groupBy(*C.MARKET_KEY, "day").agg(F.sum("row_count").alias("events"))
+    return days.select(*C.MARKET_KEY, F.date_format("day", "yyyy-MM-dd").alias("day"), "events", flushes.alias("flushes"))
+
+
+STOP_AFTER = 40
+
+
 @query
 def stream_bounds(t):
-    sink, _ = _drained_liquidations(t, flushes=4)
-    return L.read_batches(t.spark, sink).groupBy(*C.MARKET_KEY).agg(F.count(F.lit(1)).alias("events"))
+    """A stream that stops after STOP_AFTER events."""
+    store, _, totals = _streamed_liquidations(t, max_events=STOP_AFTER)
+    return totals.select("events_seen", "rows_inserted", F.lit(TB.read_table(t.spark, store).count()).alias("stored"))
 
 
 @query
 def stream_totals(t):
-    _, log = _drained_liquidations(t, flushes=2)
-    return L.stream_totals(L.read_batches(t.spark, log))
+    return _streamed_liquidations(t)[2]
+
+
+@query
+def live_dashboard(t):
+    """Dashboard sums over the one store that fetched events and the stream's flushes were both appended to."""
+    store, _, _ = _streamed_liquidations(t)
+    TB.append_liquidations(t.liquidation_event, store, now(), "fetched")
+    TB.append_liquidations(t.liquidation_event, store, now(), "fetched")
+    return D.aggregate_liquidations(TB.read_table(t.spark, store), t.asset_registry, days=TB.read_days(t.spark, store))
 
 
 @query
 def streaming_liquidation_buckets(t):
     landed, sink, checkpoint = (scratch_path(t.spark, n) for n in ("events", "buckets", "checkpoint"))
     t.liquidation_event.write.parquet(landed)
-    events = t.spark.readStream.schema(t.liquidation_event.schema).parquet(landed)
-    L.start_bucket_stream(events, sink, checkpoint, "5m", drain=True).awaitTermination()
+    events = t.spark.readStream.schema(t.liquidation_event.schema).option("maxFilesPerTrigger", "4").parquet(landed)
+    L.start_bucket_stream(events, sink, checkpoint, C.SELECTION_INTERVALS, drain=True).awaitTermination()
     return L.latest_buckets(t.spark, sink)
 
 

@@ -347,12 +347,36 @@ def series_bounds(points: DataFrame, groups: list[str], symmetric: bool = False)
     )
 
 
-def rolling_zscore(points: DataFrame, groups: list[str], rows: int = 24) -> DataFrame:
+def rolling_zscore(points: DataFrame, groups: list[str], rows: int = 24, span: int | None = None) -> DataFrame:
     """Deviation of each value from the mean of its last `rows` points, in standard deviations (our definition).
 
-    Meant for newest-N series; NULL while fewer than two points are in the window or all are equal.
+    NULL while fewer than two points are in the window or all are equal; values that are NULL take a place but no part.
+    Newest-N series are short and take one window each. For long histories give `span`, in units of `time`: a series is cut
+    into spans, each takes along the last rows - 1 points before it, and no task holds a whole series. A span may be empty or
+    hold fewer points than that; then they come from spans further back. Where a time repeats, points follow in the order of
+    their values, then of all their columns.
     """
-    recent = Window.partitionBy(*groups).orderBy("time").rowsBetween(-(rows - 1), 0)
+    columns = points.columns
+    order = ["time", "value", *[c for c in columns if c not in ("time", "value", *groups)]]
+    if span is None:
+        return _zscores(points, groups, order, rows)
+    cut = points.withColumn("_span", F.floor(F.col("time") / F.lit(span))).withColumn("_own", F.lit(True))
+    newest = Window.partitionBy(*groups, "_span").orderBy(*[F.col(c).desc() for c in order])
+    tails = (
+        cut.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") < rows)  # trimmed in each task before the shuffle
+        .groupBy(*groups, "_span").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("tail"))
+    )
+    # one row for each span; its lead is the end of the tails of the spans before it
+    before = Window.partitionBy(*groups).orderBy("_span").rowsBetween(-(rows - 1), -1)  # a span holds one point at least
+    joined = F.flatten(F.collect_list("tail").over(before))
+    lead = F.when(F.size(joined) >= rows - 1, F.slice(joined, -(rows - 1), rows - 1)).otherwise(joined)
+    carried = tails.select(*groups, "_span", lead.alias("lead")).select(*groups, "_span", F.inline("lead"), F.lit(False).alias("_own"))
+    scored = _zscores(cut.unionByName(carried), [*groups, "_span"], order, rows)
+    return scored.where(F.col("_own")).select(*columns, "zscore")
+
+
+def _zscores(points: DataFrame, groups: list[str], order: list[str], rows: int) -> DataFrame:
+    recent = Window.partitionBy(*groups).orderBy(*order).rowsBetween(-(rows - 1), 0)
     spread = F.stddev_samp("value").over(recent)
     return points.withColumn(
         "zscore", F.when(spread > 0, (F.col("value") - F.avg("value").over(recent)) / spread)

@@ -142,3 +142,27 @@ def nearest_join(
         times = left.select(*keys, "time").distinct()
         out = left.join(align(times, points, ["nearest"], keys, span_seconds), [*keys, "time"], "left")
     return out if tolerance is None else out.withColumn("nearest", within("nearest", tolerance))
+
+
+def nearest_within_buckets(left: DataFrame, right: DataFrame, keys: list[str], tolerance: int) -> DataFrame:
+    """`nearest_join` within a tolerance of whole seconds (inclusive), for long histories: both sides are cut into buckets of
+    the tolerance, and a left row is compared with the points of its own bucket and the two beside it.
+
+    Each side is scanned once. Points are first put together by key and bucket, one for each time (the smallest by its
+    values); a right bucket stands in three lists, so a left row meets one list by an equi-join. A list holds at most three
+    times the tolerance in points, one a second, whatever the history's length or how many left rows share a bucket. On a tie
+    the earlier point is taken.
+    """
+    width = max(1, tolerance)
+    bucket = F.floor(F.col("time") / F.lit(width))
+    once = right.groupBy(*keys, "time").agg(F.min(_point(right, keys)).alias("point"))
+    spread = F.explode(F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)]))
+    lists = (
+        once.select(*keys, bucket.alias("own"), "point", spread.alias("by"))
+        .groupBy(*keys, (F.col("own") + F.col("by")).alias("bucket"))
+        .agg(F.array_sort(F.collect_list("point")).alias("points"))
+    )
+    joined = left.withColumn("bucket", bucket).join(lists, [*keys, "bucket"], "left")
+    near = F.filter("points", lambda p: F.abs(p["time"] - F.col("time")) <= F.lit(tolerance))
+    ranked = F.transform(near, lambda p: F.struct(F.abs(p["time"] - F.col("time")).alias("distance"), p.alias("point")))
+    return joined.withColumn("nearest", F.array_min(ranked)["point"]).select(*left.columns, "nearest")

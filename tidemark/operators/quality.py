@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as C
 from tidemark.functions import timegrid as G
+from tidemark.sources.staging import settle
 
 EXAMPLES = 20
 SPAN_BARS = 1024
@@ -62,9 +63,14 @@ def flagged_bars(bars: DataFrame, kinds: list[str]) -> DataFrame:
 
     Totals combine on the map side; the example list is trimmed to 20 rows per task before the shuffle.
     """
-    flagged = bars.select(*C.STREAM_KEY, "open_time", F.explode(_flags(kinds)).alias("f")).select(
-        *C.STREAM_KEY, "open_time", "f.kind", "f.weight"
+    return _flag_issues(
+        bars.select(*C.STREAM_KEY, "open_time", F.explode(_flags(kinds)).alias("f")).select(
+            *C.STREAM_KEY, "open_time", "f.kind", "f.weight"
+        )
     )
+
+
+def _flag_issues(flagged: DataFrame) -> DataFrame:
     keys = [*C.STREAM_KEY, "kind"]
     totals = flagged.groupBy(*keys).agg(
         F.min("open_time").alias("first_time"),
@@ -160,11 +166,18 @@ def missing_bar(bars: DataFrame, plan: DataFrame) -> DataFrame:
     timed = bars.select(*C.STREAM_KEY, "open_time").withColumn(
         "interval_seconds", G.interval_seconds(F.col("bar_interval"))
     )
+    return _gap_issues(previous_open_times(timed, plan))
+
+
+def _width() -> Column:
+    return F.unix_micros("open_time") - F.unix_micros("previous_open")
+
+
+def _gap_issues(steps: DataFrame) -> DataFrame:
+    """Issues of bars (`open_time`, `previous_open`, `interval_seconds`) that are further than an interval from the one before."""
     step = F.col("interval_seconds")
-    width = F.unix_micros("open_time") - F.unix_micros("previous_open")
     gaps = (
-        previous_open_times(timed, plan)
-        .withColumn("width", width)
+        steps.withColumn("width", _width())
         .where(F.col("width") > step * 1_000_000)
         .withColumn("missing", F.floor(F.col("width") / (step * 1_000_000)) - 1)
         .withColumn("issue_start_time", G.shift_seconds(F.col("previous_open"), step))
@@ -182,7 +195,11 @@ def missing_bar(bars: DataFrame, plan: DataFrame) -> DataFrame:
 
 def late_data(bars: DataFrame, plan: DataFrame, late_intervals: int = C.LATE_DATA_INTERVALS) -> DataFrame:
     """One warning per incremental job whose newest bar trails its target by more than the allowed intervals."""
-    newest = bars.groupBy(*C.STREAM_KEY).agg(F.max("open_time").alias("newest"))
+    return _late_issues(bars, plan, late_intervals)
+
+
+def _late_issues(times: DataFrame, plan: DataFrame, late_intervals: int) -> DataFrame:
+    newest = times.groupBy(*C.STREAM_KEY).agg(F.max("open_time").alias("newest"))
     latest = (
         plan.where(F.col("fetch_mode") == "incremental")
         .join(newest, C.STREAM_KEY, "left")
@@ -201,12 +218,45 @@ def late_data(bars: DataFrame, plan: DataFrame, late_intervals: int = C.LATE_DAT
     return _issue(latest, "late_data", "warning", F.lit(1), F.lit(0), detail)
 
 
+def checked_bars(bars: DataFrame) -> DataFrame:
+    """What one sorted pass over the spans of a batch finds, as rows of a `kind`: a broken rule with its weight, a `gap` between
+    two bars of a span, and the `edge` of a span (its first and last bar), by which spans are linked."""
+    timed = bars.withColumn("interval_seconds", G.interval_seconds(F.col("bar_interval")))
+    span = F.floor(F.unix_seconds("open_time") / (F.col("interval_seconds") * F.lit(SPAN_BARS)))
+    inside = Window.partitionBy(*C.STREAM_KEY, "span").orderBy("open_time")
+    walked = timed.select(*C.STREAM_KEY, "interval_seconds", "open_time", span.alias("span"), _flags(list(FLAG_SEVERITY)).alias("flags"))
+    walked = walked.withColumn("previous_open", F.lag("open_time").over(inside)).withColumn("next_open", F.lead("open_time").over(inside))
+    none = F.lit(0).cast("bigint")
+    gap = F.when(_width() > F.col("interval_seconds") * 1_000_000, F.struct(F.lit("gap").alias("kind"), none.alias("weight")))
+    at_edge = F.col("previous_open").isNull() | F.col("next_open").isNull()
+    edge = F.when(at_edge, F.struct(F.lit("edge").alias("kind"), none.alias("weight")))
+    found = F.concat("flags", F.array_compact(F.array(gap, edge)))
+    return walked.select(*C.STREAM_KEY, "interval_seconds", "span", "open_time", "previous_open", F.inline(found))
+
+
+def _span_steps(found: DataFrame, plan: DataFrame) -> DataFrame:
+    """Each span's first bar with the last bar of the span before it, or its job's anchor."""
+    edges = found.where(F.col("kind") == "edge").groupBy(*C.STREAM_KEY, "interval_seconds", "span")
+    spans = edges.agg(F.min("open_time").alias("open_time"), F.max("open_time").alias("last_open"))
+    before = F.lag("last_open").over(Window.partitionBy(*C.STREAM_KEY).orderBy("span"))
+    linked = spans.withColumn("before", before).join(plan.select(*C.STREAM_KEY, "anchor_open_time"), C.STREAM_KEY, "left")
+    return linked.withColumn("previous_open", F.coalesce("before", "anchor_open_time"))
+
+
 def quality_issues(collapsed: DataFrame, plan: DataFrame, late_intervals: int = C.LATE_DATA_INTERVALS) -> DataFrame:
-    """All rules over one batch, with common columns. The batch is read five times, so pass a settled one."""
+    """All rules over one batch, with common columns. The batch is read once; what that pass finds is settled, and the issues
+    are made from it."""
     bars = collapsed
     if "quote_volume" not in bars.columns:
         bars = bars.withColumn("quote_volume", F.lit(None).cast("decimal(28,8)"))
-    parts = [flagged_bars(bars, list(FLAG_SEVERITY)), missing_bar(bars, plan), late_data(bars, plan, late_intervals)]
+    found = settle(checked_bars(bars), "checked-bars")
+    steps = ["open_time", "previous_open", "interval_seconds"]
+    gaps = found.where(F.col("kind") == "gap").select(*C.STREAM_KEY, *steps)
+    parts = [
+        _flag_issues(found.where(F.col("kind").isin(list(FLAG_SEVERITY))).select(*C.STREAM_KEY, "open_time", "kind", "weight")),
+        _gap_issues(gaps.unionByName(_span_steps(found, plan).select(*C.STREAM_KEY, *steps))),
+        _late_issues(found.where(F.col("kind") == "edge"), plan, late_intervals),
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

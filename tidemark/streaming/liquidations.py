@@ -220,9 +220,9 @@ def stream_totals(log: DataFrame) -> DataFrame:
 
 
 def start_bucket_stream(
-    events: DataFrame, path: str, checkpoint: str, interval: str = "1h", drain: bool = False
+    events: DataFrame, path: str, checkpoint: str, intervals: str | list[str] = "1h", drain: bool = False
 ) -> StreamingQuery:
-    """Keeps the sums of each market and bucket; `latest_buckets` reads them.
+    """Keeps the sums of each market and bucket of some intervals; `latest_buckets` reads them.
 
     Sums are additive: a flush commits its own, no event is too late, and a flush that is run again adds nothing. Every so
     many flushes the sums of the days they touched are folded, so reading does not cost more the longer a stream runs.
@@ -230,7 +230,7 @@ def start_bucket_stream(
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         ledger, name, attempt = Ledger(batch.sparkSession, path, BUCKETS), _name(checkpoint, batch_id), new_attempt()
-        sums = D.liquidation_buckets(batch, [interval]).withColumn("day", F.to_date("bucket_time"))
+        sums = D.liquidation_buckets(batch, [intervals] if isinstance(intervals, str) else intervals).withColumn("day", F.to_date("bucket_time"))
         ledger.write_part("buckets", sums.select(*[F.col(c).cast(kind) for c, kind in _BUCKET_TYPES]), attempt)
         ledger.commit(attempt, name)
 
