@@ -234,3 +234,11 @@ def test_trained_weight_sets_are_kept_along_a_text(monkeypatch):
     for size in (1 << 20, 700):
         monkeypatch.setattr(lm_scoring, "PIECE", size)
         assert np.allclose(mixer(texts), want, rtol=1e-3)
+
+
+def test_scores_without_training_rows_or_rows(spark):
+    none = spark.createDataFrame([(6, "held out"), (6, None)], "doc_id long, text string")  # crc32("6") % 10 is 0
+    for rows in (none, none.withColumn("doc_id", none.doc_id * 0 + 6)):
+        got = lm_scoring.score(rows).collect()
+        assert len(got) == 2 and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in got)
+    assert lm_scoring.score(none.limit(0)).count() == 0

@@ -126,7 +126,7 @@ def test_mixing_meets_its_targets(spark, sf_dir):
     rows = mixed.toPandas()
     for margin, power in mixing.TEMPER.items():
         own = rows.groupby(margin).n_tokens.sum()
-        expected = (rows.n_tokens * rows.probability).groupby(rows[margin]).sum()
+        expected = (rows.n_tokens * rows.weight).groupby(rows[margin]).sum()
         target = own**power / (own**power).sum()
         assert np.allclose(expected / expected.sum(), target, atol=2e-3)
 
@@ -139,3 +139,29 @@ def test_mixing_odd_rows(spark, documents):
     only = mixing.mix(docs, ["doc_id"], targets=targets).collect()
     assert {r.source for r in only if r.kept} == {"src0"} and all(r.probability == 0 for r in only if r.source != "src0")
     assert mixing.mix(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_a_tail_source_leaves_the_hot_one_its_share(spark):
+    hot = [(i, f"w{i} " * 50, "hot", "en") for i in range(2000)]
+    docs = spark.createDataFrame([*hot, (5000, "few words", "tail", "en"), (5001, None, None, "en")], "doc_id long, text string, source string, lang string")
+    rows = mixing.weights(docs).collect()
+    kept = {s: [r for r in rows if r.source == s and r.kept] for s in ("hot", "tail", None)}
+    assert len(kept["hot"]) > 1900 and len(kept["tail"]) == 1 and len(kept[None]) == 1
+    assert kept["tail"][0].copies == mixing.MOST_COPIES and all(r.probability > 0 for r in rows)
+    # the tail's target can't be reached by four copies, and the report says so
+    told = {(r.margin, r.value): r for r in mixing.margins(mixing.mix(docs, ["doc_id"])).collect()}
+    tail = told["source", "tail"]
+    assert tail.wanted < tail.target and abs(told["source", "hot"].wanted - told["source", "hot"].target) < 0.02
+
+
+def test_margins_of_what_is_drawn(spark, sf_dir):
+    for r in mixing.margins(mixing.mix(load(spark, sf_dir), ["doc_id"])).collect():
+        assert abs(r.wanted - r.target) < 2e-3 and abs(r.drawn - r.target) < 0.1
+
+
+def test_rounds_go_on_until_a_tolerance(spark):
+    cells = spark.createDataFrame([("a", "x", 900), ("a", "y", 10), ("b", "x", 10), ("b", "y", 1)], "source string, lang string, tokens long")
+    targets = {"source": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, target double"), "lang": spark.createDataFrame([("x", 0.5), ("y", 0.5)], "lang string, target double")}
+    short, long = mixing.rake(cells, targets, rounds=1), mixing.rake(cells, targets, rounds=1, tolerance=1e-9)
+    share = lambda t: sum(r.fitted for r in t.collect() if r.source == "a")
+    assert abs(share(long) - 0.5) < 1e-9 < abs(share(short) - 0.5)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm.mixing import ROUNDS, TEMPER
+from tidemark.llm.mixing import KEEP, MOST_COPIES, ROUNDS, TEMPER
 
 
 def mixing_sql() -> str:
@@ -31,12 +31,14 @@ def mixing_sql() -> str:
                 f" FROM {now} f JOIN target_{margin} t ON f.{margin} IS NOT DISTINCT FROM t.{margin})"
             )
             now = then
-    steps.append(f"odds AS (SELECT *, round((fitted / tokens) / (SELECT max(fitted / tokens) FROM {now}), 9) AS probability FROM {now})")
-    return "WITH " + ",\n".join(steps) + """
-SELECT d.doc_id, d.source, d.lang, d.topic, CAST(d.tokens AS BIGINT) AS n_tokens, probability,
-  CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT) / 4503599627370496.0 < probability AS kept
+    wanted = f"fitted * {float(KEEP)} * (SELECT CAST(sum(tokens) AS DOUBLE) FROM {now}) / tokens"
+    steps.append(f"odds AS (SELECT *, least({wanted}, {float(MOST_COPIES)}) AS weight FROM {now})")
+    dice = "CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT) / 4503599627370496.0"
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT *, copies > 0 AS kept FROM (SELECT d.doc_id, d.source, d.lang, d.topic, CAST(d.tokens AS BIGINT) AS n_tokens, least(weight, 1.0) AS probability,
+  weight, CAST(floor(weight) + CASE WHEN {dice} < weight - floor(weight) THEN 1 ELSE 0 END AS BIGINT) AS copies
 FROM typed d JOIN odds o ON d.source IS NOT DISTINCT FROM o.source AND d.lang IS NOT DISTINCT FROM o.lang
-  AND d.topic IS NOT DISTINCT FROM o.topic"""
+  AND d.topic IS NOT DISTINCT FROM o.topic) x"""
 
 
 def crc32_sql(number: str) -> str:
