@@ -26,23 +26,29 @@ def _others(docs: DataFrame) -> list[str]:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null and empty texts fail them; repeated rows are judged alike, and all of them
+    stay or go; a null language is judged as one."""
     judged = quality.judge(docs, _others(docs), with_text=True).where("kept")
     return judged.select(*["text" if c == "text" else f"row.{c}" for c in docs.columns])
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate component; of rows that repeat an id and its text, one."""
+    """One document of each near-duplicate component: that of smallest id (null ids last), then of least hash of its text; of
+    rows equal in both, one. Documents without words are in no component and stay; null and empty texts are such."""
     found = ngram_join.near_duplicates(docs)
-    first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_hash")
+    least = found.where("n_shingles > 0").groupBy("c", "d").agg(F.min(order).alias("least")).select("least.doc_id", "least.text_hash")
+    stays = least.union(found.where("n_shingles = 0").select("doc_id", "text_hash").distinct())
+    stays = stays.select(F.col("doc_id").alias("_first"), F.col("text_hash").alias("_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_first")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    kept = docs.join(stays, same, "left_semi")
     again = Window.partitionBy("doc_id", "text").orderBy(*[c for c in _others(docs) if c != "doc_id"])
     return kept.withColumn("_again", F.row_number().over(again)).where("_again = 1").drop("_again")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the repeated passages of PASSAGE_BYTES or PASSAGE_WORDS or more; a character that a passage covers in part stays, and
-    documents of which no word is left go."""
+    """Documents without the repeated passages of PASSAGE_BYTES or PASSAGE_WORDS or more; a character that a passage covers in
+    part stays, and documents of which no word is left go, as do null and empty texts. A row that repeats another is a repeat."""
 
     def whole(text: bytes, start: int, stop: int) -> tuple[int, int]:
         while start < stop and text[start] & 0xC0 == 0x80:
@@ -65,12 +71,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target shares of sources, languages and topics."""
+    """Documents drawn to the target shares of sources, languages and topics, once each however many copies are wanted. Null
+    sources and languages are values of their own; rows of one id stay or go together."""
     return mixing.mix(docs, docs.columns).where("kept").select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, and digests of the ids and of the text that they decode to."""
+    """Ids of each text, and digests of the ids and of the text that they decode to; a null text is empty. Every row has its
+    row of the result."""
     return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

@@ -104,5 +104,16 @@ def test_stages_take_odd_documents(spark, documents):
 
 def test_every_operator_is_registered():
     names = list(queries.registered())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14))
     assert set(queries.all_sql()) <= set(names)
+
+
+def test_join_stage_where_ids_repeat_or_are_null(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    rows = [(3, x), (5, x + " end"), (5, y), (None, x), (None, y + " end"), (None, z), (None, z + " end"), (9, None), (9, None), (None, ""), (7, z.upper())]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    after = corpus_pipeline.keep_one_of_each(spark, docs, "")
+    assert after.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in after.collect()) == sorted([("3", x), ("5", y), ("7", z.upper()), ("9", "None"), ("None", "")])
+    only = docs.where("doc_id is null and text <> ''")
+    assert sorted(r.text.split()[0] for r in corpus_pipeline.keep_one_of_each(spark, only, "").collect()) == ["x0", "y0", "z0"]

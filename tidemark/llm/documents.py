@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,6 +17,20 @@ PIECE_BYTES = 4 << 20
 
 
 _shipped: set[str] = set()
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, build: Callable[[], object]) -> object:
+    """What a worker builds once and uses in many tasks; one thing at a time, so that a later operator's takes its place."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = build()
+    return _kept[name]
+
+
+def release() -> None:
+    """Lets go of it, before work that needs the memory."""
+    _kept.clear()
 
 
 def ship(spark: SparkSession) -> None:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.documents import keyed_texts, pieces
+from tidemark.llm.documents import keyed_texts, pieces, release
 from tidemark.llm.shingles import shingle_sets
 from tidemark.llm.suffix_dedup import _mixed
 from tidemark.sources.staging import settle
@@ -76,29 +76,32 @@ def _sets(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """doc_id, n and the hashes u, v of each document's set; and the frequent shingles, sorted, with their counts."""
+    """doc_id, a hash of the text, n and the hashes u, v of each document's set; and the frequent shingles, sorted, with their
+    counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: list[np.ndarray] = []
         for piece in pieces(batches, limit=PIECE):
             values, _, sizes, u, v = _sets(piece)
             _, first = np.unique(np.stack([u, v]), axis=1, return_index=True)  # copies don't make a shingle frequent
             seen.append(values[np.isin(np.repeat(np.arange(len(sizes)), sizes), first)])
-            if sum(map(len, seen)) > 4_000_000:  # what comes seldom in so many is not hot
+            if sum(map(len, seen)) > 1_000_000:  # what comes seldom in so many is not hot
                 seen = [_often(seen, 2)]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(sizes), _signed(u), _signed(v), pa.array(np.zeros(len(u), np.int32))],
-                ["doc_id", "n", "u", "v", "times"],
+                [piece.column("doc_id"), piece.column("text_hash"), pa.array(sizes), _signed(u), _signed(v), pa.array(np.zeros(len(u), np.int32))],
+                ["doc_id", "text_hash", "n", "u", "v", "times"],
             )
         if seen:
             value, times = np.unique(np.concatenate(seen), return_counts=True)
             kept = times >= REPORTED
             none = pa.nulls(int(kept.sum()), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, _signed(value[kept]), none, pa.array(times[kept].astype(np.int32))], ["doc_id", "n", "u", "v", "times"]
+                [none, none, none, _signed(value[kept]), none, pa.array(times[kept].astype(np.int32))], ["doc_id", "text_hash", "n", "u", "v", "times"]
             )
 
-    rows = settle(docs.mapInArrow(run, "doc_id long, n long, u long, v long, times int"), "join-sets")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rows = settle(hashed.mapInArrow(run, "doc_id long, text_hash long, n long, u long, v long, times int"), "join-sets")
     often = rows.where("times > 0").groupBy("u").agg(F.sum("times").alias("times"))
     return rows.where("times = 0").drop("times"), *_most_frequent(often, "u", "times")
 
@@ -539,7 +542,8 @@ def connect(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id of every document, and what tells rows and components apart where ids repeat or are
+    null: a hash of the text (xxhash64) and two numbers of the component (null for sets without shingles)."""
     docs = keyed_texts(docs, id_col, text_col)
     rows, frequent, times = describe(docs)
     found = settle(group_members(index_prefixes(docs, frequent, times), MOST_MEMBERS), "join-groups")
@@ -556,14 +560,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.join(nodes, ["u", "v"]).select("g", "node", "n")
     comps = connect(settle(members, "join-members"), nodes, texts)
     named = rows.join(nodes.select("u", "v", "node"), ["u", "v"], "left").join(comps, "node", "left")
-    named = named.select("doc_id", "n", F.coalesce("comp", "node").alias("c"), "u", "v")
+    named = named.select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("c"), "u", "v")
     # a set that shares no group is a component of its own, told by its hashes
     keyed = settle(
         named.select(
-            "doc_id", "n", F.when(F.col("c").isNull(), F.col("u")).otherwise(F.col("c")).alias("c"), F.when(F.col("c").isNull(), F.col("v")).otherwise(F.lit(-1)).alias("d")
+            "doc_id",
+            "text_hash",
+            "n",
+            F.when(F.col("c").isNull(), F.col("u")).otherwise(F.col("c")).alias("c"),
+            F.when(F.col("c").isNull(), F.col("v")).otherwise(F.lit(-1)).alias("d"),
         ),
         "join-named",
     )
     least = keyed.where("n > 0").groupBy("c", "d").agg(F.min("doc_id").alias("component_id"))
-    linked = keyed.where("n > 0").join(least, ["c", "d"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.union(keyed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    linked = keyed.where("n > 0").join(least, ["c", "d"])
+    linked = linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "c", "d")
+    none = F.lit(None).cast("long")
+    alone = keyed.where("n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash", none.alias("c"), none.alias("d")
+    )
+    return linked.union(alone)

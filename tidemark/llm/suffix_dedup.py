@@ -445,20 +445,22 @@ def kept_parts(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 def digests(
     docs: DataFrame, id_col: str = "doc_id", length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and SHA-256 of what is kept of every text."""
+    """doc_id, n_bytes, n_removed, n_spans and SHA-256 of what is kept of every text, and the kept text itself (bytes of
+    characters that were cut in part are replaced)."""
 
     def finish(piece: pa.RecordBatch, runs: list[list[tuple[int, int]]]) -> pa.RecordBatch:
         texts = piece.column("text").to_pylist()
         numbers = [(len(x), sum(b - a for a, b in r), len(r)) for x, r in zip(texts, runs)]
-        kept = [hashlib.sha256(kept_parts(x, r)).hexdigest() for x, r in zip(texts, runs)]
+        left = [kept_parts(x, r) for x, r in zip(texts, runs)]
         return pa.RecordBatch.from_arrays(
             [
                 piece.column("row").field(0).cast(pa.int64()),
                 *(pa.array([x[i] for x in numbers], pa.int64()) for i in range(3)),
-                pa.array(kept, pa.string()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()),
+                pa.array([x.decode(errors="replace") for x in left], pa.string()),
             ],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
         )
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
     return deduplicate(docs, [id_col], finish, schema, length, gram, hot_classes)
