@@ -127,7 +127,7 @@ def test_long_texts_are_hashed_in_parts(documents, monkeypatch):
     found = suffix_dedup.find_anchors(suffix_dedup._keyed(documents(texts), ["doc_id"], "text"), 400, 64).collect()
     assert len({(bytes(r.k), r.pos) for r in found}) == len(found)
     rows = suffix_dedup.digests(documents(texts)).collect()
-    assert {r.doc_id: tuple(r)[1:] for r in rows} == dict(enumerate(plain_repeats([t.encode() for t in texts], 400)))
+    assert {r.doc_id: tuple(r)[1:5] for r in rows} == dict(enumerate(plain_repeats([t.encode() for t in texts], 400)))
 
 
 def test_intervals_of_the_common_prefix_tree():
