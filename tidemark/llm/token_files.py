@@ -16,6 +16,7 @@ the first shard and are found under None. No rows: no shards, and an empty resul
 from __future__ import annotations
 
 import functools
+import gc
 import io
 import math
 import re
@@ -41,7 +42,8 @@ MOST_SHARDS = 65_536
 #: Bytes of a shard's ids that a reader holds at a time.
 READ_BYTES = 8 << 20
 KEPT_WORDS = 600_000
-LETTERS_FIRST = re.compile(r"([A-Za-z]+)([^A-Za-z0-9'\u0080-\U0010ffff].*)?\Z", re.S)
+#: A line's letters, if another kind of character follows that ends a match (or nothing), and the rest of it.
+HALVES = re.compile(r"^(?:([A-Za-z]+)(?=[^A-Za-z0-9'\u0080-\U0010ffff]|$))?(.*)$", re.M)
 MAGIC = b"TIDX0001"
 NULL_KEY = -(2**63)  # stands for a null key in sorting; such records are found by their count in the header
 
@@ -151,7 +153,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}  # the end of a text
-        self.starts, self.sizes, self.ids = np.zeros(1, np.int64), np.ones(1, np.int64), np.ones(1, self.width)
+        self.starts, self.sizes, self.ids = np.array([0, 1]), np.array([1, 0]), np.ones(1, self.width)  # and no ids at all
 
     def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         self.known.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
@@ -173,22 +175,12 @@ class WordEncoder:
         self._add(words, sizes, np.fromiter((i for x in coded for i in x), self.width, int(sizes.sum())))
 
     def _learn(self, new: list[str]) -> None:
-        halves = []
-        for word in new:
-            found = LETTERS_FIRST.match(word)
-            halves.append((found[1].lower(), found[2] or "") if found else (word, ""))
-        known = self.known
-        self._encode(list({x for pair in halves for x in pair if x not in known}))
-        joined = []
-        for word, (first, rest) in zip(new, halves, strict=True):
-            if word not in known:
-                if rest:
-                    joined.append((word, known[first], known[rest]))
-                else:
-                    known[word] = known[first]
-        codes = np.array([x[1:] for x in joined], np.int64).reshape(-1)
-        sizes = self.sizes[codes]
-        self._add([x[0] for x in joined], sizes.reshape(-1, 2).sum(axis=1), self._gather(codes)[0])
+        halves = HALVES.sub(r"\1\n\2", "\n".join(new)).split("\n")
+        first, rest = "\n".join(halves[::2]).lower().split("\n"), halves[1::2]
+        self._encode(list({*first, *rest}.difference(self.known)))
+        codes = np.array([np.fromiter(map(self.known.__getitem__, x), np.int64, len(new)) for x in (first, rest)]).T.reshape(-1)
+        codes[codes == 0] = 1  # no letters, or no rest
+        self._add(new, self.sizes[codes].reshape(-1, 2).sum(axis=1), self._gather(codes)[0])
 
     def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the codes in turn, and how many come before each code and after the last."""
@@ -198,6 +190,15 @@ class WordEncoder:
 
     def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with `end_id` after it, and where each text's ids end."""
+        collecting = gc.isenabled()
+        gc.disable()  # there are many words and no cycles
+        try:
+            return self._ids_of(texts, end_id)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _ids_of(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > KEPT_WORDS:
             self._forget()
         self.ids[0] = end_id
