@@ -242,3 +242,40 @@ def test_scores_without_training_rows_or_rows(spark):
         got = lm_scoring.score(rows).collect()
         assert len(got) == 2 and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in got)
     assert lm_scoring.score(none.limit(0)).count() == 0
+
+
+def test_ranks_with_values_alike_in_their_first_bits():
+    random = np.random.default_rng(14)
+    for bits, values in (
+        (64, random.integers(0, 50, 5000, np.uint64) * np.uint64(3)),  # differ only in the last bits
+        (55, random.integers(0, 1 << 55, 5000, np.uint64)),
+        (40, np.zeros(1, np.uint64)),
+    ):
+        assert (lm_scoring._ranks(values, bits) == np.unique(values, return_inverse=True)[1]).all()
+
+
+def test_odds_seen_from_a_bit_and_back():
+    odds = np.arange(256, dtype=np.uint8)
+    for bit in (np.zeros(256, np.uint8), np.ones(256, np.uint8)):
+        there = lm_scoring._mirrored(odds, bit)
+        assert (lm_scoring._mirrored(there, bit) == odds).all() and (there >> 6 == odds >> 6).all()
+
+
+def test_a_group_asks_for_a_context_and_symbol_once():
+    random = np.random.default_rng(15)
+    texts = [bytes(random.choice(np.frombuffer(b"abcde fgh\n", np.uint8), n)) for n in (9000, 4000, 4000, 1, 0)]
+    sizes = []
+    for copies in (1, 8):
+        parts = [part for group in lm_scoring.groups_of(texts * copies) for part in group]
+        rows = [*lm_scoring._asked(np.ones(len(texts) * copies, bool), 4, parts)]
+        assert len(rows) == len({row[0] for row in rows}) <= len(lm_scoring.GATES) << 4  # one for each predictor and shard
+        sizes.append([sum(len(lm_scoring._unpack(row[4], np.uint16)) for row in rows), sum(lm_scoring._unpack(row[5], np.uint8).sum() > 0 for row in rows)])
+    assert sizes[0] == sizes[1]
+
+
+def test_few_texts_step_as_many_do(monkeypatch):
+    mixer = random_mixer(16)
+    texts = [b"some words of a text " * n for n in range(1, 30)]
+    walked = mixer(texts)
+    monkeypatch.setattr(lm_scoring, "FEW", 0)
+    assert np.allclose(mixer(texts), walked, rtol=1e-4)
