@@ -127,6 +127,47 @@ def test_dashboard_reads_what_stream_and_append_store_once(spark, jobs):
     assert [(r.event_count, r.short_value, r.long_value) for r in got] == [(21, 7.0, 2 * 2.5 * 55)]
 
 
+def test_backlog_is_flushed_by_few_jobs_with_a_commit_for_each_flush(spark, jobs, monkeypatch):
+    monkeypatch.setattr(LG, "FOLD", 4)
+    folder = scratch_path(spark, "landed")
+    known = [message(i) for i in range(40)] + [message(i, "Z") for i in range(40, 80)] + [message(i) for i in range(80, 107)]
+    land(spark, folder, *known[:33])  # the second to the fourth flush of ten have no job in part or at all
+    land(spark, folder, *known[33:])
+    events, log, checkpoint = paths(spark)
+    batches, append = [], TB.append_flushed_liquidations
+    monkeypatch.setattr(TB, "append_flushed_liquidations", lambda *a: batches.append(a[-1]) or append(*a))
+    totals = L.run_liquidation_stream(folder, jobs, events, log, checkpoint, flush_events=10, until_idle=True).first()
+    assert tuple(totals) == (2, 67, 67)
+    assert [len(x) for x in batches] == [10, 1]
+    assert flushes(spark, log) == [10] * 4 + [10, 10, 7]
+    ledger = LG.Ledger(spark, events, TB.DAYS)
+    assert ledger.log.newest() == 11 and ledger.folds.newest() == 2
+    commits = {r["batch"]: r["attempt"] for r in ledger.commits().collect()}
+    assert len(commits) == len(set(commits.values())) == 11
+    rows = TB.read_table(spark, events)
+    assert sorted(float(r.amount) for r in rows.collect()) == [i + 1.0 for i in [*range(40), *range(80, 107)]]
+    assert "flush" not in rows.columns and TB.read_days(spark, events).agg(F.sum("row_count")).first()[0] == 67
+    # flushes run again after a crash between two commits: those committed are passed over, the others stored
+    again = rows.withColumn("flush", F.when(F.col("amount") <= 20, 0).otherwise(1000).cast("bigint"))
+    names = {0: next(iter(commits)), 1000: "new", 2000: "empty"}
+    append(again, events, F.current_timestamp(), names)
+    append(again, events, F.current_timestamp(), names)
+    assert TB.read_table(spark, events).count() == 67 + 47 and ledger.log.newest() == 13
+
+
+def test_a_slice_reads_only_the_row_groups_it_needs(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"raw": [str(i) for i in range(50)]}), tmp_path / "a.parquet", row_group_size=7)
+    options = {"path": str(tmp_path), "state": f"{scratch_path(spark, 'state')}/s.json", "flush_events": "4", "backlog": "3"}
+    reader = landed.LandedReader(options, spark.createDataFrame([], "flush long, raw string, position long").schema)
+    assert reader.latestOffset() == {"position": 12} and reader.latestOffset() == {"position": 24}
+    parts = reader.partitions({"position": 12}, {"position": 24}) + reader.partitions({"position": 48}, {"position": 50})
+    rows = [r for part in parts for batch in reader.read(part) for r in zip(*(c.to_pylist() for c in batch.columns))]
+    assert rows == [(12 + (i - 12) // 4 * 4, str(i), i) for i in range(12, 24)] + [(48, "48", 48), (48, "49", 49)]
+
+
 def test_reading_buckets_does_not_grow_with_flushes(spark, monkeypatch):
     monkeypatch.setattr(LG, "FOLD", 3)
     schema = "exchange string, symbol string, market_type string, liquidation_time timestamp, side string, price double, amount double, cost double"

@@ -41,8 +41,11 @@ def is_summary(rows: DataFrame) -> bool:
     return {"row_count", "minutes"} <= set(rows.columns)
 
 
-def summarise(rows: DataFrame, time: str, dataset: str | None = None, close: str | None = None) -> DataFrame:
-    """The summary of fact rows. Series without an interval are events; `dataset` names the rows if no column does."""
+def summarise(
+    rows: DataFrame, time: str, dataset: str | None = None, close: str | None = None, also: list[str] = ()
+) -> DataFrame:
+    """The summary of fact rows. Series without an interval are events; `dataset` names the rows if no column does. `also`
+    are further columns to tell rows apart by."""
     events = "bar_interval" not in rows.columns
     at = F.col(time).cast("timestamp")
     keyed = rows.select(
@@ -54,9 +57,10 @@ def summarise(rows: DataFrame, time: str, dataset: str | None = None, close: str
         at.alias("at"),
         (at if close is None else F.col(close).cast("timestamp")).alias("close"),
         F.col("ingested_at").cast("timestamp").alias("ingested_at"),
+        *also,
     )
     minute = F.expr("shiftleft(1L, minute(at))") if events else F.lit(None).cast("bigint")
-    return keyed.groupBy(*STREAM_DAY).agg(
+    return keyed.groupBy(*STREAM_DAY, *also).agg(
         F.min("at").alias("first_time"),
         F.max("at").alias("last_time"),
         F.max("close").alias("last_close"),

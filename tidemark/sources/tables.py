@@ -21,7 +21,7 @@ from tidemark import constants as C
 from tidemark import schemas as S
 from tidemark.sources import summary as SU
 from tidemark.sources.ledger import Ledger, Rollup, new_attempt
-from tidemark.sources.staging import path_exists, settle
+from tidemark.sources.staging import move_folders, path_exists, settle
 
 DAY_COLUMN = "day"
 ATTEMPT = "attempt"
@@ -218,6 +218,46 @@ def append_batch(
     return written if ledger.commit(attempt, batch) else 0
 
 
+def append_batches(
+    rows: DataFrame,
+    number: str,
+    path: str,
+    names: dict[int, str],
+    layout: list[str],
+    sort_by: list[str] = (),
+    rollups: dict[str, Rollup] | None = None,
+    parts: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> None:
+    """Appends several batches by one write, in the order of their numbers.
+
+    The column `number` says to which batch of `names` a row belongs; it is not stored. Each batch has an attempt and a commit
+    of its own, with or without rows, and one of a name that is stored already is left out. `parts` makes the rows of rollups,
+    given rows with an attempt column that they keep.
+    """
+    spark = rows.sparkSession
+    ledger = Ledger(spark, path, rollups)
+    held = ledger.held(names.values()) if Ledger.exists(spark, path) else set()
+    new = [n for n in sorted(names) if names[n] not in held]
+    if not new:
+        return
+    attempt = new_attempt()
+    named = F.concat(F.lit(f"{attempt}-"), F.col(number).cast("string"))
+    tagged = rows.where(F.col(number).isin(new)).withColumn(ATTEMPT, named).drop(number)
+    # written apart from other writers, then moved to where a single batch would have been written
+    draft = f"{path}/drafts/{attempt}"
+
+    def write(what: DataFrame, name: str, columns: list[str], order: list[str] = ()) -> None:
+        spread = what.repartition(*columns).sortWithinPartitions(*columns, *order)
+        spread.write.partitionBy(*columns).parquet(f"{draft}/{name}")
+
+    write(tagged, "data", [ATTEMPT, *layout], sort_by)
+    move_folders(spark, f"{draft}/data", f"{path}/data", f"{ATTEMPT}=")
+    for name, part in (parts or {}).items():
+        write(part(tagged), name, [ATTEMPT])
+        move_folders(spark, f"{draft}/{name}", f"{path}/parts/{name}", f"{ATTEMPT}=", keep_prefix=False)
+    ledger.commit_each([(f"{attempt}-{n}", names[n]) for n in new])
+
+
 def append_bars(batch: DataFrame, path: str, ingested_at: Column) -> int:
     """Stores candles, first writer per stream and open time."""
     return insert_if_absent(batch, path, "market_data_raw", ingested_at)
@@ -257,6 +297,19 @@ def append_liquidations(rows: DataFrame, path: str, ingested_at: Column, batch:
     return append_batch(typed, path, [DAY_COLUMN], order, batch, DAYS, {"days": _summary(table)})
 
 
+def append_flushed_liquidations(rows: DataFrame, path: str, ingested_at: Column, names: dict[int, str], number: str = "flush") -> None:
+    """Appends the events of several flushes, each as a batch of its own: `number` is a row's flush, `names` has all flushes."""
+    table = "liquidation_event"
+    typed = rows.select(*_typed_columns(rows, table, ingested_at), F.col(number).alias("_batch"))
+    typed = typed.withColumn(DAY_COLUMN, F.to_date("liquidation_time"))
+    order = [*C.MARKET_KEY, "liquidation_time"]
+
+    def days(tagged: DataFrame) -> DataFrame:
+        return SU.summarise(tagged, S.TIME_COLUMN[table], DATASET[table], also=[ATTEMPT])
+
+    append_batches(typed, "_batch", path, names, [DAY_COLUMN], order, DAYS, {"days": days})
+
+
 def append_quality_issues(issues: DataFrame, path: str, detected_at: Column, run_id: Column) -> int:
     """Appends quality issues with their detection time and run."""
     rows = conform(issues.withColumn("detected_at", detected_at).withColumn("run_id", run_id), "data_quality_issue")

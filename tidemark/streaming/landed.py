@@ -1,8 +1,9 @@
 """Messages that land as Parquet files, admitted by number or by delay.
 
 A flush takes `flush_events` messages as soon as so many are waiting, or all that wait once the first of them has waited
-`flush_seconds`, whichever comes first. Spark's file source admits whole files; this source counts messages. Its offset is
-the position of a message among all that have landed, in the order in which their files were found. That order and the
+`flush_seconds`, whichever comes first. Where more are waiting, a batch may take several flushes, `backlog` at most; the column
+`flush` tells them apart: the position at which a message's flush begins. Spark's file source admits whole files; this source
+counts messages. Its offset is the position of a message among all that have landed, in the order in which their files were found. That order and the
 admitted end are kept in one small file beside the checkpoint, which is replaced as a whole before an offset is given out, so
 a restart repeats the same flushes. The file has a line for each landed file.
 
@@ -16,6 +17,7 @@ import sys
 import time
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
@@ -36,8 +38,8 @@ def _files_of(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 class Slice(InputPartition):
-    def __init__(self, path: str, first: int, count: int, position: int):
-        self.path, self.first, self.count, self.position = path, first, count, position
+    def __init__(self, path: str, first: int, count: int, position: int, start: int):
+        self.path, self.first, self.count, self.position, self.start = path, first, count, position, start
 
 
 class Landing:
@@ -78,14 +80,16 @@ class Landing:
         for name, rows in self.files:
             first, last = max(start, at), min(end, at + rows)
             for begin in range(first, last, SLICE):
-                yield Slice(f"{self.folder}/{name}", begin - at, min(SLICE, last - begin), begin)
+                yield Slice(f"{self.folder}/{name}", begin - at, min(SLICE, last - begin), begin, start)
             at += rows
 
 
 class LandedReader(DataSourceStreamReader):
     def __init__(self, options: dict, schema: T.StructType):
-        self.columns = [f.name for f in schema.fields if f.name != "position"]
+        self.names = [f.name for f in schema.fields]
+        self.columns = [x for x in self.names if x not in ("position", "flush")]
         self.rows, self.seconds = int(options.get("flush_events", 25)), float(options.get("flush_seconds", 10))
+        self.backlog = int(options.get("backlog", 1))
         self.folder, self.state = options["path"].rstrip("/"), options["state"]
         self.landing: Landing | None = None
         self.waiting_since: float | None = None
@@ -107,7 +111,7 @@ class LandedReader(DataSourceStreamReader):
         if self.waiting_since is None:
             self.waiting_since = time.monotonic()
         if waiting >= self.rows or time.monotonic() - self.waiting_since >= self.seconds:
-            landing.end += min(waiting, self.rows)
+            landing.end += min(waiting // self.rows, self.backlog) * self.rows or waiting
             landing.save()
             self.waiting_since = None
         return {"position": landing.end}
@@ -118,14 +122,27 @@ class LandedReader(DataSourceStreamReader):
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         store, path = _files_of(partition.path)
         with store.open_input_file(path) as opened:
+            file = pq.ParquetFile(opened)
             at, until = 0, partition.first + partition.count
-            for batch in pq.ParquetFile(opened).iter_batches(batch_size=SLICE, columns=self.columns):
+            groups = []  # the row groups that hold rows of the slice; `at` is where the first of them begins
+            for group in range(file.num_row_groups):
+                rows = file.metadata.row_group(group).num_rows
+                if not groups and at + rows <= partition.first:
+                    at += rows
+                elif at + sum(file.metadata.row_group(g).num_rows for g in groups) < until:
+                    groups.append(group)
+            for batch in file.iter_batches(batch_size=SLICE, row_groups=groups, columns=self.columns):
+                if at >= until:
+                    break
                 first, last = max(partition.first, at) - at, min(until, at + batch.num_rows) - at
                 if first < last:
                     part = batch.slice(first, last - first)
                     position = partition.position + at + first - partition.first
-                    numbers = pa.array(range(position, position + part.num_rows), pa.int64())
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in self.columns), numbers], [*self.columns, "position"])
+                    numbers = np.arange(position, position + part.num_rows, dtype=np.int64)
+                    held = {c: part.column(c) for c in self.columns}
+                    held["position"] = pa.array(numbers)
+                    held["flush"] = pa.array(numbers - (numbers - partition.start) % self.rows)
+                    yield pa.RecordBatch.from_arrays([held[x] for x in self.names], self.names)
                 at += batch.num_rows
 
     def commit(self, end: dict) -> None:
@@ -136,7 +153,7 @@ class LandedReader(DataSourceStreamReader):
 
 
 class LandedMessages(DataSource):
-    """Options: path, state, flush_events, flush_seconds. Columns: those asked for, then the message's position."""
+    """Options: path, state, flush_events, flush_seconds, backlog. Columns: those asked for, the message's `position`, its `flush`."""
 
     @classmethod
     def name(cls) -> str:

@@ -2,17 +2,19 @@
 
 A flush appends its events to the stored liquidation table, the one that dashboards read, as a batch with a name: the stream
 and its number. A flush that is replayed after a lost executor or driver finds its name committed and stores nothing twice.
+A stream that is behind works on many flushes at once: their rows are written by the same jobs, and then each flush is committed
+and logged by itself, in their order.
 """
 
 from __future__ import annotations
 
 import hashlib
 import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark import constants as C
 from tidemark.operators import dashboard as D
@@ -24,6 +26,8 @@ from tidemark.streaming import landed
 FLUSH_EVENTS = 25
 FLUSH_SECONDS = 10
 FLUSH_INTERVAL = f"{FLUSH_SECONDS} seconds"
+#: Flushes that a stream which is behind works on at once.
+BACKLOG = 256
 LATE_LIMIT = "1 day"
 _BUCKET_KEYS = [*C.SERIES_KEY, "bucket_time", "day"]
 BUCKETS = {
@@ -56,23 +60,25 @@ def read_landed(
     schema: str = "raw string",
     flush_events: int = FLUSH_EVENTS,
     flush_seconds: float = FLUSH_SECONDS,
+    backlog: int = 1,
 ) -> DataFrame:
-    """Messages that land in a folder, admitted by number or by delay (see landed.py), with their `position`."""
+    """Messages that land in a folder, admitted by number or by delay (see landed.py), with their `position` and `flush`."""
     landed.register(spark)
-    reader = spark.readStream.format(landed.NAME).schema(f"{schema}, position long").option("path", folder)
-    return reader.options(state=state, flush_events=str(flush_events), flush_seconds=str(flush_seconds)).load()
+    reader = spark.readStream.format(landed.NAME).schema(f"{schema}, position long, flush long").option("path", folder)
+    bounds = {"flush_events": flush_events, "flush_seconds": flush_seconds, "backlog": backlog}
+    return reader.options(state=state, **{k: str(v) for k, v in bounds.items()}).load()
 
 
-def _name(checkpoint: str, batch_id: int) -> str:
+def _name(checkpoint: str, batch_id: int | str) -> str:
     """A flush's name: the same again when it is replayed, another for another stream."""
     return f"{hashlib.sha1(checkpoint.encode()).hexdigest()[:16]}-{batch_id}"
 
 
-def flush_summary(events: DataFrame, batch_id: int, status: str = "success", error: str | None = None) -> DataFrame:
-    """One run-log row per symbol of a flush: event-time range and counts."""
+def flush_summary(events: DataFrame, status: str = "success", error: str | None = None) -> DataFrame:
+    """One run-log row per symbol of each `flush`: event-time range and counts."""
     stored = F.count(F.lit(1)) if status == "success" else F.lit(0)
     return (
-        events.groupBy("job_name", *C.STREAM_KEY)
+        events.groupBy("job_name", *C.STREAM_KEY, F.col("flush").cast("bigint").alias("flush"))
         .agg(
             F.min("liquidation_time").alias("request_start"),
             F.max("liquidation_time").alias("request_end"),
@@ -82,25 +88,17 @@ def flush_summary(events: DataFrame, batch_id: int, status: str = "success", err
         .withColumn("status", F.lit(status))
         .withColumn("error_message", F.lit(error).cast("string"))
         .withColumn("rows_updated", F.lit(0).cast("bigint"))
-        .withColumn("flush", F.lit(batch_id).cast("bigint"))
     )
 
 
-class _Counted(StreamingQueryListener):
-    """How many events a query has stored, from the counts observed in its flushes."""
+class _Counted:
+    """How many events a query has stored."""
 
     def __init__(self) -> None:
         self.events = 0
 
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        found = event.progress.observedMetrics.get("decoded")
-        self.events += found["events"] if found is not None else 0
-
-    def onQueryTerminated(self, event) -> None:
-        pass
+    def add(self, events: int) -> None:
+        self.events += events
 
 
 def start_liquidation_stream(
@@ -114,20 +112,30 @@ def start_liquidation_stream(
     max_events: int | None = None,
     ingested_at: Column | None = None,
     trigger: str = FLUSH_INTERVAL,
+    on_stored: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Stores decoded events and one summary row per symbol for every flush.
 
-    Flushes follow the trigger, or what the source admits if that is rarer; `drain=True` takes what is there and stops.
+    Flushes follow the trigger, or what the source admits if that is rarer; `drain=True` takes what is there and stops. Where
+    messages have a `flush`, a batch of the stream may hold many flushes. `on_stored` is told how many events a batch had.
     Replayed messages are kept, as a plain append does; `unique=True` drops repeats of the same message that arrive within a
     day. With `max_events` the stream stores so many events and no more: messages must then have a `position`, by which the
     flush that reaches the bound is cut.
     """
-    events = N.decode_force_orders(messages, jobs)
+    split = "flush" in messages.columns and not unique
+    if not split:
+        messages = N.decode_force_orders(messages.drop("flush"), jobs)
     if unique:
-        events = events.withWatermark("liquidation_time", LATE_LIMIT).dropDuplicatesWithinWatermark(["native_symbol", "raw"])
+        messages = messages.withWatermark("liquidation_time", LATE_LIMIT).dropDuplicatesWithinWatermark(["native_symbol", "raw"])
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        spark, name = batch.sparkSession, _name(checkpoint, batch_id)
+        spark = batch.sparkSession
+        if split:  # decoded here, so that a flush without events counts as well
+            names = {r["flush"]: _name(checkpoint, f"at-{r['flush']}") for r in batch.select("flush").distinct().collect()}
+            batch = N.decode_force_orders(batch, jobs)
+        else:
+            names = {batch_id: _name(checkpoint, batch_id)}
+            batch = batch.withColumn("flush", F.lit(batch_id).cast("bigint"))
         if max_events is not None:
             stored = stream_totals(read_batches(spark, log_path)).first()["events_seen"] if Ledger.exists(spark, log_path) else 0
             if stored >= max_events:
@@ -136,18 +144,24 @@ def start_liquidation_stream(
         # kept on disk as well as in memory: read for the events, their summary and the log
         batch.persist()
         try:
-            summary = flush_summary(batch, batch_id)
+            found = batch.agg(F.count(F.lit(1)).alias("events"), F.max("flush").alias("last")).first()
+            if max_events is not None and stored + found["events"] >= max_events:  # the flush that reaches the bound is the last
+                names = {n: name for n, name in names.items() if n <= found["last"]}
+            at = F.current_timestamp() if ingested_at is None else ingested_at
             try:
-                TB.append_liquidations(batch, events_path, F.current_timestamp() if ingested_at is None else ingested_at, name)
+                TB.append_flushed_liquidations(batch, events_path, at, names)
             except Exception as error:
-                TB.append_batch(flush_summary(batch, batch_id, "failed", str(error)), log_path, [])
+                held = Ledger(spark, events_path).held(names.values()) if Ledger.exists(spark, events_path) else set()
+                lost = batch.where(F.col("flush").isin([n for n, name in names.items() if name not in held]))
+                TB.append_batch(flush_summary(lost, "failed", str(error)), log_path, [])
                 raise
-            TB.append_batch(summary, log_path, [], batch=name)
+            TB.append_batches(flush_summary(batch).withColumn("_batch", F.col("flush")), "_batch", log_path, names, [])
+            if on_stored is not None:
+                on_stored(found["events"])
         finally:
             batch.unpersist()
 
-    counted = events.observe("decoded", F.count(F.lit(1)).alias("events"))
-    writer = counted.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
+    writer = messages.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=trigger)).start()
 
 
@@ -173,14 +187,15 @@ def run_liquidation_stream(
     if jobs.isEmpty():
         raise LookupError("There is no active liquidation job to stream for.")
 
+    counts = _Counted()
+    backlog = BACKLOG if max_events is None else 1  # no more is taken than one flush beyond the bound
+
     def start(seconds: float, drain: bool = False) -> StreamingQuery:
-        messages = read_landed(spark, folder, state, schema, flush_events, seconds)
+        messages = read_landed(spark, folder, state, schema, flush_events, seconds, backlog)
         return start_liquidation_stream(
-            messages, jobs, events_path, log_path, checkpoint, drain, max_events=max_events, trigger="100 milliseconds"
+            messages, jobs, events_path, log_path, checkpoint, drain, max_events=max_events, trigger="100 milliseconds", on_stored=counts.add
         )
 
-    counts = _Counted()
-    spark.streams.addListener(counts)
     deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
     query = start(0 if until_idle else flush_seconds)
     try:
@@ -197,7 +212,6 @@ def run_liquidation_stream(
             query.awaitTermination(0.2)
     finally:
         query.stop()
-        spark.streams.removeListener(counts)
     if query.exception() is not None:
         raise query.exception()
     if deadline is not None and (max_events is None or counts.events < max_events):
