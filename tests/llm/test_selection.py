@@ -106,6 +106,13 @@ def test_perplexity(documents):
         assert abs(np.exp(model.log_probability(np.arange(40) + 40 * context)).sum() - 1) < 1e-4
 
 
+def test_characters_of_all_planes_have_their_class():
+    low, high = "\u4e00\u0663.a", "\U00020000\U0001d7d9\U0001f600\U00010400"  # a letter, a digit, ..; the same beyond the first plane
+    codes = quality.grams([low + high])[0] % quality.CLASSES
+    assert codes.tolist() == [32 + 0x4E00 % 8, 27, 29, 1, 32 + 0x20000 % 8, 27, 31, 32 + 0x10428 % 8]
+    assert quality._class_table()[ord("\n")] == 28 and quality._class_table()[ord("~")] == 30
+
+
 def test_quality_documents(spark, sf_dir, documents):
     rows = {r.doc_id: r for r in quality.quality(load(spark, sf_dir)).collect()}
     texts = {r.doc_id: r.text for r in load(spark, sf_dir).collect()}
