@@ -67,3 +67,14 @@ def test_run_and_rerun(spark, tables):
     assert lake.table("ingestion_run_log").count() == 2 * jobs
     marks = P.bar_high_water(tables.jobs.where("is_active"), lake.table("market_data_raw"))
     assert marks.where("row_count IS NOT NULL").count() > 0
+
+
+def test_run_log_holds_runs_that_store_all_part_and_nothing(tables):
+    from tidemark.catalog import queries as q
+
+    inserted = {}
+    for r in q.REGISTRY["run_log"](tables).where("status IN ('success', 'partial_success')").collect():
+        inserted.setdefault(r["job_name"], []).append(r["rows_inserted"])
+    runs = [sorted(x) for x in inserted.values()]
+    assert runs and all(len(x) == 3 and x[0] == 0 for x in runs)
+    assert sum(x[1] for x in runs) < sum(x[2] for x in runs) and any(x[1] for x in runs)

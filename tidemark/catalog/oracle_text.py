@@ -485,7 +485,8 @@ SQL["batch_run_report"] = run_report("2100-01-01 00:00:00")
 SQL["batch_run_report_fresh"] = "SELECT * FROM run_report"
 SQL["batch_run_report_late"] = run_report("2024-01-10 00:00:00")
 SQL["run_log"] = f"""
-SELECT * EXCLUDE (source_dataset, issue_count), source_dataset AS dataset, {ms(NOW, 'started_at')}, {ms(NOW, 'ended_at')} FROM run_report"""
+SELECT * EXCLUDE (source_dataset, issue_count), source_dataset AS dataset, {ms(NOW, 'started_at')}, {ms(NOW, 'ended_at')}
+FROM (SELECT * FROM run_report UNION ALL {run_report("2024-01-10 00:00:00")} UNION ALL {run_report("2100-01-01 00:00:00")})"""
 
 # a first run into an empty lake
 EXTRA["empty_marks"] = """

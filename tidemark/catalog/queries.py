@@ -192,8 +192,11 @@ def upsert_watchlist(t):
 
 @query
 def run_log(t):
+    """The log of three runs over the whole batch: into an empty store, into one that ends on 10 January, and again when all is
+    stored."""
     path = scratch_path(t.spark, "ingestion_run_log")
-    TB.append_run_log(_batch_report(t, t.market_data_raw.where(F.lit(False))), path, now(), now())
+    for stored in (t.market_data_raw.where(F.lit(False)), _stored_until(t, "2024-01-10 00:00:00"), t.market_data_raw):
+        TB.append_run_log(_batch_report(t, stored), path, now(), now())
     return TB.read_table(t.spark, path).select(
         "job_name", *C.SERIES_KEY, "dataset", "request_start", "request_end", "status", "rows_fetched", "rows_inserted",
         "rows_updated", "error_message", "started_at", "ended_at",
@@ -464,7 +467,12 @@ def _batch_report(t, stored):
     bars = N.bars_of(good)
     inserted = bars.join(stored.select(*C.STREAM_KEY, "open_time"), [*C.STREAM_KEY, "open_time"], "left_anti")
     plan = quality_plan(t)
-    return P.batch_run_report(plan, decoded, inserted, Q.quality_issues(good, plan))
+    return P.batch_run_report(plan, decoded, inserted, t.settled("landed_issues", lambda: Q.quality_issues(good, plan)))
+
+
+def _stored_until(t, end):
+    """The stored candles when the store ended before a time."""
+    return t.market_data_raw.where(F.col("open_time") < G.as_timestamp(end))
 
 
 @query
@@ -482,7 +490,7 @@ def batch_run_report_fresh(t):
 @query
 def batch_run_report_late(t):
     """The batch comes when the store ends on 10 January."""
-    return _batch_report(t, t.market_data_raw.where(F.col("open_time") < G.as_timestamp("2024-01-10 00:00:00")))
+    return _batch_report(t, _stored_until(t, "2024-01-10 00:00:00"))
 
 
 @query
