@@ -78,3 +78,17 @@ def test_run_log_holds_runs_that_store_all_part_and_nothing(tables):
     runs = [sorted(x) for x in inserted.values()]
     assert runs and all(len(x) == 3 and x[0] == 0 for x in runs)
     assert sum(x[1] for x in runs) < sum(x[2] for x in runs) and any(x[1] for x in runs)
+
+
+def test_landed_payloads_lie_by_dataset_in_files_of_bounded_rows(spark, tables, monkeypatch):
+    from tidemark.catalog import queries as q
+    from tidemark.sources import staging
+
+    monkeypatch.setattr(staging, "FILE_ROWS", 100)
+    held = staging.settle(spark.range(0, 1000, 1, 1).selectExpr("id", "if(id < 900, 'a', 'b') kind"), "payloads", ("kind",))
+    sizes = [r["n"] for r in held.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 100 and held.columns == ["id", "kind"]
+    report = q._complete_run(tables)[1]
+    assert report.count() == tables.jobs.where("is_active").count()
+    landed = tables.settled("landed_everything", lambda: None)
+    assert all("source_dataset=" in f for f in landed.inputFiles())

@@ -519,7 +519,8 @@ def _complete_run(t, **options):
     """A run of all active jobs into an empty lake, symbols resolved against the catalogue. One market is not in it."""
     lake = I.Lake(t.spark, scratch_path(t.spark, "lake"))
     catalogue = t.exchange_market.where(~((F.col("exchange") == "kucoinfutures") & (F.col("base") == "myx")))
-    landed = t.settled("landed_everything", lambda: _landed_everything(t))
+    # by dataset, as payloads land: each family reads its own, and its tasks get like shares
+    landed = t.settled("landed_everything", lambda: _landed_everything(t), ["source_dataset"])
     return lake, I.run_active_jobs(lake, t.jobs, landed, now(), F.lit("run"), catalogue=catalogue, **options)
 
 

@@ -51,9 +51,9 @@ class MarketTables:
             name, lambda: rows().withColumn(SU.DAY, F.to_date(time)), [*LAYOUT.get(name, []), SU.DAY], [*C.MARKET_KEY, time]
         )
 
-    def settled(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def settled(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] = ()) -> DataFrame:
         """An intermediate result kept for the whole application."""
-        return self._stored(name, build)
+        return self._stored(name, build, partition_by)
 
     @cached_property
     def events(self) -> DataFrame:
