@@ -190,3 +190,33 @@ def test_reading_buckets_does_not_grow_with_flushes(spark, monkeypatch):
     assert sum("/parts/" in f for f in files) <= 3 * 2  # parts of the commits since the last fold alone
     ledger = LG.Ledger(spark, sink, L.BUCKETS)
     assert ledger.log.newest() == 14 and ledger.folds.newest() == 4 and ledger.commits().count() == 14
+
+
+def test_commits_of_a_backlog_lie_in_few_files(spark, jobs):
+    folder = scratch_path(spark, "landed")
+    land(spark, folder, *[message(i) for i in range(60)])
+    events, log, checkpoint = paths(spark)
+    L.run_liquidation_stream(folder, jobs, events, log, checkpoint, flush_events=1, until_idle=True)
+    assert flushes(spark, log) == [1] * 60
+    for path in (events, log):
+        ledger = LG.Ledger(spark, path)
+        assert ledger.log.newest() == 60 and ledger.commits().select("number").distinct().count() == 60
+        listed = [ledger.log._names(f"{path}/{x}") for x in ("data", "log/000000000")]
+        assert [len(x) for x in listed] == [1, 1]
+    commits = [(r.number, r.attempt.split(":")[1]) for r in LG.Ledger(spark, events).commits().orderBy("number").collect()]
+    assert commits == [(i + 1, str(i)) for i in range(60)]
+
+
+def test_entries_of_one_file_and_a_writer_in_between(spark, monkeypatch):
+    monkeypatch.setattr(LG, "SHELF", 3)
+    path = scratch_path(spark, "store")
+    ledger = LG.Ledger(spark, path)
+    assert ledger.commit_together("a", {5: "x", 3: "w"}, 0) == 2
+    assert ledger.commit("b", "y") and ledger.log.newest() == 3
+    assert ledger.commit_together("c", {i: f"z{i}" for i in range(5)}, 2) == 8  # the number is taken, the batches are new
+    assert ledger.commit_together("d", {7: "new", 9: "z3"}, 2) is None  # one of them has been stored since
+    assert ledger.commit("e", "last") and ledger.log.newest() == 9
+    for after in range(9):
+        assert sorted(r.number for r in ledger.log.after(after, 7).collect()) == list(range(after + 1, 8))
+    got = [(r.number, r.batch, r.attempt) for r in ledger.commits().where("number <= 4").orderBy("number").collect()]
+    assert got == [(1, "w", "a:3"), (2, "x", "a:5"), (3, "y", "b"), (4, "z0", "c:0")]

@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from tidemark import constants as C
 from tidemark import schemas as S
+from tidemark.sources import ledger as LG
 from tidemark.sources import summary as SU
-from tidemark.sources.ledger import Ledger, Rollup, new_attempt
+from tidemark.sources.ledger import SEPARATOR, Ledger, Rollup, new_attempt
 from tidemark.sources.staging import move_folders, path_exists, settle
 
 DAY_COLUMN = "day"
@@ -65,7 +66,8 @@ def _committed(
     if not path_exists(spark, f"{path}/data"):
         return spark.createDataFrame([], schema or f"{DAY_COLUMN} date, {ATTEMPT} string")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    counted = Ledger(spark, path).commits(upto).where(F.col("number") > after).select(ATTEMPT)
+    counted = Ledger(spark, path).commits(upto).where(F.col("number") > after)
+    counted = counted.select(F.substring_index(ATTEMPT, SEPARATOR, 1).alias(ATTEMPT))
     return reader.parquet(f"{path}/data").join(counted, ATTEMPT, "left_semi")
 
 
@@ -230,32 +232,43 @@ def append_batches(
 ) -> None:
     """Appends several batches by one write, in the order of their numbers.
 
-    The column `number` says to which batch of `names` a row belongs; it is not stored. Each batch has an attempt and a commit
-    of its own, with or without rows, and one of a name that is stored already is left out. `parts` makes the rows of rollups,
-    given rows with an attempt column that they keep.
+    The column `number` says to which batch of `names` a row belongs; it is not stored. Each batch has a commit of its own, with or
+    without rows, and one of a name that is stored already is left out. Batches between two folds share an attempt and count
+    together. `parts` makes the rows of rollups, given rows with an attempt column that they keep.
     """
     spark = rows.sparkSession
     ledger = Ledger(spark, path, rollups)
-    held = ledger.held(names.values()) if Ledger.exists(spark, path) else set()
-    new = [n for n in sorted(names) if names[n] not in held]
-    if not new:
-        return
-    attempt = new_attempt()
-    named = F.concat(F.lit(f"{attempt}-"), F.col(number).cast("string"))
-    tagged = rows.where(F.col(number).isin(new)).withColumn(ATTEMPT, named).drop(number)
-    # written apart from other writers, then moved to where a single batch would have been written
-    draft = f"{path}/drafts/{attempt}"
-
-    def write(what: DataFrame, name: str, columns: list[str], order: list[str] = ()) -> None:
-        spread = what.repartition(*columns).sortWithinPartitions(*columns, *order)
-        spread.write.partitionBy(*columns).parquet(f"{draft}/{name}")
-
-    write(tagged, "data", [ATTEMPT, *layout], sort_by)
-    move_folders(spark, f"{draft}/data", f"{path}/data", f"{ATTEMPT}=")
-    for name, part in (parts or {}).items():
-        write(part(tagged), name, [ATTEMPT])
-        move_folders(spark, f"{draft}/{name}", f"{path}/parts/{name}", f"{ATTEMPT}=", keep_prefix=False)
-    ledger.commit_each([(f"{attempt}-{n}", names[n]) for n in new])
+    while True:
+        seen = ledger.log.newest()
+        held = ledger.held(names.values()) if seen else set()
+        new = [n for n in sorted(names) if names[n] not in held]
+        if not new:
+            return
+        attempt, shared = new_attempt(), {}
+        for i, n in enumerate(new):
+            shared.setdefault(f"{attempt}-{(seen + i) // LG.FOLD}", []).append(n)
+        named = F.lit(None).cast("string")
+        for name, some in shared.items():
+            named = F.when(F.col(number) >= some[0], F.lit(name)).otherwise(named)
+        tagged = rows.where(F.col(number).isin(new)).withColumn(ATTEMPT, named).drop(number)
+        # written apart from other writers, then moved to where a single batch would have been written
+        draft = f"{path}/drafts/{attempt}"
+
+        def write(what: DataFrame, name: str, columns: list[str], order: list[str] = (), draft: str = draft) -> None:
+            spread = what.repartition(*columns).sortWithinPartitions(*columns, *order)
+            spread.write.partitionBy(*columns).parquet(f"{draft}/{name}")
+
+        write(tagged, "data", [ATTEMPT, *layout], sort_by)
+        move_folders(spark, f"{draft}/data", f"{path}/data", f"{ATTEMPT}=")
+        for name, part in (parts or {}).items():
+            write(part(tagged), name, [ATTEMPT])
+            move_folders(spark, f"{draft}/{name}", f"{path}/parts/{name}", f"{ATTEMPT}=", keep_prefix=False)
+        for name, some in shared.items():
+            seen = ledger.commit_together(name, {n: names[n] for n in some}, seen)
+            if seen is None:  # another writer has stored some of these: those left are written anew
+                break
+        else:
+            return
 
 
 def append_bars(batch: DataFrame, path: str, ingested_at: Column) -> int:

@@ -2,8 +2,8 @@
 
 A flush appends its events to the stored liquidation table, the one that dashboards read, as a batch with a name: the stream
 and its number. A flush that is replayed after a lost executor or driver finds its name committed and stores nothing twice.
-A stream that is behind works on many flushes at once: their rows are written by the same jobs, and then each flush is committed
-and logged by itself, in their order.
+A stream that is behind works on many flushes at once: their rows are written by the same jobs and lie together, and the commits of
+many flushes, each with its own number, are made by one file.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ FLUSH_EVENTS = 25
 FLUSH_SECONDS = 10
 FLUSH_INTERVAL = f"{FLUSH_SECONDS} seconds"
 #: Flushes that a stream which is behind works on at once.
-BACKLOG = 256
+BACKLOG = 1024
 LATE_LIMIT = "1 day"
 _BUCKET_KEYS = [*C.SERIES_KEY, "bucket_time", "day"]
 BUCKETS = {
