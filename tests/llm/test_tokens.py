@@ -100,3 +100,29 @@ def test_stored_documents(spark, documents):
     unknown = spark.createDataFrame([(999_999,), (-7,)], "doc_id long")
     assert token_files.read(unknown, folder, bounds, shards).count() == 0
     assert token_files.store_and_read(docs.limit(0), WORDS).count() == 0
+
+
+def test_letters_are_encoded_once_whatever_follows(monkeypatch):
+    coder, plain = token_files.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    texts = ["Éçanè. éçanè, éçanè", "straße! STRAßE ×é ÷ é× üb3r é's É'S", "e\u0301. é\u0301, ÿ\u0308 İ. ſ? ﬁ! ª. µ, ñañ\u00adñ", ""]
+    given = []
+
+    class Counting:
+        def encode_batch_fast(self, lines, **how):
+            given.extend(x for line in lines for x in line.split(" "))
+            return plain.encode_batch_fast(lines, **how)
+
+    monkeypatch.setattr(coder, "tokenizer", Counting())
+    for _ in range(2):
+        ids, ends = coder(texts, 1)
+        got = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == [[*plain.encode(x, add_special_tokens=False).ids, 1] for x in texts]
+    assert sum("çanè" in x for x in given) == 1 and len(given) == len(set(given))
+
+
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from("aZ éÉßÿ×.,'s3\n\t\u0301\u0130\u00a0"), max_size=30), max_size=5))
+def test_words_equal_the_library(texts):
+    coder, plain = token_files.word_encoder(WORDS), Tokenizer.from_file(WORDS)
+    ids, ends = coder(texts, 1)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])][: len(texts)] == [[*plain.encode(x, add_special_tokens=False).ids, 1] for x in texts]

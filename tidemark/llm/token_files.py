@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import gc
 import io
+import itertools
 import math
 import re
 import struct
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.documents import keyed_texts, pieces, strings
+from tidemark.llm.documents import keyed_texts, pieces
 from tidemark.session import scratch_path
 from tidemark.sources.staging import settle
 
@@ -42,8 +43,9 @@ MOST_SHARDS = 65_536
 #: Bytes of a shard's ids that a reader holds at a time.
 READ_BYTES = 8 << 20
 KEPT_WORDS = 600_000
-#: A line's letters, if another kind of character follows that ends a match (or nothing), and the rest of it.
-HALVES = re.compile(r"^(?:([A-Za-z]+)(?=[^A-Za-z0-9'\u0080-\U0010ffff]|$))?(.*)$", re.M)
+#: A line's letters (those of Latin-1, one character each in either case), if another kind of character follows that ends a
+#: match (or nothing), and the rest of it.
+HALVES = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)(?=[^A-Za-z0-9'\u0080-\U0010ffff]|$))?(.*)$", re.M)
 MAGIC = b"TIDX0001"
 NULL_KEY = -(2**63)  # stands for a null key in sorting; such records are found by their count in the header
 
@@ -140,7 +142,7 @@ class ShardIndex:
 class WordEncoder:
     """Ids of texts by a tokenizer that lower-cases and drops white space: each distinct word between spaces or line breaks
     is given to the library once. No match of such a tokenizer holds white space, so a text's ids are those of its words
-    in turn; nor does one go on from a letter to a mark other than an apostrophe, so ASCII letters and what follows them
+    in turn; nor does one go on from a letter to a mark other than an apostrophe, so Latin-1 letters and what follows them
     are looked up apart, the letters in lower case."""
 
     def __init__(self, path: str):
@@ -188,30 +190,32 @@ class WordEncoder:
         after = np.concatenate([[0], np.cumsum(sizes)])
         return self.ids[np.repeat(self.starts[codes] - after[:-1], sizes) + np.arange(after[-1])], after
 
-    def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each with `end_id` after it, and where each text's ids end."""
+    def __call__(self, texts: list[str] | pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (none is null), each with `end_id` after it, and where each text's ids end."""
         collecting = gc.isenabled()
         gc.disable()  # there are many words and no cycles
         try:
-            return self._ids_of(texts, end_id)
+            return self._ids_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), end_id)
         finally:
             if collecting:
                 gc.enable()
 
-    def _ids_of(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def _ids_of(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > KEPT_WORDS:
             self._forget()
         self.ids[0] = end_id
-        words, ends = [], []
-        for text in texts:
-            words += filter(None, text.replace("\n", " ").split(" "))
-            words.append("")
-            ends.append(len(words))
-        new = set(words).difference(self.known)
+        cut = pa.compute.split_pattern(pa.compute.replace_substring(texts, "\n", " "), " ")
+        numbered = cut.flatten().dictionary_encode()  # so that each distinct word alone is looked up among all known ones
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        codes[codes == 0] = 1  # between two spaces
+        new = list(itertools.compress(words, codes < 0))
         if new:
-            self._learn(list(new))
-        ids, after = self._gather(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
-        return ids, after[np.array(ends, np.int64)]
+            self._learn(new)
+            codes[codes < 0] = np.arange(len(self.starts) - len(new), len(self.starts))
+        stops = cut.offsets.to_numpy()[1:]
+        ids, after = self._gather(np.insert(codes[numbered.indices.to_numpy()], stops, 0))
+        return ids, after[stops + np.arange(1, len(stops) + 1)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -240,7 +244,7 @@ def write(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_encoder(path)
         for piece in pieces(batches):
-            ids, ends = coder(strings(piece), end_id)
+            ids, ends = coder(piece.column("text").fill_null(""), end_id)
             begins = np.concatenate([[0], ends[:-1]])
             raw = [ids[a:b].tobytes() for a, b in zip(begins, ends)]
             keys = piece.column("doc_id").fill_null(NULL_KEY).to_numpy(zero_copy_only=False)
