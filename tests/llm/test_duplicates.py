@@ -71,6 +71,37 @@ def test_near_duplicates_of_few(documents):
     assert sorted(tuple(r)[:3] for r in ngram_join.near_duplicates(again).collect()) == [(0, 2, 0), (0, 2, 0), (1, 0, 1)]
 
 
+def test_large_group_of_near_copies_is_connected_by_a_comparison_each(documents, monkeypatch):
+    random.seed(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        words[random.randrange(200)] = f"x{i}"
+        texts.append(" ".join(words))
+    settled, settle = collections.Counter(), ngram_join.settle
+
+    def counting(rows, name):
+        done = settle(rows, name)
+        settled[name] += done.count()
+        return done
+
+    monkeypatch.setattr(ngram_join, "settle", counting)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(documents(texts)).collect()}
+    assert got == dict.fromkeys(range(400), 0)
+    assert settled["join-likeliest"] < 400 and settled["join-likeliest"] + settled["join-stars"] < 1200
+
+
+def test_least_hashes():
+    import numpy as np
+
+    values = np.sort(np.random.default_rng(3).integers(0, 2**64, 50, dtype=np.uint64))
+    want = sorted({int(min(values[values >> np.uint64(61) == i])) for i in np.unique(values >> np.uint64(61))})
+    assert set(want) <= set(ngram_join.least_hashes(values).tolist()) <= {*want, int(values[-1])}
+    one = np.array([5 << 61], np.uint64)
+    assert ngram_join.least_hashes(one).tolist() == [5 << 61] and not len(ngram_join.least_hashes(one[:0]))
+
+
 def test_sketches_never_rule_out_a_link():
     import numpy as np
 

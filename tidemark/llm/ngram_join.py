@@ -12,10 +12,12 @@ the prefixes are k - 1 longer.
    are indexed by single frequent shingles, as are those that are small enough to be paired but near that size.
 3. Groups of sets with a common key are cut where neighbouring sizes rule similarity out. The sets of the few groups that
    are still large are indexed once more among themselves, with exact counts of their shingles.
-4. Links are looked for from one member of each group to the others, then between members of different components: first
-   those that are likeliest by small sketches of the sets, then all that sketches don't rule out (what they rule out
-   can't be similar). Candidate pairs are verified on the whole sets. So a large group of copies is connected in two
-   turns, and no pair that could connect two components is left untested.
+4. Links are looked for in turns, and groups that a turn leaves within one component are done. First each set is compared with
+   one that shares most of its least hashes, so that most of a large group of near copies is connected at the cost of one
+   comparison a set. Then one member of each group is compared with the others of other components, then members of different
+   components: first those that are likeliest by small sketches of the sets, then all that sketches don't rule out (what they
+   rule out can't be similar). Candidate pairs are verified on the whole sets, and no pair that could connect two components
+   is left untested.
 
 Equal sets are one node, so copies are never paired. Texts without words (null ones too) have no shingles and no links;
 a component's id is its smallest document id, nulls left aside. Repeated rows are all returned.
@@ -50,8 +52,10 @@ PIECE = 1 << 20
 FILTER_BITS = 1 << 24
 #: Nodes of a block; a task holds two.
 BLOCK_NODES = 2_048
-#: Candidates of a node in the second turn.
+#: Candidates of a node in the turn that takes the likeliest.
 BEST = 4
+#: Equal ranges of hashes, of each of which a set's least one is kept: 2 to this power.
+RANGE_BITS = 3
 
 
 def _least(n: np.ndarray) -> np.ndarray:
@@ -312,8 +316,14 @@ class Sketches:
         return 100 * both >= 75 * (self.n[x] + self.n[others] - both)
 
 
+def least_hashes(values: np.ndarray) -> np.ndarray:
+    """The least of a set's sorted hashes in each range that has any."""
+    edge = np.arange(1 << RANGE_BITS, dtype=np.uint64) << np.uint64(64 - RANGE_BITS)
+    return values[np.unique(np.searchsorted(values, edge)[: 1 << RANGE_BITS].clip(max=len(values) - 1))] if len(values) else values
+
+
 def fetch_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """u, v, text and sketch of the nodes' documents, straight from a scan: a filter of bounded size tells which documents
+    """u, v, text, sketch and least hashes of the nodes' documents, straight from a scan: a filter of bounded size tells which documents
     may be wanted. Some others pass it, more of them the more nodes there are; they are in no candidate pair."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bits(nodes.select(F.xxhash64("doc_id").alias("h"))))
 
@@ -321,9 +331,24 @@ def fetch_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for piece in _passing(batches, wanted.value):
             values, starts, sizes, u, v = _sets(piece)
             drawn = pa.array([sketch(values[a : a + n]) for a, n in zip(starts, sizes)], pa.binary())
-            yield pa.RecordBatch.from_arrays([_signed(u), _signed(v), piece.column("text"), drawn], ["u", "v", "text", "sketch"])
+            least = pa.array([least_hashes(values[a : a + n]).view(np.int64) for a, n in zip(starts, sizes)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(u), _signed(v), piece.column("text"), drawn, least], ["u", "v", "text", "sketch", "least"]
+            )
+
+    schema = "u long, v long, text string, sketch binary, least array<bigint>"
+    return docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, schema)
+
+
+def _texts_of(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v and text of the sets (u, v), and of a few others that pass the same filter; the rest is not shuffled."""
+    wanted = texts.sparkSession.sparkContext.broadcast(_bits(sets.select(F.xxhash64("u", "v").alias("h"))))
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _passing(batches, wanted.value):
+            yield piece.select(["u", "v", "text"])
 
-    return docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, "u long, v long, text string, sketch binary")
+    return texts.select(F.xxhash64("u", "v").alias("h"), "u", "v", "text").mapInArrow(passing, "u long, v long, text string")
 
 
 def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
@@ -333,7 +358,7 @@ def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
         for piece in pieces(batches, limit=PIECE):
             yield pa.RecordBatch.from_arrays([_signed(_sets(piece)[0])], ["s"])
 
-    own = texts.join(marked, ["u", "v"]).select("text")
+    own = settle(_texts_of(texts, marked).join(marked, ["u", "v"]).select("text"), "join-marked")
     frequent, times = _most_frequent(own.mapInArrow(run, "s long").groupBy("s").count(), "s", "count")
     return index_prefixes(own, frequent, times)
 
@@ -385,13 +410,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, compared: bool)
         drawn = texts.select("u", "v", "sketch").join(_asked(pairs, nodes), ["u", "v"]).select("x", "y", "sketch")
         pairs = settle(by_x(drawn, compare), "join-possible")
     asked = _asked(pairs, nodes)
-    wanted = texts.sparkSession.sparkContext.broadcast(_bits(asked.select(F.xxhash64("u", "v").alias("h"))))
-
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _passing(batches, wanted.value):
-            yield piece.select(["u", "v", "text"])
-
-    some = texts.select(F.xxhash64("u", "v").alias("h"), "u", "v", "text").mapInArrow(passing, "u long, v long, text string")
+    some = _texts_of(texts, asked)
     return by_x(some.join(asked, ["u", "v"]).select("x", "y", "text"), decide)
 
 
@@ -424,16 +443,27 @@ def _same(a: DataFrame, b: DataFrame) -> bool:
     return total(a) == total(b)
 
 
+def _likeliest(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (x, y) of each node with that one which shares most of its least hashes, of those that are the smallest node with
+    one of them; one pair at most for each y."""
+    rows = texts.select("u", "v", "least").join(nodes.select("u", "v", "node"), ["u", "v"])
+    keys = rows.select("node", F.explode("least").alias("key")).distinct()
+    first = keys.groupBy("key").agg(F.min("node").alias("x"))
+    shared = keys.join(first, "key").where("node > x").groupBy(F.col("node").alias("y"), "x").agg(F.count("*").alias("c"))
+    return shared.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")).select("x", "y")
+
+
 def _stars(members: DataFrame) -> DataFrame:
-    """Pairs (x, y) of each group's smallest member with each other."""
+    """Pairs (x, y) of each group's smallest member with each other that is of another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g, (node,) in _grouped(batches, "g", ["node"]):
+        for g, (node, comp) in _grouped(batches, "g", ["node", "comp"]):
             start = np.concatenate([[True], g[1:] != g[:-1]])
-            first = np.flatnonzero(start)
-            yield _pairs([np.repeat(node[first], np.diff(np.append(first, len(g))))[~start]], [node[~start]])
+            first = np.repeat(np.flatnonzero(start), np.diff(np.append(np.flatnonzero(start), len(g))))
+            apart = comp[first] != comp
+            yield _pairs([node[first][apart]], [node[apart]])
 
-    rows = members.select("g", "node").repartition("g").sortWithinPartitions("g", "node")
+    rows = members.select("g", "node", "comp").repartition("g").sortWithinPartitions("g", "node")
     return rows.mapInArrow(run, "x long, y long").distinct()
 
 
@@ -523,21 +553,29 @@ def connect(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     """node, comp of all nodes with links."""
     links, comps, tried = None, None, None
     left = members
-    for turn in ("stars", "best", "all"):
-        pairs = _stars(left) if turn == "stars" else _blocks(left, nodes, texts, BEST if turn == "best" else None)
+    for turn in ("likeliest", "stars", "best", "all"):
+        if turn == "likeliest":
+            pairs = _likeliest(nodes, texts)
+        elif turn == "stars":
+            pairs = _stars(left)
+        else:
+            pairs = _blocks(left, nodes, texts, BEST if turn == "best" else None)
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = settle(pairs, f"join-{turn}")
         tried = pairs if tried is None else tried.union(pairs)
-        found = settle(verify(pairs, nodes, texts, turn != "stars"), "join-links")
+        found = settle(verify(pairs, nodes, texts, turn in ("best", "all")), "join-links")
         links = found if links is None else links.union(found)
-        if turn == "stars" or not found.isEmpty():
+        if turn == "likeliest" or not found.isEmpty():
             comps = settle(components(links), "join-components")
         if turn != "all":
-            # pairs are done after the first turn, and so are groups within one component at any time
+            # groups within one component are done at any time, and pairs once they have been stars
             now = left.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             some = now.groupBy("g").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("c"))
-            left = settle(now.join(some.where("a <> b and c > 2").select("g"), "g").select("g", "node", "n", "comp"), "join-open")
+            some = some.where("a <> b" if turn == "likeliest" else "a <> b and c > 2")
+            left = settle(now.join(some.select("g"), "g").select("g", "node", "n", "comp"), "join-open")
+            if left.isEmpty():
+                break
     return comps
 
 
