@@ -92,6 +92,32 @@ def test_large_group_of_near_copies_is_connected_by_a_comparison_each(documents,
     assert settled["join-likeliest"] < 400 and settled["join-likeliest"] + settled["join-stars"] < 600
 
 
+@pytest.mark.parametrize("pairs_a_row, block, solved", [(0, 8, 1), (32, 8, 1024), (2, 2048, 8)])
+def test_near_duplicates_in_blocks(documents, monkeypatch, pairs_a_row, block, solved):
+    for name, value in {"PAIRS_A_ROW": pairs_a_row, "BLOCK_NODES": block, "SOLVED_NODES": solved, "BEST": 1, "RANGE_BITS": 0}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    texts = near_copies(17 + block + solved)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(documents(texts)).collect()}
+    assert got == plain_components(range(len(texts)), texts)
+
+
+def test_sets_that_share_much_but_do_not_link_make_few_pairs(documents, monkeypatch):
+    random.seed(5)
+    phrases = [" ".join(f"w{i}_{k}" for k in range(12)) for i in range(100)]
+    texts = [" ".join(random.sample(phrases, 30)) for _ in range(100)]
+    settled, settle = collections.Counter(), ngram_join.settle
+
+    def counting(rows, name):
+        done = settle(rows, name)
+        settled[name] += done.count()
+        return done
+
+    monkeypatch.setattr(ngram_join, "settle", counting)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(documents(texts)).collect()}
+    assert got == {k: c for k, (_, c) in plain_components(range(100), texts).items()}
+    assert settled["join-stars"] + settled["join-best"] + settled["join-all"] < 100
+
+
 def test_least_hashes():
     import numpy as np
 

@@ -14,10 +14,10 @@ the prefixes are k - 1 longer.
    are still large are indexed once more among themselves, with exact counts of their shingles.
 4. Links are looked for in turns, and groups that a turn leaves within one component are done. First each set is compared with
    one that shares most of its least hashes, so that most of a large group of near copies is connected at the cost of one
-   comparison a set. Then one member of each group is compared with the others of other components, then members of different
-   components: first those that are likeliest by small sketches of the sets, then all that sketches don't rule out (what they
-   rule out can't be similar). Candidate pairs are verified on the whole sets, and no pair that could connect two components
-   is left untested.
+   comparison a set. Then members of a group that are of different components are compared by small sketches of their sets, and
+   of those that sketches don't rule out (what they rule out can't be similar) the likeliest of each set; sets that have more are
+   looked at again, with all of theirs. Candidate pairs are verified on the whole sets, and no pair that could connect two
+   components is left untested.
 
 Equal sets are one node, so copies are never paired. Texts without words (null ones too) have no shingles and no links;
 a component's id is its smallest document id, nulls left aside. Repeated rows are all returned.
@@ -50,10 +50,18 @@ PAIRED_SIZE = 2_048
 REPORTED = 4
 PIECE = 1 << 20
 FILTER_BITS = 1 << 24
+#: Bits of the second hash of a set.
+HASH_BITS = 24
 #: Nodes of a block; a task holds two.
 BLOCK_NODES = 2_048
+#: Words of sketches that are compared at a time.
+COMPARED_WORDS = 1 << 20
+#: Nodes of small bundles that are worked off at a time.
+SOLVED_NODES = 1_024
+#: Pairs of nodes that are compared by sketches rather than one more row of a group is sent.
+PAIRS_A_ROW = 32
 #: Candidates of a node in the turn that takes the likeliest.
-BEST = 4
+BEST = 16
 #: Equal ranges of hashes, of each of which a set's least one is kept: 2 to this power.
 RANGE_BITS = 3
 
@@ -76,7 +84,17 @@ def _sets(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     with np.errstate(over="ignore"):
         sums = [np.concatenate([[np.uint64(0)], np.cumsum(_mixed(values ^ np.uint64(x)))]) for x in (0x51, 0xA7)]
     one, two = (_mixed(s[ends] - s[starts] + sizes.astype(np.uint64)) for s in sums)
-    return values, starts, sizes, one, two >> np.uint64(40)  # 88 bits tell sets apart
+    return values, starts, sizes, one, two >> np.uint64(64 - HASH_BITS)  # 88 bits tell sets apart
+
+
+def _first_of_each(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Which rows are the first of their set."""
+    order = np.lexsort((v, u))
+    new = np.ones(len(u), bool)
+    new[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
+    out = np.zeros(len(u), bool)
+    out[order[new]] = True
+    return out
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -88,8 +106,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
         seen: list[np.ndarray] = []
         for piece in pieces(batches, limit=PIECE):
             values, _, sizes, u, v = _sets(piece)
-            _, first = np.unique(np.stack([u, v]), axis=1, return_index=True)  # copies don't make a shingle frequent
-            seen.append(values[np.isin(np.repeat(np.arange(len(sizes)), sizes), first)])
+            seen.append(values[np.repeat(_first_of_each(u, v), sizes)])  # copies don't make a shingle frequent
             if sum(map(len, seen)) > 1_000_000:  # what comes seldom in so many is not hot
                 seen = [_often(seen, 2)]
             yield pa.RecordBatch.from_arrays(
@@ -158,25 +175,22 @@ def prefix_keys(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, frequ
 
 
 def index_prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray) -> DataFrame:
-    """key, u, v, n of every distinct set."""
+    """key, u, w of every distinct set; w is n and v in one number."""
     known = docs.sparkSession.sparkContext.broadcast((frequent, times))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=PIECE):
             values, starts, sizes, u, v = _sets(piece)
-            _, first = np.unique(np.stack([u, v]), axis=1, return_index=True)  # equal sets are indexed once
-            alone = np.zeros(len(sizes), bool)
-            alone[first] = True
+            alone = _first_of_each(u, v)  # equal sets are indexed once
             values = values[np.repeat(alone, sizes)]
             u, v, sizes = u[alone], v[alone], sizes[alone]
             key, of = prefix_keys(values, np.cumsum(sizes) - sizes, sizes, *known.value)
+            w = sizes << HASH_BITS | v.view(np.int64)
             for at in range(0, len(key), 200_000):
                 some, row = key[at : at + 200_000], of[at : at + 200_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), _signed(u[row]), _signed(v[row]), pa.array(sizes[row].astype(np.int32))], ["key", "u", "v", "n"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(some), _signed(u[row]), pa.array(w[row])], ["key", "u", "w"])
 
-    return docs.mapInArrow(run, "key long, u long, v long, n int")
+    return docs.mapInArrow(run, "key long, u long, w long")
 
 
 def _grouped(
@@ -207,12 +221,18 @@ def group_members(index: DataFrame, frequent: int | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for key, (u, v, n) in _grouped(batches, "key", ["u", "v", "n"]):
+        for key, (u, w) in _grouped(batches, "key", ["u", "w"]):
+            again = key[1:] == key[:-1]  # most keys come once
+            shared = np.append(again, False) | np.insert(again, 0, False)
+            if not shared.any():
+                continue
+            key, u, w = key[shared], u[shared], w[shared]
+            v, n = w & ((1 << HASH_BITS) - 1), w >> HASH_BITS
             order = np.lexsort((v, u, n, key))
             key, u, v, n = key[order], u[order], v[order], n[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-            key, u, v, n = key[new], u[new], v[new], n[new].astype(np.int64)
+            key, u, v, n = key[new], u[new], v[new], n[new]
             brk = np.ones(len(key), bool)
             brk[1:] = (key[1:] != key[:-1]) | (4 * n[:-1] < 3 * n[1:])
             first = np.flatnonzero(brk)
@@ -277,39 +297,43 @@ def _passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa
 
 
 def sketch(values: np.ndarray) -> bytes:
-    """The size of a set of sorted hashes, and how many of them fall into each of about n/2 equal ranges."""
-    bits = max(4, int(len(values) // 2).bit_length())
-    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.uint32(len(values)).tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes()
+    """The size of a set of hashes, and whether an odd number of them ends in each of n to 2n equally long rows of bits."""
+    ends = 1 << max(6, len(values).bit_length())
+    odd = np.bincount((values & np.uint64(ends - 1)).astype(np.int64), minlength=ends) & 1
+    return np.uint32(len(values)).tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
 
 
 class Sketches:
-    """Bounds of what sets have in common: no more than the smaller count of each range."""
+    """Bounds of what sets have in common: where one has an odd number and another has not, a hash is in one of them only."""
 
     def __init__(self, drawn: list[bytes]):
         self.n = np.array([np.frombuffer(x, np.uint32, 1)[0] for x in drawn], np.int64)
-        counts = [np.frombuffer(x, np.uint8, offset=4).astype(np.int32) for x in drawn]
-        counts = [np.where(c == 255, 1 << 24, c) for c in counts]  # 255 stands for any number from there on
-        self.width = np.array([len(c) for c in counts], np.int64)
-        self.row, self.folded = np.zeros(len(counts), np.int64), {}
-        for width in np.unique(self.width):  # all sets of as many ranges or more, folded to so many
-            at = np.flatnonzero(self.width >= width)
-            table = np.empty((len(at), width), np.int32)
+        words = [np.frombuffer(x, np.uint64, offset=4) for x in drawn]
+        self.width = np.array([len(w) for w in words], np.int64)
+        self.folded = {}
+        for width in np.unique(self.width).tolist():  # with those of twice as many, folded to so many
+            at = np.flatnonzero((self.width == width) | (self.width == 2 * width))
+            table = np.empty((len(at), width), np.uint64)
             for i, j in enumerate(at):
-                table[i] = counts[j].reshape(width, -1).sum(axis=1)
-            place = np.full(len(counts), -1)
+                table[i] = np.bitwise_xor.reduce(words[j].reshape(-1, width), axis=0)
+            place = np.full(len(words), -1)
             place[at] = np.arange(len(at))
-            self.folded[int(width)] = place, table
-
-    def most(self, x: int, others: np.ndarray) -> np.ndarray:
-        """The most shingles that set x can have in common with each of the others."""
-        out = np.empty(len(others), np.int64)
-        least = np.minimum(self.width[x], self.width[others])
-        for width in np.unique(least):
-            some = least == width
-            place, table = self.folded[int(width)]
-            out[some] = np.minimum(table[place[x]], table[place[others[some]]]).sum(axis=1)
-        return np.minimum(out, np.minimum(self.n[x], self.n[others]))
+            self.folded[width] = place, table
+
+    def most(self, x: int | np.ndarray, others: np.ndarray) -> np.ndarray:
+        """The most shingles that set x can have in common with each of the others, or each x with its other."""
+        x = np.broadcast_to(x, others.shape)
+        out = np.minimum(self.n[x], self.n[others])
+        least, wide = np.minimum(self.width[x], self.width[others]), np.maximum(self.width[x], self.width[others])
+        least = np.where(wide > 2 * least, 0, least)  # sizes alone keep such sets apart
+        for width in np.unique(least[least > 0]).tolist():
+            some = np.flatnonzero(least == width)
+            place, table = self.folded[width]
+            for at in range(0, len(some), step := max(1, COMPARED_WORDS // width)):
+                i = some[at : at + step]
+                apart = np.bitwise_count(table[place[x[i]]] ^ table[place[others[i]]]).sum(axis=1, dtype=np.int64)
+                out[i] = np.minimum(out[i], (self.n[x[i]] + self.n[others[i]] - apart) // 2)
+        return out
 
     def may_link(self, x: int, others: np.ndarray) -> np.ndarray:
         both = self.most(x, others)
@@ -352,7 +376,7 @@ def _texts_of(texts: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
-    """key, u, v, n of the marked sets (u, v), with their own frequent shingles."""
+    """key, u, w of the marked sets (u, v), with their own frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, limit=PIECE):
@@ -363,16 +387,15 @@ def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
     return index_prefixes(own, frequent, times)
 
 
-def _asked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """x, y, u, v: each x with its own set (y is -1), and with each set that it is to be compared with."""
+def _asked(pairs: DataFrame) -> DataFrame:
+    """x, y, node: each x with itself (y is -1), and with each that it is to be compared with."""
     own = pairs.select("x").distinct().select("x", F.lit(-1).cast("long").alias("y"), F.col("x").alias("node"))
-    both = own.union(pairs.select("x", "y", F.col("y").alias("node")))
-    return settle(both.join(nodes.select("node", "u", "v"), "node").drop("node"), "join-asked")
+    return own.union(pairs.select("x", "y", F.col("y").alias("node")))
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, compared: bool) -> DataFrame:
-    """The pairs (x, y) that link. Sketches rule most others out, unless they were compared before; then each x's set is
-    made once, and those of its candidates one after another."""
+def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, drawn: DataFrame | None) -> DataFrame:
+    """The pairs (x, y) that link. Sketches, if given, rule most others out; then each x's set is made once, and those of its
+    candidates one after another."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, b""
@@ -406,10 +429,9 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, compared: bool)
     def by_x(rows: DataFrame, run) -> DataFrame:
         return rows.repartition("x").sortWithinPartitions("x", "y").mapInArrow(run, "x long, y long").distinct()
 
-    if not compared:
-        drawn = texts.select("u", "v", "sketch").join(_asked(pairs, nodes), ["u", "v"]).select("x", "y", "sketch")
-        pairs = settle(by_x(drawn, compare), "join-possible")
-    asked = _asked(pairs, nodes)
+    if drawn is not None:
+        pairs = settle(by_x(_asked(pairs).join(drawn, "node").select("x", "y", "sketch"), compare), "join-possible")
+    asked = settle(_asked(pairs).join(nodes.select("node", "u", "v"), "node").drop("node"), "join-asked")
     some = _texts_of(texts, asked)
     return by_x(some.join(asked, ["u", "v"]).select("x", "y", "text"), decide)
 
@@ -443,139 +465,144 @@ def _same(a: DataFrame, b: DataFrame) -> bool:
     return total(a) == total(b)
 
 
-def _likeliest(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _likeliest(drawn: DataFrame) -> DataFrame:
     """Pairs (x, y) of each node with that one which shares most of its least hashes, of those that are the smallest node with
     one of them; one pair at most for each y."""
-    rows = texts.select("u", "v", "least").join(nodes.select("u", "v", "node"), ["u", "v"])
-    keys = rows.select("node", F.explode("least").alias("key")).distinct()
+    keys = drawn.select("node", F.explode("least").alias("key")).distinct()
     first = keys.groupBy("key").agg(F.min("node").alias("x"))
     shared = keys.join(first, "key").where("node > x").groupBy(F.col("node").alias("y"), "x").agg(F.count("*").alias("c"))
     return shared.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")).select("x", "y")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """Pairs (x, y) of each group's smallest member with each other that is of another component."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g, (node, comp) in _grouped(batches, "g", ["node", "comp"]):
-            start = np.concatenate([[True], g[1:] != g[:-1]])
-            first = np.repeat(np.flatnonzero(start), np.diff(np.append(np.flatnonzero(start), len(g))))
-            apart = comp[first] != comp
-            yield _pairs([node[first][apart]], [node[apart]])
-
-    rows = members.select("g", "node", "comp").repartition("g").sortWithinPartitions("g", "node")
-    return rows.mapInArrow(run, "x long, y long").distinct()
-
-
-def _blocks(members: DataFrame, nodes: DataFrame, texts: DataFrame, best: int | None) -> DataFrame:
-    """Pairs (x, y) of groups' members that are of different components and may be similar by their sketches; with `best`,
-    the so many likeliest for each x.
+def _blocks(members: DataFrame, drawn: DataFrame, best: int | None) -> DataFrame:
+    """x, y, cut: pairs (x, y) of groups' members that are of different components and may be similar by their sketches, for
+    each x that is to be looked at again; with `best`, the so many likeliest in a task, and whether an x has more (cut).
 
     Groups with the same largest component are worked off together, so a pair of many groups is looked at once. Members
-    of such a bundle are dealt into blocks of bounded size, and a task has two blocks at most.
+    of such a bundle are dealt into blocks of bounded size, and a task has two blocks at most. Those of the largest component
+    have blocks of their own, which meet the others only. Where the groups have about as many rows as there are pairs of
+    members, any two members are compared and the groups stay behind.
     """
     counts = members.groupBy("g", "comp").agg(F.count("*").alias("c"))
     bundle = counts.groupBy("g").agg(F.max_by("comp", F.struct("c", "comp")).alias("bundle"))
     rows = members.join(bundle, "g")
-    each = rows.select("bundle", "node", "n", "comp").distinct()
-    parts = each.groupBy("bundle").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("parts"))
-    block = F.expr("cast(pmod(xxhash64(node), parts) as int)")
+    each = rows.groupBy("bundle", "node", "comp").agg(F.max("again").alias("again"), F.count("*").alias("times"))
+    sizes = each.groupBy("bundle").agg(
+        F.count("*").alias("m"), F.count_if(F.col("comp") == F.col("bundle")).alias("home"), F.sum("times").alias("times")
+    )
+    parts = sizes.select(
+        "bundle",
+        (F.col("m") * F.col("m") <= PAIRS_A_ROW * F.col("times")).alias("whole"),
+        F.expr(f"if(m <= {BLOCK_NODES}, 0, cast(ceil(home / {BLOCK_NODES}) as int))").alias("homes"),
+        F.expr(f"if(m <= {BLOCK_NODES}, 1, cast(ceil((m - home) / {BLOCK_NODES}) as int))").alias("others"),
+    )
+    hashed = "cast(pmod(xxhash64(node), {}) as int)".format
+    block = F.expr(f"if(comp = bundle and homes > 0, {hashed('homes')}, homes + {hashed('others')})")
     spread = F.expr(
-        "explode(transform(sequence(0, cast(parts as int) - 1), t -> xxhash64(bundle, least(block, t), greatest(block, t))))"
+        "explode(transform(sequence(if(block < homes, homes, 0), homes + others - 1), "
+        "t -> xxhash64(bundle, least(block, t), greatest(block, t))))"
     )
-    drawn = each.join(nodes.select("node", "u", "v"), "node").join(texts.select("u", "v", "sketch"), ["u", "v"])
-    drawn = drawn.dropDuplicates(["bundle", "node"]).join(parts, "bundle").withColumn("block", block)
-    drawn = drawn.select(spread.alias("key"), F.lit(None).cast("long").alias("g"), "node", "block", "comp", "sketch")
-    grouped = rows.select("bundle", "g", "node").join(parts, "bundle").withColumn("block", block)
     none = F.lit(None)
+    own = each.join(parts, "bundle").withColumn("block", block).join(drawn.select("node", "sketch"), "node")
+    own = own.select(spread.alias("key"), none.cast("long").alias("g"), "node", "block", "comp", "again", "sketch")
+    grouped = rows.join(parts.where("not whole"), "bundle").withColumn("block", block)
     grouped = grouped.select(
-        spread.alias("key"), "g", "node", "block", none.cast("long").alias("comp"), none.cast("binary").alias("sketch")
+        spread.alias("key"),
+        "g",
+        "node",
+        "block",
+        none.cast("long").alias("comp"),
+        none.cast("boolean").alias("again"),
+        none.cast("binary").alias("sketch"),
     )
 
-    def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def solve(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(rows)
         own = table.filter(pa.compute.is_null(table["g"]))
-        node, block, comp = (own[c].to_numpy() for c in ("node", "block", "comp"))
-        order = np.argsort(node)
-        node, block, comp = node[order], block[order], comp[order]
-        drawn = own["sketch"].to_pylist()
-        sketches = Sketches([drawn[i] for i in order])
+        order = np.lexsort((own["node"].to_numpy(), own["key"].to_numpy()))
+        key, node, block, comp, again = (own[c].to_numpy()[order] for c in ("key", "node", "block", "comp", "again"))
+        held = own["sketch"].to_pylist()
+        sketches = Sketches([held[i] for i in order])
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        of = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+        across = (np.maximum.reduceat(block, start) != np.minimum.reduceat(block, start))[of]
         some = table.filter(pa.compute.is_valid(table["g"]))
-        g, at = some["g"].to_numpy(), np.searchsorted(node, some["node"].to_numpy())
+        g, its = some["g"].to_numpy(), np.searchsorted(key[start], some["key"].to_numpy())
+        every = np.unique(node)
+        at = np.searchsorted(of * len(every) + np.searchsorted(every, node), its * len(every) + np.searchsorted(every, some["node"].to_numpy()))
+        edge = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (its[1:] != its[:-1])])) if len(g) else np.zeros(0, np.int64)
+        whole = np.setdiff1d(np.arange(len(start)), its)
         together = np.zeros((len(node), len(node)), bool)
-        edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else []
+        for low, high in zip(start[whole], np.append(start[1:], len(key))[whole]):
+            together[low:high, low:high] = True
         for low, high in zip(edge, np.append(edge[1:], len(g))):
             if high - low > 1:
                 together[np.ix_(at[low:high], at[low:high])] = True
-        across = len(np.unique(block)) > 1
-        xs, ys = [], []
-        for x in range(len(node) - 1):
-            near = x + 1 + np.flatnonzero(together[x, x + 1 :])
-            near = near[comp[near] != comp[x]]
-            if across:  # pairs within a block are another task's
-                near = near[block[near] != block[x]]
-            if not len(near):
-                continue
-            both = sketches.most(x, near)
-            all_of = sketches.n[x] + sketches.n[near] - both
+        for low in range(0, len(node), step := max(1, COMPARED_WORDS // len(node))):
+            x, y = np.nonzero(np.triu(together[low : low + step], low + 1))
+            x = x + low
+            may = (comp[x] != comp[y]) & again[x] & ~(across[x] & (block[x] == block[y]))  # pairs within a block are another task's
+            may &= 4 * np.minimum(sketches.n[x], sketches.n[y]) >= 3 * np.maximum(sketches.n[x], sketches.n[y])
+            x, y = x[may], y[may]
+            both = sketches.most(x, y)
+            all_of = sketches.n[x] + sketches.n[y] - both
             may = 100 * both >= 75 * all_of
-            near = near[may][np.argsort(-(both / all_of)[may], kind="stable")[:best]]
-            xs.append(np.full(len(near), node[x]))
-            ys.append(node[near])
-        return _pairs(xs or [np.zeros(0, np.int64)], ys or [np.zeros(0, np.int64)])
+            x, y, alike = x[may], y[may], (both / all_of)[may]
+            order = np.lexsort((y, -alike, x))
+            x, y = x[order], y[order]
+            first = np.searchsorted(x, x)
+            cut = np.searchsorted(x, x, side="right") - first > (best or len(x))
+            kept = np.arange(len(x)) - first < (best or len(x))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[x[kept]], node[y[kept]], cut[kept])], ["x", "y", "cut"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        now = None
+        now, nodes = None, 0
         for batch in batches:
             key = batch.column("key").to_numpy()
             edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else []
+            own = np.concatenate([[0], np.cumsum(batch.column("g").is_null().to_numpy(zero_copy_only=False))])
+            since = 0
             for low, high in zip(edge, np.append(edge[1:], len(key))):
-                if held and key[low] != now:
-                    yield solve(held)
-                    held = []
+                if nodes >= SOLVED_NODES and key[low] != now:
+                    yield from solve([*held, batch.slice(since, low - since)])
+                    held, nodes, since = [], 0, low
                 now = key[low]
-                held.append(batch.slice(low, high - low))
-        if held:
-            yield solve(held)
-
-    dealt = drawn.union(grouped).repartition("key").sortWithinPartitions("key", F.asc_nulls_first("g"))
-    return dealt.mapInArrow(run, "x long, y long").distinct()
+                nodes += int(own[high] - own[low])
+            held.append(batch.slice(since))
+        if nodes:
+            yield from solve(held)
 
-
-def _pairs(xs: list[np.ndarray], ys: list[np.ndarray]) -> pa.RecordBatch:
-    x, y = np.concatenate(xs), np.concatenate(ys)
-    both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["x", "y"])
+    dealt = own.union(grouped).repartition("key").sortWithinPartitions("key", F.asc_nulls_first("g"))
+    return dealt.mapInArrow(run, "x long, y long, cut boolean").groupBy("x", "y").agg(F.max("cut").alias("cut"))
 
 
 def connect(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """node, comp of all nodes with links."""
-    links, comps, tried = None, None, None
-    left = members
-    for turn in ("likeliest", "stars", "best", "all"):
-        if turn == "likeliest":
-            pairs = _likeliest(nodes, texts)
-        elif turn == "stars":
-            pairs = _stars(left)
-        else:
-            pairs = _blocks(left, nodes, texts, BEST if turn == "best" else None)
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = settle(pairs, f"join-{turn}")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = settle(verify(pairs, nodes, texts, turn in ("best", "all")), "join-links")
-        links = found if links is None else links.union(found)
-        if turn == "likeliest" or not found.isEmpty():
+    drawn = nodes.select("u", "v", "node").join(texts.select("u", "v", "sketch", "least"), ["u", "v"])
+    drawn = settle(drawn.dropDuplicates(["node"]).select("node", "sketch", "least"), "join-drawn")
+    pairs = settle(_likeliest(drawn), "join-likeliest")
+    links = settle(verify(pairs, nodes, texts, drawn), "join-links")
+    tried, left, again = pairs, members, None
+    comps = settle(components(links), "join-components")
+    for turn in ("best", "all"):
+        # groups within one component are done at any time
+        now = left.select("g", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        now = now.withColumn("again", F.lit(True)) if again is None else now.join(again, "node", "left").na.fill(False, ["again"])
+        some = now.groupBy("g").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.max("again").alias("any"))
+        left = settle(now.join(some.where("a <> b and any").select("g"), "g"), "join-open")
+        if left.isEmpty():
+            break
+        found = settle(_blocks(left, drawn, BEST if turn == "best" else None), f"join-{turn}")
+        again = found.where("cut").select(F.col("x").alias("node"), F.lit(True).alias("again")).distinct()
+        pairs = settle(found.join(tried, ["x", "y"], "left_anti").select("x", "y"), "join-untried")
+        tried = tried.union(pairs)
+        linked = settle(verify(pairs, nodes, texts, None), "join-links")
+        if not linked.isEmpty():
+            links = links.union(linked)
             comps = settle(components(links), "join-components")
-        if turn != "all":
-            # groups within one component are done at any time, and pairs once they have been stars
-            now = left.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            some = now.groupBy("g").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("c"))
-            some = some.where("a <> b" if turn == "likeliest" else "a <> b and c > 2")
-            left = settle(now.join(some.select("g"), "g").select("g", "node", "n", "comp"), "join-open")
-            if left.isEmpty():
-                break
+        if again.isEmpty():  # every set has been compared with all that its sketch didn't rule out
+            break
     return comps
 
 
@@ -595,7 +622,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = nodes.where("marked").select("u", "v")
     if not marked.isEmpty():
         members = members.union(group_members(index_again(texts, marked), None))
-    members = members.join(nodes, ["u", "v"]).select("g", "node", "n")
+    members = members.join(nodes, ["u", "v"]).select("g", "node")
     comps = connect(settle(members, "join-members"), nodes, texts)
     named = rows.join(nodes.select("u", "v", "node"), ["u", "v"], "left").join(comps, "node", "left")
     named = named.select("doc_id", "text_hash", "n", F.coalesce("comp", "node").alias("c"), "u", "v")
