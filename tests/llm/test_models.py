@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -254,6 +255,63 @@ def test_ranks_with_values_alike_in_their_first_bits():
         assert (lm_scoring._ranks(values, bits) == np.unique(values, return_inverse=True)[1]).all()
 
 
+def peak(work) -> int:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_ranks_in_bounded_memory(monkeypatch):
+    values = np.random.default_rng(17).integers(0, 1 << 20, 1 << 20, np.uint64)
+    monkeypatch.setattr(lm_scoring, "PIECE", 1 << 14)
+    assert peak(lambda: lm_scoring._ranks(values, 38)) < 2.2 * values.nbytes  # three times before
+    assert (lm_scoring._ranks(values, 38) == np.unique(values, return_inverse=True)[1]).all()
+
+
+def test_words_of_a_piece_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PIECE", 1 << 16)
+    texts = [b"", b"some words of a text " * 400, b" ", b"x"] * 400
+    lm_scoring._words(texts[:100])  # fills what is kept between calls
+    assert peak(lambda: lm_scoring._words(texts)) < 12 * sum(map(len, texts))  # over 40 times when hashed at once
+    hashes, ends = shingles.word_hashes(texts)
+    found, n = lm_scoring._words(texts)
+    assert (found == hashes).all() and (n == np.diff(ends, prepend=0)).all()
+    assert len(lm_scoring._words([b""])[0]) == 0
+
+
+def test_a_shard_lets_go_of_what_it_has_read():
+    random = np.random.default_rng(18)
+    texts = [bytes(random.choice(np.frombuffer(b"abcde fgh\n", np.uint8), n)) for n in (4000, 900, 0)]
+    parts = [part for group in lm_scoring.groups_of(texts) for part in group]
+    rows = [dict(zip(lm_scoring.ASKED, x)) for x in lm_scoring._asked(np.array([True, False, True]), 4, parts)]
+    code = lm_scoring.Code(random.integers(0, 50, (256, 257)))
+    answers = [*lm_scoring._answers(code, [some := dict(rows[0])])]
+    assert len(answers) == 1 and not set(some) & set(lm_scoring.ASKED[1:])
+
+
+def test_counts_of_training_texts_alone():
+    random = np.random.default_rng(19)
+    texts = [bytes(random.choice(np.frombuffer(b"ab ", np.uint8), n)) for n in (3000, 2000, 700, 0)]
+    training = np.array([True, False, True, True])
+    [parts] = lm_scoring.groups_of(texts)
+    _, _, contexts = lm_scoring._told(parts[0], 4)
+    symbol = lm_scoring._told(parts[0], 4)[0] % 257
+    of = np.repeat(training, [len(x) + 1 for x in texts])
+    for k, context in enumerate(contexts):
+        seen = collections.Counter(zip(context[of].tolist(), symbol[of].tolist()))
+        asked = sorted(set(zip(context.tolist(), symbol.tolist())))
+        counts = []
+        for row in lm_scoring._asked(training, 4, parts):
+            if row[0] >> 4 == k:
+                small = lm_scoring._unpack(row[5], np.uint8).astype(int)
+                small[small == 255] = lm_scoring._unpack(row[6], np.int32)
+                counts += small.tolist()
+        assert counts == [seen[x] for x in asked]
+
+
 def test_odds_seen_from_a_bit_and_back():
     odds = np.arange(256, dtype=np.uint8)
     for bit in (np.zeros(256, np.uint8), np.ones(256, np.uint8)):
