@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import byte_bpe, token_counts, token_files
+from tidemark.llm import byte_bpe, documents, token_counts, token_files
 
 ODD = [
     None, "", " ", "a", "\x1c\x1d x\x1f", "  \n\n x  ", "é" * 100, "a" * 3000, "x\x85y z\xa0 q", "<|endoftext|> hi", "日本語 12 ",
@@ -126,3 +126,16 @@ def test_words_equal_the_library(texts):
     coder, plain = token_files.word_encoder(WORDS), Tokenizer.from_file(WORDS)
     ids, ends = coder(texts, 1)
     assert [x.tolist() for x in np.split(ids, ends[:-1])][: len(texts)] == [[*plain.encode(x, add_special_tokens=False).ids, 1] for x in texts]
+
+
+def test_an_idle_worker_keeps_little(monkeypatch):
+    coder = byte_bpe.coder(RANKS, P.PATTERN)
+    assert byte_bpe.coder(RANKS, P.PATTERN) is coder
+    assert documents.kept("another operator's", list) == [] and byte_bpe.coder(RANKS, P.PATTERN) is not coder
+    documents.release()
+    given, out = [], []
+    monkeypatch.setattr(documents, "give_back", lambda: given.append(len(out)))
+    out.extend(documents.lean(lambda batches: (x + 1 for x in batches))(iter([1, 2])))
+    assert out == [2, 3] and len(given) == 1
+    monkeypatch.undo()
+    documents.give_back()

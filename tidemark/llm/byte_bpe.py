@@ -13,7 +13,6 @@ don't matter, and an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -22,12 +21,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.documents import keyed_texts, pieces, strings
+from tidemark.llm.documents import kept, keyed_texts, lean, pieces, strings
 
 #: Rank of a pair that doesn't merge.
 NEVER = np.int32(np.iinfo(np.int32).max)
 #: Distinct matches whose ids a worker keeps; it starts afresh beyond that.
 KEPT_MATCHES = 300_000
+#: Text bytes that are encoded at a time; their matches, as objects of Python, take some 20 times as much.
+PIECE = 1 << 20
 #: Cells of one matrix; longer buckets are worked off in turns.
 CELLS = 1 << 21
 
@@ -190,12 +191,16 @@ class ByteBpe:
         return raw.tobytes(), at[ends]
 
 
-@functools.lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBpe:
-    """The coder of a vocabulary file (base64 token and rank a line); a Python worker builds it once."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return ByteBpe(ranks, pattern)
+    """The coder of a vocabulary file (base64 token and rank a line); a Python worker builds it once, and lets it go when another
+    operator's tasks come."""
+
+    def build() -> ByteBpe:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        return ByteBpe(ranks, pattern)
+
+    return kept(f"byte-bpe {path} {pattern}", build)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,7 +208,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=PIECE):
             ids, ends = bpe.encode(strings(piece))
             raw, cuts = bpe.decode(ids, ends)
             of_ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
@@ -211,7 +216,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
             decoded = [raw[a:b] for a, b in zip(places, cuts)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), of_ids, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return keyed_texts(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,7 +227,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=PIECE):
             ids, ends = bpe.encode(strings(piece))
             raw, cuts = bpe.decode(ids, ends)
             begins, wide = np.concatenate([[0], ends[:-1]]), ids.astype("<u4")
@@ -234,5 +239,5 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
             )
 
     return keyed_texts(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

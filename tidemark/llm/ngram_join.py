@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.documents import keyed_texts, pieces, release
+from tidemark.llm.documents import keyed_texts, lean, pieces, release
 from tidemark.llm.shingles import shingle_sets
 from tidemark.llm.suffix_dedup import _mixed
 from tidemark.sources.staging import settle
@@ -122,7 +122,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
             )
 
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    rows = settle(hashed.mapInArrow(run, "doc_id long, text_hash long, n long, u long, v long, times int"), "join-sets")
+    rows = settle(hashed.mapInArrow(lean(run), "doc_id long, text_hash long, n long, u long, v long, times int"), "join-sets")
     often = rows.where("times > 0").groupBy("u").agg(F.sum("times").alias("times"))
     return rows.where("times = 0").drop("times"), *_most_frequent(often, "u", "times")
 
@@ -190,7 +190,7 @@ def index_prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray) ->
                 some, row = key[at : at + 200_000], of[at : at + 200_000]
                 yield pa.RecordBatch.from_arrays([pa.array(some), _signed(u[row]), pa.array(w[row])], ["key", "u", "w"])
 
-    return docs.mapInArrow(run, "key long, u long, w long")
+    return docs.mapInArrow(lean(run), "key long, u long, w long")
 
 
 def _grouped(
@@ -266,7 +266,7 @@ def group_members(index: DataFrame, frequent: int | None) -> DataFrame:
                 yield _members(np.repeat(g, size)[rows], u[rows], v[rows], n[rows])
 
     dealt = index.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "g long, u long, v long, n int").distinct()
+    return dealt.mapInArrow(lean(run), "g long, u long, v long, n int").distinct()
 
 
 def _members(g: np.ndarray | None, u: np.ndarray, v: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -361,7 +361,7 @@ def fetch_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             )
 
     schema = "u long, v long, text string, sketch binary, least array<bigint>"
-    return docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, schema)
+    return docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(lean(run), schema)
 
 
 def _texts_of(texts: DataFrame, sets: DataFrame) -> DataFrame:
@@ -372,7 +372,7 @@ def _texts_of(texts: DataFrame, sets: DataFrame) -> DataFrame:
         for piece in _passing(batches, wanted.value):
             yield piece.select(["u", "v", "text"])
 
-    return texts.select(F.xxhash64("u", "v").alias("h"), "u", "v", "text").mapInArrow(passing, "u long, v long, text string")
+    return texts.select(F.xxhash64("u", "v").alias("h"), "u", "v", "text").mapInArrow(lean(passing), "u long, v long, text string")
 
 
 def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
@@ -383,7 +383,7 @@ def index_again(texts: DataFrame, marked: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([_signed(_sets(piece)[0])], ["s"])
 
     own = settle(_texts_of(texts, marked).join(marked, ["u", "v"]).select("text"), "join-marked")
-    frequent, times = _most_frequent(own.mapInArrow(run, "s long").groupBy("s").count(), "s", "count")
+    frequent, times = _most_frequent(own.mapInArrow(lean(run), "s long").groupBy("s").count(), "s", "count")
     return index_prefixes(own, frequent, times)
 
 
@@ -427,7 +427,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, drawn: DataFram
             yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.int64()), pa.array(out_y, pa.int64())], ["x", "y"])
 
     def by_x(rows: DataFrame, run) -> DataFrame:
-        return rows.repartition("x").sortWithinPartitions("x", "y").mapInArrow(run, "x long, y long").distinct()
+        return rows.repartition("x").sortWithinPartitions("x", "y").mapInArrow(lean(run), "x long, y long").distinct()
 
     if drawn is not None:
         pairs = settle(by_x(_asked(pairs).join(drawn, "node").select("x", "y", "sketch"), compare), "join-possible")
@@ -574,7 +574,7 @@ def _blocks(members: DataFrame, drawn: DataFrame, best: int | None) -> DataFrame
             yield from solve(held)
 
     dealt = own.union(grouped).repartition("key").sortWithinPartitions("key", F.asc_nulls_first("g"))
-    return dealt.mapInArrow(run, "x long, y long, cut boolean").groupBy("x", "y").agg(F.max("cut").alias("cut"))
+    return dealt.mapInArrow(lean(run), "x long, y long, cut boolean").groupBy("x", "y").agg(F.max("cut").alias("cut"))
 
 
 def connect(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
