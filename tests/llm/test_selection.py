@@ -113,6 +113,93 @@ def test_characters_of_all_planes_have_their_class():
     assert quality._class_table()[ord("\n")] == 28 and quality._class_table()[ord("~")] == 30
 
 
+def plain_whole_logs(texts, order):
+    """Logarithms by gram of whole characters, by dictionaries."""
+    grams = {order: collections.Counter(x[i : i + order] for x in (" " * (order - 1) + t for t in texts) for i in range(len(x) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        grams[n] = collections.Counter(g[1:] for g in grams[n + 1])
+
+    def probability(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / 0x110000
+        of = [sum(c == k for c in grams[n].values()) for k in (1, 2, 3, 4)]
+        y = of[0] / (of[0] + 2 * of[1]) if of[0] else 0.5
+        cut = [min(0.95 * k, max(0.05, k - (k + 1) * y * of[k] / of[k - 1])) if of[k - 1] else 0.5 for k in (1, 2, 3)]
+        after = [m for g, m in grams[n].items() if g[:-1] == gram[:-1]]
+        own = grams[n][gram]
+        return (own - cut[min(own, 3) - 1] + sum(cut[min(m, 3) - 1] for m in after) * probability(gram[1:])) / sum(after)
+
+    return {g: math.log(probability(g)) for g in grams[order]}
+
+
+def points_of(head, last, order):
+    return "".join(chr(x >> 21 * i & 0x1FFFFF) for x, size in ((head, order - 2), (last, 2)) for i in range(size - 1, -1, -1))
+
+
+ODD_TEXTS = ["The cat sat.\nThe dog", "the cat, 12! 21?", "\u4e00\u4e08\u4e00 \u0434\u043e\u043c \u0434\u043e\u043c", "\U0001f600\0\0\0\0\0\0", "the the", None, "", "ÉTÉ été"]
+
+
+def test_whole_characters_have_kneser_ney_probabilities(documents):
+    for order in (2, 4, 5):
+        want = plain_whole_logs([x or "" for x in ODD_TEXTS], order)
+        table = quality.whole_logs(quality.count_whole(documents(ODD_TEXTS), order=order), order).collect()
+        got = {points_of(r["head"], r["last"], order): r.log for r in table}
+        assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-4 for g in want)
+
+
+def test_grams_of_many_kinds_of_characters():
+    random.seed(4)
+    few, many = "abcab \U0001f600", [chr(random.randrange(0x4E00, 0xE000 - 0x800)) for _ in range(9000)]  # over 2^12 kinds: in two parts
+    for texts in ([few, "", few * 3], ["".join(many), "".join(many[:99])]):
+        head, last, count = quality.distinct_grams(texts, 5)
+        every = collections.Counter(x[i : i + 5] for x in ("    " + t for t in texts) for i in range(len(x) - 4))
+        assert {points_of(int(h), int(k), 5): int(c) for h, k, c in zip(head, last, count)} == every
+        head, last, ends = quality.whole_grams(texts, 5)
+        assert [points_of(int(h), int(k), 5) for h, k in zip(head, last)] == [x[i : i + 5] for x in ("    " + t for t in texts) for i in range(len(x) - 4)]
+        assert ends.tolist() == np.cumsum([len(x) for x in texts]).tolist()
+
+
+def test_logs_of_grams_whose_slot_is_taken():
+    random = np.random.default_rng(3)
+    head, last = (random.permutation(1 << 16).astype(np.int64) for _ in range(2))
+    values = random.random(1 << 16).astype(np.float32)
+    logs = quality.Logs(head, last, values)
+    assert len(logs.left_keys) > 1000 and (logs(head, last) == values).all()
+    assert len(quality.Logs(head[:0], last[:0], values[:0])(head[:0], last[:0])) == 0
+
+
+def cyrillic(n, seed):
+    random.seed(seed)
+    syllables = [a + b for a in "вдлмнрст" for b in "аеио"]
+    return " ".join("".join(random.choices(syllables, k=random.randint(1, 3))) for _ in range(n))
+
+
+def test_letters_that_fold_alike_are_told_apart(documents):
+    texts = [cyrillic(80, i) for i in range(120)]
+    other = str.maketrans({c: chr(ord(c) + 8 if ord(c) < 0x448 else ord(c) - 8) for c in "вдлмнрстаеио"})
+    odd = cyrillic(80, 500).translate(other)  # of other letters, which fall into the same classes
+    plain = cyrillic(80, 500)
+    assert (quality.grams([odd])[0] == quality.grams([plain])[0]).all()
+    rows = {r.doc_id: r for r in quality.quality(documents([*texts, plain, odd])).collect()}
+    assert rows[120].kept and not rows[120].base_failed
+    assert not rows[121].kept and not rows[121].base_failed and abs(rows[121].log_ppl - rows[120].log_ppl) > 0.1
+
+
+def test_grams_beyond_what_tasks_hold_are_joined(spark, documents, monkeypatch):
+    texts = [*ODD_TEXTS, *(cyrillic(60, i) for i in range(30)), "x" * 3000, "", None]
+    docs = documents([*texts, *texts])
+    want = {r.doc_id: r for r in quality.quality(docs).collect()}
+    monkeypatch.setattr(quality, "HELD_GRAMS", 0)
+    monkeypatch.setattr(quality, "JOINED_BYTES", 1 << 11)
+    got = {r.doc_id: r for r in quality.quality(docs).collect()}
+    assert got.keys() == want.keys() and len(got) == 2 * len(texts)
+    assert all(tuple(got[i])[:-1] == tuple(want[i])[:-1] and abs(got[i].log_ppl - want[i].log_ppl) < 1e-9 for i in want)
+    assert quality.quality(docs.limit(0)).count() == 0
+    judged = quality.judge(docs, ["doc_id"], with_text=True).collect()
+    assert {(r.row.doc_id, r.text) for r in judged} == {(i, x) for i, x in enumerate([*texts, *texts])}
+
+
 def test_quality_documents(spark, sf_dir, documents):
     rows = {r.doc_id: r for r in quality.quality(load(spark, sf_dir)).collect()}
     texts = {r.doc_id: r.text for r in load(spark, sf_dir).collect()}
